@@ -22,6 +22,7 @@ END_MARKER = "\n--- thread ends ---\n"
 _LAST = 2**63 - 1
 
 SETTLED, OPEN, ORPHAN = "settled", "open", "orphan"
+UNKNOWN = "unknown parent"
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,7 @@ def _advance(open_rows: DataFrame, known: DataFrame, carry: Sequence[str], with_
         F.coalesce("_status", F.lit(ORPHAN)).alias("status"),
         F.col("_root").alias("root"),
         (F.col("depth") + F.col("_depth")).alias("depth"),
-        F.coalesce("_reason", F.when(F.col("_id").isNull(), F.lit("unknown parent"))).alias("reason"),
+        F.coalesce("_reason", F.when(F.col("_id").isNull(), F.lit(UNKNOWN))).alias("reason"),
         *([F.concat("_path", "path").alias("path")] if with_path else []),
         *carry,
     )
@@ -104,10 +105,18 @@ def resolve(comments: DataFrame, carry: Sequence[str] = (), with_path: bool = Fa
     first = _advance(replies, start, carry, with_path, "left")
     rounds = [write(start.where(F.col("status") != OPEN).unionByName(first), "round-0")]
     still_open = rounds[0].where(F.col("status") == OPEN)
+    # a missing parent is an end of the climb as well: whoever points at it later finds it here
+    missing = (
+        rounds[0]
+        .where((F.col("status") == ORPHAN) & (F.col("reason") == UNKNOWN))
+        .select(F.col("parent").alias("id"), "status", "root", "depth", "reason", *(["path"] if with_path else []))
+        .dropDuplicates(["id"])
+    )
     left = still_open.count()
     while left:
         done = [with_status(rounds, SETTLED), with_status(rounds, ORPHAN)]
-        known = reduce(DataFrame.unionByName, [*done, still_open])
+        ends = [t.select(missing.columns) for t in (*done, still_open)]
+        known = reduce(DataFrame.unionByName, [*ends, missing])
         rounds.append(write(_advance(still_open, known, carry, with_path, "inner"), f"round-{len(rounds)}"))
         still_open = rounds[-1].where(F.col("status") == OPEN)
         before, left = left, still_open.count()
