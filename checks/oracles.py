@@ -348,8 +348,7 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
         "top_emoji": emoji + "SELECT dt_date, emoji, count(*) AS uses FROM emoji GROUP BY ALL",
         "pointing_emoji": base
         + "SELECT dt_date, author, count(*) AS meme_count FROM clean WHERE "
-        + " OR ".join(f"contains(body, '{e}')" for e in POINTING_EMOJI)
-        + " GROUP BY ALL",
+        + f"regexp_matches(body, '{'|'.join(POINTING_EMOJI)}') GROUP BY ALL",
         "flair_population": base
         + f"""SELECT dt_date, label AS flair, count(*) AS redditors
               FROM (SELECT DISTINCT dt_date, author, author_flair_text, {label} AS label FROM clean) GROUP BY ALL""",

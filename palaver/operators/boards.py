@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from palaver.fixed import DELETED_BODY, REMOVED_BODY
 from palaver.functions.emoji import has_pointing_emoji
 from palaver.functions.text import flair_label, mute_ping
-from palaver.operators.clean import enrich
+from palaver.operators.clean import enrich, explode_once
 from palaver.operators.ranking import top_k
 
 DAY = ("dt_date",)
@@ -47,7 +47,7 @@ def author_emoji(comments: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
 
 
 def emoji_uses(comments: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
-    exploded = enrich(comments).select(*by, F.explode("emoji").alias("emoji"))
+    exploded = explode_once(enrich(comments), by, F.col("emoji"), "emoji")
     return exploded.groupBy(*by, "emoji").agg(F.count("*").alias("uses"))
 
 
@@ -73,9 +73,10 @@ def average_scores(comments: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
 
 def bad_counts(comments: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
     """Deleted, removed and otherwise blank comments. Takes comments from ``drop_excluded``."""
+    body = F.col("blanked" if "blanked" in comments.columns else "body")
     return comments.groupBy(*by).agg(
-        F.count_if(F.col("body") == DELETED_BODY).alias("deleted"),
-        F.count_if(F.col("body") == REMOVED_BODY).alias("removed"),
+        F.count_if(body == DELETED_BODY).alias("deleted"),
+        F.count_if(body == REMOVED_BODY).alias("removed"),
         F.count_if(F.col("author") == "").alias("other_blank"),
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from palaver.fixed import EXCLUDED_AUTHORS, THREAD_TITLES
+from palaver.fixed import DELETED_BODY, EXCLUDED_AUTHORS, REMOVED_BODY, THREAD_TITLES
 from palaver.functions.emoji import emoji_list
 from palaver.functions.text import word_count
 from palaver.functions.times import day_end, hour_start
@@ -44,10 +44,20 @@ def enrich(comments: DataFrame) -> DataFrame:
     )
 
 
+def explode_once(rows: DataFrame, keep: Sequence[str], items: Column, name: str) -> DataFrame:
+    """One row per item of an array that is costly to make.
+
+    A plain ``explode`` adds a filter on the size of the array, which makes the array again.
+    """
+    return rows.select(*keep, F.explode_outer(items).alias(name)).where(F.col(name).isNotNull())
+
+
 def narrow(comments: DataFrame) -> DataFrame:
     """All that the daily metrics need, without the bodies, which are most of the bytes."""
+    body = F.col("body")
+    blanked = F.when(body.isin(DELETED_BODY, REMOVED_BODY), body)
     return enrich(comments).select(
-        "id", "dt_date", "hour", "author", "author_flair_text", "score", "word_count", "emoji"
+        "id", "dt_date", "hour", "author", "author_flair_text", "score", "word_count", "emoji", blanked.alias("blanked")
     )
 
 

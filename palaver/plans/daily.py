@@ -6,99 +6,149 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from palaver.fixed import SHORT_EMOJI, SHORT_LIST
+from palaver.fixed import DAY_START_HOUR, SHORT_EMOJI, SHORT_LIST
+from palaver.functions.text import flair_label
 from palaver.operators import boards, hourly
 from palaver.operators.clean import clean, drop_blank, drop_excluded, narrow
 from palaver.operators.ranking import top_k
 from palaver.session import materialise
 
-COLUMNS = ["dt_date", "metric", "position", "name", "detail", "value"]
-
 
 def enriched(comments: DataFrame) -> DataFrame:
-    """Clean comments with word counts and emoji, without bodies, as a written table.
+    """Comments of people, with word counts and emoji but without bodies, as a written table.
 
     This is the one scan of the bodies; the metrics read this far smaller table.
     """
-    return materialise(narrow(clean(comments)), "enriched", ["dt_date"])
+    return materialise(narrow(drop_excluded(comments)), "enriched", ["dt_date"])
 
 
-def _rows(df: DataFrame, metric: str, position: Column, name: Column, detail: Column, value: Column) -> DataFrame:
-    return df.select(
-        "dt_date",
-        F.lit(metric).alias("metric"),
-        position.cast("bigint").alias("position"),
-        name.cast("string").alias("name"),
-        detail.cast("string").alias("detail"),
-        value.cast("double").alias("value"),
+def _rows(df: DataFrame, metrics: dict[str, Column], name: Column, detail: Column) -> DataFrame:
+    """Long form: one row per metric, whose values become doubles."""
+    pairs = [F.struct(F.lit(m).alias("metric"), value.cast("double").alias("value")) for m, value in metrics.items()]
+    long = df.select(
+        "dt_date", name.cast("string").alias("name"), detail.cast("string").alias("detail"), F.inline(F.array(*pairs))
     )
+    return long.select("dt_date", "metric", "name", "detail", "value")
 
 
-def short_report(comments: DataFrame) -> DataFrame:
-    """The truncated lists, hourly lists and totals of every day in long form.
-
-    Lists keep their first three entries and emoji their first 150; hourly lists are whole.
-    """
-    table = enriched(comments)
+def _ranked(table: DataFrame) -> DataFrame:
+    """The leaderboards, cut to their length by one window over day and metric."""
     none = F.lit(None)
-    position = F.col("position")
-    # hours are numbered from the start of the thread day
-    day_start = F.unix_seconds(F.col("dt_date").cast("timestamp")) + 7 * 3600
-    hour_number = (F.col("hour") - day_start) / 3600 + 1
+    author, flair = F.col("author"), F.col("author_flair_text")
+    authors = table.groupBy("dt_date", "author").agg(
+        F.sum("word_count").alias("words"),
+        F.sum("score").alias("score"),
+        F.sum(F.size("emoji")).alias("emoji"),
+    )
+    pairs = boards.author_flair_counts(table).join(authors, ["dt_date", "author"])
+    per_comment = lambda total: F.bround(F.col(total) / F.col("comment_count"), 1)
+    entries = [
+        _rows(
+            authors,
+            {
+                "wordiest_overall": F.col("words"),
+                "upvoted_redditors": F.col("score"),
+                "emoji_spammers": F.col("emoji"),
+            },
+            author,
+            none,
+        ),
+        _rows(
+            pairs,
+            {
+                "wordiest": per_comment("words"),
+                "best_redditors": per_comment("score"),
+                "spammiest": F.col("comment_count"),
+            },
+            author,
+            flair,
+        ),
+        _rows(boards.emoji_uses(table), {"top_emoji": F.col("uses")}, F.col("emoji"), none),
+        _rows(table, {"upvoted_comments": F.col("score")}, F.col("id"), none),
+    ]
+    best = top_k(
+        reduce(DataFrame.unionByName, entries),
+        ["dt_date", "metric"],
+        [F.desc("value"), F.asc("name"), F.asc("detail")],
+        SHORT_EMOJI,
+    )
+    kept = F.when(F.col("metric") == "top_emoji", SHORT_EMOJI).otherwise(SHORT_LIST)
+    return best.where(F.col("position") <= kept).withColumn("position", F.col("position").cast("bigint"))
+
 
-    def board(frame: DataFrame, metric: str, value: str, name: str, detail: str | None = None, k: int = SHORT_LIST):
-        ties = [F.asc(name), *([F.asc(detail)] if detail else [])]
-        best = top_k(frame, boards.DAY, [F.desc(value), *ties], k)
-        return _rows(best, metric, position, F.col(name), F.col(detail) if detail else none, F.col(value))
+def _hour_number() -> Column:
+    """Number of an hour in its thread day, from 1."""
+    day_start = F.unix_seconds(F.col("dt_date").cast("timestamp")) + DAY_START_HOUR * 3600
+    return ((F.col("hour") - day_start) / 3600 + 1).cast("bigint")
 
+
+def _hourly(table: DataFrame) -> DataFrame:
+    """Activity, and the winners of every hour from one aggregate of hour and author."""
+    hour, none = F.col("hour"), F.lit(None)
+    # thread days begin on a full hour, so an hour lies in one day
+    counts = table.groupBy("dt_date", "hour", "author").agg(
+        F.sum("word_count").alias("words"), F.count("*").alias("comments")
+    )
+    entries = _rows(
+        counts, {"hourly_wordiest": F.col("words"), "hourly_spammiest": F.col("comments")}, hour, F.col("author")
+    )
+    # words keep everyone at the maximum, comments the first by name
+    tie = F.when(F.col("metric") == "hourly_spammiest", F.col("detail"))
+    place = F.rank().over(Window.partitionBy("dt_date", "name", "metric").orderBy(F.desc("value"), tie))
+    winners = entries.withColumn("_place", place).where("_place <= 1").drop("_place")
+    active = _rows(hourly.activity(table), {"activity": F.col("norm_count")}, hour, none)
+    both = active.unionByName(winners).withColumn("hour", F.col("name").cast("bigint"))
+    return both.withColumn("position", _hour_number()).drop("hour")
+
+
+def _totals(table: DataFrame, people: DataFrame) -> DataFrame:
+    """Flairs, users and blank comments."""
+    none = F.lit(None)
+    labelled = boards.users(people).withColumn("flair", flair_label(F.col("author_flair_text")))
+    per_flair = labelled.groupBy("dt_date", "flair").agg(F.count("*").alias("n"))
+    bare = F.when(F.col("flair") == "", F.col("n")).otherwise(F.lit(0))
+    users = per_flair.groupBy("dt_date").agg(F.sum("n").alias("unique_users"), F.sum(bare).alias("unflaired"))
+    blank = boards.bad_counts(table)
     parts = [
-        board(boards.author_words(table), "wordiest_overall", "word_count", "author"),
-        board(boards.words_per_comment(table), "wordiest", "avg_words", "author", "author_flair_text"),
-        board(boards.author_scores(table), "upvoted_redditors", "score", "author"),
-        board(boards.average_scores(table), "best_redditors", "avg_score", "author", "author_flair_text"),
-        board(boards.author_flair_counts(table), "spammiest", "comment_count", "author", "author_flair_text"),
-        board(boards.author_emoji(table), "emoji_spammers", "emoji_count", "author"),
-        board(boards.emoji_uses(table), "top_emoji", "uses", "emoji", k=SHORT_EMOJI),
-        board(table.select("dt_date", "id", "score"), "upvoted_comments", "score", "id"),
-        _rows(hourly.activity(table), "activity", hour_number, F.col("hour"), none, F.col("norm_count")),
-        _rows(_with_day(hourly.hourly_wordiest(table)), "hourly_wordiest", hour_number, F.col("hour"), F.col("author"),
-              F.col("word_count")),
-        _rows(_with_day(hourly.hourly_spammiest(table)), "hourly_spammiest", hour_number, F.col("hour"),
-              F.col("author"), F.col("comment_count")),
-        _rows(boards.flair_population(table).where("flair <> ''"), "flair_population", none, F.col("flair"), none,
-              F.col("redditors")),
+        _rows(per_flair.where("flair <> ''"), {"flair_population": F.col("n")}, F.col("flair"), none),
+        _rows(users, {c: F.col(c) for c in ("unique_users", "unflaired")}, none, none),
+        _rows(blank, {c: F.col(c) for c in ("deleted", "removed", "other_blank")}, none, none),
     ]
-    bad = boards.bad_counts(drop_excluded(comments))
-    totals = boards.user_totals(table)
-    for frame, names in ((bad, ("deleted", "removed", "other_blank")), (totals, ("unique_users", "unflaired"))):
-        parts += [_rows(frame, name, none, none, none, F.col(name)) for name in names]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).withColumn("position", none.cast("bigint"))
 
 
-def _with_day(hours: DataFrame) -> DataFrame:
-    # thread days begin on a full hour, so an hour lies in one day
-    return hours.withColumn("dt_date", F.to_date(F.timestamp_seconds(F.col("hour") - 7 * 3600)))
+def short_report(comments: DataFrame) -> DataFrame:
+    """The truncated lists, hourly lists and totals of every day in long form.
+
+    Lists keep their first three entries and emoji their first 150; hourly lists are whole.
+    """
+    table = enriched(comments)
+    people = drop_blank(table)
+    parts = [_ranked(people), _hourly(people), _totals(table, people)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def full_report(comments: DataFrame) -> dict[str, DataFrame]:
     """Every metric of every day, whole and sorted, by name."""
     table = enriched(comments)
+    people = drop_blank(table)
     return {
-        "bad_counts": boards.bad_counts(drop_excluded(comments)),
-        "spammiest": boards.spammiest(table),
-        "wordiest_overall": boards.wordiest_overall(table),
-        "wordiest": boards.wordiest_average(table),
-        "upvoted_comments": boards.upvoted_comments(drop_blank(drop_excluded(comments))),
-        "upvoted_redditors": boards.most_upvoted(table),
-        "best_redditors": boards.best_average(table),
-        "activity": hourly.activity(table),
-        "hourly_wordiest": hourly.hourly_wordiest(table),
-        "hourly_spammiest": hourly.hourly_spammiest(table),
-        "emoji_spammers": boards.emoji_spammers(table),
-        "top_emoji": boards.top_emoji(table),
-        "user_totals": boards.user_totals(table),
-        "flair_population": boards.flair_population(table),
+        "bad_counts": boards.bad_counts(table),
+        "spammiest": boards.spammiest(people),
+        "wordiest_overall": boards.wordiest_overall(people),
+        "wordiest": boards.wordiest_average(people),
+        "upvoted_comments": boards.upvoted_comments(clean(comments)),
+        "upvoted_redditors": boards.most_upvoted(people),
+        "best_redditors": boards.best_average(people),
+        "activity": hourly.activity(people),
+        "hourly_wordiest": hourly.hourly_wordiest(people),
+        "hourly_spammiest": hourly.hourly_spammiest(people),
+        "emoji_spammers": boards.emoji_spammers(people),
+        "top_emoji": boards.top_emoji(people),
+        "user_totals": boards.user_totals(people),
+        "flair_population": boards.flair_population(people),
     }
 
 

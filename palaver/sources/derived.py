@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from palaver.functions.text import candidate_phrases, clean_text
 from palaver.functions.times import thread_day
+from palaver.operators.clean import explode_once
 from palaver.session import materialise
 
 _stored: dict[tuple[str, str], DataFrame] = {}
@@ -149,10 +150,9 @@ def submissions(rows: DataFrame) -> DataFrame:
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotated phrases made from the documents; type, role and counts follow from the phrase."""
-    found = documents(spark, sf_dir).select(
-        F.col("doc_id").cast("string").alias("doc_id"),
-        F.explode(candidate_phrases(clean_text(F.col("text")))).alias("text"),
-    )
+    docs = documents(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("string"))
+    found = explode_once(docs, ["doc_id"], candidate_phrases(clean_text(F.col("text"))), "phrase")
+    found = found.withColumnRenamed("phrase", "text")
     words, size = F.size(F.split("text", " ")), F.char_length("text")
     return found.select(
         "doc_id",
