@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from palaver.fixed import BOT_TRIGGERS, CHUNK_TYPES, COMMON_WORDS, STOPWORDS
 
-# Line breaks as text editors and terminals know them.
+# Line breaks as text editors and terminals know them, and those of them that are not "\\n".
 LINE_BREAK = "(?:\\r\\n|[\\n\\r\\x0B\\f\\x1C\\x1D\\x1E\\x{85}\\x{2028}\\x{2029}])"
+ODD_BREAK = "[\\r\\x0B\\f\\x1C\\x1D\\x1E\\x{85}\\x{2028}\\x{2029}]"
 
 # Text after the last ":code: "; only a line feed ends the line.
 FLAIR_PATTERN = "(?dU)^.*(:[-\\w]+:)\\s(.*)"
@@ -56,12 +58,20 @@ def mute_ping(body: Column) -> Column:
     return F.regexp_replace(body, "(?i)!ping", "*ping")
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value made once, however often ``use`` mentions it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def clean_text(body: Column) -> Column:
     """Text without markdown and URLs, in lower case, contractions written out."""
-    plain = reduce(lambda text, rule: F.regexp_replace(text, *rule), MARKUP, body)
-    lowered = F.translate(F.lower(plain), "’", "'")
-    expanded = reduce(lambda text, rule: F.regexp_replace(text, *rule), CONTRACTIONS, lowered)
-    return F.when(F.contains(lowered, F.lit("'")), expanded).otherwise(lowered)
+
+    def expand(text: Column) -> Column:
+        written = reduce(lambda t, rule: F.regexp_replace(t, *rule), CONTRACTIONS, text)
+        return F.when(F.contains(text, F.lit("'")), written).otherwise(text)
+
+    plain = reduce(lambda t, rule: F.regexp_replace(t, *rule), MARKUP, body)
+    return _bind(F.replace(F.lower(plain), F.lit("’"), F.lit("'")), expand)
 
 
 def keepable_word(word: Column) -> Column:
@@ -78,9 +88,10 @@ def clean_chunk(chunk: Column) -> Column:
 def candidate_phrases(text: Column) -> Column:
     """Runs of kept words between punctuation and stopwords, as an array."""
     spaced = F.regexp_replace(text, "[^\\p{L}\\p{N} ]+", " | ")
-    marked = F.transform(F.split(spaced, " +"), lambda w: F.when(w.isin(STOPWORDS), F.lit("|")).otherwise(w))
-    kept = F.filter(marked, lambda w: (w == "|") | keepable_word(w))
-    return F.filter(F.split(F.array_join(kept, " "), " *\\|[| ]*"), lambda p: p != "")
+    marked = F.transform(F.split(spaced, " "), lambda w: F.when(w.isin(STOPWORDS), F.lit("|")).otherwise(w))
+    kept = F.filter(marked, lambda w: (w == "|") | F.char_length(w).between(3, 39))
+    runs = F.transform(F.split(F.array_join(kept, " "), "\\|"), lambda run: F.trim(run))
+    return F.filter(runs, lambda p: p != "")
 
 
 def names_bot(text: Column) -> Column:
@@ -121,6 +132,12 @@ def activity_bar(norm: Column) -> Column:
     return F.repeat(F.lit("█"), F.bround(norm * 15 + 1).cast("int"))
 
 
+def body_lines(body: Column) -> Column:
+    """A body with plain line breaks and none at the end."""
+    plain = F.when(body.rlike(ODD_BREAK), F.regexp_replace(body, LINE_BREAK, "\n")).otherwise(body)
+    return F.when(F.endswith(plain, F.lit("\n")), F.left(plain, F.char_length(plain) - 1)).otherwise(plain)
+
+
 def prompt_string(created: Column, author: Column, flair: Column, body: Column) -> Column:
     """One comment as it is quoted in a prompt."""
     return F.concat(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palaver.fixed import MAX_TOKENS, PREFIX_SHARE, SAMPLE_SHARE
-from palaver.functions.text import LINE_BREAK, token_estimate
+from palaver.functions.text import body_lines, token_estimate
 from palaver.operators.ranking import running_total
 from palaver.session import fresh_path, materialise
 
@@ -135,14 +135,18 @@ def thread_of(nodes: DataFrame, comment_id: str) -> DataFrame:
     return nodes.join(nodes.where(F.col("id") == comment_id).select("root"), "root", "left_semi")
 
 
-def touched_threads(nodes: DataFrame, matching: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Each thread that a matching comment lies in, once per value of ``by``; others are skipped."""
-    return matching.select("id", *by).join(nodes.select("id", "root"), "id").select(*by, "root").distinct()
+def touched_threads(nodes: DataFrame, by: Sequence[str], matching: DataFrame | None = None) -> DataFrame:
+    """Each thread that a comment lies in, once per value of ``by``, columns the nodes carry.
+
+    With ``matching`` only its comments count; those without a thread are skipped.
+    """
+    rows = nodes if matching is None else nodes.join(matching.select("id"), "id", "left_semi")
+    return rows.select(*by, "root").distinct()
 
 
 def threads_touching(nodes: DataFrame, matching: DataFrame) -> DataFrame:
     """All comments of the threads that a matching comment lies in."""
-    return nodes.join(touched_threads(nodes, matching, ()), "root", "left_semi")
+    return nodes.join(touched_threads(nodes, (), matching), "root", "left_semi")
 
 
 def contains(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -212,15 +216,30 @@ def ranked_threads(averages: DataFrame) -> DataFrame:
 def node_text(depth: Column, created: Column, author: Column, score: Column, body: Column) -> Column:
     """One comment as text, indented by depth; a thread's first comment has a header line."""
     indent = F.repeat(F.lit(" "), depth)
-    trimmed = F.regexp_replace(body, LINE_BREAK + "\\z", "")
-    pieces = F.transform(F.split(trimmed, LINE_BREAK), lambda line: F.concat(indent, line))
-    text = F.when(body == "", F.lit("")).otherwise(F.array_join(pieces, "\n"))
+    lines = F.concat(indent, F.replace(body_lines(body), F.lit("\n"), F.concat(F.lit("\n"), indent)))
+    text = F.when(body == "", F.lit("")).otherwise(lines)
     header = F.when(
         depth == 0, F.concat(F.lit("--- "), F.date_format(created, "yyyy-MM-dd'T'HH:mm"), F.lit(" UTC ---\n"))
     ).otherwise(F.lit(""))
     return F.concat(header, indent, author, F.lit(" ("), score.cast("string"), F.lit("):"), text, F.lit("\n"))
 
 
+_HEADER_LENGTH = len("--- 2000-01-01T00:00 UTC ---\n")
+
+
+def with_text_length(comments: DataFrame) -> DataFrame:
+    """Add ``text_length``, the length of a comment's text at depth 0, and ``indents``, what each depth adds."""
+    lines = body_lines(F.col("body"))
+    breaks = F.char_length(lines) - F.char_length(F.replace(lines, F.lit("\n"), F.lit("")))
+    frame = F.char_length("author") + F.char_length(F.col("score").cast("string")) + len(" ():\n")
+    return comments.withColumns(
+        {
+            "text_length": (frame + F.char_length(lines)).cast("bigint"),
+            "indents": F.when(F.col("body") == "", 1).otherwise(breaks + 2).cast("bigint"),
+        }
+    )
+
+
 def thread_pieces(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Two rows per comment: its text, and the end marker that follows its last descendant.
 
@@ -252,10 +271,16 @@ def reading_order(nodes: DataFrame) -> DataFrame:
     return placed.select("root", "position", "id", "depth")
 
 
-def thread_tokens(pieces: DataFrame) -> DataFrame:
-    """Estimated tokens of each thread's text."""
-    lengths = pieces.groupBy("root").agg(F.sum(F.char_length("text")).alias("_length"))
-    return lengths.select("root", token_estimate(F.col("_length")).alias("tokens"))
+def thread_tokens(nodes: DataFrame) -> DataFrame:
+    """Estimated tokens of each thread's text; needs the columns of ``with_text_length``.
+
+    The length follows from the depth and two numbers per comment, so no body is moved.
+    """
+    header = F.when(F.col("depth") == 0, _HEADER_LENGTH).otherwise(0)
+    own = F.col("text_length") + F.col("depth") * F.col("indents") + header + len(END_MARKER)
+    return nodes.groupBy("root").agg(F.sum(own).alias("_length")).select(
+        "root", token_estimate(F.col("_length")).alias("tokens")
+    )
 
 
 def budgeted_prefix(
@@ -276,14 +301,15 @@ def sampled_threads(threads: DataFrame, seed: int, limit: int = MAX_TOKENS, shar
     return fitting.withColumn("draw", order).orderBy("draw", "root")
 
 
-def thread_texts(pieces: DataFrame, chosen: DataFrame) -> DataFrame:
+def thread_texts(nodes: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame:
     """Whole text of the chosen threads, one row each.
 
     Only for threads that passed a token budget, which bounds the text gathered in a row.
     """
-    kept = pieces.join(chosen.select("root").distinct(), "root", "left_semi")
+    kept = nodes.join(chosen.select("root").distinct(), "root", "left_semi")
     parts = F.array_sort(F.collect_list(F.struct("place", "text")))
-    return kept.groupBy("root").agg(F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("text"))
+    gathered = thread_pieces(kept, texts).groupBy("root").agg(parts.alias("_parts"))
+    return gathered.select("root", F.array_join(F.transform("_parts", lambda p: p["text"]), "").alias("text"))
 
 
 def comments_of_submissions(nodes: DataFrame, comments: DataFrame, submissions: DataFrame) -> DataFrame:

@@ -304,9 +304,8 @@ def quoted_comments(spark, sf_dir):
 # -- threads ----------------------------------------------------------------------------------
 
 
-def _nodes(spark: SparkSession, sf_dir: str, with_path: bool = False) -> DataFrame:
-    rows = raw(spark, sf_dir).withColumn("body_length", body_length())
-    return threads.resolve(rows, carry=("author", "score", "body_length", "dt_date"), with_path=with_path).nodes
+def _nodes(comments: DataFrame, *carry: str, with_path: bool = False) -> DataFrame:
+    return threads.resolve(comments, carry=carry, with_path=with_path).nodes
 
 
 @query
@@ -321,49 +320,50 @@ def thread_orphans(spark, sf_dir):
 
 @query
 def thread_rollup(spark, sf_dir):
-    return threads.rollup(_nodes(spark, sf_dir))
+    sized = raw(spark, sf_dir).withColumn("body_length", body_length())
+    return threads.rollup(_nodes(sized, "score", "body_length"))
 
 
 @query
 def conversation_threads(spark, sf_dir):
-    rows = derived.conversation_comments(spark, sf_dir).withColumn("body_length", body_length())
-    return threads.rollup(threads.resolve(rows, carry=("score", "body_length")).nodes)
+    sized = derived.conversation_comments(spark, sf_dir).withColumn("body_length", body_length())
+    return threads.rollup(_nodes(sized, "score", "body_length"))
 
 
 @query
 def thread_avg(spark, sf_dir):
-    return threads.recursive_average(_nodes(spark, sf_dir)).select("id", "root", "depth", "average")
+    averages = threads.recursive_average(_nodes(raw(spark, sf_dir), "score"))
+    return averages.select("id", "root", "depth", "average")
 
 
 @query
 def conversation_avg(spark, sf_dir):
-    rows = derived.conversation_comments(spark, sf_dir)
-    nodes = threads.resolve(rows, carry=("score",)).nodes
-    return threads.recursive_average(nodes).select("id", "root", "depth", "average")
+    averages = threads.recursive_average(_nodes(derived.conversation_comments(spark, sf_dir), "score"))
+    return averages.select("id", "root", "depth", "average")
 
 
 @query
 def ranked_threads(spark, sf_dir):
-    return threads.ranked_threads(threads.recursive_average(_nodes(spark, sf_dir)))
+    return threads.ranked_threads(threads.recursive_average(_nodes(raw(spark, sf_dir), "score")))
 
 
 @query
 def user_threads(spark, sf_dir):
     """Each thread an author took part in on a day, once."""
-    return threads.touched_threads(_nodes(spark, sf_dir), raw(spark, sf_dir), ("author", "dt_date"))
+    return threads.touched_threads(_nodes(raw(spark, sf_dir), "author", "dt_date"), ("author", "dt_date"))
 
 
 @query
 def latest_day_threads(spark, sf_dir):
     """All comments of the threads that the newest day touches."""
-    nodes = _nodes(spark, sf_dir)
-    return threads.threads_touching(nodes, tables.of_days(raw(spark, sf_dir))).select("root", "id", "depth")
+    comments = raw(spark, sf_dir)
+    return threads.threads_touching(_nodes(comments), tables.of_days(comments)).select("root", "id", "depth")
 
 
 @query
 def thread_contains(spark, sf_dir):
     """Whether each comment lies in the thread of the comment posted before it."""
-    nodes = _nodes(spark, sf_dir)
+    nodes = _nodes(raw(spark, sf_dir))
     before = nodes.select(
         F.concat(F.lit("c"), (derived.number(F.col("id")) + 1).cast("string")).alias("id"), "root"
     )
@@ -372,51 +372,47 @@ def thread_contains(spark, sf_dir):
 
 @query
 def thread_order(spark, sf_dir):
-    return threads.reading_order(_nodes(spark, sf_dir, with_path=True))
+    return threads.reading_order(_nodes(raw(spark, sf_dir), with_path=True))
 
 
 @query
 def thread_text(spark, sf_dir):
     """The text of every thread as ordered pieces, two per comment."""
     comments = raw(spark, sf_dir)
-    pieces = threads.thread_pieces(_nodes(spark, sf_dir, with_path=True), comments)
+    pieces = threads.thread_pieces(_nodes(comments, with_path=True), comments)
     return pieces.orderBy("root", "place").select("root", "id", "depth", "text")
 
 
-def _user_thread_sizes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    comments = raw(spark, sf_dir)
-    nodes = _nodes(spark, sf_dir, with_path=True)
-    pieces = threads.thread_pieces(nodes, comments)
+def _ranked_sizes(nodes: DataFrame) -> DataFrame:
+    """Average and tokens of each thread, for nodes that carry scores and text lengths."""
     averages = threads.recursive_average(nodes).where("depth = 0").select("root", "average")
-    ranked = averages.join(threads.thread_tokens(pieces), "root")
-    mine = threads.touched_threads(nodes, cleaned(spark, sf_dir), ("author",))
-    return mine.join(ranked, "root"), pieces
+    return averages.join(threads.thread_tokens(nodes), "root")
 
 
 @query
 def budgeted_threads(spark, sf_dir):
     """The best threads of each author that fit into the token limit together."""
-    sizes, _ = _user_thread_sizes(spark, sf_dir)
-    return threads.budgeted_prefix(sizes, ["author"])
+    sized = threads.with_text_length(raw(spark, sf_dir))
+    nodes = _nodes(sized, "author", "score", "text_length", "indents")
+    mine = threads.touched_threads(clean.clean(nodes), ("author",))
+    return threads.budgeted_prefix(mine.join(_ranked_sizes(nodes), "root"), ["author"])
 
 
 @query
 def budgeted_thread_text(spark, sf_dir):
     """Whole text of the best threads that fit into the token limit together."""
     comments = raw(spark, sf_dir)
-    nodes = _nodes(spark, sf_dir, with_path=True)
-    pieces = threads.thread_pieces(nodes, comments)
-    averages = threads.recursive_average(nodes).where("depth = 0").select("root", "average")
-    chosen = threads.budgeted_prefix(averages.join(threads.thread_tokens(pieces), "root"), [])
-    return threads.thread_texts(pieces, chosen)
+    nodes = _nodes(threads.with_text_length(comments), "score", "text_length", "indents", with_path=True)
+    chosen = threads.budgeted_prefix(_ranked_sizes(nodes), [])
+    return threads.thread_texts(nodes, comments, chosen)
 
 
 @query
 def sampled_threads(spark, sf_dir):
     """Threads that fit on their own, in random order."""
-    pieces = threads.thread_pieces(_nodes(spark, sf_dir, with_path=True), raw(spark, sf_dir))
-    drawn = threads.sampled_threads(threads.thread_tokens(pieces), seed=7)
-    return drawn.select("root", "tokens")
+    sized = threads.with_text_length(raw(spark, sf_dir))
+    nodes = _nodes(sized, "text_length", "indents")
+    return threads.sampled_threads(threads.thread_tokens(nodes), seed=7).select("root", "tokens")
 
 
 @query
