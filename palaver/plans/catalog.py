@@ -510,5 +510,5 @@ def stream_requests(spark, sf_dir):
     jobs.finish(
         jobs.answer_requests(asked, comments, latest, latest, now, f"{path}/results", f"{path}/checkpoint")
     )
-    answered = spark.read.option("mergeSchema", True).parquet(f"{path}/results").where("batch >= 0")
+    answered = jobs.read_answers(spark, f"{path}/results")
     return answered.select("username", "days", "span", "max_comments", "mean_comments", "max_words", "top_score")
