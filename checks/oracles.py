@@ -120,8 +120,8 @@ pieces AS (
 tokens AS (SELECT root, CAST(ceil(sum(length(text)) / 4) AS BIGINT) AS tokens FROM pieces GROUP BY root)"""
 
 
-def _replaced(text: str, rules: list[tuple[str, str]]) -> str:
-    for pattern, new in rules:
+def _replaced(text: str, rules: list[tuple[str, str, str]]) -> str:
+    for _, pattern, new in rules:
         pattern, new = pattern.replace("'", "''"), new.replace("$1", "\\1")
         text = f"regexp_replace({text}, '{pattern}', '{new}', 'g')"
     return text

@@ -91,8 +91,6 @@ def resolve(comments: DataFrame, carry: Sequence[str] = (), with_path: bool = Fa
     """
     spark = comments.sparkSession
     base = fresh_path(spark, "threads")
-    start = _start(comments, carry, with_path)
-
     def write(rows: DataFrame, name: str) -> DataFrame:
         rows.write.partitionBy("status").parquet(f"{base}/{name}")
         return spark.read.schema(rows.schema).parquet(f"{base}/{name}")
@@ -100,14 +98,16 @@ def resolve(comments: DataFrame, carry: Sequence[str] = (), with_path: bool = Fa
     def with_status(tables: Sequence[DataFrame], status: str) -> DataFrame:
         return reduce(DataFrame.unionByName, [t.where(F.col("status") == status) for t in tables])
 
+    # the comments are scanned once, here; the rounds work on this narrow table
+    start = write(_start(comments, carry, with_path), "start")
     # the first round also finds the parents that do not exist
     replies = start.where(F.col("status") == OPEN)
-    first = _advance(replies, start, carry, with_path, "left")
-    rounds = [write(start.where(F.col("status") != OPEN).unionByName(first), "round-0")]
-    still_open = rounds[0].where(F.col("status") == OPEN)
+    rounds = [start.where(F.col("status") != OPEN)]
+    rounds.append(write(_advance(replies, start, carry, with_path, "left"), "round-1"))
+    still_open = rounds[-1].where(F.col("status") == OPEN)
     # a missing parent is an end of the climb as well: whoever points at it later finds it here
     missing = (
-        rounds[0]
+        rounds[-1]
         .where((F.col("status") == ORPHAN) & (F.col("reason") == UNKNOWN))
         .select(F.col("parent").alias("id"), "status", "root", "depth", "reason", *(["path"] if with_path else []))
         .dropDuplicates(["id"])
