@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from palaver.fixed import DELETED_BODY, REMOVED_BODY
 from palaver.functions.emoji import has_pointing_emoji
 from palaver.functions.text import flair_label, mute_ping
-from palaver.operators.clean import enrich, explode_once
+from palaver.operators.clean import enrich, explode_once, fetch
 from palaver.operators.ranking import top_k
 
 DAY = ("dt_date",)
@@ -162,5 +162,5 @@ def upvoted_comments(comments: DataFrame, by: Sequence[str] = DAY, k: int | None
         muted = comments.withColumn("body", mute_ping(F.col("body")))
         return _sorted(muted, by, *order)
     winners = top_k(comments.select(*by, "id", "score"), by, order, k).drop("score")
-    rows = comments.join(winners, [*by, "id"]).withColumn("body", mute_ping(F.col("body")))
+    rows = fetch(comments, winners, [*by, "id"]).withColumn("body", mute_ping(F.col("body")))
     return _sorted(rows, by, F.asc("position"))

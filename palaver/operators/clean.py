@@ -12,6 +12,7 @@ from palaver.fixed import DELETED_BODY, EXCLUDED_AUTHORS, REMOVED_BODY, THREAD_T
 from palaver.functions.emoji import emoji_list
 from palaver.functions.text import word_count
 from palaver.functions.times import day_end, hour_start
+from palaver.session import materialise
 
 
 def drop_excluded(comments: DataFrame, authors: Sequence[str] = tuple(EXCLUDED_AUTHORS)) -> DataFrame:
@@ -99,6 +100,28 @@ def by_ids(comments: DataFrame, ids: DataFrame) -> DataFrame:
     return comments.join(ids.select("id"), "id", "left_semi")
 
 
+def fetch(comments: DataFrame, winners: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The whole rows of comments that ``winners`` names by ``keys``, with the winners' other columns.
+
+    The winners are written first. Their true size is then known when the join is planned: if it
+    is below the broadcast threshold, the comments are scanned but not shuffled, bodies and all;
+    beyond it, the join is a shuffle as any other.
+    """
+    return comments.join(materialise(winners, "winners"), list(keys))
+
+
+def of_authors(comments: DataFrame, authors: DataFrame, at_most: int = 100_000) -> DataFrame:
+    """Comments by the listed authors, a filter by broadcast, if they are at most ``at_most``.
+
+    With more authors all comments are returned: the caller's aggregate and join on the author
+    make the same selection later, which then costs less than a shuffle of the comments.
+    """
+    names = materialise(authors.select("author").distinct(), "authors")
+    if names.count() > at_most:
+        return comments
+    return comments.join(F.broadcast(names), "author", "left_semi")
+
+
 def common_ids(left: DataFrame, right: DataFrame) -> DataFrame:
     """Ids that occur on both sides, once each."""
     return left.select("id").intersect(right.select("id"))

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from palaver.operators.boards import DAY
 from palaver.operators.clean import enrich
+from palaver.session import materialise
 
 HOUR = 3600
 
@@ -22,7 +23,8 @@ def activity(comments: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
     """
     source = "hour" if "hour" in comments.columns else "created_utc"
     counts = enrich(comments.select(*by, source))
-    hours = counts.groupBy(*by, "hour").agg(F.count("*").alias("comments"))
+    # a row per hour at most, needed twice: written, so that the comments are scanned once
+    hours = materialise(counts.groupBy(*by, "hour").agg(F.count("*").alias("comments")), "hours")
     bounds = hours.groupBy(*by).agg(
         F.min("hour").alias("_from"),
         F.max("hour").alias("_to"),

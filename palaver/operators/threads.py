@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from palaver.fixed import MAX_TOKENS, PREFIX_SHARE, SAMPLE_SHARE
 from palaver.functions.text import body_lines, token_estimate
+from palaver.operators.clean import fetch
 from palaver.operators.ranking import running_total
 from palaver.session import fresh_path, materialise
 
@@ -246,9 +247,8 @@ def thread_pieces(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     Sorted by ``root, place`` and joined without separators they are the threads as text.
     ``nodes`` needs ``path``, ``texts`` the columns ``id, author, score, body, created_utc``.
     """
-    joined = nodes.select("id", "root", "depth", "path").join(
-        texts.select("id", "author", "score", "body", "created_utc"), "id"
-    )
+    bodies = texts.select("id", "author", "score", "body", "created_utc")
+    joined = fetch(bodies, nodes.select("id", "root", "depth", "path"), ["id"])
     written = node_text(F.col("depth"), F.col("created_utc"), F.col("author"), F.col("score"), F.col("body"))
     # the marker sorts behind every descendant: its path goes on with the last possible time
     behind = F.concat("path", F.array(F.struct(F.lit(_LAST).alias("t"), F.lit("").alias("id"))))
