@@ -442,6 +442,12 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
         "before_day_end": _with(COMMENTS)
         + """SELECT id, dt_date FROM comments
              WHERE created_utc <= CAST(dt_date - CAST(n % 2 AS INT) + 1 AS TIMESTAMP) + INTERVAL 7 HOURS""",
+        "harvested": _with(COMMENTS, versions)
+        + """, found AS (SELECT * REPLACE (dt_date - CASE WHEN n % 5 = 0 THEN 1 ELSE 0 END AS dt_date) FROM versions)
+             SELECT CAST(dt_date AS DATE) AS dt_date, id, author, CASE WHEN author = '' THEN '' ELSE author_flair_text END AS author_flair_text,
+               CASE WHEN author = '' THEN 0 ELSE score END AS score, length(body) AS body_length
+             FROM found WHERE created_utc <= CAST(dt_date + 1 AS TIMESTAMP) + INTERVAL 7 HOURS
+             QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingest_ts DESC) = 1""",
         "normalised_blank": _with(COMMENTS)
         + """SELECT id, CASE WHEN gone THEN '' ELSE author END AS author, CASE WHEN gone THEN '' ELSE author_flair_text END AS author_flair_text,
                CASE WHEN gone THEN 0 ELSE score END AS score
@@ -481,6 +487,7 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
              SELECT a.root, a.id, coalesce(t.root = a.root, false) AS contained FROM asked a LEFT JOIN tree t ON t.id = a.id""",
         "thread_order": tree
         + "SELECT root, row_number() OVER (PARTITION BY root ORDER BY path) AS position, id, depth FROM tree",
+        "thread_rows": tree + "SELECT root, parent, depth, id, author, score, length(body) AS body_length FROM tree",
         "thread_text": pieces + "SELECT root, id, depth, text FROM pieces",
         "budgeted_threads": sized
         + """, mine AS (SELECT DISTINCT c.author, t.root FROM clean c JOIN tree t ON t.id = c.id),

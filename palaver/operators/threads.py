@@ -194,7 +194,8 @@ def recursive_average(nodes: DataFrame) -> DataFrame:
             average = _floor_div(total, parts)
         else:
             average = F.col("score")
-        levels.append(materialise(level.select("id", "parent", "root", "depth", average.alias("average")), "level"))
+        result = level.select("id", "parent", "root", "depth", average.alias("average"))
+        levels.append(materialise(result, "level") if levels else result)
     if not levels:
         return staged.select("id", "parent", "root", "depth", F.col("score").alias("average"))
     return reduce(DataFrame.unionByName, levels)
@@ -261,6 +262,14 @@ def thread_pieces(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
+def thread_rows(nodes: DataFrame, comments: DataFrame, columns: Sequence[str] = ("author", "body", "score")) -> DataFrame:
+    """Threads as flat rows, the form in which nested trees are exchanged.
+
+    Each row names its root, parent and depth; the named columns of the comment come along.
+    """
+    return nodes.select("root", "parent", "depth", "id").join(comments.select("id", *columns), "id")
+
+
 def reading_order(nodes: DataFrame) -> DataFrame:
     """Position of each comment in its thread, from 1, each comment before its replies.
 

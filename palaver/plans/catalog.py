@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from palaver.functions import text, times
 from palaver.operators import boards, clean, hourly, keywords, threads, users
-from palaver.plans import daily
+from palaver.plans import daily, loading
 from palaver.session import fresh_path, materialise, use_utc
 from palaver.sources import derived, tables
 from palaver.streaming import jobs
@@ -260,6 +260,17 @@ def before_day_end(spark, sf_dir):
     return clean.before_day_end(raw(spark, sf_dir), day).select("id", "dt_date")
 
 
+@query
+def harvested(spark, sf_dir):
+    """Days stored from a snapshot that has two versions of some comments and late ones."""
+    late = F.date_sub("dt_date", (derived.number(F.col("id")) % 5 == 0).cast("int"))
+    snapshot = derived.versions(raw(spark, sf_dir)).withColumn("dt_date", late)
+    path = fresh_path(spark, "harvested")
+    loading.harvest(snapshot, path, ["ingest_ts"])
+    stored = spark.read.schema(snapshot.schema).parquet(path)
+    return stored.select("dt_date", "id", "author", "author_flair_text", "score", body_length())
+
+
 @query
 def normalised_blank(spark, sf_dir):
     """Comments of bots with the author taken away, made blank."""
@@ -375,6 +386,13 @@ def thread_order(spark, sf_dir):
     return threads.reading_order(_nodes(raw(spark, sf_dir), with_path=True))
 
 
+@query
+def thread_rows(spark, sf_dir):
+    """Threads as flat rows with author, score and length of the body."""
+    comments = raw(spark, sf_dir).withColumn("body_length", body_length())
+    return threads.thread_rows(_nodes(comments), comments, ("author", "score", "body_length"))
+
+
 @query
 def thread_text(spark, sf_dir):
     """The text of every thread as ordered pieces, two per comment."""

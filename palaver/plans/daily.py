@@ -10,10 +10,12 @@ from pyspark.sql.window import Window
 
 from palaver.fixed import DAY_START_HOUR, SHORT_EMOJI, SHORT_LIST
 from palaver.functions.text import flair_label
+from palaver.functions.times import thread_day
 from palaver.operators import boards, hourly
 from palaver.operators.clean import clean, drop_blank, drop_excluded, narrow
 from palaver.operators.ranking import top_k
 from palaver.session import materialise
+from palaver.sources.tables import encode
 
 
 def enriched(comments: DataFrame) -> DataFrame:
@@ -130,6 +132,11 @@ def short_report(comments: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _with_day(hours: DataFrame) -> DataFrame:
+    # thread days begin on a full hour, so an hour lies in one day
+    return hours.withColumn("dt_date", thread_day(F.timestamp_seconds("hour")))
+
+
 def full_report(comments: DataFrame) -> dict[str, DataFrame]:
     """Every metric of every day, whole and sorted, by name."""
     table = enriched(comments)
@@ -143,8 +150,8 @@ def full_report(comments: DataFrame) -> dict[str, DataFrame]:
         "upvoted_redditors": boards.most_upvoted(people),
         "best_redditors": boards.best_average(people),
         "activity": hourly.activity(people),
-        "hourly_wordiest": hourly.hourly_wordiest(people),
-        "hourly_spammiest": hourly.hourly_spammiest(people),
+        "hourly_wordiest": _with_day(hourly.hourly_wordiest(people)),
+        "hourly_spammiest": _with_day(hourly.hourly_spammiest(people)),
         "emoji_spammers": boards.emoji_spammers(people),
         "top_emoji": boards.top_emoji(people),
         "user_totals": boards.user_totals(people),
@@ -152,8 +159,13 @@ def full_report(comments: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def write_report(report: dict[str, DataFrame], path: str) -> None:
-    """One table per metric below ``path``, replacing the days the report covers."""
+def write_report(report: dict[str, DataFrame], path: str, fmt: str = "parquet") -> None:
+    """One table per metric below ``path``, replacing the days the report covers.
+
+    In JSON, times are epoch seconds.
+    """
     for name, frame in report.items():
-        writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        (writer.partitionBy("dt_date") if "dt_date" in frame.columns else writer).parquet(f"{path}/{name}")
+        frame = encode(frame) if fmt == "json" and "created_utc" in frame.columns else frame
+        frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt_date").format(
+            fmt
+        ).save(f"{path}/{name}")

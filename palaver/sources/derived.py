@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from palaver.functions.text import candidate_phrases, clean_text
 from palaver.functions.times import thread_day
 from palaver.operators.clean import explode_once
-from palaver.session import materialise
+from palaver.session import write_shared
 
-_stored: dict[tuple[str, str], DataFrame] = {}
+_stored: dict[tuple[str, str], str] = {}
 
 
 def comment_columns(text: Column) -> list[Column]:
@@ -88,11 +88,12 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The comments as the day-partitioned table every statistic starts from, written once per session."""
+    """The comments as the day-partitioned table every statistic starts from, written once per application."""
+    rows = comments(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
-        _stored[key] = materialise(comments(spark, sf_dir).hint("rebalance", "dt_date"), "comments", ["dt_date"])
-    return _stored[key]
+        _stored[key] = write_shared(rows.hint("rebalance", "dt_date"), "comments", ["dt_date"])
+    return spark.read.schema(rows.schema).parquet(_stored[key])
 
 
 def number(ident: Column) -> Column:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from palaver import session
+from palaver.plans import daily, loading
 from palaver.sources import tables
 from tests.conftest import at, rows
 
@@ -73,6 +74,36 @@ def test_stored_rows_win_on_insert(make, spark, tmp_path):
     assert tables.read_days(spark, path).count() == 3
 
 
+def test_a_harvest_replaces_its_days(make, spark, tmp_path):
+    path = str(tmp_path / "harvest")
+    day = dt.date(2024, 3, 1)
+    snapshot = make(
+        [
+            {"id": "a", "score": 1},
+            {"id": "a", "score": 2, "permalink": "/z"},
+            {"id": "gone", "author": None, "score": 9},
+            {"id": "late", "created_utc": at("2024-03-02 07:00:01")},
+            {"id": "edge", "created_utc": at("2024-03-02 07:00:00")},
+        ]
+    ).withColumn("dt_date", F.lit(day))
+    for _ in range(2):
+        loading.harvest(snapshot, path, ["permalink"])
+    got = tables.read_days(spark, path)
+    assert rows(got, "id", "author", "score") == [("a", "ann", 2), ("edge", "ann", 1), ("gone", "", 0)]
+    assert got.where(F.col("dt_date") != day).count() == 0
+
+
+def test_a_stored_day_is_loaded_once(make, spark, tmp_path):
+    archive, path = tmp_path / "archive", str(tmp_path / "loaded")
+    tables.write_days(make([{"id": "old", "created_utc": at("2024-02-01 12:00:00")}]), path)
+    (archive / "2024-03-01").mkdir(parents=True)
+    row = {"author": "ann", "score": 0, "permalink": "/p", "body": "", "created_utc": 1709294400, "parent_id": "t3_s"}
+    (archive / "2024-03-01" / "comments.json").write_text(json.dumps([{**row, "id": "a"}, {**row, "id": "old"}]))
+    for _ in range(2):
+        loading.load_day(spark, str(archive), dt.date(2024, 3, 1), path)
+    assert rows(tables.read_days(spark, path), "id", "score", "body") == [("a", None, None), ("old", 1, "some words")]
+
+
 def test_written_tables_go_to_the_shared_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert session.shared_dir(spark) == named
@@ -91,3 +122,12 @@ def test_a_cluster_must_name_the_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Session())
+
+
+def test_reports_are_written_per_metric(make, spark, tmp_path):
+    report = daily.full_report(three_days(make))
+    daily.write_report(report, str(tmp_path), "json")
+    best = spark.read.json(str(tmp_path / "upvoted_comments"))
+    assert rows(best, "id", "created_utc") == [("a", 1709294400.123456), ("b", 1709362799.0), ("d", 1709553600.0)]
+    assert spark.read.json(str(tmp_path / "hourly_spammiest")).count() == 3
+    assert set(report) == {p.name for p in tmp_path.iterdir()}
