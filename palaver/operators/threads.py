@@ -20,7 +20,6 @@ from palaver.operators.ranking import running_total
 from palaver.session import fresh_path, materialise
 
 END_MARKER = "\n--- thread ends ---\n"
-_LAST = 2**63 - 1
 
 SETTLED, OPEN, ORPHAN = "settled", "open", "orphan"
 UNKNOWN = "unknown parent"
@@ -35,8 +34,12 @@ class Forest:
 
 
 def sort_key(created: Column, ident: Column) -> Column:
-    """Siblings are read by time, then id."""
-    return F.array(F.struct(F.unix_micros(created).alias("t"), ident.alias("id")))
+    """One step of a path. Paths are text that sorts in reading order: siblings by time, then id.
+
+    The time has a fixed width, and the character after the id is below any in an id.
+    """
+    time = F.lpad(F.hex(F.unix_micros(created) + F.lit(2**62)), 16, "0")
+    return F.concat(time, ident, F.lit("\x01"))
 
 
 def _start(comments: DataFrame, carry: Sequence[str], with_path: bool) -> DataFrame:
@@ -251,8 +254,8 @@ def thread_pieces(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     bodies = texts.select("id", "author", "score", "body", "created_utc")
     joined = fetch(bodies, nodes.select("id", "root", "depth", "path"), ["id"])
     written = node_text(F.col("depth"), F.col("created_utc"), F.col("author"), F.col("score"), F.col("body"))
-    # the marker sorts behind every descendant: its path goes on with the last possible time
-    behind = F.concat("path", F.array(F.struct(F.lit(_LAST).alias("t"), F.lit("").alias("id"))))
+    # the marker sorts behind every descendant, whose path goes on with a hexadecimal digit
+    behind = F.concat("path", F.lit("~"))
     pieces = F.array(
         F.struct(F.col("path").alias("place"), written.alias("text")),
         F.struct(behind.alias("place"), F.lit(END_MARKER).alias("text")),

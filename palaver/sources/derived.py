@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from palaver.functions.text import candidate_phrases, clean_text
 from palaver.functions.times import thread_day
 from palaver.operators.clean import explode_once
-from palaver.session import write_shared
+from palaver.session import materialise
 
-_stored: dict[tuple[str, str], str] = {}
+_stored: dict[tuple[str, str], DataFrame] = {}
 
 
 def comment_columns(text: Column) -> list[Column]:
@@ -89,11 +89,16 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The comments as the day-partitioned table every statistic starts from, written once per application."""
-    rows = comments(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
-        _stored[key] = write_shared(rows.hint("rebalance", "dt_date"), "comments", ["dt_date"])
-    return spark.read.schema(rows.schema).parquet(_stored[key])
+        _stored[key] = materialise(comments(spark, sf_dir).hint("rebalance", "dt_date"), "comments", ["dt_date"])
+    table = _stored[key]
+    # another session of the same application reads the same files under its own settings
+    return table if table.sparkSession is spark else spark.read.schema(table.schema).parquet(_folder(table))
+
+
+def _folder(table: DataFrame) -> str:
+    return table.inputFiles()[0].split("/dt_date=")[0]
 
 
 def number(ident: Column) -> Column:
