@@ -23,7 +23,8 @@ MARKUP = [
     ("](", "!?\\[([^\\]\\[]*)\\]\\([^)]*\\)", "$1"),
     ("http", "https?://\\S+", ""),
     ("", "(?m)^[ \\t]*(?:#{1,6}|>+|[-+*]|[0-9]+\\.)[ \\t]+", ""),
-    ("", "[`*]+", ""),
+    ("*", "[*]+", ""),
+    ("`", "`+", ""),
 ]
 
 # English contractions, applied to lower-case text with straight apostrophes.

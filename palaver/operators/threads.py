@@ -88,13 +88,14 @@ def resolve(comments: DataFrame, carry: Sequence[str] = (), with_path: bool = Fa
     """Root and depth of every comment; ``carry`` names columns to keep along.
 
     Each round doubles the distance climbed, so a tree of depth d takes about log2(d) joins.
-    Only rows that have not arrived take part, and a row that has arrived at its root is
-    written once and not joined again, so a root with very many comments is no hot key. A hot
-    comment in between is split by the skew join, since the other side has one row per id.
-    Each round is written to the shared folder. Rows that make no progress lie on a cycle.
+    Only rows that have not arrived climb. Rows that have arrived are written once and from then
+    on only looked up by id, so a root with very many comments is no hot key. A hot comment in
+    between is split by the skew join, since the side looked up has one row per id. Each round
+    settles at least one row that can be settled; when none is, the rest lie on cycles.
     """
     spark = comments.sparkSession
     base = fresh_path(spark, "threads")
+
     def write(rows: DataFrame, name: str) -> DataFrame:
         rows.write.partitionBy("status").parquet(f"{base}/{name}")
         return spark.read.schema(rows.schema).parquet(f"{base}/{name}")

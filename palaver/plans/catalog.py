@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from palaver.functions import text, times
 from palaver.operators import boards, clean, hourly, keywords, threads, users
 from palaver.plans import daily, loading
-from palaver.session import fresh_path, materialise, use_utc
+from palaver.session import fresh_path, use_utc
 from palaver.sources import derived, tables
 from palaver.streaming import jobs
 

@@ -143,9 +143,13 @@ def test_blank_comments_and_day_end(make):
 
 def test_daily_threads(spark):
     subs = spark.createDataFrame(
-        [("a", "Daily Discussion THREAD", "mod", at("2024-03-01 07:00:00")), ("b", "Thunderdome!", "joe", at("2024-03-01 08:00:00")),
-         ("c", "Dôme du Tonnerre", "mod", at("2024-03-01 23:59:00")), ("d", "discussion thread", "mod", at("2024-03-02 00:00:00")),
-         ("e", "cats", "mod", at("2024-03-01 07:00:00"))],
+        [
+            ("a", "Daily Discussion THREAD", "mod", at("2024-03-01 07:00:00")),
+            ("b", "Thunderdome!", "joe", at("2024-03-01 08:00:00")),
+            ("c", "Dôme du Tonnerre", "mod", at("2024-03-01 23:59:00")),
+            ("d", "discussion thread", "mod", at("2024-03-02 00:00:00")),
+            ("e", "cats", "mod", at("2024-03-01 07:00:00")),
+        ],
         "id string, title string, author string, created_utc timestamp",
     )
     assert rows(clean.submissions_of(subs, F.lit(DAY), ["mod"]), "id") == [("a",), ("c",)]

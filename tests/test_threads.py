@@ -124,7 +124,8 @@ def test_threads_of_comments_and_people(case):
     assert [r[0] for r in rows(threads.threads_touching(nodes, chosen), "id")] == members
     got = {(r["author"], r["root"]) for r in threads.touched_threads(nodes, ("author",)).collect()}
     assert got == {(tree.by_id[i]["author"], r) for r in tree.roots for i, _ in tree.walk(r)}
-    pairs = nodes.sparkSession.createDataFrame([(root, members[0]), (root, "nowhere"), ("x", members[0])], "root string, id string")
+    asked = [(root, members[0]), (root, "nowhere"), ("x", members[0])]
+    pairs = nodes.sparkSession.createDataFrame(asked, "root string, id string")
     assert rows(threads.contains(nodes, pairs), "root", "id", "contained") == sorted(
         [(root, members[0], True), (root, "nowhere", False), ("x", members[0], False)], key=repr
     )
@@ -167,7 +168,10 @@ def test_nothing_in_gives_nothing_out(make):
 
 def test_budget_drops_the_lowest_ranked(spark):
     table = spark.createDataFrame(
-        [("ann", "r1", 5, 40), ("ann", "r2", 9, 30), ("ann", "r3", 5, 20), ("ann", "r4", 1, 5), ("bo", "r1", 5, 40), ("cy", "r9", 5, 90)],
+        [
+            ("ann", "r1", 5, 40), ("ann", "r2", 9, 30), ("ann", "r3", 5, 20), ("ann", "r4", 1, 5),
+            ("bo", "r1", 5, 40), ("cy", "r9", 5, 90),
+        ],
         "author string, root string, average bigint, tokens bigint",
     )
     got = threads.budgeted_prefix(table, ["author"], limit=100, share=0.8)
