@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from palaver.functions import text, times
 from palaver.operators import boards, clean, hourly, keywords, threads, users
 from palaver.plans import daily, loading
-from palaver.session import fresh_path, use_utc
+from palaver.session import fresh_path, stream_session, use_utc
 from palaver.sources import derived, tables
 from palaver.streaming import jobs
 
@@ -493,7 +493,7 @@ def _event_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_hourly(spark, sf_dir):
     """Comments per hour and author from a stream in which every comment arrives twice."""
     path = fresh_path(spark, "stream-hourly")
-    twice = _event_comments(spark, sf_dir).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
+    twice = _event_comments(stream_session(spark), sf_dir).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
     on_time = jobs.drop_late(twice, F.col("dt_date"))
     counts = jobs.hourly_counts(clean.clean(on_time))
     jobs.finish(jobs.run_to_table(counts, f"{path}/table", f"{path}/checkpoint"))
@@ -504,7 +504,7 @@ def stream_hourly(spark, sf_dir):
 def stream_latest(spark, sf_dir):
     """Last version of every comment after its versions have been ingested as a stream."""
     path = fresh_path(spark, "stream-latest")
-    snapshots = derived.versions(comment_stream(spark, sf_dir))
+    snapshots = derived.versions(comment_stream(stream_session(spark), sf_dir))
     jobs.finish(jobs.ingest_snapshots(snapshots, f"{path}/table", f"{path}/checkpoint"))
     return jobs.read_latest(spark, f"{path}/table").select("id", "score", body_length())
 
@@ -512,11 +512,12 @@ def stream_latest(spark, sf_dir):
 @query
 def stream_requests(spark, sf_dir):
     """User statistics for requests that arrive as a stream: every signup asks about its user."""
-    comments = raw(spark, sf_dir)
+    streams = stream_session(spark)
+    comments = raw(streams, sf_dir)
     path = fresh_path(spark, "stream-requests")
     latest = tables.latest_day(comments)
     asked = (
-        _event_stream(spark, sf_dir)
+        _event_stream(streams, sf_dir)
         .where("event_type = 'signup'")
         .select(
             F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("username"),

@@ -41,6 +41,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session for streams on the same cluster, with one state partition per core.
+
+    The first batch of a streaming query fixes its number of state partitions, and the runtime
+    cannot merge small ones as it does in batch jobs, so the number should follow the cluster.
+    """
+    session = use_utc(spark.newSession())
+    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return session
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read: what the session names in ``spark.checkpoint.dir``.
 

@@ -26,3 +26,24 @@ def test_only_missing_parents_are_filled(make):
     frame = make([{"id": "a", "parent_id": None}, {"id": "b", "parent_id": "t1_q"}, {"id": "c", "parent_id": ""}])
     lookup = frame.sparkSession.createDataFrame([("a", "t3_s"), ("b", "t3_other")], "id string, parent_id string")
     assert rows(clean.fill_parents(frame, lookup), "id", "parent_id") == [("a", "t3_s"), ("b", "t1_q"), ("c", None)]
+
+
+def test_author_filter_gives_way_to_the_join(make):
+    frame = make([{"id": "a"}, {"id": "b", "author": "bo"}, {"id": "c", "author": "cy"}])
+    wanted = frame.where("author <> 'cy'").select("author")
+    assert rows(clean.of_authors(frame, wanted.union(wanted)), "id") == [("a",), ("b",)]
+    assert clean.of_authors(frame, wanted, at_most=1) is frame
+
+
+def test_fetch_without_broadcast(make, spark):
+    frame = make([{"id": f"f{n}", "body": "b" * n} for n in range(50)])
+    winners = frame.where("id in ('f3', 'f7')").select("id", F.lit(1).alias("place"))
+    want = [("f3", "bbb", 1), ("f7", "bbbbbbb", 1)]
+    assert rows(clean.fetch(frame, winners, ["id"]), "id", "body", "place") == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = clean.fetch(frame, winners, ["id"])
+        assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
+        assert rows(shuffled, "id", "body", "place") == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
