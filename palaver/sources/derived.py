@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palaver.functions.text import candidate_phrases, clean_text
+from palaver.functions.text import candidate_phrases, clean_text, word_count
 from palaver.functions.times import thread_day
 from palaver.operators.clean import explode_once
 from palaver.session import materialise
@@ -159,15 +159,15 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("string"))
     found = explode_once(docs, ["doc_id"], candidate_phrases(clean_text(F.col("text"))), "phrase")
     found = found.withColumnRenamed("phrase", "text")
-    words, size = F.size(F.split("text", " ")), F.char_length("text")
+    words, size = word_count(F.col("text")), F.char_length("text")
     return found.select(
         "doc_id",
         "text",
-        F.element_at(F.array(F.lit("VP"), F.lit("NP"), F.lit("ADJP")), (words % 3 + 1).cast("int")).alias("type"),
+        F.when(words % 3 == 0, F.lit("VP")).when(words % 3 == 1, F.lit("NP")).otherwise(F.lit("ADJP")).alias("type"),
         F.when(size % 2 == 0, F.lit("SBJ")).alias("role"),
         (size % 3).cast("int").alias("n_relations"),
         (words - 1).cast("int").alias("n_modifiers"),
-        F.element_at(F.split("text", " "), -1).alias("head"),
+        F.substring_index("text", " ", -1).alias("head"),
     )
 
 
