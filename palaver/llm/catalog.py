@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import resharding, rules
+from palaver.llm import bpe, resharding, rules, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": rules.op1_quality_rules,
+        "op3_simhash": simhash.op3_simhash,
+        "op9_bpe": bpe.op9_bpe,
         "op10_resharding": resharding.op10_resharding,
     }
 
