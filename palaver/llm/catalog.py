@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, resharding, rules, simhash
+from palaver.llm import bpe, decontamination, resharding, rules, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": rules.op1_quality_rules,
+        "op2_decontamination": decontamination.op2_decontamination,
         "op3_simhash": simhash.op3_simhash,
         "op9_bpe": bpe.op9_bpe,
         "op10_resharding": resharding.op10_resharding,
@@ -19,4 +20,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_quality_rules": rules.OP1_SQL}
+    return {"op1_quality_rules": rules.OP1_SQL, "op2_decontamination": decontamination.OP2_SQL}
