@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, decontamination, resharding, rules, simhash
+from palaver.llm import bpe, decontamination, quality, resharding, rules, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_rules": rules.op1_quality_rules,
         "op2_decontamination": decontamination.op2_decontamination,
         "op3_simhash": simhash.op3_simhash,
+        "op4_quality": quality.op4_quality,
         "op9_bpe": bpe.op9_bpe,
         "op10_resharding": resharding.op10_resharding,
     }
