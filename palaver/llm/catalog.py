@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, decontamination, quality, resharding, rules, simhash
+from palaver.llm import bpe, decontamination, quality, resharding, rules, simhash, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontamination": decontamination.op2_decontamination,
         "op3_simhash": simhash.op3_simhash,
         "op4_quality": quality.op4_quality,
+        "op6_warc": warc.op6_warc,
         "op9_bpe": bpe.op9_bpe,
         "op10_resharding": resharding.op10_resharding,
     }
