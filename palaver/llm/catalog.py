@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, decontamination, quality, resharding, rules, simhash, warc
+from palaver.llm import bpe, decontamination, pii, quality, resharding, rules, simhash, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash": simhash.op3_simhash,
         "op4_quality": quality.op4_quality,
         "op6_warc": warc.op6_warc,
+        "op7_pii": pii.op7_pii,
         "op9_bpe": bpe.op9_bpe,
         "op10_resharding": resharding.op10_resharding,
     }
