@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, decontamination, pii, quality, resharding, rules, simhash, warc
+from palaver.llm import bpe, decontamination, pii, quality, resharding, rules, secrets, simhash, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality": quality.op4_quality,
         "op6_warc": warc.op6_warc,
         "op7_pii": pii.op7_pii,
+        "op8_secrets": secrets.op8_secrets,
         "op9_bpe": bpe.op9_bpe,
         "op10_resharding": resharding.op10_resharding,
     }
