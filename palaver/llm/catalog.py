@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, decontamination, pii, quality, resharding, rules, secrets, simhash, warc
+from palaver.llm import bpe, decontamination, mixing, pii, quality, resharding, rules, secrets, simhash, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontamination": decontamination.op2_decontamination,
         "op3_simhash": simhash.op3_simhash,
         "op4_quality": quality.op4_quality,
+        "op5_mixing": mixing.op5_mixing,
         "op6_warc": warc.op6_warc,
         "op7_pii": pii.op7_pii,
         "op8_secrets": secrets.op8_secrets,

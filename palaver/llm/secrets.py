@@ -104,7 +104,7 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
         flag(before.rlike(_NAME + r"\W{0,8}\z")).alias("named"),
         flag(before.rlike(r"[=:]\s*[\"']?\z")).alias("assigned"),
         flag(before.rlike(r"[\"'`]\z") & F.col("after").rlike(r"\A[\"'`]")).alias("quoted"),
-        flag(F.lower(F.concat_ws(" ", "before", head, "after")).rlike("example|sample|dummy|placeholder|changeme|xxxx|your[_-]")).alias("dummy_near"),
+        flag(F.lower(F.concat_ws(" ", "before", head, "after")).rlike(r"(?<![@.])\b(?:example|sample|dummy|placeholder|changeme)\b(?!\.[a-z])|xxxx|your[_-]")).alias("dummy_near"),
         flag(known_form(F.col("match"))).alias("known_form"),
         (F.size(F.split(F.coalesce("path", F.lit("")), "/")) - 1).cast("double").alias("path_depth"),
         flag(F.lower("path").rlike("test|example|sample|mock|fixture|doc")).alias("path_test"),
