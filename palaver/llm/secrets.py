@@ -153,9 +153,9 @@ def scan(
     labelled: DataFrame | None = None,
     least: float = LEAST,
 ) -> DataFrame:
-    """Every row's ``key``, its number of candidates and its secrets: disjoint ``start, end`` in order."""
+    """Every row's ``key``, the ``digest`` of its text, its number of candidates and its secrets: disjoint ``start, end`` in order."""
     where = F.lit("") if path is None else F.coalesce(path.cast("string"), F.lit(""))
-    rows = located(docs, PATTERNS, key, text, {"path": where})
+    rows = located(docs, PATTERNS, key, text, {"path": where, "digest": F.xxhash64(text)})
     words = materialise(dictionary(docs, text), "secret-words")
     found = materialise(described(values_only(candidates(rows, "path")), words), "secret-candidates")
     judged = scored(found, fit(settled(found) if labelled is None else labelled))
@@ -163,11 +163,12 @@ def scan(
     secrets = judged.where(F.col("score") >= least).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("hits"))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     return (
-        rows.select("row", "key")
+        rows.select("row", "key", "digest")
         .join(per_row, "row", "left")
         .join(secrets, "row", "left")
         .select(
             F.col("key").alias(key),
+            "digest",
             F.coalesce("n_candidates", F.lit(0)).cast("long").alias("n_candidates"),
             F.when(F.col("hits").isNull(), none).otherwise(disjoint(F.col("hits"))).alias("secrets"),
         )
@@ -179,13 +180,15 @@ def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "
 
     Rows are matched by id and text digest, so that repeated and null ids meet their own findings.
     """
-    spans = found.where(F.size("secrets") > 0).select(F.col(key).alias("_key"), F.col("digest").alias("_digest"), F.col("secrets").alias("_secrets"))
-    spans = spans.dropDuplicates(["_key", "_digest"])
-    name = spare_name(docs, "secrets_here")
-    on = docs[key].eqNullSafe(spans["_key"]) & (F.xxhash64(docs[text]) == spans["_digest"])
-    both = docs.join(spans.withColumnRenamed("_secrets", name), on, "left")
-    clean = redacted(docs[text], F.col(name), F.lit(sign))
-    return both.select(*[F.when(F.col(name).isNotNull(), clean).otherwise(docs[text]).alias(c) if c == text else docs[c] for c in docs.columns])
+    names = [spare_name(docs, n) for n in ("found_key", "found_digest", "found_secrets")]
+    spans = found.where(F.size("secrets") > 0).select(F.col(key), "digest", "secrets").toDF(*names).dropDuplicates(names[:2])
+    spans = materialise(spans, "secret-spans")
+    on = docs[key].eqNullSafe(spans[names[0]]) & (F.xxhash64(docs[text]) == spans[names[1]])
+    both = docs.join(spans, on, "left")
+    clean = redacted(docs[text], F.col(names[2]), F.lit(sign))
+    return both.select(
+        *[F.when(F.col(names[2]).isNotNull(), clean).otherwise(docs[c]).alias(c) if c == text else docs[c] for c in docs.columns]
+    )
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
