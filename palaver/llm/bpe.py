@@ -36,8 +36,8 @@ from palaver.session import materialise
 LEAF_CHARS = 8192
 #: Texts of more characters are spread over tasks.
 SPLIT_CHARS = 65536
-#: Pieces whose ids a task remembers.
-REMEMBERED = 400_000
+#: Pieces whose ids a task remembers, and that go through the library at once; bytes of text in hand at once.
+REMEMBERED, AT_ONCE, IN_HAND = 150_000, 4096, 2 << 20
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -119,8 +119,10 @@ class Codec:
             self.known = {}
             missing = dict.fromkeys(p for pieces in cut for p in pieces)
         short = [p for p in missing if len(p) <= LEAF_CHARS]
-        for p, ids in zip(short, self.library(short), strict=True):
-            self.known[p] = ids.astype("<u4").tobytes()
+        for i in range(0, len(short), AT_ONCE):
+            part = short[i : i + AT_ONCE]
+            for p, ids in zip(part, self.library(part), strict=True):
+                self.known[p] = ids.astype("<u4").tobytes()
         long = {p: self.tree(p).astype("<u4").tobytes() for p in missing if len(p) > LEAF_CHARS}
         found = [b"".join([self.known[p] if p in self.known else long[p] for p in pieces]) for pieces in cut]
         return found
@@ -159,7 +161,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     kind = slim.schema["key"].dataType.simpleString()
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", IN_HAND):
             yield _batch(batch.column("key"), codec(path).encode(batch.column("text").to_pylist()))
 
     short = slim.where(F.char_length("text") <= split_chars).mapInArrow(whole, f"key {kind}, ids binary")
@@ -172,7 +174,7 @@ def encode_leaves(docs: DataFrame, path: str, kind: str, leaf: int) -> DataFrame
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", IN_HAND):
             for i, text in enumerate(batch.column("text").to_pylist()):
                 row, node, at = row + 1, 0, 0
                 while at < len(text):
@@ -186,13 +188,13 @@ def encode_leaves(docs: DataFrame, path: str, kind: str, leaf: int) -> DataFrame
                     node, at = node + 1, end
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", IN_HAND):
             ids = codec(path).encode(batch.column("text").to_pylist())
             rest = [batch.column(c) for c in ("key", "row", "node")]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(ids, pa.binary())], ["key", "row", "node", "ids"])
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "ids"):
+        for batch in slices(batches, "ids", IN_HAND):
             left, right = column_bytes(batch, "ids"), column_bytes(batch, "right")
             tree = codec(path)
             ids = [
@@ -223,7 +225,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
     """``key``, ``ids`` and their ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "ids"):
+        for batch in slices(batches, "ids", IN_HAND):
             texts = [codec(path).decode(x) for x in column_bytes(batch, "ids")]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("ids"), pa.array(texts, pa.string())], ["key", "ids", "text"])
 
