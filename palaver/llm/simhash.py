@@ -211,12 +211,16 @@ def fingerprint_classes(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
     first = classes(stars.where(linked("fp", "end", max_bits)).select(F.col("fp").alias("a"), F.col("end").alias("b")))
     nodes = materialise(relabel(nodes, first), "simhash-nodes")
-    # pairs of different classes only: a probe meets each other class of its bucket, and then its members
+    # Pairs of different classes only: a probe meets each other class of its bucket, and then its
+    # members. Bits in which all members agree are the least that any of them can differ in, so a
+    # class whose members all lie too far away is passed over.
     stored, probes = buckets(nodes, False), buckets(nodes, True)
     members = stored.select("key", F.col("fp").alias("other_fp"), F.col("class").alias("other"))
-    in_bucket = members.select("key", "other").distinct()
-    meets = probes.join(in_bucket, "key").where("class <> other")
-    pairs = meets.join(members, ["key", "other"]).where(linked("fp", "other_fp", max_bits))
+    in_bucket = members.groupBy("key", "other").agg(F.bit_and("other_fp").alias("all"), F.bit_or("other_fp").alias("any"))
+    fp = F.col("fp")
+    least = F.bit_count((F.col("all").bitwiseAND(F.bitwise_not(fp))).bitwiseOR(fp.bitwiseAND(F.bitwise_not("any"))))
+    meets = probes.join(in_bucket, "key").where((F.col("class") != F.col("other")) & (least <= max_bits))
+    pairs = meets.select("key", "fp", "class", "other").join(members, ["key", "other"]).where(linked("fp", "other_fp", max_bits))
     second = classes(pairs.select(F.col("class").alias("a"), F.col("other").alias("b")))
     return relabel(nodes, second)
 
