@@ -118,22 +118,30 @@ class Lookup:
 
     def __init__(self, windows: list[str]):
         self.windows = windows
-        self.numbers: dict[bytes, int] = {}
-        self.words = [np.array([self.numbers.setdefault(w, len(self.numbers)) for w in x.encode().split(b" ")]) for x in windows]
-        widths = np.array([len(w) for w in self.words])
-        absent = len(self.numbers)  # stands for no word, and is everywhere
-        self.matrix = np.full((len(windows), widths.max(initial=1)), absent)
-        for i, w in enumerate(self.words):
+        numbers: dict[bytes, int] = {}
+        words = [[numbers.setdefault(w, len(numbers)) for w in x.encode().split(b" ")] for x in windows]
+        self.words = list(numbers)
+        self.known = pa.array(self.words, pa.binary())
+        self.widths = np.array([len(w) for w in words], np.int64)
+        #: Word numbers by window and offset, -1 behind the end of a shorter window.
+        self.matrix = np.full((len(windows), self.widths.max(initial=1)), -1)
+        for i, w in enumerate(words):
             self.matrix[i, : len(w)] = w
 
-    def postings(self, words: list[bytes], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and last place of the position list of each word of the block."""
-        low, high = np.zeros(len(self.numbers) + 1, np.int64), np.zeros(len(self.numbers) + 1, np.int64)
-        for i, w in enumerate(words):
-            if (n := self.numbers.get(w)) is not None:
-                low[n], high[n] = ends[i - 1] if i else 0, ends[i]
-        high[-1] = 1
-        return low, high
+    def counts(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Places in a segment's list of words that the block knows, and their numbers."""
+        found = pa.compute.index_in(words, self.known)
+        places = np.nonzero(found.is_valid().to_numpy(zero_copy_only=False))[0]
+        return places, found.drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def rarest_first(self, frequency: dict[str, int]) -> np.ndarray:
+        """Offsets of every window, those of rare words first; -1 behind the end."""
+        key = sorted(range(len(self.words)), key=lambda i: (frequency.get(self.words[i].decode(), 0), self.words[i]))
+        rank = np.empty(len(key) + 1, np.int64)
+        rank[key] = np.arange(len(key))
+        rank[-1] = len(key)  # what stands for no word comes last
+        order = np.argsort(rank[self.matrix], axis=1, kind="stable")
+        return np.where(np.arange(order.shape[1]) < self.widths[:, None], order, -1)
 
 
 def _frequencies(index: DataFrame, windows: list[str]) -> dict[str, int]:
@@ -142,13 +150,13 @@ def _frequencies(index: DataFrame, windows: list[str]) -> dict[str, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Lookup(shared.value)
-        total = np.zeros(len(lookup.numbers) + 1, np.int64)
+        total = np.zeros(len(lookup.words), np.int64)
         for batch in batches:
             for words, ends in zip(batch.column("words"), batch.column("ends"), strict=True):
-                low, high = lookup.postings(words.values.to_pylist(), ends.values.to_numpy())
-                total += high - low
-        seen = np.nonzero(total[:-1])[0]
-        names = [list(lookup.numbers)[i].decode() for i in seen]
+                places, numbers = lookup.counts(words.values)
+                total[numbers] += np.diff(ends.values.to_numpy(), prepend=0)[places]
+        seen = np.nonzero(total)[0]
+        names = [lookup.words[i].decode() for i in seen]
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(total[seen])], ["word", "n"])
 
     counted = index.select("words", "ends").mapInArrow(run, "word string, n long")
@@ -164,38 +172,13 @@ def search(index: DataFrame, windows: list[str], slop: int = 2 * WINDOW) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, counts = shared.value
         lookup = Lookup(asked)
-        names = [w.decode() for w in lookup.numbers]
-        rank = np.empty(len(names) + 1, np.int64)
-        rank[sorted(range(len(names)), key=lambda i: (counts.get(names[i], 0), names[i]))] = np.arange(len(names))
-        orders = [np.argsort(rank[w], kind="stable") for w in lookup.words]
+        order = lookup.rarest_first(counts)
         for batch in batches:
             for row in range(batch.num_rows):
                 part = lambda c: batch.column(c)[row].values  # noqa: B023
-                low, high = lookup.postings(part("words").to_pylist(), part("ends").to_numpy())
-                positions, starts, sizes = (part(c).to_numpy() for c in ("positions", "starts", "counts"))
-                phrases: dict[int, list[tuple[int, int, int]]] = {}
-                near: dict[int, set[int]] = {}
-                for i in np.nonzero(((high - low)[lookup.matrix] > 0).all(axis=1))[0].tolist():
-                    words, order = lookup.words[i], orders[i]
-                    lists = [positions[low[w] : high[w]] for w in words]
-                    exact = lists[order[0]] - order[0]
-                    close = lists[order[0]]
-                    place = np.searchsorted(starts, close, "right") - 1
-                    first, last = np.maximum(close - slop, starts[place]), np.minimum(close + slop, starts[place] + sizes[place] - 1)
-                    for o in order[1:]:
-                        exact = exact[np.isin(exact + o, lists[o])] if len(exact) else exact
-                        at = np.searchsorted(lists[o], first)
-                        fine = lists[o][np.minimum(at, len(lists[o]) - 1)]
-                        fine = (at < len(lists[o])) & (fine <= last)
-                        close, first, last = close[fine], first[fine], last[fine]
-                        if not len(close):
-                            break
-                    if not len(close):
-                        continue  # a phrase is a proximity match too
-                    for d in np.unique(np.searchsorted(starts, close, "right") - 1).tolist():
-                        near.setdefault(d, set()).add(i)
-                    for p, d in zip(exact.tolist(), (np.searchsorted(starts, exact, "right") - 1).tolist(), strict=True):
-                        phrases.setdefault(d, []).append((p - int(starts[d]), p - int(starts[d]) + len(words), i))
+                near, phrases = _intersect(
+                    lookup, order, slop, part("words"), *(part(c).to_numpy() for c in ("ends", "positions", "starts", "counts"))
+                )
                 if near:
                     yield _matches(batch.column("segment")[row].as_py(), near, phrases, asked)
 
@@ -203,6 +186,61 @@ def search(index: DataFrame, windows: list[str], slop: int = 2 * WINDOW) -> Data
     return index.select("segment", "starts", "counts", "words", "ends", "positions").mapInArrow(run, schema)
 
 
+def _intersect(
+    lookup: Lookup, order: np.ndarray, slop: int, words: pa.Array, ends: np.ndarray, positions: np.ndarray,
+    starts: np.ndarray, sizes: np.ndarray,
+) -> tuple[dict[int, set[int]], dict[int, list[tuple[int, int, int]]]]:
+    """Windows near each other's words, and phrases ``(first, last, window)``, by document of one segment.
+
+    All windows at once: the lists of the known words are one sorted array of (word, position), so
+    an intersection is a binary search for the shifted positions that are left.
+    """
+    places, numbers = lookup.counts(words)
+    first, last = np.zeros(len(lookup.words) + 1, np.int64), np.zeros(len(lookup.words) + 1, np.int64)
+    by_number = np.argsort(numbers)
+    places, numbers = places[by_number], numbers[by_number]
+    lengths = np.diff(ends, prepend=0)[places].astype(np.int64)
+    last[numbers] = np.cumsum(lengths)
+    first[numbers] = last[numbers] - lengths
+    last[-1] = 1  # no word: never absent
+    alive = np.nonzero(((last - first)[lookup.matrix] > 0).all(axis=1))[0]
+    if not len(alive):
+        return {}, {}
+    begin = (ends[places] - lengths).astype(np.int64)
+    taken = np.repeat(begin - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+    far = np.int64(1) << 32
+    lists = np.repeat(numbers, lengths) * far + positions[taken]
+    # every position of every window's rarest word
+    anchor = lookup.matrix[alive, order[alive, 0]]
+    n = last[anchor] - first[anchor]
+    window = np.repeat(alive, n)
+    at = lists[np.repeat(first[anchor] - (np.cumsum(n) - n), n) + np.arange(n.sum())] % far
+    begin = at - order[window, 0]
+    doc = np.searchsorted(starts, at, "right") - 1
+    low, high = np.maximum(at - slop, starts[doc]), np.minimum(at + slop, starts[doc] + sizes[doc] - 1)
+    exact = np.ones(len(at), bool)
+    for r in range(1, order.shape[1]):
+        o = order[window, r]
+        word = lookup.matrix[window, o]
+        more = o >= 0
+        hit = np.searchsorted(lists, word * far + low)
+        close = ~more | ((hit < len(lists)) & (lists[np.minimum(hit, len(lists) - 1)] <= word * far + high))
+        window, begin, doc, low, high, exact, word, o, more = (
+            x[close] for x in (window, begin, doc, low, high, exact, word, o, more)
+        )
+        wanted = word * far + begin + o
+        hit = np.searchsorted(lists, wanted)
+        exact &= ~more | ((hit < len(lists)) & (lists[np.minimum(hit, len(lists) - 1)] == wanted))
+    near: dict[int, set[int]] = {}
+    phrases: dict[int, list[tuple[int, int, int]]] = {}
+    offset = begin - starts[doc]
+    for d, w, p, e in zip(doc.tolist(), window.tolist(), offset.tolist(), exact.tolist(), strict=True):
+        near.setdefault(d, set()).add(w)
+        if e:
+            phrases.setdefault(d, []).append((p, p + int(lookup.widths[w]), w))
+    return near, phrases
+
+
 def _matches(segment: int, near: dict, phrases: dict, windows: list[str]) -> pa.RecordBatch:
     places = sorted(near)
     spans = []
