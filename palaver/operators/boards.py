@@ -15,7 +15,7 @@ from palaver.fixed import DELETED_BODY, REMOVED_BODY
 from palaver.functions.emoji import has_pointing_emoji
 from palaver.functions.text import flair_label, mute_ping
 from palaver.operators.clean import enrich, explode_once, fetch
-from palaver.operators.ranking import top_k
+from palaver.operators.ranking import running_total, top_k
 
 DAY = ("dt_date",)
 
@@ -153,14 +153,15 @@ def weekly_census(comments: DataFrame) -> DataFrame:
 
 
 def upvoted_comments(comments: DataFrame, by: Sequence[str] = DAY, k: int | None = None) -> DataFrame:
-    """Comments by score with pings muted; with ``k`` only the first of each group.
+    """Comments by score with pings muted and their ``position``; with ``k`` only the first of each group.
 
-    For the first ``k`` the ranking runs without bodies, which are read again for the winners.
+    The ranking runs without bodies, which are read again for the rows it names.
     """
     order = [F.desc("score"), F.asc("id")]
     if k is None:
-        muted = comments.withColumn("body", mute_ping(F.col("body")))
-        return _sorted(muted, by, *order)
+        ones = comments.select(*by, "id", "score", F.lit(1).cast("bigint").alias("_one"))
+        placed = running_total(ones, by, ["score", "id"], "_one", [False, True], "position").select(*by, "id", "position")
+        return fetch(comments, placed, [*by, "id"]).withColumn("body", mute_ping(F.col("body")))
     winners = top_k(comments.select(*by, "id", "score"), by, order, k).drop("score")
     rows = fetch(comments, winners, [*by, "id"]).withColumn("body", mute_ping(F.col("body")))
     return _sorted(rows, by, F.asc("position"))

@@ -1,7 +1,7 @@
 """Reply trees: roots, depths and reading order by pointer doubling, and figures over trees.
 
-A tree is never gathered into one row or one task. It stays as rows ``(id, parent, root, depth,
-path)``; sorting by root and path gives the reading order.
+A tree is never gathered into one row or one task. It stays as rows ``(id, parent, root, depth)``;
+the place of a comment in its thread's reading order is a number.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from palaver.fixed import MAX_TOKENS, PREFIX_SHARE, SAMPLE_SHARE
 from palaver.functions.text import body_lines, token_estimate
-from palaver.operators.clean import fetch
 from palaver.operators.ranking import running_total
 from palaver.session import fresh_path, materialise
 
@@ -33,16 +32,7 @@ class Forest:
     orphans: DataFrame
 
 
-def sort_key(created: Column, ident: Column) -> Column:
-    """One step of a path. Paths are text that sorts in reading order: siblings by time, then id.
-
-    The time has a fixed width, and the character after the id is below any in an id.
-    """
-    time = F.lpad(F.hex(F.unix_micros(created) + F.lit(2**62)), 16, "0")
-    return F.concat(time, ident, F.lit("\x01"))
-
-
-def _start(comments: DataFrame, carry: Sequence[str], with_path: bool) -> DataFrame:
+def _start(comments: DataFrame, carry: Sequence[str]) -> DataFrame:
     prefix, rest = F.left("parent_id", F.lit(3)), F.substr("parent_id", F.lit(4))
     top, reply = prefix == "t3_", prefix == "t1_"
     malformed = F.when(F.col("parent_id").isNull() | (F.col("parent_id") == ""), F.lit("no parent")).otherwise(
@@ -56,12 +46,11 @@ def _start(comments: DataFrame, carry: Sequence[str], with_path: bool) -> DataFr
         F.when(top, F.col("id")).when(reply, rest).alias("root"),
         F.when(top, F.lit(0)).otherwise(F.lit(1)).alias("depth"),
         F.when(~(top | reply) | F.col("parent_id").isNull(), malformed).alias("reason"),
-        *([sort_key(F.col("created_utc"), F.col("id")).alias("path")] if with_path else []),
         *carry,
     )
 
 
-def _advance(open_rows: DataFrame, known: DataFrame, carry: Sequence[str], with_path: bool, how: str) -> DataFrame:
+def _advance(open_rows: DataFrame, known: DataFrame, carry: Sequence[str], how: str) -> DataFrame:
     """Replace the ancestor reached by what that ancestor has reached."""
     target = known.select(
         F.col("id").alias("_id"),
@@ -69,7 +58,6 @@ def _advance(open_rows: DataFrame, known: DataFrame, carry: Sequence[str], with_
         F.col("root").alias("_root"),
         F.col("depth").alias("_depth"),
         F.col("reason").alias("_reason"),
-        *([F.col("path").alias("_path")] if with_path else []),
     )
     joined = open_rows.join(target, F.col("root") == F.col("_id"), how)
     return joined.select(
@@ -79,12 +67,11 @@ def _advance(open_rows: DataFrame, known: DataFrame, carry: Sequence[str], with_
         F.col("_root").alias("root"),
         (F.col("depth") + F.col("_depth")).alias("depth"),
         F.coalesce("_reason", F.when(F.col("_id").isNull(), F.lit(UNKNOWN))).alias("reason"),
-        *([F.concat("_path", "path").alias("path")] if with_path else []),
         *carry,
     )
 
 
-def resolve(comments: DataFrame, carry: Sequence[str] = (), with_path: bool = False) -> Forest:
+def resolve(comments: DataFrame, carry: Sequence[str] = ()) -> Forest:
     """Root and depth of every comment; ``carry`` names columns to keep along.
 
     Each round doubles the distance climbed, so a tree of depth d takes about log2(d) joins.
@@ -104,17 +91,17 @@ def resolve(comments: DataFrame, carry: Sequence[str] = (), with_path: bool = Fa
         return reduce(DataFrame.unionByName, [t.where(F.col("status") == status) for t in tables])
 
     # the comments are scanned once, here; the rounds work on this narrow table
-    start = write(_start(comments, carry, with_path), "start")
+    start = write(_start(comments, carry), "start")
     # the first round also finds the parents that do not exist
     replies = start.where(F.col("status") == OPEN)
     rounds = [start.where(F.col("status") != OPEN)]
-    rounds.append(write(_advance(replies, start, carry, with_path, "left"), "round-1"))
+    rounds.append(write(_advance(replies, start, carry, "left"), "round-1"))
     still_open = rounds[-1].where(F.col("status") == OPEN)
     # a missing parent is an end of the climb as well: whoever points at it later finds it here
     missing = (
         rounds[-1]
         .where((F.col("status") == ORPHAN) & (F.col("reason") == UNKNOWN))
-        .select(F.col("parent").alias("id"), "status", "root", "depth", "reason", *(["path"] if with_path else []))
+        .select(F.col("parent").alias("id"), "status", "root", "depth", "reason")
         .dropDuplicates(["id"])
     )
     left = still_open.count()
@@ -122,13 +109,13 @@ def resolve(comments: DataFrame, carry: Sequence[str] = (), with_path: bool = Fa
         done = [with_status(rounds, SETTLED), with_status(rounds, ORPHAN)]
         ends = [t.select(missing.columns) for t in (*done, still_open)]
         known = reduce(DataFrame.unionByName, [*ends, missing])
-        rounds.append(write(_advance(still_open, known, carry, with_path, "inner"), f"round-{len(rounds)}"))
+        rounds.append(write(_advance(still_open, known, carry, "inner"), f"round-{len(rounds)}"))
         still_open = rounds[-1].where(F.col("status") == OPEN)
         before, left = left, still_open.count()
         if left == before:
             break
 
-    columns = ["id", "parent", "root", "depth", *(["path"] if with_path else []), *carry]
+    columns = ["id", "parent", "root", "depth", *carry]
     nodes = with_status(rounds, SETTLED).select(*columns)
     orphans = with_status(rounds, ORPHAN).select("id", "parent", "reason")
     cycles = still_open.select("id", "parent", F.lit("cycle").alias("reason"))
@@ -176,33 +163,116 @@ def rollup(nodes: DataFrame) -> DataFrame:
 def recursive_average(nodes: DataFrame) -> DataFrame:
     """``floor((score + averages of the children) / (children + 1))``, the floor taken at every level.
 
-    Works from the deepest level up, one join per level over that level's rows only. Children
-    are summed per parent before they are joined, so a parent with very many is one row.
+    Works by contraction, not level by level. In each round comments without open children are
+    finished and added to their parents, and chains of comments with one open child are shortened:
+    such a comment's average is a function of the child's, and two functions in a row are one. So
+    the number of rounds follows the logarithm of the number of comments, however deep a thread
+    is. Children are summed per parent before they are joined, so a parent with very many is one row.
+
+    Scores lie between ``low`` and ``high``, and so do averages. ``x -> floor((add + x) / parts)`` is
+    kept as it is while ``parts`` is below that range; beyond it takes two values at most, and is
+    kept as ``value``, plus one from ``step`` on. No number grows with the depth.
     """
-    staged = materialise(
-        nodes.select("id", "parent", "root", "depth", F.col("score").cast("bigint")).hint("rebalance", "depth"),
-        "levels",
-        ["depth"],
+    rows = materialise(nodes.select("id", "parent", "root", "depth", F.col("score").cast("bigint")), "average-rows")
+    low, high = rows.agg(F.min("score"), F.max("score")).first()
+    low, high = low or 0, high or 0
+    size = high - low + 1
+    children = rows.groupBy(F.col("parent").alias("id")).agg(F.count("*").alias("_n"))
+    empty = [F.lit(None).cast(kind).alias(name) for name, kind in _FUNCTION.items()]
+    state = materialise(
+        rows.join(children, "id", "left").select(
+            "id", "parent", "root", "depth", F.col("score").alias("total"), (F.coalesce("_n", F.lit(0)) + 1).alias("count"),
+            *empty, F.lit(None).cast("bigint").alias("average"),
+        ),
+        "average",
     )
-    deepest = staged.agg(F.max("depth")).first()[0]
-    levels: list[DataFrame] = []
-    for depth in range(deepest if deepest is not None else -1, -1, -1):
-        level = staged.where(F.col("depth") == depth)
-        if levels:
-            children = levels[-1].groupBy(F.col("parent").alias("id")).agg(
-                F.sum("average").alias("_sum"), F.count("*").alias("_n")
-            )
-            level = level.join(children, "id", "left")
-            total = F.col("score") + F.coalesce("_sum", F.lit(0))
-            parts = F.coalesce("_n", F.lit(0)) + 1
-            average = _floor_div(total, parts)
-        else:
-            average = F.col("score")
-        result = level.select("id", "parent", "root", "depth", average.alias("average"))
-        levels.append(materialise(result, "level") if levels else result)
-    if not levels:
-        return staged.select("id", "parent", "root", "depth", F.col("score").alias("average"))
-    return reduce(DataFrame.unionByName, levels)
+    done: list[DataFrame] = []
+    while True:
+        still = state.where("average is null")
+        fresh = state.where("average is not null")
+        done.append(fresh.select("id", "parent", "root", "depth", "average"))
+        if not still.limit(1).count():
+            return reduce(DataFrame.unionByName, done)
+        state = materialise(_contract(still, fresh, low, size), "average")
+
+
+#: A chain's lower end, and the average of its upper end as a function of the lower end's.
+_FUNCTION = {"target": "string", "add": "bigint", "parts": "bigint", "value": "bigint", "step": "bigint"}
+
+
+def _contract(still: DataFrame, fresh: DataFrame, low: int, size: int) -> DataFrame:
+    """One round: ``still`` are the open comments, ``fresh`` those finished in the round before."""
+    sums = fresh.groupBy(F.col("parent").alias("id")).agg(F.sum("average").alias("_sum"))
+    open_children = still.groupBy(F.col("parent").alias("id")).agg(F.count("*").alias("_open"), F.min("id").alias("_only"))
+    chained = F.col("target").isNotNull()
+
+    def applied(x: Column) -> Column:
+        stepped = F.col("value") + F.coalesce(x >= F.col("step"), F.lit(False)).cast("bigint")
+        return F.when(F.col("value").isNotNull(), stepped).otherwise(_floor_div(F.col("add") + x, F.col("parts")))
+
+    # first those whose chain ends at a comment finished just now; the others then find them finished,
+    # or take over a longer chain whose end is still open
+    ended = fresh.select(F.col("id").alias("target"), F.col("average").alias("_x"))
+    now = still.join(ended, "target", "left").withColumn("_now", F.when(F.col("_x").isNotNull(), applied(F.col("_x"))))
+    lookup = now.select(
+        F.col("id").alias("_id"), F.col("_now").alias("_average"), *[F.col(c).alias(f"_{c}") for c in _FUNCTION]
+    )
+    rows = (
+        now.join(sums, "id", "left")
+        .join(open_children, "id", "left")
+        .join(lookup, F.col("target") == F.col("_id"), "left")
+        .withColumn("_total", F.when(F.col("target").isNull(), F.col("total") + F.coalesce("_sum", F.lit(0))).otherwise(F.col("total")))
+    )
+    x = F.col("_average")
+    leaf = ~chained & F.col("_open").isNull()
+    begins = ~chained & (F.col("_open") == 1)
+    average = F.when(chained, F.coalesce("_now", F.when(x.isNotNull(), applied(x)))).when(leaf, _floor_div(F.col("_total"), F.col("count")))
+    longer = chained & F.col("_now").isNull() & x.isNull() & F.col("_target").isNotNull()
+    new = _composed(low, size)
+    start = _settled(F.col("_total"), F.col("count"), low, size)
+    changed = {
+        name: F.when(longer, new[name]).when(begins, start[name]).otherwise(F.col(name))
+        for name in ("add", "parts", "value", "step")
+    }
+    target = F.when(longer, F.col("_target")).when(begins, F.col("_only")).otherwise(F.col("target"))
+    return rows.select(
+        "id", "parent", "root", "depth", F.col("_total").alias("total"), "count", target.alias("target"),
+        *[c.alias(name) for name, c in changed.items()], average.alias("average"),
+    )
+
+
+def _settled(add: Column, parts: Column, low: int, size: int) -> dict[str, Column]:
+    """``x -> floor((add + x) / parts)`` for x from ``low`` on, in the form that does not grow."""
+    none = F.lit(None).cast("bigint")
+    large = parts >= size
+    value = _floor_div(add + low, parts)
+    return {
+        "add": F.when(~large, add),
+        "parts": F.when(~large, parts),
+        "value": F.when(large, value).otherwise(none),
+        "step": F.when(large, (value + 1) * parts - add).otherwise(none),
+    }
+
+
+def _composed(low: int, size: int) -> dict[str, Column]:
+    """The function of a row after the function of the row that its target is, whose columns begin with ``_``."""
+    add, parts, value, step = (F.col(c) for c in ("add", "parts", "value", "step"))
+    add2, parts2, value2, step2 = (F.col(c) for c in ("_add", "_parts", "_value", "_step"))
+    two, two2 = value.isNotNull(), value2.isNotNull()
+
+    def outer(y: Column) -> Column:
+        return F.when(two, value + F.coalesce(y >= step, F.lit(False)).cast("bigint")).otherwise(_floor_div(add + y, parts))
+
+    # both as they are: floor((add + floor((add2 + x) / parts2)) / parts) has one sum and one divisor
+    plain = _settled(add * parts2 + add2, parts * parts2, low, size)
+    # the lower one has two values: so has the whole, and steps where the lower one does, or nowhere
+    below, above = outer(value2), outer(value2 + 1)
+    return {
+        "add": F.when(~two & ~two2, plain["add"]),
+        "parts": F.when(~two & ~two2, plain["parts"]),
+        "value": F.when(two2, below).when(two, value).otherwise(plain["value"]),
+        "step": F.when(two2, F.when(above > below, step2)).when(two, step * parts2 - add2).otherwise(plain["step"]),
+    }
 
 
 def _floor_div(total: Column, parts: Column) -> Column:
@@ -211,9 +281,9 @@ def _floor_div(total: Column, parts: Column) -> Column:
 
 
 def ranked_threads(averages: DataFrame) -> DataFrame:
-    """Threads by the average of their root, best first."""
-    roots = averages.where("depth = 0").select("root", "average")
-    return roots.orderBy(F.desc("average"), F.asc("root"))
+    """Threads by the average of their root, with their ``position``, best first."""
+    roots = averages.where("depth = 0").select("root", "average", F.lit(1).cast("bigint").alias("_one"))
+    return running_total(roots, [], ["average", "root"], "_one", [False, True], "position").drop("_one")
 
 
 # -- threads as text --------------------------------------------------------------------------
@@ -246,23 +316,24 @@ def with_text_length(comments: DataFrame) -> DataFrame:
     )
 
 
-def thread_pieces(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def thread_pieces(placed: DataFrame, texts: DataFrame) -> DataFrame:
     """Two rows per comment: its text, and the end marker that follows its last descendant.
 
-    Sorted by ``root, place`` and joined without separators they are the threads as text.
-    ``nodes`` needs ``path``, ``texts`` the columns ``id, author, score, body, created_utc``.
+    Sorted by ``root, piece`` and joined without separators they are the threads as text.
+    ``placed`` is from ``in_order``, ``texts`` has the columns ``id, author, score, body, created_utc``.
     """
     bodies = texts.select("id", "author", "score", "body", "created_utc")
-    joined = fetch(bodies, nodes.select("id", "root", "depth", "path"), ["id"])
+    joined = bodies.join(placed.select("id", "root", "depth", "position", "size"), "id")
     written = node_text(F.col("depth"), F.col("created_utc"), F.col("author"), F.col("score"), F.col("body"))
-    # the marker sorts behind every descendant, whose path goes on with a hexadecimal digit
-    behind = F.concat("path", F.lit("~"))
+    # before a comment come all earlier ones, and the ends of those that are not above it
+    own = 2 * F.col("position") - 1 - F.col("depth")
+    last = F.col("position") + F.col("size") - 1
     pieces = F.array(
-        F.struct(F.col("path").alias("place"), written.alias("text")),
-        F.struct(behind.alias("place"), F.lit(END_MARKER).alias("text")),
+        F.struct(own.alias("piece"), written.alias("text")),
+        F.struct((2 * last - F.col("depth")).alias("piece"), F.lit(END_MARKER).alias("text")),
     )
     return joined.select("root", "id", "depth", F.explode(pieces).alias("_p")).select(
-        "root", "id", "depth", "_p.place", "_p.text"
+        "root", "id", "depth", "_p.piece", "_p.text"
     )
 
 
@@ -274,14 +345,57 @@ def thread_rows(nodes: DataFrame, comments: DataFrame, columns: Sequence[str] =
     return nodes.select("root", "parent", "depth", "id").join(comments.select("id", *columns), "id")
 
 
-def reading_order(nodes: DataFrame) -> DataFrame:
-    """Position of each comment in its thread, from 1, each comment before its replies.
+def subtree_sizes(nodes: DataFrame) -> DataFrame:
+    """``id, parent, root, depth, size`` and the other columns of ``nodes``: comments at and below each.
 
-    The count runs over range-partitioned pieces, so a large thread is spread over many tasks.
+    By pointer doubling: a comment that has counted its next 2^k levels is added to the ancestor
+    2^k levels up, which then has counted twice as many. Counts are summed per ancestor first.
     """
-    ones = nodes.select("root", "id", "depth", "path").withColumn("_one", F.lit(1).cast("bigint"))
-    placed = running_total(ones, ["root"], ["path"], "_one", [True], "position")
-    return placed.select("root", "position", "id", "depth")
+    state = materialise(nodes.select("id", F.col("parent").alias("up"), F.lit(1).cast("bigint").alias("size")), "sizes")
+    while state.where("up is not null").limit(1).count():
+        sums = state.where("up is not null").groupBy(F.col("up").alias("id")).agg(F.sum("size").alias("_more"))
+        above = state.select(F.col("id").alias("up"), F.col("up").alias("_up"))
+        state = materialise(
+            state.join(sums, "id", "left")
+            .join(above, "up", "left")
+            .select("id", F.col("_up").alias("up"), (F.col("size") + F.coalesce("_more", F.lit(0))).alias("size")),
+            "sizes",
+        )
+    return nodes.join(state.select("id", "size"), "id")
+
+
+def in_order(nodes: DataFrame) -> DataFrame:
+    """``root, id, depth, position, size``: the place of each comment in its thread, each before its replies.
+
+    ``nodes`` carries ``created_utc``; siblings go by time, then id. A comment stands behind its
+    parent and the subtrees of its earlier siblings. Those distances are added up to the root by
+    pointer doubling, so a row holds numbers only, however deep it lies, and the running totals
+    over siblings are made of range-partitioned pieces, so a comment with very many replies is spread.
+    """
+    sized = materialise(
+        subtree_sizes(nodes.select("id", "parent", "root", "depth", "created_utc")).withColumn(
+            "_under", F.coalesce("parent", F.concat(F.lit("\x01"), "root"))
+        ),
+        "sized",
+    )
+    behind = running_total(sized, ["_under"], ["created_utc", "id"], "size", [True, True], "_running")
+    state = materialise(
+        behind.select("id", F.col("parent").alias("up"), (F.col("_running") - F.col("size") + 1).alias("position")), "places"
+    )
+    while state.where("up is not null").limit(1).count():
+        above = state.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("position").alias("_more"))
+        state = materialise(
+            state.join(above, "up", "left").select(
+                "id", F.col("_up").alias("up"), (F.col("position") + F.coalesce("_more", F.lit(0))).alias("position")
+            ),
+            "places",
+        )
+    return sized.join(state.select("id", "position"), "id").select("root", "id", "depth", "position", "size")
+
+
+def reading_order(nodes: DataFrame) -> DataFrame:
+    """Position of each comment in its thread, from 1, each comment before its replies."""
+    return in_order(nodes).select("root", "position", "id", "depth")
 
 
 def thread_tokens(nodes: DataFrame) -> DataFrame:
@@ -308,10 +422,10 @@ def budgeted_prefix(
 
 
 def sampled_threads(threads: DataFrame, seed: int, limit: int = MAX_TOKENS, share: float = SAMPLE_SHARE) -> DataFrame:
-    """Every thread that fits on its own, in a random order that ``seed`` fixes."""
+    """Every thread that fits on its own, with its ``position`` in a random order that ``seed`` fixes."""
     fitting = threads.where(F.col("tokens") <= int(limit * share))
-    order = F.xxhash64("root", F.lit(seed))
-    return fitting.withColumn("draw", order).orderBy("draw", "root")
+    drawn = fitting.withColumns({"draw": F.md5(F.concat("root", F.lit(f"-{seed}"))), "_one": F.lit(1).cast("bigint")})
+    return running_total(drawn, [], ["draw", "root"], "_one", [True, True], "position").drop("_one")
 
 
 def thread_texts(nodes: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -320,8 +434,8 @@ def thread_texts(nodes: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataF
     Only for threads that passed a token budget, which bounds the text gathered in a row.
     """
     kept = nodes.join(chosen.select("root").distinct(), "root", "left_semi")
-    parts = F.array_sort(F.collect_list(F.struct("place", "text")))
-    gathered = thread_pieces(kept, texts).groupBy("root").agg(parts.alias("_parts"))
+    parts = F.array_sort(F.collect_list(F.struct("piece", "text")))
+    gathered = thread_pieces(in_order(kept), texts).groupBy("root").agg(parts.alias("_parts"))
     return gathered.select("root", F.array_join(F.transform("_parts", lambda p: p["text"]), "").alias("text"))
 
 

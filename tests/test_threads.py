@@ -54,13 +54,6 @@ class Tree:
         kids = self.children[ident]
         return math.floor((self.by_id[ident]["score"] + sum(map(self.average, kids))) / (len(kids) + 1))
 
-    def text(self, ident, layer=0):
-        row = self.by_id[ident]
-        head = "" if layer else row["created_utc"].strftime("--- %Y-%m-%dT%H:%M UTC ---\n")
-        lines = "\n".join(" " * layer + line for line in row["body"].splitlines())
-        own = head + " " * layer + f"{row['author']} ({row['score']}):" + lines + "\n"
-        return own + "".join(self.text(c, layer + 1) for c in self.children[ident]) + END
-
 
 @pytest.fixture(scope="module", params=[1, 2])
 def case(request, make):
@@ -68,8 +61,7 @@ def case(request, make):
     comments = make(made)
     nodes = threads.resolve(
         threads.with_text_length(comments).withColumn("body_length", F.char_length("body")),
-        carry=("author", "score", "body_length", "text_length", "indents"),
-        with_path=True,
+        carry=("author", "score", "created_utc", "body_length", "text_length", "indents"),
     ).nodes
     return Tree(made), comments, nodes
 
@@ -93,16 +85,78 @@ def test_recursive_average_takes_the_floor_at_every_level(case):
     assert got == {i: tree.average(i) for i in tree.by_id}
 
 
-def test_text_and_its_size(case):
+def test_recursive_average_of_a_table(spark):
+    # worked by hand: e = 4; d = floor((-3 + 4) / 2) = 0; c = -8; b = floor((5 - 8 + 0) / 3) = -1; a = floor((2 - 1) / 2) = 0
+    made = [("a", None, 2), ("b", "a", 5), ("c", "b", -8), ("d", "b", -3), ("e", "d", 4)]
+    nodes = spark.createDataFrame([(i, p, "a", 0, s) for i, p, s in made], "id string, parent string, root string, depth int, score int")
+    assert rows(threads.recursive_average(nodes), "id", "average") == [("a", 0), ("b", -1), ("c", -8), ("d", 0), ("e", 4)]
+
+
+def test_long_chains_and_wide_comments(spark):
+    """A chain of 2,000 comments, one of whose comments has 100,000 further replies."""
+    rnd = random.Random(8)
+    scores = [rnd.randint(-1000, 1000) for _ in range(2000)]
+    chain = spark.createDataFrame(
+        [(f"c{n}", f"c{n - 1}" if n else None, "c0", n, s) for n, s in enumerate(scores)],
+        "id string, parent string, root string, depth int, score int",
+    )
+    star = spark.range(100_000).select(
+        F.concat(F.lit("s"), "id").alias("id"), F.lit("c5").alias("parent"), F.lit("c0").alias("root"),
+        F.lit(6).alias("depth"), (F.col("id") % 7).cast("int").alias("score"),
+    )
+    got = {r["id"]: r["average"] for r in threads.recursive_average(chain.union(star)).where("id like 'c%'").collect()}
+    below = None
+    for n in range(1999, -1, -1):
+        total, parts = scores[n] + (below or 0), 1 + (below is not None)
+        if n == 5:
+            total, parts = total + sum(i % 7 for i in range(100_000)), parts + 100_000
+        below = total // parts
+        assert got[f"c{n}"] == below, n
+    sizes = {r["id"]: r["size"] for r in threads.subtree_sizes(chain.union(star)).where("id in ('c0', 'c5', 'c6', 's1')").collect()}
+    assert sizes == {"c0": 102_000, "c5": 101_995, "c6": 1994, "s1": 1}
+
+
+THREADS = {
+    "x": (
+        "--- 2024-03-01T12:30 UTC ---\nann (3):first\nline\n"
+        " bo (-1):\n"
+        "  cy (0):  deep\n\n--- thread ends ---\n"
+        "\n--- thread ends ---\n"
+        " ann (2): later\n more\n\n--- thread ends ---\n"
+        "\n--- thread ends ---\n"
+    ),
+    "y": "--- 2024-03-01T12:00 UTC ---\nbo (7):\n\n--- thread ends ---\n",
+}
+
+
+def test_text_and_its_size(make):
+    comments = make(
+        [
+            {"id": "x4", "parent_id": "t1_x", "author": "ann", "score": 2, "body": "later\nmore", "created_utc": at("2024-03-01 12:50:00")},
+            {"id": "x", "parent_id": "t3_s", "author": "ann", "score": 3, "body": "first\nline", "created_utc": at("2024-03-01 12:30:00")},
+            {"id": "x3", "parent_id": "t1_x2", "author": "cy", "score": 0, "body": "deep", "created_utc": at("2024-03-01 13:30:00")},
+            {"id": "x2", "parent_id": "t1_x", "author": "bo", "score": -1, "body": "", "created_utc": at("2024-03-01 12:40:00")},
+            {"id": "y", "parent_id": "t3_s", "author": "bo", "score": 7, "body": "", "created_utc": at("2024-03-01 12:00:00")},
+        ]
+    )
+    nodes = threads.resolve(threads.with_text_length(comments), carry=("created_utc", "text_length", "indents")).nodes
+    got = {r["root"]: r["text"] for r in threads.thread_texts(nodes, comments, nodes).collect()}
+    assert got == THREADS
+    tokens = {r["root"]: r["tokens"] for r in threads.thread_tokens(nodes).collect()}
+    assert tokens == {r: math.ceil(len(t) / 4) for r, t in THREADS.items()}
+
+
+def test_pieces_are_numbered_without_gaps_and_give_the_text(case):
     tree, comments, nodes = case
-    whole = threads.thread_texts(nodes, comments, nodes)
-    got = {r["root"]: r["text"] for r in whole.collect()}
-    assert got == {r: tree.text(r) for r in tree.roots}
+    pieces = threads.thread_pieces(threads.in_order(nodes), comments).collect()
+    whole = {r["root"]: r["text"] for r in threads.thread_texts(nodes, comments, nodes).collect()}
     tokens = {r["root"]: r["tokens"] for r in threads.thread_tokens(nodes).collect()}
-    assert tokens == {r: math.ceil(len(t) / 4) for r, t in got.items()}
-    # the ordered pieces say the same without gathering a thread
-    pieces = threads.thread_pieces(nodes, comments).orderBy("root", "place").collect()
-    assert "".join(p["text"] for p in pieces) == "".join(got[r] for r in sorted(got))
+    for root in tree.roots:
+        own = sorted((p["piece"], p["text"], p["id"]) for p in pieces if p["root"] == root)
+        assert [p[0] for p in own] == list(range(1, 2 * len(list(tree.walk(root))) + 1))
+        assert "".join(p[1] for p in own) == whole[root]
+        assert [p[2] for p in own if p[1] != END] == [i for i, _ in tree.walk(root)]
+        assert tokens[root] == math.ceil(len(whole[root]) / 4)
 
 
 def test_rollup(case):
@@ -133,14 +187,15 @@ def test_threads_of_comments_and_people(case):
 
 def test_ranked_threads(case):
     tree, _, nodes = case
-    got = [(r["root"], r["average"]) for r in threads.ranked_threads(threads.recursive_average(nodes)).collect()]
-    assert got == sorted(((r, tree.average(r)) for r in tree.roots), key=lambda x: (-x[1], x[0]))
+    got = rows(threads.ranked_threads(threads.recursive_average(nodes)), "position", "root", "average")
+    want = sorted(((r, tree.average(r)) for r in tree.roots), key=lambda x: (-x[1], x[0]))
+    assert got == [(n, *x) for n, x in enumerate(want, start=1)]
 
 
 def test_comments_without_a_root_say_why(make):
     links = {"a": None, "b": "", "c": "zz_1", "d": "t1_gone", "e": "t1_d", "f": "t1_e", "g": "t1_f", "g2": "t1_g",
              "h": "t1_i", "i": "t1_h", "j": "t1_i", "k": "t1_k", "l": "t1_a", "m": "t1_l", "ok": "t3_s", "ok2": "t1_ok"}
-    found = threads.resolve(make([{"id": i, "parent_id": p} for i, p in links.items()]), with_path=True)
+    found = threads.resolve(make([{"id": i, "parent_id": p} for i, p in links.items()]))
     reasons = {r["id"]: r["reason"] for r in found.orphans.collect()}
     assert reasons == {
         "a": "no parent", "b": "no parent", "l": "no parent", "m": "no parent", "c": "malformed parent",
@@ -179,7 +234,8 @@ def test_budget_drops_the_lowest_ranked(spark):
     drawn = threads.sampled_threads(table.where("author <> 'bo'"), seed=1, limit=100, share=0.85)
     again = threads.sampled_threads(table.where("author <> 'bo'"), seed=2, limit=100, share=0.85)
     assert rows(drawn, "root") == [("r1",), ("r2",), ("r3",), ("r4",)]
-    assert [r["root"] for r in drawn.collect()] != [r["root"] for r in again.collect()]
+    assert rows(drawn, "position") == [(1,), (2,), (3,), (4,)]
+    assert rows(drawn, "position", "root") != rows(again, "position", "root")
 
 
 def test_comments_of_submissions(make):
