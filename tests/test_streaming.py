@@ -30,20 +30,19 @@ def test_ingested_snapshots_keep_the_last_version(make, spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "days")), "id", "score") == want
 
 
-def test_hourly_counts_once_per_id_and_only_closed_hours(make, spark, tmp_path):
-    source = str(tmp_path / "in")
+def test_hourly_counts_once_per_id_however_late(make, spark, tmp_path):
+    source, table, marks = (str(tmp_path / n) for n in ("in", "table", "marks"))
     times = {"a": "08:05", "b": "08:50", "c": "09:10", "d": "11:30", "e": "12:00"}
     frame = make([{"id": i, "created_utc": at(f"2024-03-01 {t}:00")} for i, t in times.items()])
-    late = make([{"id": "old", "created_utc": at("2024-03-03 08:00:00")}])
-    frame = frame.union(frame).union(late)
-    drop(frame, source, "one")
+    tomorrow = make([{"id": "new", "created_utc": at("2024-03-03 08:00:00")}])
+    drop(frame.where("id > 'b'").union(tomorrow), source, "one")
+    drop(frame.union(frame), source, "two")  # a and b arrive when later hours have been seen
     stream = jobs.drop_late(stream_of(spark, frame.schema, source), F.lit(dt.date(2024, 3, 1)))
-    counts = jobs.hourly_counts(stream)
-    jobs.finish(jobs.run_to_table(counts, str(tmp_path / "table"), str(tmp_path / "marks")))
-    got = spark.read.schema(counts.schema).parquet(str(tmp_path / "table"))
+    for _ in range(2):
+        jobs.finish(jobs.ingest_sightings(stream, table, marks))
     start = int(at("2024-03-01 08:00:00").timestamp())
-    # the hour of 11:30 is open: the watermark stands at 11:50
-    assert rows(got, "hour", "comment_count") == [(start, 2), (start + 3600, 1)]
+    got = rows(jobs.hourly_counts(spark, table), "hour", "comment_count")
+    assert got == [(start, 2), (start + 3600, 1), (start + 3 * 3600, 1), (start + 4 * 3600, 1)]
 
 
 def test_requests_are_answered_once_while_fresh(make, spark, tmp_path):
