@@ -7,6 +7,8 @@ by the distance. Each statement starts with the comments as common table express
 
 from __future__ import annotations
 
+import re
+
 from palaver.fixed import (
     BOT_TRIGGERS,
     CHUNK_TYPES,
@@ -41,6 +43,12 @@ comments AS (
 )"""
 
 
+#: The comments without their bodies, and so without the documents.
+NARROW = re.sub(r"CASE WHEN e.event_id % 194.*?END END AS body", "NULL AS body", COMMENTS, flags=re.S).replace(
+    "FROM events e JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)", "FROM events e"
+)
+
+
 def _list(words: list[str]) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
@@ -195,6 +203,24 @@ def _friendly(day: str, today: str) -> str:
     return f"CASE date_diff('day', {day}, {today}) WHEN 0 THEN 'today' WHEN 1 THEN 'yesterday' ELSE 'on ' || dayname({day}) END"
 
 
+def _overall() -> str:
+    """The figures over all users of each span."""
+    return f"""
+spans AS (SELECT DISTINCT days FROM requests),
+everyone AS (SELECT days, c.*, length(body) - length(replace(body, ' ', '')) + 1 AS words, {EASTERN_DAY} AS wall
+         FROM spans CROSS JOIN latest l JOIN comments c ON c.dt_date BETWEEN l.day - CAST(days - 1 AS INT) AND l.day),
+pairs AS (SELECT days, author, wall, count(*) AS n FROM everyone GROUP BY ALL),
+all_best AS (SELECT days, body, score, permalink FROM everyone
+         QUALIFY row_number() OVER (PARTITION BY days ORDER BY score DESC, id) = 1),
+overall AS (
+  SELECT days, p.max_comments, p.mean_comments, f.max_words, f.mean_words, f.average_score,
+    all_best.body AS top_body, all_best.score AS top_score, all_best.permalink AS top_permalink
+  FROM (SELECT days, max(n) AS max_comments, avg(n) AS mean_comments FROM pairs GROUP BY days) p
+  JOIN (SELECT days, max(words) AS max_words, avg(words) AS mean_words, avg(score) AS average_score FROM everyone GROUP BY days) f
+    USING (days) JOIN all_best USING (days)
+)"""
+
+
 def _user_results(extra: str = "") -> str:
     """Requests answered one by one: every comment of the span, and a filled calendar for the mean."""
     return f"""
@@ -328,6 +354,12 @@ edges AS (SELECT author, min(b) AS lo, max(b) AS hi FROM bucketed GROUP BY autho
 grid AS (SELECT author, unnest(generate_series(lo, hi, {step})) AS b FROM edges),
 counts AS (SELECT g.author, g.b, count(k.id) AS n FROM grid g LEFT JOIN bucketed k ON k.author = g.author AND k.b = g.b GROUP BY ALL)
 SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM counts GROUP BY author"""
+    harvested = (_with(COMMENTS, versions)
+        + """, found AS (SELECT * REPLACE (dt_date - CASE WHEN n % 5 = 0 THEN 1 ELSE 0 END AS dt_date) FROM versions)
+             SELECT CAST(dt_date AS DATE) AS dt_date, id, author, CASE WHEN author = '' THEN '' ELSE author_flair_text END AS author_flair_text,
+               CASE WHEN author = '' THEN 0 ELSE score END AS score, length(body) AS body_length
+             FROM found WHERE created_utc <= CAST(dt_date + 1 AS TIMESTAMP) + INTERVAL 7 HOURS
+             QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingest_ts DESC) = 1""")
     return {
         "bad_counts": base
         + """SELECT dt_date, count(*) FILTER (body = '[deleted]') AS deleted, count(*) FILTER (body = '[removed]') AS removed,
@@ -364,7 +396,8 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
               FROM (SELECT DISTINCT author, author_flair_text, {label} AS label FROM week) WHERE label <> '' GROUP BY label
               QUALIFY row_number() OVER (ORDER BY count(*) DESC, label) <= 3""",
         "upvoted_comments": base
-        + "SELECT dt_date, id, author, score, permalink, regexp_replace(body, '(?i)!ping', '*ping', 'g') AS body FROM clean",
+        + """SELECT dt_date, row_number() OVER (PARTITION BY dt_date ORDER BY score DESC, id) AS position, id, author, score, permalink,
+               regexp_replace(body, '(?i)!ping', '*ping', 'g') AS body FROM clean""",
         "top_comments": base
         + """, ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY dt_date ORDER BY score DESC, id) AS INT) AS position FROM clean),
              muted AS (SELECT *, regexp_replace(body, '(?i)!ping', '*ping', 'g') AS b FROM ranked WHERE position <= 3)
@@ -381,8 +414,11 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
                WHEN position <= floor(size * 3 / 10) THEN 3 END AS band, emoji, uses FROM sized""",
         "activity": _with(COMMENTS, CLEAN, ACTIVITY.format(by="dt_date"))
         + "SELECT dt_date, hour, comments, norm_count FROM activity",
-        "user_activity": _with(COMMENTS, CLEAN, ACTIVITY.format(by="author"))
-        + "SELECT author, hour, comments, norm_count FROM activity",
+        "user_activity": _with(
+            COMMENTS, CLEAN, "keyed AS (SELECT *, author || '|' || dt_date AS k FROM clean)",
+            ACTIVITY.format(by="k").replace("FROM clean", "FROM keyed").replace("JOIN clean", "JOIN keyed"),
+        )
+        + "SELECT split_part(k, '|', 1) AS author, CAST(split_part(k, '|', 2) AS DATE) AS dt_date, hour, comments, norm_count FROM activity",
         "activity_bars": _with(COMMENTS, CLEAN, ACTIVITY.format(by="dt_date"))
         + """SELECT dt_date, hour, repeat('█', CAST(round_even(norm_count * 15 + 1, 0) AS INT)) AS bar FROM activity
              QUALIFY hour < max(hour) OVER (PARTITION BY dt_date)""",
@@ -408,18 +444,7 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
         + """SELECT author, body, score, permalink FROM comments
              QUALIFY row_number() OVER (PARTITION BY author ORDER BY score DESC, id) = 1""",
         "user_summary": _with(COMMENTS, REQUESTS, _user_results()) + "SELECT * FROM answers",
-        "overall_stats": _with(COMMENTS, REQUESTS)
-        + f""", spans AS (SELECT DISTINCT days FROM requests),
-             mine AS (SELECT days, c.*, length(body) - length(replace(body, ' ', '')) + 1 AS words, {EASTERN_DAY} AS wall
-                      FROM spans CROSS JOIN latest l JOIN comments c ON c.dt_date BETWEEN l.day - CAST(days - 1 AS INT) AND l.day),
-             pairs AS (SELECT days, author, wall, count(*) AS n FROM mine GROUP BY ALL),
-             best AS (SELECT days, body, score, permalink FROM mine
-                      QUALIFY row_number() OVER (PARTITION BY days ORDER BY score DESC, id) = 1)
-             SELECT days, p.max_comments, p.mean_comments, f.max_words, f.mean_words, f.average_score,
-               best.body AS top_body, best.score AS top_score, best.permalink AS top_permalink
-             FROM (SELECT days, max(n) AS max_comments, avg(n) AS mean_comments FROM pairs GROUP BY days) p
-             JOIN (SELECT days, max(words) AS max_words, avg(words) AS mean_words, avg(score) AS average_score FROM mine GROUP BY days) f
-               USING (days) JOIN best USING (days)""",
+        "overall_stats": _with(COMMENTS, REQUESTS, _overall()) + "SELECT * FROM overall",
         "stale_requests": _with(COMMENTS, REQUESTS)
         + f""", written AS (SELECT author AS username, max(created_utc) AS written_at FROM comments GROUP BY author),
              stored AS (SELECT {RESULT_KEY} AS result_key, written_at FROM requests JOIN written USING (username))
@@ -435,19 +460,14 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
              QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingest_ts DESC) = 1""",
         "insert_new": _with(COMMENTS, versions)
         + """SELECT id, nullif(author, '') AS author, nullif(author_flair_text, '') AS author_flair_text, nullif(score, 0) AS score, dt_date
-             FROM versions WHERE ingest_ts = 1 AND id NOT IN (SELECT id FROM comments WHERE score < 0)""",
+             FROM versions v WHERE ingest_ts = 1 AND NOT EXISTS (SELECT 1 FROM comments c WHERE c.id = v.id AND c.score < 0)""",
         "json_days": _with(COMMENTS)
         + """SELECT dt_date, id, author, author_flair_text, score, epoch_us(created_utc) AS created_micros, length(body) AS body_length
              FROM comments""",
         "before_day_end": _with(COMMENTS)
         + """SELECT id, dt_date FROM comments
              WHERE created_utc <= CAST(dt_date - CAST(n % 2 AS INT) + 1 AS TIMESTAMP) + INTERVAL 7 HOURS""",
-        "harvested": _with(COMMENTS, versions)
-        + """, found AS (SELECT * REPLACE (dt_date - CASE WHEN n % 5 = 0 THEN 1 ELSE 0 END AS dt_date) FROM versions)
-             SELECT CAST(dt_date AS DATE) AS dt_date, id, author, CASE WHEN author = '' THEN '' ELSE author_flair_text END AS author_flair_text,
-               CASE WHEN author = '' THEN 0 ELSE score END AS score, length(body) AS body_length
-             FROM found WHERE created_utc <= CAST(dt_date + 1 AS TIMESTAMP) + INTERVAL 7 HOURS
-             QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingest_ts DESC) = 1""",
+        "harvested": harvested,
         "normalised_blank": _with(COMMENTS)
         + """SELECT id, CASE WHEN gone THEN '' ELSE author END AS author, CASE WHEN gone THEN '' ELSE author_flair_text END AS author_flair_text,
                CASE WHEN gone THEN 0 ELSE score END AS score
@@ -455,7 +475,25 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
         "ids_of_author_and_day": _with(COMMENTS)
         + """SELECT id FROM comments WHERE author_flair_text <> ''
              INTERSECT SELECT id FROM comments WHERE dt_date = (SELECT max(dt_date) FROM comments)""",
-        "by_ids": _with(COMMENTS) + "SELECT id, author, score FROM comments WHERE 't1_' || id IN (SELECT parent_id FROM comments)",
+        "by_ids": _with(NARROW)
+        + """SELECT c.id, c.author, c.score FROM comments c
+             JOIN (SELECT DISTINCT substr(parent_id, 4) AS id FROM comments WHERE parent_id LIKE 't1%') p ON p.id = c.id""",
+        "user_days": _with(NARROW)
+        + "SELECT dt_date, id, score FROM comments WHERE author = 'user_3' AND dt_date = (SELECT max(dt_date) FROM comments)",
+        "day_offset": _with(NARROW)
+        + "SELECT dt_date, id FROM comments WHERE dt_date = (SELECT CAST(max(created_utc) AS DATE) FROM comments) - 2",
+        "json_array_days": _with(COMMENTS)
+        + """SELECT dt_date, id, author, author_flair_text, score, epoch_us(created_utc) AS created_micros, length(body) AS body_length
+             FROM comments""",
+        "loaded_days": _with(COMMENTS)
+        + """SELECT dt_date, id, CASE WHEN score < 0 THEN author ELSE nullif(author, '') END AS author,
+               CASE WHEN score < 0 THEN -100 ELSE nullif(score, 0) END AS score, length(body) AS body_length FROM comments""",
+        "one_thread": tree + "SELECT id, parent, root, depth FROM tree WHERE root = (SELECT root FROM tree WHERE id = 'c21')",
+        "user_result": _with(COMMENTS, REQUESTS, _user_results(), _overall())
+        + """SELECT a.* EXCLUDE (top_body), o.max_comments AS all_max_comments, o.mean_comments AS all_mean_comments,
+               o.max_words AS all_max_words, o.mean_words AS all_mean_words, o.average_score AS all_average_score,
+               o.top_score AS all_top_score, o.top_permalink AS all_top_permalink
+             FROM answers a JOIN overall o ON o.days = a.days""",
         "parents_filled": _with(COMMENTS)
         + "SELECT id, CASE WHEN n % 23 = 0 AND n % 46 <> 0 THEN NULL ELSE parent_id END AS parent_id FROM comments",
         "quoted_comments": _with(COMMENTS)
@@ -477,7 +515,7 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
         "thread_avg": _with(COMMENTS, TREE, AVERAGES, recursive=True) + "SELECT id, root, depth, average FROM averages",
         "conversation_avg": _with(CONVERSATIONS, TREE, CONVERSATION_AVERAGES, recursive=True)
         + "SELECT id, root, depth, average FROM averages",
-        "ranked_threads": _with(COMMENTS, TREE, AVERAGES, recursive=True) + "SELECT root, average FROM averages WHERE depth = 0",
+        "ranked_threads": _with(COMMENTS, TREE, AVERAGES, recursive=True) + "SELECT root, average, row_number() OVER (ORDER BY average DESC, root) AS position FROM averages WHERE depth = 0",
         "user_threads": tree + "SELECT DISTINCT author, dt_date, root FROM tree",
         "latest_day_threads": tree
         + """SELECT root, id, depth FROM tree
@@ -488,7 +526,8 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
         "thread_order": tree
         + "SELECT root, row_number() OVER (PARTITION BY root ORDER BY path) AS position, id, depth FROM tree",
         "thread_rows": tree + "SELECT root, parent, depth, id, author, score, length(body) AS body_length FROM tree",
-        "thread_text": pieces + "SELECT root, id, depth, text FROM pieces",
+        "thread_text": pieces
+        + "SELECT root, id, depth, row_number() OVER (PARTITION BY root ORDER BY place) AS piece, text FROM pieces",
         "budgeted_threads": sized
         + """, mine AS (SELECT DISTINCT c.author, t.root FROM clean c JOIN tree t ON t.id = c.id),
              ranked AS (SELECT m.author, m.root, a.average, k.tokens,
@@ -500,7 +539,7 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
                FROM averages a JOIN tokens k ON k.root = a.root WHERE a.depth = 0)
              SELECT root, string_agg(text, '' ORDER BY place) AS text FROM pieces
              WHERE root IN (SELECT root FROM chosen WHERE running <= 102400) GROUP BY root""",
-        "sampled_threads": pieces + "SELECT root, tokens FROM tokens WHERE tokens <= 108800",
+        "sampled_threads": pieces + "SELECT row_number() OVER (ORDER BY md5(root || '-7'), root) AS position, root, tokens FROM tokens WHERE tokens <= 108800",
         "thread_submissions": tree
         + """, made AS (SELECT substr(parent_id, 4) AS id, min(created_utc) AS created_utc FROM comments WHERE parent_id LIKE 't3%' GROUP BY 1),
              chosen AS (SELECT id FROM made WHERE id IN ('s0', 's1', 's2')
@@ -517,9 +556,11 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
         + f"""SELECT {_title('keyword')} AS keyword, sum(score) AS score FROM scored
               WHERE score > 1 AND keyword <> '' AND keyword NOT IN ({_list(COMMON_WORDS)}) GROUP BY scored.keyword HAVING sum(score) > 3""",
         "clean_texts": _with(COMMENTS) + f"SELECT id, {_clean_text('body')} AS plain FROM comments",
-        "stream_hourly": base
+        "stream_hourly": base + "SELECT hour, author, count(*) AS comment_count FROM clean GROUP BY ALL",
+        "stream_late": base
         + """SELECT hour, author, count(*) AS comment_count FROM clean
-             WHERE hour + 3600 <= (SELECT epoch(max(created_utc)) - 600 FROM clean) GROUP BY ALL""",
+             WHERE created_utc <= CAST(dt_date - CAST(n % 2 AS INT) + 1 AS TIMESTAMP) + INTERVAL 7 HOURS GROUP BY ALL""",
+        "stream_harvested": harvested,
         "stream_latest": _with(COMMENTS, versions)
         + """SELECT id, score, length(body) AS body_length FROM versions
              QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingest_ts DESC) = 1""",

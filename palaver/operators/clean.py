@@ -105,21 +105,19 @@ def fetch(comments: DataFrame, winners: DataFrame, keys: Sequence[str]) -> DataF
 
     The winners are written first. Their true size is then known when the join is planned: if it
     is below the broadcast threshold, the comments are scanned but not shuffled, bodies and all;
-    beyond it, the join is a shuffle as any other.
+    beyond it, the join is a shuffle as any other. Where days are keys, only the days from the
+    winners' first to their last are scanned.
     """
-    return comments.join(materialise(winners, "winners"), list(keys))
+    stored = materialise(winners, "winners")
+    if "dt_date" in keys:
+        first, last = (stored.select(f("dt_date")).scalar() for f in (F.min, F.max))
+        comments = comments.where(F.col("dt_date").between(first, last))
+    return comments.join(stored, list(keys))
 
 
-def of_authors(comments: DataFrame, authors: DataFrame, at_most: int = 100_000) -> DataFrame:
-    """Comments by the listed authors, a filter by broadcast, if they are at most ``at_most``.
-
-    With more authors all comments are returned: the caller's aggregate and join on the author
-    make the same selection later, which then costs less than a shuffle of the comments.
-    """
-    names = materialise(authors.select("author").distinct(), "authors")
-    if names.count() > at_most:
-        return comments
-    return comments.join(F.broadcast(names), "author", "left_semi")
+def of_authors(comments: DataFrame, authors: DataFrame) -> DataFrame:
+    """Comments by the listed authors. The list is written first, so the planner knows its size."""
+    return comments.join(materialise(authors.select("author").distinct(), "authors"), "author", "left_semi")
 
 
 def common_ids(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -144,15 +142,14 @@ def first_by_id(rows: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def fill_parents(comments: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Missing parents are taken from ``lookup(id, parent_id)``; others stay as they are."""
-    found = lookup.select("id", F.col("parent_id").alias("_found"))
-    missing = F.col("parent_id").isNull() | (F.col("parent_id") == "")
-    return (
-        comments.join(found, "id", "left")
-        .withColumn("parent_id", F.when(missing, F.col("_found")).otherwise(F.col("parent_id")))
-        .drop("_found")
-    )
+    """Missing parents are taken from ``lookup(id, parent_id)``; others stay as they are.
 
-
-def slim(comments: DataFrame) -> DataFrame:
-    return comments.select("author", "body", "score")
+    Of several parents found for an id the smallest counts. Only rows that miss one are joined, so
+    the others are not moved.
+    """
+    known = lookup.where("parent_id is not null and parent_id <> ''")
+    found = known.groupBy("id").agg(F.min("parent_id").alias("_found"))
+    missing = F.col("parent_id").isNull() | (F.col("parent_id") == "")
+    lost = comments.where(missing).join(found, "id", "left")
+    filled = lost.withColumn("parent_id", F.col("_found")).select(comments.columns)
+    return comments.where(~missing).unionByName(filled)

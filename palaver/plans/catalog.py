@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,7 +109,9 @@ def weekly_census(spark, sf_dir):
 
 @query
 def upvoted_comments(spark, sf_dir):
-    return boards.upvoted_comments(cleaned(spark, sf_dir)).select("dt_date", "id", "author", "score", "permalink", "body")
+    return boards.upvoted_comments(cleaned(spark, sf_dir)).select(
+        "dt_date", "position", "id", "author", "score", "permalink", "body"
+    )
 
 
 @query
@@ -147,8 +150,8 @@ def activity_bars(spark, sf_dir):
 
 @query
 def user_activity(spark, sf_dir):
-    """Activity of every author over all days, with the empty hours."""
-    return hourly.activity(cleaned(spark, sf_dir), by=("author",))
+    """Activity of every author in each of their days, with the empty hours between the first and the last."""
+    return hourly.activity(cleaned(spark, sf_dir), by=("author", "dt_date"))
 
 
 @query
@@ -196,6 +199,14 @@ def user_summary(spark, sf_dir):
     return users.user_results(comments, derived.requests(comments), latest, latest)
 
 
+@query
+def user_result(spark, sf_dir):
+    """The figures of each request with those over all users of the same days beside them."""
+    comments = raw(spark, sf_dir)
+    latest = tables.latest_day(comments)
+    return users.results_with_overall(comments, derived.requests(comments), latest, latest).drop("top_body", "all_top_body")
+
+
 @query
 def overall_stats(spark, sf_dir):
     comments = raw(spark, sf_dir)
@@ -229,6 +240,50 @@ def latest_day(spark, sf_dir):
     return tables.of_days(raw(spark, sf_dir)).select("dt_date", "id", "author", "score")
 
 
+@query
+def user_days(spark, sf_dir):
+    """One author's comments of the newest day, days and author in one read."""
+    comments = raw(spark, sf_dir)
+    return clean.by_author(tables.of_days(comments), "user_3").select("dt_date", "id", "score")
+
+
+@query
+def day_offset(spark, sf_dir):
+    """Ids of the day two days before the newest comment was made."""
+    comments = raw(spark, sf_dir)
+    newest = comments.select(F.max("created_utc")).first()[0].replace(tzinfo=dt.timezone.utc)
+    return tables.of_days(comments, times.target_day(newest, 2)).select("dt_date", "id")
+
+
+def _json_arrays(spark: SparkSession, sf_dir: str) -> str:
+    """The comments as JSON arrays of at most a thousand, one per file."""
+    path = fresh_path(spark, "json-arrays")
+    numbered = tables.encode(raw(spark, sf_dir)).withColumn("part", F.floor(derived.number(F.col("id")) / 1000))
+    columns = [c for c in numbered.columns if c not in ("part", "dt_date")]
+    arrays = numbered.groupBy("part").agg(F.to_json(F.collect_list(F.struct(*columns))).alias("value"))
+    arrays.repartition("part").write.partitionBy("part").text(path)
+    return path
+
+
+@query
+def json_array_days(spark, sf_dir):
+    """All comments from files that hold one JSON array each."""
+    back = tables.with_day(tables.read_json_arrays(spark, f"{_json_arrays(spark, sf_dir)}/part=*"))
+    micros = F.unix_micros("created_utc").alias("created_micros")
+    return back.select("dt_date", "id", "author", "author_flair_text", "score", micros, body_length())
+
+
+@query
+def loaded_days(spark, sf_dir):
+    """The comments loaded from JSON arrays into a table that holds those with negative scores; stored ids win."""
+    path = fresh_path(spark, "loaded")
+    marked = raw(spark, sf_dir).where("score < 0").withColumn("score", F.lit(-100))
+    tables.write_days(marked, path)
+    loading.load_arrays(spark, f"{_json_arrays(spark, sf_dir)}/part=*", path)
+    stored = spark.read.schema(marked.schema).parquet(path)
+    return stored.select("dt_date", "id", "author", "score", body_length())
+
+
 @query
 def latest_by_id(spark, sf_dir):
     rows = clean.latest_by_id(derived.versions(raw(spark, sf_dir)), ["ingest_ts"])
@@ -315,8 +370,8 @@ def quoted_comments(spark, sf_dir):
 # -- threads ----------------------------------------------------------------------------------
 
 
-def _nodes(comments: DataFrame, *carry: str, with_path: bool = False) -> DataFrame:
-    return threads.resolve(comments, carry=carry, with_path=with_path).nodes
+def _nodes(comments: DataFrame, *carry: str) -> DataFrame:
+    return threads.resolve(comments, carry=carry).nodes
 
 
 @query
@@ -383,7 +438,13 @@ def thread_contains(spark, sf_dir):
 
 @query
 def thread_order(spark, sf_dir):
-    return threads.reading_order(_nodes(raw(spark, sf_dir), with_path=True))
+    return threads.reading_order(_nodes(raw(spark, sf_dir), "created_utc"))
+
+
+@query
+def one_thread(spark, sf_dir):
+    """All comments of the thread that holds one comment."""
+    return threads.thread_of(_nodes(raw(spark, sf_dir)), "c21")
 
 
 @query
@@ -397,8 +458,7 @@ def thread_rows(spark, sf_dir):
 def thread_text(spark, sf_dir):
     """The text of every thread as ordered pieces, two per comment."""
     comments = raw(spark, sf_dir)
-    pieces = threads.thread_pieces(_nodes(comments, with_path=True), comments)
-    return pieces.orderBy("root", "place").select("root", "id", "depth", "text")
+    return threads.thread_pieces(threads.in_order(_nodes(comments, "created_utc")), comments)
 
 
 def _ranked_sizes(nodes: DataFrame) -> DataFrame:
@@ -420,7 +480,7 @@ def budgeted_threads(spark, sf_dir):
 def budgeted_thread_text(spark, sf_dir):
     """Whole text of the best threads that fit into the token limit together."""
     comments = raw(spark, sf_dir)
-    nodes = _nodes(threads.with_text_length(comments), "score", "text_length", "indents", with_path=True)
+    nodes = _nodes(threads.with_text_length(comments), "created_utc", "score", "text_length", "indents")
     chosen = threads.budgeted_prefix(_ranked_sizes(nodes), [])
     return threads.thread_texts(nodes, comments, chosen)
 
@@ -430,7 +490,7 @@ def sampled_threads(spark, sf_dir):
     """Threads that fit on their own, in random order."""
     sized = threads.with_text_length(raw(spark, sf_dir))
     nodes = _nodes(sized, "text_length", "indents")
-    return threads.sampled_threads(threads.thread_tokens(nodes), seed=7).select("root", "tokens")
+    return threads.sampled_threads(threads.thread_tokens(nodes), seed=7).select("position", "root", "tokens")
 
 
 @query
@@ -489,15 +549,38 @@ def _event_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("body")
 
 
+def _counted_stream(spark: SparkSession, comments: DataFrame) -> DataFrame:
+    path = fresh_path(spark, "stream-hourly")
+    jobs.finish(jobs.ingest_sightings(comments, f"{path}/table", f"{path}/checkpoint"))
+    return jobs.hourly_counts(spark, f"{path}/table")
+
+
 @query
 def stream_hourly(spark, sf_dir):
     """Comments per hour and author from a stream in which every comment arrives twice."""
-    path = fresh_path(spark, "stream-hourly")
-    twice = _event_comments(stream_session(spark), sf_dir).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
-    on_time = jobs.drop_late(twice, F.col("dt_date"))
-    counts = jobs.hourly_counts(clean.clean(on_time))
-    jobs.finish(jobs.run_to_table(counts, f"{path}/table", f"{path}/checkpoint"))
-    return spark.read.schema(counts.schema).parquet(f"{path}/table")
+    copies = F.explode(F.array(F.lit(1), F.lit(2)))
+    twice = _event_comments(stream_session(spark), sf_dir).withColumn("_copy", copies).drop("_copy")
+    return _counted_stream(spark, clean.clean(twice))
+
+
+@query
+def stream_late(spark, sf_dir):
+    """The same after the cut at the end of the day before their own or of their own, by turns."""
+    rows = _event_comments(stream_session(spark), sf_dir)
+    day = F.date_sub("dt_date", (derived.number(F.col("id")) % 2).cast("int"))
+    return _counted_stream(spark, clean.clean(jobs.drop_late(rows, day)))
+
+
+@query
+def stream_harvested(spark, sf_dir):
+    """Days stored from a stream of snapshots with two versions of some comments and late ones."""
+    path = fresh_path(spark, "stream-harvested")
+    late = F.date_sub("dt_date", (derived.number(F.col("id")) % 5 == 0).cast("int"))
+    snapshots = derived.versions(comment_stream(stream_session(spark), sf_dir)).withColumn("dt_date", late)
+    jobs.finish(jobs.ingest_snapshots(snapshots, f"{path}/table", f"{path}/checkpoint", day=F.col("dt_date")))
+    jobs.compact(spark, f"{path}/table", f"{path}/days")
+    stored = spark.read.schema(snapshots.drop("ingest_ts").schema).parquet(f"{path}/days")
+    return stored.select("dt_date", "id", "author", "author_flair_text", "score", body_length())
 
 
 @query

@@ -113,11 +113,14 @@ def rows_to_insert(rows: DataFrame, target: DataFrame, order: Sequence[str]) ->
 
 
 def insert_new(rows: DataFrame, path: str, order: Sequence[str], falsy_as_null: bool = False) -> None:
-    """Append the rows with new ids to the comment table at ``path``; stored rows win."""
+    """Append the rows with new ids to the comment table at ``path``; stored rows win.
+
+    The ids of all days are looked up, because an id may have been stored under another day.
+    """
     spark = rows.sparkSession
     new = rows_to_insert(rows, spark.read.schema(rows.schema).parquet(path), order)
     new = falsy_to_null(new) if falsy_as_null else new
-    new.write.mode("append").partitionBy("dt_date").parquet(path)
+    new.hint("rebalance", "dt_date").write.mode("append").partitionBy("dt_date").parquet(path)
 
 
 def read_query(spark: SparkSession, url: str, query: str, properties: dict[str, str] | None = None) -> DataFrame:

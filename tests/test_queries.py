@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import compare, connect
+from checks.oracles import oracles
+from palaver.plans import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,10 +16,10 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(oracles()) == set(catalog.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query(spark, con, name):
     fine, note = compare(spark, con, name, contract.queries()[name], contract.oracle_sql()[name], SF_DIR)
     assert fine, note
