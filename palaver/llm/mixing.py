@@ -46,13 +46,13 @@ GATES = 64
 #: Bytes after which the weights start again from those of the model.
 STRETCH = 1024
 #: Bytes that are coded together, in step.
-TOGETHER = 2 << 20
+TOGETHER = 1 << 20
 SAMPLE, SAMPLE_BYTES = 512, 8192
 RATE = 0.02
 #: Log odds are kept as whole numbers of 1/16.
 SCALE = 16.0
 PIECE = 1 << 15
-SEGMENT_TOKENS = 2_000_000
+SEGMENT_TOKENS = 1_000_000
 
 
 def huffman(counts: np.ndarray) -> list[list[tuple[int, int]]]:
