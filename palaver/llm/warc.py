@@ -121,12 +121,13 @@ def parse(piece: bytes) -> dict | None:
 
 _PIECE = (
     "file string, block_start long, at long, length long, type string, ident string, refers_to string, digest string, "
-    "uri string, behind long, whole boolean, payload_bytes long, payload_digest string, bytes binary"
+    "uri string, behind long, whole boolean, payload_bytes long, payload_digest string, bytes binary, payload binary"
 )
 _SCHEMA = pa.schema(
     [("file", pa.string()), ("block_start", pa.int64()), ("at", pa.int64()), ("length", pa.int64()), ("type", pa.string()),
      ("ident", pa.string()), ("refers_to", pa.string()), ("digest", pa.string()), ("uri", pa.string()), ("behind", pa.int64()),
-     ("whole", pa.bool_()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("bytes", pa.binary())]
+     ("whole", pa.bool_()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("bytes", pa.binary()),
+     ("payload", pa.binary())]
 )
 
 
@@ -159,6 +160,8 @@ def _pieces(spark: SparkSession, path: str, with_bytes: bool) -> DataFrame:
                     if row["whole"]:
                         payload = _payload(piece[found["block"] : stop])
                         row |= {"payload_bytes": len(payload), "payload_digest": digest(payload)}
+                        if with_bytes:
+                            row["payload"] = payload
                 if with_bytes:
                     row["bytes"] = piece
                 out.append(row)
@@ -200,7 +203,7 @@ def reachable(candidates: DataFrame) -> DataFrame:
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """The records below ``path``: ``file, start, type, ident, refers_to, digest, uri, payload_bytes, payload_digest``
     and, if asked for, ``payload``. Digests and sizes are computed from the bytes read, not taken from headers."""
-    narrow = materialise(_pieces(spark, path, False).drop("bytes"), "warc-pieces")
+    narrow = materialise(_pieces(spark, path, False).drop("bytes", "payload"), "warc-pieces")
     base = materialise(_offsets(narrow), "warc-blocks")
     placed = narrow.join(base, ["file", "block_start"]).withColumn("start", F.col("base") + F.col("at") - len(MAGIC))
     placed = placed.where("start >= 0")  # what precedes the first magic of a file is no candidate
@@ -243,8 +246,8 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
     mended = pieces_of.where("genuine and not whole").select(*header).join(again, ["file", "start"])
     entire = pieces_of.where("genuine and whole")
     if with_payload:
-        cut = F.udf(lambda b: _payload(b[parse(b)["block"] :][: parse(b)["size"]]), "binary")
-        entire = entire.join(pieces, ["file", "block_start", "at"]).withColumn("payload", cut("bytes"))
+        whole = _pieces(spark, path, True).select("file", "block_start", "at", "payload")
+        entire = entire.join(whole, ["file", "block_start", "at"])
     else:
         mended = mended.drop("payload")
     columns = [*header, "payload_bytes", "payload_digest", *(["payload"] if with_payload else [])]
@@ -256,12 +259,10 @@ def resolved(records: DataFrame) -> DataFrame:
     first = records.where("type = 'response'").groupBy(F.col("ident").alias("refers_to")).agg(
         F.min("payload_bytes").alias("n"), F.min("payload_digest").alias("d")
     )
-    return records.join(first, "refers_to", "left").withColumns(
-        {
-            "payload_bytes": F.when(F.col("type") == "revisit", F.col("n")).otherwise(F.col("payload_bytes")),
-            "payload_digest": F.when(F.col("type") == "revisit", F.col("d")).otherwise(F.col("payload_digest")),
-        }
-    ).drop("n", "d")
+    # only revisits refer to anything: the others, whose reference is null, are not joined
+    revisits = records.where("type = 'revisit'").join(first, "refers_to", "left")
+    revisits = revisits.withColumns({"payload_bytes": F.col("n"), "payload_digest": F.col("d")}).select(records.columns)
+    return records.where("type is distinct from 'revisit'").unionByName(revisits)
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
