@@ -165,20 +165,30 @@ class Model:
         gate = np.minimum(self.code.depth[place], GATES // 2 - 1) + begun[which] * np.int32(GATES // 2)
         unit = lane.astype(np.int32)[which] * np.int32(GATES) + gate
         weights = np.tile(self.weights, (len(first), 1))
+        # the four weights of a gate are moved as one 16-byte element, which is several times faster
+        whole = weights.view(np.complex128).ravel()
         odds = np.empty(len(place), np.float32)
         stops = np.searchsorted(which, np.cumsum(going)).tolist()
-        last = 0
-        x = np.ones((max(np.diff([0, *stops])), len(ORDERS) + 1), np.float32)
+        last, most = 0, max(np.diff([0, *stops]))
+        x, moved = np.ones((most, len(ORDERS) + 1), np.float32), np.empty(most, np.complex128)
+        signed = bit.astype(np.float32)
         for stop in stops:
-            u, y = unit[last:stop], bit[last:stop]
-            row = x[: stop - last]
+            u, n = unit[last:stop], stop - last
+            row, held = x[:n], moved[:n]
             np.multiply(inputs[last:stop], np.float32(1 / SCALE), out=row[:, : len(ORDERS)])
-            w = weights[u]
+            np.take(whole, u, out=held, mode="clip")
+            w = held.view(np.float32).reshape(n, -1)
             z = np.einsum("ij,ij->i", row, w)
             odds[last:stop] = z
-            error = (y - 1 / (1 + np.exp(-np.clip(z, -20, 20)))).astype(np.float32)
-            w += (np.float32(RATE) * error)[:, None] * row
-            weights[u] = w
+            np.clip(z, -20, 20, out=z)
+            np.negative(z, out=z)
+            np.exp(z, out=z)
+            z += 1
+            np.divide(1, z, out=z)
+            np.subtract(signed[last:stop], z, out=z)
+            z *= np.float32(RATE)
+            w += z[:, None] * row
+            whole[u] = held
             last = stop
         wrong = np.where(bit == 1, -odds, odds)
         cost = np.logaddexp(np.float32(0), np.clip(wrong, -20, 20)).astype(np.float64)
@@ -274,7 +284,7 @@ def _segments(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment, size = TaskContext.get().partitionId() << 32, 0
         keys, learned, texts, bits, words = [], [], [], [], {}
-        for batch in groups(batches):
+        for batch in groups(batches, TOGETHER // 2):
             data = column_bytes(batch, "text")
             scores = shared.value.costs(data)[0].tolist()
             for i, text in enumerate(data):
