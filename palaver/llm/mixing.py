@@ -1,17 +1,20 @@
 """Language-model scores by online logistic context mixing, beside a smoothed unigram score.
 
 A text is coded byte by byte, with an end behind the last, along the path of a binary code (a
-Huffman code, so that frequent bytes take few steps). At every step several predictors, each a
-table of bit counts under a hash of the preceding 1, 3 or 5 bytes and the node of the path, give
-the odds of the next bit. Their log odds are added under weights picked by a gate (depth in the
-path, and whether a word has begun); the weights follow the coding error of every byte as the text
-goes on. The sum of the logarithms of all probabilities is the score; divided by the bytes it gives
-bits per byte.
-
-The counts are gathered from all training texts: every task adds up its own, and tables are added
-piece by piece as they arrive, in memory bounded by the table. The binary code and the weights that
-every stretch of ``STRETCH`` bytes starts from come from a bounded sample of training texts (at
-most ``SAMPLE`` texts of at most ``SAMPLE_BYTES`` bytes, first by hash).
+Huffman code, so that frequent bytes take few steps). At every step several predictors, each with
+counts of bits after the preceding 1, 3 or 5 bytes at that node of the path, give the odds of the
+next bit. Their log odds are added under weights picked by a gate (depth in the path, and whether a
+word has begun); the weights follow the coding error of every bit as the text goes on, from its
+first byte to its last. The sum of the logarithms of all probabilities is the score; divided by the
+bytes it gives bits per byte.
+
+What is counted covers all training texts, and nothing is hashed together: contexts are numbers of
+up to 40 bits. Texts are cut into segments; a segment's distinct pairs of context and next symbol go
+to buckets by a hash of the context, where they are counted over all segments, and the odds along
+their paths come back to the segments that asked. No task and no broadcast holds the table of the
+corpus. A context that no training text has gives even odds. The binary code comes from the counts
+of all bytes and ends; the weights that every text starts from are means of the final weights of
+all training texts, by the bits each gate coded there.
 
 Word counts are exact: tasks number the words of a segment of texts, the distinct words of all
 segments are counted together, and the counts go back to their segments.
@@ -38,20 +41,18 @@ from palaver.llm.quality import remainder
 from palaver.session import materialise
 
 ORDERS = (1, 3, 5)
-#: Bits of the table of each order.
-BITS = (17, 20, 20)
-OFFSETS = tuple(int(x) for x in np.cumsum([0, *(1 << b for b in BITS)]))
 END = 256
 GATES = 64
-#: Bytes after which the weights start again from those of the model.
-STRETCH = 1024
-#: Bytes that are coded together, in step.
-TOGETHER = 1 << 20
-SAMPLE, SAMPLE_BYTES = 512, 8192
+#: Bytes after which the weights start again from those of the model: never, within a text.
+STRETCH = 1 << 62
+#: Bytes that are coded together, in step, and texts.
+TOGETHER, LANES = 1 << 17, 1 << 12
 RATE = 0.02
 #: Log odds are kept as whole numbers of 1/16.
 SCALE = 16.0
-PIECE = 1 << 15
+#: Bytes of text whose contexts are looked up together.
+SEGMENT_BYTES = 8 << 20
+BUCKETS = 1024
 SEGMENT_TOKENS = 1_000_000
 
 
@@ -82,6 +83,9 @@ class Code:
 
     def __init__(self, counts: np.ndarray):
         paths = huffman(counts)
+        while max(map(len, paths)) > GATES // 2:  # every step of a byte has a gate of its own
+            counts = counts // 2
+            paths = huffman(counts)
         self.length = np.array([len(p) for p in paths], np.int32)
         self.start = (np.cumsum(self.length) - self.length).astype(np.int32)
         self.node = np.array([n for p in paths for n, _ in p], np.uint32)
@@ -102,170 +106,418 @@ def laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def contexts(symbols: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """A hash of the symbols before each place, for every order."""
-    found = []
-    for order in ORDERS:
-        if order == 1:
-            found.append(symbols[at - 1].astype(np.uint32) << np.uint32(9))
-            continue
-        h = np.zeros(len(at), np.uint32)
-        for back in range(1, order + 1):
-            h = (h + symbols[at - back] + np.uint32(1)) * np.uint32(0x2C9277B5)
-            h ^= h >> np.uint32(15)
-        found.append(h)
+    """The symbols before each place as one number, for every order."""
+    found, h = [], np.zeros(len(at), np.uint64)
+    for back in range(1, max(ORDERS) + 1):
+        h = h | symbols[at - back].astype(np.uint64) << np.uint64(8 * (back - 1))
+        if back in ORDERS:
+            found.append(h)
     return found
 
 
-def steps(code: Code, symbols: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every binary step of the symbols at ``at``: which of them it belongs to, and its place in the code."""
-    now = symbols[at]
-    n = code.length[now]
-    which = np.repeat(np.arange(len(at), dtype=np.int32), n)
-    place = np.repeat(code.start[now] - (np.cumsum(n, dtype=np.int64) - n), n) + np.arange(int(n.sum()))
-    return which, place.astype(np.int32)
+def slots(order: int, context: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """The numbers under which the odds of steps are kept; different steps have different ones."""
+    return np.uint64(order << 48) | context << np.uint64(8) | node.astype(np.uint64)
 
 
-def slots(order: int, context: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """Table places of steps, counted from the first place of the first order."""
-    if order == 0:
-        return (context + node).astype(np.int32)
-    h = (context ^ (node * np.uint32(0x9E3779B1))) * np.uint32(0x85EBCA6B)
-    return (h >> np.uint32(32 - BITS[order])).astype(np.int32) + np.int32(OFFSETS[order])
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of the counts of each."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(counts[order], first) if len(keys) else counts
+
+
+def last_pairs(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The longest context and the symbol at each place, as one number."""
+    return contexts(symbols, at)[-1] << np.uint64(9) | symbols[at].astype(np.uint64)
+
+
+def pairs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of longest context and symbol, and how often each comes."""
+    symbols, begin = laid_out(texts)
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    total = int(sizes.sum())
+    shift = begin - (np.cumsum(sizes) - sizes)
+    ends = np.cumsum(sizes)
+    for i in range(0, total, TOGETHER):
+        at = np.arange(i, min(total, i + TOGETHER))
+        k, c = np.unique(last_pairs(symbols, at + shift[np.searchsorted(ends, at, "right")]), return_counts=True)
+        keys.append(k)
+        counts.append(c)
+    return summed(np.concatenate(keys), np.concatenate(counts))
+
+
+def shorter(pairs: np.ndarray, order: int) -> np.ndarray:
+    """The pairs with contexts of another order, marked with it."""
+    mask = np.uint64((1 << 8 * ORDERS[order]) - 1)
+    return np.uint64(order << 49) | (pairs >> np.uint64(9) & mask) << np.uint64(9) | pairs & np.uint64(511)
+
+
+def all_orders(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marked pairs of all orders, sorted, and their counts."""
+    found = [summed(shorter(pairs, o), counts) for o in range(len(ORDERS))]
+    return np.concatenate([k for k, _ in found]), np.concatenate([c for _, c in found])
+
+
+def spans(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``start``, ``start + 1``, ... of ``n`` places each, one after another."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+def path_steps(code: Code, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Steps of every marked pair, and of all steps the slot and the bit."""
+    symbol = (pairs & np.uint64(511)).astype(np.int64)
+    n = code.length[symbol].astype(np.int64)
+    place = spans(code.start[symbol].astype(np.int64), n)
+    slot = np.repeat(pairs >> np.uint64(9) << np.uint64(8), n) | code.node[place].astype(np.uint64)
+    return n, slot, code.bit[place]
+
+
+def bucket_order(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of marked pairs by bucket, and where each bucket begins and ends in it."""
+    h = (pairs >> np.uint64(9)) * np.uint64(0x9E3779B97F4A7C15)
+    bucket = ((h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)).astype(np.int64) % BUCKETS
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
+
+
+class Odds:
+    """Log odds of a one by slot, in units of 1 / SCALE; zero where nothing was learned."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+
+    def __getitem__(self, slot: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(np.shape(slot), np.int8)
+        at = np.minimum(np.searchsorted(self.keys, slot), len(self.keys) - 1)
+        return np.where(self.keys[at] == slot, self.values[at], np.int8(0))
+
+
+class Paths:
+    """The steps of all pairs of a segment: log odds of each order and the bit, moved as one element."""
+
+    def __init__(self, code: Code, marked: np.ndarray, odds: np.ndarray):
+        """``odds``: those of the steps of the ``marked`` pairs, one pair after another."""
+        length = code.length[(marked & np.uint64(511)).astype(np.int64)].astype(np.int64)
+        start = np.cumsum(length) - length
+        longest = len(ORDERS) - 1
+        low = int(np.searchsorted(marked, np.uint64(longest << 49)))
+        self.pairs = marked[low:] & np.uint64((1 << 49) - 1)
+        symbol = (self.pairs & np.uint64(511)).astype(np.int64)
+        self.n = length[low:]
+        self.start = np.cumsum(self.n) - self.n
+        rows = np.empty((int(self.n.sum()), len(ORDERS) + 1), np.int8)
+        for o in range(len(ORDERS)):
+            rows[:, o] = odds[spans(start[np.searchsorted(marked, shorter(self.pairs, o))], self.n)]
+        place = spans(code.start[symbol].astype(np.int64), self.n)
+        rows[:, -1] = code.bit[place]
+        self.rows = rows.view(np.uint32).ravel()
+        self.depth = code.depth[place].astype(np.int32)
+        self.shift = np.uint64(64 - max(1, int(4 * len(self.pairs)).bit_length()))
+        self.likely = np.zeros(1 << (64 - int(self.shift)), np.int32)
+        self.likely[self._hash(self.pairs)] = np.arange(len(self.pairs))
+
+    def _hash(self, pairs: np.ndarray) -> np.ndarray:
+        return pairs * np.uint64(0x9E3779B97F4A7C15) >> self.shift
+
+    def find(self, pairs: np.ndarray) -> np.ndarray:
+        """The places of pairs of the segment."""
+        at = self.likely[self._hash(pairs)]
+        other = np.flatnonzero(self.pairs[at] != pairs)
+        at[other] = np.searchsorted(self.pairs, pairs[other])
+        return at
+
+
+def coded(paths: Paths, weights: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """Log10 probability of each text."""
+    score = np.zeros(len(texts))
+    for some, found in _in_groups(paths, weights, texts, False):
+        score[some] = found
+    return score
+
+
+def gained(paths: Paths, weights: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """By gate, the bits coded over all texts, and the sums of their final weights times those."""
+    return sum((found for _, found in _in_groups(paths, weights, texts, True)), np.zeros((GATES, len(ORDERS) + 2)))
+
+
+def _in_groups(paths: Paths, weights: np.ndarray, texts: list[bytes], learn: bool) -> Iterator[tuple[list[int], np.ndarray]]:
+    longest = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+    for i in range(0, len(longest), LANES):
+        some = longest[i : i + LANES]
+        yield some, _in_step(paths, weights, [texts[j] for j in some], learn)
+
+
+def _in_step(paths: Paths, start: np.ndarray, texts: list[bytes], learn: bool) -> np.ndarray:
+    """:func:`gained` or :func:`coded` for texts in falling order of length: all first symbols, all second symbols, ..."""
+    symbols, first = laid_out(texts)
+    size = np.array([len(t) + 1 for t in texts], np.int64)
+    weights = np.tile(start, (len(texts), 1))
+    # the four weights of a gate are moved as one 16-byte element, which is several times faster
+    whole = weights.view(np.complex128).ravel()
+    visits, score = np.zeros(len(whole)), np.zeros(len(texts))
+    half, rate = np.float32(0.5), np.float32(RATE / 2)
+    t, end = 0, int(size[0])
+    while t < end:
+        # the texts still going on are the longest ones
+        span = max(1, min(end - t, TOGETHER // int(np.searchsorted(-size, -t))))
+        going = np.searchsorted(-size, -np.arange(t + 1, t + span + 1), "right")
+        lane = np.arange(int(going.sum())) - np.repeat(np.cumsum(going) - going, going)
+        at = first[lane] + t + np.repeat(np.arange(span), going)
+        pair = paths.find(last_pairs(symbols, at))
+        n = paths.n[pair]
+        row = spans(paths.start[pair], n)
+        gate = paths.depth[row] + np.repeat((symbols[at - 1] > 32) * np.int32(GATES // 2), n)
+        unit = np.repeat(lane.astype(np.int32) * np.int32(GATES), n) + gate
+        ends = np.cumsum(n)
+        steps = paths.rows[row].view(np.int8).reshape(-1, len(ORDERS) + 1)
+        x = np.ones(steps.shape, np.float32)
+        np.multiply(steps[:, :-1], np.float32(1 / SCALE), out=x[:, :-1])
+        sign = steps[:, -1] * np.float32(2) - np.float32(1)
+        odds = np.empty(len(row), np.float32)
+        last = 0
+        for stop in ends[np.cumsum(going) - 1].tolist():
+            u, r, z = unit[last:stop], x[last:stop], odds[last:stop]
+            held = whole.take(u)
+            w = held.view(np.float32).reshape(-1, len(ORDERS) + 1)
+            np.vecdot(r, w, out=z)
+            # the error of the probability of a one is half of the sign of the bit less tanh(z / 2)
+            error = np.tanh(z * half)
+            np.subtract(sign[last:stop], error, out=error)
+            error *= rate
+            w += r * error[:, None]
+            whole[u] = held
+            last = stop
+        if learn:
+            visits += np.bincount(unit, minlength=len(visits))
+        else:
+            cost = np.logaddexp(np.float32(0), np.clip(-sign * odds, -20, 20)).astype(np.float64)
+            score -= np.bincount(np.repeat(lane, n), cost, minlength=len(texts)) / np.log(10)
+        t += span
+    if not learn:
+        return score
+    visits = visits.reshape(len(texts), GATES)
+    return np.column_stack([visits.sum(axis=0), np.einsum("tg,tgi->gi", visits, weights.reshape(len(texts), GATES, -1).astype(np.float64))])
 
 
 @dataclass
 class Model:
+    """All that was learned, in one process: for small corpora. :func:`scores` leaves the odds where they were counted."""
+
     code: Code
-    #: Log odds of a one by table place, in units of 1 / SCALE.
-    odds: np.ndarray
+    odds: Odds
     #: Weights by gate: one for each order, and a constant.
     weights: np.ndarray
 
     def costs(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Log10 probability of each text, and the mean final weights over all stretches."""
-        symbols, begin = laid_out(texts)
-        sizes = np.array([len(t) + 1 for t in texts], np.int64)
-        n_parts = -(-sizes // STRETCH)
-        owner = np.repeat(np.arange(len(texts)), n_parts)
-        part = np.arange(int(n_parts.sum())) - np.repeat(np.cumsum(n_parts) - n_parts, n_parts)
-        first = begin[owner] + part * STRETCH
-        length = np.minimum(STRETCH, sizes[owner] - part * STRETCH)
-        longest = np.argsort(-length, kind="stable")
-        first, length, owner = first[longest], length[longest], owner[longest]
-        # all first symbols, all second symbols, ...: the stretches still going on are the longest ones
-        going = np.searchsorted(-length, -np.arange(1, int(length[0]) + 1), "right")
-        lane = np.arange(int(going.sum())) - np.repeat(np.cumsum(going) - going, going)
-        at = first[lane] + np.repeat(np.arange(len(going)), going)
-        which, place = steps(self.code, symbols, at)
-        node, bit = self.code.node[place], self.code.bit[place]
-        inputs = np.empty((len(place), len(ORDERS)), np.int8)
-        for o, c in enumerate(contexts(symbols, at)):
-            inputs[:, o] = self.odds[slots(o, c[which], node)]
-        begun = symbols[at - 1] > 32
-        gate = np.minimum(self.code.depth[place], GATES // 2 - 1) + begun[which] * np.int32(GATES // 2)
-        unit = lane.astype(np.int32)[which] * np.int32(GATES) + gate
-        weights = np.tile(self.weights, (len(first), 1))
-        # the four weights of a gate are moved as one 16-byte element, which is several times faster
-        whole = weights.view(np.complex128).ravel()
-        odds = np.empty(len(place), np.float32)
-        stops = np.searchsorted(which, np.cumsum(going)).tolist()
-        last, most = 0, max(np.diff([0, *stops]))
-        x, moved = np.ones((most, len(ORDERS) + 1), np.float32), np.empty(most, np.complex128)
-        signed = bit.astype(np.float32)
-        for stop in stops:
-            u, n = unit[last:stop], stop - last
-            row, held = x[:n], moved[:n]
-            np.multiply(inputs[last:stop], np.float32(1 / SCALE), out=row[:, : len(ORDERS)])
-            np.take(whole, u, out=held, mode="clip")
-            w = held.view(np.float32).reshape(n, -1)
-            z = np.einsum("ij,ij->i", row, w)
-            odds[last:stop] = z
-            np.clip(z, -20, 20, out=z)
-            np.negative(z, out=z)
-            np.exp(z, out=z)
-            z += 1
-            np.divide(1, z, out=z)
-            np.subtract(signed[last:stop], z, out=z)
-            z *= np.float32(RATE)
-            w += z[:, None] * row
-            whole[u] = held
-            last = stop
-        wrong = np.where(bit == 1, -odds, odds)
-        cost = np.logaddexp(np.float32(0), np.clip(wrong, -20, 20)).astype(np.float64)
-        return -np.bincount(owner[lane[which]], cost, minlength=len(texts)) / np.log(10), weights.reshape(-1, *self.weights.shape).mean(axis=0)
+        """Log10 probability of each text, and what :func:`gained` finds."""
+        marked, _ = all_orders(*pairs_of(texts))
+        paths = Paths(self.code, marked, self.odds[path_steps(self.code, marked)[1]])
+        return coded(paths, self.weights, texts), gained(paths, self.weights, texts)
 
 
-def groups(batches: Iterator[pa.RecordBatch], limit: int = TOGETHER) -> Iterator[pa.RecordBatch]:
-    """Batches of about ``limit`` bytes of text."""
-    return slices(batches, "text", limit)
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, which compress well."""
+    return np.diff(keys, prepend=np.uint64(0)).tobytes()
 
 
-def _counted(code: Code, texts: list[bytes], into: np.ndarray) -> None:
-    """Add the steps of ``texts`` to ``into``: zeros and ones by table place."""
-    symbols, begin = laid_out(texts)
-    sizes = np.array([len(t) + 1 for t in texts], np.int64)
-    at = np.arange(int(sizes.sum())) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
-    for i in range(0, len(at), TOGETHER):
-        some = at[i : i + TOGETHER]
-        which, place = steps(code, symbols, some)
-        node, bit = code.node[place], code.bit[place]
-        for o, c in enumerate(contexts(symbols, some)):
-            low, high = OFFSETS[o], OFFSETS[o + 1]
-            found = (slots(o, c[which], node) - np.int32(low)) * 2 + bit
-            into[2 * low : 2 * high] += np.bincount(found, minlength=2 * (high - low)).astype(np.uint32)
-
-
-def gather(docs: DataFrame, code: Code) -> np.ndarray:
-    """Log odds by table place from the counts over all texts of ``docs``; a few MB, whatever the input."""
-    shared = docs.sparkSession.sparkContext.broadcast(code)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * OFFSETS[-1], np.uint32)
-        for batch in groups(batches):
-            _counted(shared.value, column_bytes(batch, "text"), total)
-        for i in range(0, len(total), 2 * PIECE):
-            part = total[i : i + 2 * PIECE]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([part.tobytes()], pa.binary())], ["piece", "counts"])
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, np.uint64), dtype=np.uint64)
+
+
+def squeezed(data: bytes) -> bytes:
+    """Compressed by zstd, behind the size."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def opened(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
+def segment_texts(batch: pa.RecordBatch, i: int) -> list[bytes]:
+    data, ends = opened(batch.column("texts")[i].as_py()), _listed(batch, "ends", i).to_pylist()
+    return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def _listed(batch: pa.RecordBatch, name: str, i: int) -> pa.Array:
+    return batch.column(name)[i].values
+
+
+def read(docs: DataFrame) -> DataFrame:
+    """``key``, ``learned`` and ``text`` in segments: one row with the texts, the marked pairs in them, their counts in training texts, and the counts of symbols there."""
+
+    def row(segment: int, keys: list, learned: list, texts: list, pairs: list) -> pa.RecordBatch:
+        marked, counts = all_orders(*summed(*(np.concatenate(x) for x in zip(*pairs, strict=True))))
+        once = marked < np.uint64(1 << 49)
+        symbols = np.bincount((marked[once] & np.uint64(511)).astype(np.int64), counts[once], minlength=END + 1)
+        lists = [pa.concat_arrays(keys), pa.array(learned, pa.bool_()), pa.array(np.cumsum([len(t) for t in texts], dtype=np.int64)), pa.array(symbols.astype(np.int64))]
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([segment]), *lists, *(pa.array([squeezed(x)], pa.binary()) for x in (b"".join(texts), packed(marked), counts.astype(np.uint32).tobytes()))],
+            ["segment", "keys", "learned", "ends", "symbols", "texts", "pairs", "counts"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segment, size = TaskContext.get().partitionId() << 32, 0
+        keys, learned, texts, pairs = [], [], [], []
+        for batch in slices(batches, "text", SEGMENT_BYTES // 8):
+            data, taught = column_bytes(batch, "text"), batch.column("learned").to_pylist()
+            keys.append(batch.column("key"))
+            learned += taught
+            texts += data
+            for l in (True, False):
+                k, c = pairs_of([x for x, y in zip(data, taught, strict=True) if y == l])
+                pairs.append((k, c if l else np.zeros_like(c)))
+            size += sum(len(x) + 64 for x in data)
+            if size >= SEGMENT_BYTES:
+                yield row(segment, keys, learned, texts, pairs)
+                segment, size = segment + 1, 0
+                keys, learned, texts, pairs = [], [], [], []
+        if texts:
+            yield row(segment, keys, learned, texts, pairs)
+
+    kind = docs.schema["key"].dataType.simpleString()
+    schema = f"segment long, keys array<{kind}>, learned array<boolean>, ends array<long>, symbols array<long>, texts binary, pairs binary, counts binary"
+    return materialise(docs.select("key", "learned", "text").mapInArrow(run, schema), "lm-texts")
+
+
+def code_of(segments: DataFrame) -> Code:
+    """The binary code by the counts of all bytes and ends of training texts."""
+    counts = np.zeros(END + 1, np.int64)
+    for r in segments.select(F.posexplode("symbols").alias("s", "n")).groupBy("s").agg(F.sum("n").alias("n")).collect():
+        counts[r["s"]] = r["n"]
+    return Code(counts)
+
+
+def odds_of(keys: np.ndarray, counts: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slots and their odds by the counts of marked pairs, and the odds of all steps of the pairs."""
+    n, slot, bit = path_steps(code, keys)
+    slot, which = np.unique(slot, return_inverse=True)
+    times = np.repeat(counts, n).astype(np.float64)
+    one = np.bincount(which, times * bit, minlength=len(slot))
+    zero = np.bincount(which, times, minlength=len(slot)) - one
+    odds = np.clip(np.rint(np.log((one + 0.4) / (zero + 0.4)) * SCALE), -127, 127).astype(np.int8)
+    return slot, odds, odds[which]
+
+
+def gather(segments: DataFrame, code: Code, whole: bool = False) -> DataFrame:
+    """The odds along the paths of the pairs of each ``segment`` and ``bucket``, by the counts over all segments.
+
+    With ``whole``, all slots and their odds instead.
+    """
+    shared = segments.sparkSession.sparkContext.broadcast(code)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                pairs, counts = unpacked(opened(batch.column("pairs")[i].as_py())), np.frombuffer(opened(batch.column("counts")[i].as_py()), np.uint32)
+                order, cuts = bucket_order(pairs)
+                pairs, counts = pairs[order], counts[order]
+                full = np.flatnonzero(np.diff(cuts)).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([batch.column("segment")[i].as_py()] * len(full), pa.int64()), pa.array(full, pa.int64()),
+                        pa.array([packed(pairs[cuts[b] : cuts[b + 1]]) for b in full], pa.binary()),
+                        pa.array([counts[cuts[b] : cuts[b + 1]].tobytes() for b in full], pa.binary()),
+                    ],
+                    ["segment", "bucket", "pairs", "counts"],
+                )
+
+    def answer(bucket: int, rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
+        code = shared.value
+        asked = [unpacked(p) for _, p, _ in rows]
+        counts = np.concatenate([np.frombuffer(c, np.uint32) for _, _, c in rows]).astype(np.int64)
+        keys, counts = summed(np.concatenate(asked), counts)
+        slot, odds, along = odds_of(keys, counts, code)
+        if whole:
+            found = [(0, slot.tobytes(), odds.tobytes())]
+        else:
+            n = code.length[(keys & np.uint64(511)).astype(np.int64)].astype(np.int64)
+            start = np.cumsum(n) - n
+            at = [np.searchsorted(keys, x) for x in asked]
+            found = [(s, b"", along[spans(start[x], n[x])].tobytes()) for (s, _, _), x in zip(rows, at, strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([s for s, _, _ in found], pa.int64()), pa.array([bucket] * len(found), pa.int64()),
+             pa.array([k for _, k, _ in found], pa.binary()), pa.array([o for _, _, o in found], pa.binary())],
+            ["segment", "bucket", "slots", "odds"],
+        )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
+        now, rows = -1, []
         for batch in batches:
-            for i, counts in zip(batch.column("piece").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                part = np.frombuffer(counts, np.uint32)
-                total[i] = total.get(i, 0) + part.astype(np.uint64)
-        for i, counts in total.items():
-            zero, one = counts[0::2].astype(np.float64), counts[1::2].astype(np.float64)
-            odds = np.clip(np.rint(np.log((one + 0.4) / (zero + 0.4)) * SCALE), -127, 127).astype(np.int8)
-            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([odds.tobytes()], pa.binary())], ["piece", "odds"])
-
-    counted = docs.select("text").mapInArrow(count, "piece long, counts binary")
-    added = counted.repartition("piece").mapInArrow(add, "piece long, odds binary")
-    odds = np.zeros(OFFSETS[-1], np.int8)
-    for r in added.collect():
-        part = np.frombuffer(r["odds"], np.int8)
-        odds[r["piece"] // 2 : r["piece"] // 2 + len(part)] = part
-    return odds
+            for s, b, p, c in zip(*(batch.column(x).to_pylist() for x in ("segment", "bucket", "pairs", "counts")), strict=True):
+                if b != now and rows:
+                    yield answer(now, rows)
+                    rows = []
+                now = b
+                rows.append((s, p, c))
+        if rows:
+            yield answer(now, rows)
 
+    asked = segments.select("segment", "pairs", "counts").mapInArrow(ask, "segment long, bucket long, pairs binary, counts binary")
+    return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, "segment long, bucket long, slots binary, odds binary")
 
-def fit(docs: DataFrame) -> Model:
-    """A model of the texts of ``docs`` (``text``)."""
-    small = docs.select("text").where(F.octet_length("text").between(1, SAMPLE_BYTES))
-    sample = [r["text"].encode() for r in small.orderBy(F.xxhash64("text"), "text").limit(SAMPLE).collect()]
-    counts = np.bincount(np.frombuffer(b"".join(sample), np.uint8), minlength=END + 1)
-    counts[END] = len(sample)
-    code = Code(counts)
+
+def looked_up(segments: DataFrame, code: Code) -> DataFrame:
+    """The segments with the odds of their steps."""
+    found = gather(segments, code).groupBy("segment").agg(F.collect_list(F.struct("bucket", "odds")).alias("found"))
+    return materialise(segments.select("segment", "keys", "learned", "ends", "texts", "pairs").join(found, "segment"), "lm-odds")
+
+
+def segment_paths(batch: pa.RecordBatch, i: int, code: Code) -> Paths:
+    marked = unpacked(opened(batch.column("pairs")[i].as_py()))
+    order, _ = bucket_order(marked)
+    found = _listed(batch, "found", i)
+    by_bucket = sorted(zip(found.field("bucket").to_pylist(), found.field("odds").to_pylist(), strict=True))
+    n = code.length[(marked & np.uint64(511)).astype(np.int64)].astype(np.int64)
+    odds = np.empty(int(n.sum()), np.int8)
+    odds[spans((np.cumsum(n) - n)[order], n[order])] = np.frombuffer(b"".join(o for _, o in by_bucket), np.int8)
+    return Paths(code, marked, odds)
+
+
+def first_weights() -> np.ndarray:
     start = np.full((GATES, len(ORDERS) + 1), 0.35, np.float32)
     start[:, -1] = 0
-    model = Model(code, gather(docs, code), start)
-    for _ in range(3 if sample else 0):
-        model.weights = model.costs(sample)[1].astype(np.float32)
-    return model
+    return start
+
+
+def weights_of(ready: DataFrame, code: Code) -> np.ndarray:
+    """The weights to start from: means over all training texts of ``ready``, by the bits each gate coded there."""
+    shared = ready.sparkSession.sparkContext.broadcast(code)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((GATES, len(ORDERS) + 2))
+        for batch in batches:
+            for i in range(batch.num_rows):
+                texts = [t for t, l in zip(segment_texts(batch, i), _listed(batch, "learned", i).to_pylist(), strict=True) if l]
+                if texts:
+                    total += gained(segment_paths(batch, i, shared.value), first_weights(), texts)
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], ["gained"])
 
+    each = ready.select("learned", "ends", "texts", "pairs", "found").mapInArrow(run, "gained array<double>")
+    total = np.zeros(GATES * (len(ORDERS) + 2))
+    for r in each.select(F.posexplode("gained").alias("place", "x")).groupBy("place").agg(F.sum("x").alias("x")).collect():
+        total[r["place"]] = r["x"]
+    total = total.reshape(GATES, -1)
+    return np.where(total[:, :1] > 0, total[:, 1:] / np.maximum(total[:, :1], 1), first_weights()).astype(np.float32)
 
-def _segments(docs: DataFrame, model: Model) -> DataFrame:
+
+def fit(docs: DataFrame) -> Model:
+    """A model of the texts of ``docs`` (``text``), gathered into this process."""
+    segments = read(docs.select(F.lit(0).alias("key"), F.lit(True).alias("learned"), F.coalesce("text", F.lit("")).alias("text")))
+    code = code_of(segments)
+    parts = gather(segments, code, whole=True).collect()
+    keys, odds = (b"".join(r[c] for r in parts) for c in ("slots", "odds"))
+    return Model(code, Odds(np.frombuffer(keys, np.uint64), np.frombuffer(odds, np.int8)), weights_of(looked_up(segments, code), code))
+
+
+def _segments(ready: DataFrame, code: Code, weights: np.ndarray) -> DataFrame:
     """Scored texts in segments: one row with its words, their counts in training texts, and the texts as word numbers."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = ready.sparkSession.sparkContext.broadcast((code, weights))
 
     def row(segment: int, keys: list, learned: list, texts: list[np.ndarray], bits: list, words: dict[bytes, int]) -> pa.RecordBatch:
         ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
@@ -284,29 +536,31 @@ def _segments(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment, size = TaskContext.get().partitionId() << 32, 0
         keys, learned, texts, bits, words = [], [], [], [], {}
-        for batch in groups(batches, TOGETHER // 2):
-            data = column_bytes(batch, "text")
-            scores = shared.value.costs(data)[0].tolist()
-            for i, text in enumerate(data):
-                split = text.lower().split()
-                if texts and size + len(split) > SEGMENT_TOKENS:
-                    yield row(segment, keys, learned, texts, bits, words)
-                    segment, size = segment + 1, 0
-                    keys, learned, texts, bits, words = [], [], [], [], {}
-                size += len(split)
-                keys.append(batch.column("key").slice(i, 1))
-                learned.append(batch.column("learned")[i].as_py())
-                texts.append(np.fromiter((words.setdefault(w, len(words)) for w in split), np.int32, len(split)))
-                bits.append((scores[i], len(text)))
+        code, weights = shared.value
+        for batch in batches:
+            for r in range(batch.num_rows):
+                data, taught, given = segment_texts(batch, r), _listed(batch, "learned", r).to_pylist(), _listed(batch, "keys", r)
+                scores = coded(segment_paths(batch, r, code), weights, data).tolist()
+                for i, text in enumerate(data):
+                    split = text.lower().split()
+                    if texts and size + len(split) > SEGMENT_TOKENS:
+                        yield row(segment, keys, learned, texts, bits, words)
+                        segment, size = segment + 1, 0
+                        keys, learned, texts, bits, words = [], [], [], [], {}
+                    size += len(split)
+                    keys.append(given.slice(i, 1))
+                    learned.append(taught[i])
+                    texts.append(np.fromiter((words.setdefault(w, len(words)) for w in split), np.int32, len(split)))
+                    bits.append((scores[i], len(text)))
         if texts:
             yield row(segment, keys, learned, texts, bits, words)
 
-    kind = docs.schema["key"].dataType.simpleString()
+    kind = ready.schema["keys"].dataType.elementType.simpleString()
     schema = (
         f"segment long, keys array<{kind}>, learned array<boolean>, ends array<int>, tokens array<int>, words array<binary>, "
         "taught array<int>, scores array<double>, sizes array<long>"
     )
-    return materialise(docs.select("key", "learned", "text").mapInArrow(run, schema), "lm-segments")
+    return materialise(ready.mapInArrow(run, schema), "lm-segments")
 
 
 def scores(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -315,7 +569,10 @@ def scores(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str =
     Rows where ``learn_from`` is true are learned from; all are scored.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(learn_from, F.lit(False)).alias("learned"), F.coalesce(text, F.lit("")).alias("text"))
-    segments = _segments(rows, fit(rows.where("learned")))
+    texts = read(rows)
+    code = code_of(texts)
+    ready = looked_up(texts, code)
+    segments = _segments(ready, code, weights_of(ready, code))
     each = segments.select("segment", F.posexplode(F.arrays_zip("words", "taught")).alias("place", "w"))
     each = each.select("segment", "place", F.col("w.words").alias("word"), F.col("w.taught").alias("n"))
     counted = materialise(each.groupBy("word").agg(F.sum("n").alias("c")), "lm-words")

@@ -120,3 +120,25 @@ def test_held_out_texts_cost_little(spark):
     texts = dict(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect())
     size = sum(len((texts[r["doc_id"]] or "").encode()) for r in got)
     assert -sum(r["score"] for r in got) * math.log2(10) / size < 2.6
+
+
+def test_every_context_of_every_text_is_counted_apart(spark):
+    rng = random.Random(5)
+    texts = [bytes(rng.randrange(32, 127) for _ in range(rng.randint(0, 300))) for _ in range(120)]
+    model = mixing.fit(spark.createDataFrame([(t.decode(),) for t in texts], "text string").repartition(3))
+    counts = Counter()
+    for t in texts:
+        s = [0] * 5 + list(t) + [mixing.END]
+        for at in range(5, len(s)):
+            for k in range(int(model.code.length[s[at]])):
+                place = int(model.code.start[s[at]]) + k
+                for o, n in enumerate(mixing.ORDERS):
+                    counts[o, tuple(s[at - n : at]), int(model.code.node[place]), int(model.code.bit[place])] += 1
+    steps = {k[:3] for k in counts}
+    assert len(model.odds.keys) == len(steps) > 100_000
+    for o, context, node in rng.sample(sorted(steps), 3000):
+        number = np.array([sum(x << 8 * i for i, x in enumerate(reversed(context)))], np.uint64)
+        zero, one = (counts[o, context, node, b] for b in (0, 1))
+        found = model.odds[mixing.slots(o, number, np.array([node], np.uint32))][0]
+        assert found == np.clip(np.rint(math.log((one + 0.4) / (zero + 0.4)) * mixing.SCALE), -127, 127)
+    assert model.odds[mixing.slots(2, np.array([1 << 39], np.uint64), np.array([3], np.uint32))][0] == 0
