@@ -142,3 +142,20 @@ def test_every_context_of_every_text_is_counted_apart(spark):
         found = model.odds[mixing.slots(o, number, np.array([node], np.uint32))][0]
         assert found == np.clip(np.rint(math.log((one + 0.4) / (zero + 0.4)) * mixing.SCALE), -127, 127)
     assert model.odds[mixing.slots(2, np.array([1 << 39], np.uint64), np.array([3], np.uint32))][0] == 0
+
+
+def test_code_and_first_weights_come_from_all_texts_of_any_length(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(["the ", "and ", "ing ", "xq"]) for _ in range(4000)) for _ in range(6)]
+    assert min(map(len, texts)) > 8192
+    model = mixing.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    counts = np.bincount(np.frombuffer("".join(texts).encode(), np.uint8), minlength=mixing.END + 1)
+    counts[mixing.END] = len(texts)
+    assert model.code.length.tolist() == mixing.Code(counts).length.tolist()
+    assert model.code.length[ord(" ")] < model.code.length[0]
+    assert abs(model.weights[0, :3] - 0.35).max() > 0.01
+
+
+def test_no_path_is_longer_than_there_are_gates():
+    code = mixing.Code(np.array([int(1.7**min(i, 80)) for i in range(mixing.END + 1)]))
+    assert max(code.length) <= mixing.GATES // 2 and sum(2.0 ** -code.length) == 1
