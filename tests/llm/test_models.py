@@ -159,3 +159,16 @@ def test_code_and_first_weights_come_from_all_texts_of_any_length(spark):
 def test_no_path_is_longer_than_there_are_gates():
     code = mixing.Code(np.array([int(1.7**min(i, 80)) for i in range(mixing.END + 1)]))
     assert max(code.length) <= mixing.GATES // 2 and sum(2.0 ** -code.length) == 1
+
+
+def test_weights_run_through_the_whole_text(spark, monkeypatch):
+    rng = random.Random(7)
+    texts = ["".join(rng.choice(["the ", "and ", "ing ", "\n"]) for _ in range(n)) for n in (10, 400)]
+    model = mixing.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    samples = [bytes(rng.choice(b"qzxv and") for _ in range(n)) for n in (5000, 3000, 0, 17)]
+    found = model.costs(samples)[0]
+    monkeypatch.setattr(mixing, "STRETCH", 1 << 40)
+    assert np.allclose(found, [slow_cost(model, t) for t in samples], rtol=1e-4)
+    monkeypatch.setattr(mixing, "TOGETHER", 64)
+    monkeypatch.setattr(mixing, "LANES", 3)
+    assert np.allclose(found, model.costs(samples)[0], rtol=1e-6)
