@@ -127,9 +127,9 @@ def fit(known: DataFrame, sample: int = SAMPLE, rounds: int = 12, depth: int = 3
 
 
 def scored(rows: DataFrame, model) -> DataFrame:
-    """Candidates with their ``score``, the probability that they are personal data."""
+    """Candidates with their ``score``, the probability that they are personal data; null without a model."""
     if model is None:
-        return rows.withColumn("score", F.lit(0.0))
+        return rows.withColumn("score", F.lit(None).cast("double"))
     given = VectorAssembler(inputCols=list(FEATURES), outputCol="_features").transform(rows)
     out = model.setFeaturesCol("_features").setPredictionCol("_p").setRawPredictionCol("_r").setProbabilityCol("_q").transform(given)
     return out.withColumn("score", vector_to_array("_q")[1]).drop("_features", "_p", "_r", "_q")
@@ -140,7 +140,7 @@ def thresholds(rows: DataFrame, precision: float = PRECISION) -> DataFrame:
 
     Counted over all candidates, in ``BINS`` bins of the score: a few rows per kind.
     """
-    bins = rows.where("strict").groupBy("kind", F.floor(F.col("score") * BINS).alias("bin")).agg(
+    bins = rows.where("strict and score is not null").groupBy("kind", F.floor(F.col("score") * BINS).alias("bin")).agg(
         F.count("*").alias("n"), F.sum(F.col("valid").cast("long")).alias("good")
     )
     down = Window.partitionBy("kind").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -70,6 +70,13 @@ def test_trees_add_numbers_of_the_wide_shapes(spark):
     assert all("@" not in clean[i] and "+1" not in clean[i] for i in range(60))
 
 
+def test_nothing_is_added_without_a_model(spark):
+    texts = ["a.b@example.org", "and cd [at] example [dot] org"]
+    found = pii.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted(s["kind"] for r in found for s in r["spans"]) == ["email"]
+    assert all(r["spans"] == r["base"] for r in found)
+
+
 def test_query(spark):
     texts = dict(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect())
     got = pii.op7_pii(spark, "/root/testdata/sf0.001").collect()
