@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, decontamination, mixing, pii, quality, resharding, rules, secrets, simhash, warc
+from palaver.llm import bpe, decontamination, mixing, pii, quality, resharding, rules, secrets, simhash, warc, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": secrets.op8_secrets,
         "op9_bpe": bpe.op9_bpe,
         "op10_resharding": resharding.op10_resharding,
+        "op11_whitening": whitening.op11_whitening,
     }
 
 
