@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, decontamination, mixing, pii, quality, resharding, rules, secrets, simhash, warc, whitening
+from palaver.llm import bpe, decontamination, licenses, mixing, pii, quality, resharding, rules, secrets, simhash, warc, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,8 +22,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_bpe": bpe.op9_bpe,
         "op10_resharding": resharding.op10_resharding,
         "op11_whitening": whitening.op11_whitening,
+        "op12_licenses": licenses.op12_licenses,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_quality_rules": rules.OP1_SQL, "op2_decontamination": decontamination.OP2_SQL}
+    return {
+        "op1_quality_rules": rules.OP1_SQL,
+        "op2_decontamination": decontamination.OP2_SQL,
+        "op12_licenses": licenses.OP12_SQL,
+    }
