@@ -458,9 +458,11 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
         "latest_by_id": _with(COMMENTS, versions)
         + """SELECT id, score, ingest_ts, length(body) AS body_length FROM versions
              QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingest_ts DESC) = 1""",
-        "insert_new": _with(COMMENTS, versions)
-        + """SELECT id, nullif(author, '') AS author, nullif(author_flair_text, '') AS author_flair_text, nullif(score, 0) AS score, dt_date
-             FROM versions v WHERE ingest_ts = 1 AND NOT EXISTS (SELECT 1 FROM comments c WHERE c.id = v.id AND c.score < 0)""",
+        "insert_new": _with(NARROW, versions)
+        + """SELECT v.id, nullif(v.author, '') AS author, nullif(v.author_flair_text, '') AS author_flair_text, nullif(v.score, 0) AS score,
+               v.dt_date
+             FROM versions v LEFT JOIN (SELECT id FROM comments WHERE score < 0) stored ON stored.id = v.id
+             WHERE v.ingest_ts = 1 AND stored.id IS NULL""",
         "json_days": _with(COMMENTS)
         + """SELECT dt_date, id, author, author_flair_text, score, epoch_us(created_utc) AS created_micros, length(body) AS body_length
              FROM comments""",
