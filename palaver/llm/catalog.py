@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, decontamination, licenses, mixing, pii, quality, resharding, rules, secrets, simhash, warc, whitening
+from palaver.llm import bpe, decontamination, licenses, mixing, pii, quality, resharding, rules, secrets, simhash, tries, warc, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_resharding": resharding.op10_resharding,
         "op11_whitening": whitening.op11_whitening,
         "op12_licenses": licenses.op12_licenses,
+        "op13_prefix_trie": tries.op13_prefix_trie,
     }
 
 
@@ -31,4 +32,5 @@ def oracles() -> dict[str, str]:
         "op1_quality_rules": rules.OP1_SQL,
         "op2_decontamination": decontamination.OP2_SQL,
         "op12_licenses": licenses.OP12_SQL,
+        "op13_prefix_trie": tries.OP13_SQL,
     }
