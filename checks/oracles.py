@@ -320,6 +320,29 @@ def _short_report() -> str:
     return _with(COMMENTS, CLEAN, EMOJI, ACTIVITY.format(by="dt_date")) + "\nUNION ALL\n".join(parts)
 
 
+def _nested_json(slim: bool) -> str:
+    """Endings by the difference to the next comment's depth."""
+    text = lambda c: f"'\"{c}\":' || coalesce(CAST(to_json({c}) AS VARCHAR), 'null')"
+    stamp = "'\"created_utc\":' || CAST(epoch_us(created_utc) // 1000000 AS VARCHAR) || '.' || lpad(CAST(epoch_us(created_utc) % 1000000 AS VARCHAR), 6, '0')"
+    if slim:
+        shown = [text(c) for c in ("author", "body", "score")]
+        opening = """CASE WHEN parent IS NULL THEN '' ELSE ', "parent": ' || CAST(to_json(parent) AS VARCHAR) END
+            || CASE WHEN below > depth THEN ', "children": [' ELSE '}' || repeat(']}', depth - below) END"""
+    else:
+        shown = [text(c) for c in ("id", "author", "author_flair_text", "score", "permalink", "body")] + [stamp, text("parent_id")]
+        opening = """', "parent": ' || coalesce(CAST(to_json(parent) AS VARCHAR), 'null') || ', "children": ['
+            || CASE WHEN below > depth THEN '' ELSE ']}' || repeat(']}', depth - below) END"""
+    fields = " || ',' || ".join(shown)
+    return (
+        _with(COMMENTS, TREE, recursive=True)
+        + f""", told AS (SELECT t.*, c.author_flair_text, c.permalink, c.parent_id FROM tree t JOIN comments c ON c.id = t.id),
+        placed AS (SELECT *, row_number() OVER w AS position, lead(depth) OVER w AS next_depth,
+          coalesce(lead(depth) OVER w, 0) AS below FROM told WINDOW w AS (PARTITION BY root ORDER BY path))
+        SELECT root, position, id, '{{"comment": {{' || {fields} || '}}' || {opening}
+          || CASE WHEN next_depth IS NOT NULL AND below <= depth THEN ', ' ELSE '' END AS text FROM placed"""
+    )
+
+
 def oracles() -> dict[str, str]:
     base = _with(COMMENTS, CLEAN)
     emoji = _with(COMMENTS, CLEAN, EMOJI)
@@ -491,6 +514,24 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
         + """SELECT dt_date, id, CASE WHEN score < 0 THEN author ELSE nullif(author, '') END AS author,
                CASE WHEN score < 0 THEN -100 ELSE nullif(score, 0) END AS score, length(body) AS body_length FROM comments""",
         "one_thread": tree + "SELECT id, parent, root, depth FROM tree WHERE root = (SELECT root FROM tree WHERE id = 'c21')",
+        "request_threads": _with(COMMENTS, TREE, PIECES, AVERAGES, REQUESTS, recursive=True)
+        + """, mine AS (SELECT DISTINCT r.username, r.days, t.root FROM requests r CROSS JOIN latest l
+               JOIN tree t ON t.author = r.username AND t.dt_date BETWEEN l.day - CAST(r.days - 1 AS INT) AND l.day),
+             ranked AS (SELECT m.username, m.days, m.root, a.average, k.tokens,
+                 CAST(sum(k.tokens) OVER (PARTITION BY m.username, m.days ORDER BY a.average DESC, m.root ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_tokens
+               FROM mine m JOIN averages a ON a.id = m.root JOIN tokens k ON k.root = m.root)
+             SELECT *, row_number() OVER (PARTITION BY username, days ORDER BY average DESC, root) AS position FROM ranked
+             WHERE running_tokens <= 102400""",
+        "subtree_rollup": tree
+        + """, above AS (SELECT unnest(path).id AS top, root, depth, score, body FROM tree)
+             SELECT a.top AS id, any_value(a.root) AS root, count(*) AS comments, max(a.depth) - min(a.depth) AS levels,
+               CAST(sum(length(a.body)) AS BIGINT) AS size, min(a.score) AS min_score, max(a.score) AS max_score FROM above a GROUP BY a.top""",
+        "subtree_contains": tree
+        + """, asked AS (SELECT id, path, unnest(list_append(list_transform([0, 1, 2], lambda b: 'c' || (CAST(substr(id, 2) AS BIGINT) - b)), 'nobody')) AS top
+               FROM tree)
+             SELECT top, id, list_contains(list_transform(path, lambda p: p.id), top) AS contained FROM asked""",
+        "thread_json": _nested_json(False),
+        "thread_json_slim": _nested_json(True),
         "user_result": _with(COMMENTS, REQUESTS, _user_results(), _overall())
         + """SELECT a.* EXCLUDE (top_body), o.max_comments AS all_max_comments, o.mean_comments AS all_mean_comments,
                o.max_words AS all_max_words, o.mean_words AS all_mean_words, o.average_score AS all_average_score,

@@ -201,43 +201,51 @@ _FUNCTION = {"target": "string", "add": "bigint", "parts": "bigint", "value": "b
 
 
 def _contract(still: DataFrame, fresh: DataFrame, low: int, size: int) -> DataFrame:
-    """One round: ``still`` are the open comments, ``fresh`` those finished in the round before."""
-    sums = fresh.groupBy(F.col("parent").alias("id")).agg(F.sum("average").alias("_sum"))
-    open_children = still.groupBy(F.col("parent").alias("id")).agg(F.count("*").alias("_open"), F.min("id").alias("_only"))
-    chained = F.col("target").isNotNull()
+    """One round: ``still`` are the open comments, ``fresh`` those finished in the round before.
+
+    Only comments that begin a chain have a target and look it up; only the others gather their children.
+    """
+    return _lengthened(still.where("target is not null"), fresh, low, size).unionByName(
+        _gathered(still.where("target is null"), still, fresh, low, size)
+    )
 
-    def applied(x: Column) -> Column:
-        stepped = F.col("value") + F.coalesce(x >= F.col("step"), F.lit(False)).cast("bigint")
-        return F.when(F.col("value").isNotNull(), stepped).otherwise(_floor_div(F.col("add") + x, F.col("parts")))
 
-    # first those whose chain ends at a comment finished just now; the others then find them finished,
-    # or take over a longer chain whose end is still open
+def _applied(x: Column) -> Column:
+    stepped = F.col("value") + F.coalesce(x >= F.col("step"), F.lit(False)).cast("bigint")
+    return F.when(F.col("value").isNotNull(), stepped).otherwise(_floor_div(F.col("add") + x, F.col("parts")))
+
+
+def _lengthened(chained: DataFrame, fresh: DataFrame, low: int, size: int) -> DataFrame:
+    """Chains whose end is finished now are finished; the others take over the chain of their target."""
     ended = fresh.select(F.col("id").alias("target"), F.col("average").alias("_x"))
-    now = still.join(ended, "target", "left").withColumn("_now", F.when(F.col("_x").isNotNull(), applied(F.col("_x"))))
+    now = chained.join(ended, "target", "left").withColumn("_now", F.when(F.col("_x").isNotNull(), _applied(F.col("_x"))))
     lookup = now.select(
         F.col("id").alias("_id"), F.col("_now").alias("_average"), *[F.col(c).alias(f"_{c}") for c in _FUNCTION]
     )
-    rows = (
-        now.join(sums, "id", "left")
-        .join(open_children, "id", "left")
-        .join(lookup, F.col("target") == F.col("_id"), "left")
-        .withColumn("_total", F.when(F.col("target").isNull(), F.col("total") + F.coalesce("_sum", F.lit(0))).otherwise(F.col("total")))
-    )
+    rows = now.join(lookup, F.col("target") == F.col("_id"), "left")
     x = F.col("_average")
-    leaf = ~chained & F.col("_open").isNull()
-    begins = ~chained & (F.col("_open") == 1)
-    average = F.when(chained, F.coalesce("_now", F.when(x.isNotNull(), applied(x)))).when(leaf, _floor_div(F.col("_total"), F.col("count")))
-    longer = chained & F.col("_now").isNull() & x.isNull() & F.col("_target").isNotNull()
+    longer = F.col("_now").isNull() & x.isNull() & F.col("_target").isNotNull()
     new = _composed(low, size)
-    start = _settled(F.col("_total"), F.col("count"), low, size)
-    changed = {
-        name: F.when(longer, new[name]).when(begins, start[name]).otherwise(F.col(name))
-        for name in ("add", "parts", "value", "step")
-    }
-    target = F.when(longer, F.col("_target")).when(begins, F.col("_only")).otherwise(F.col("target"))
     return rows.select(
-        "id", "parent", "root", "depth", F.col("_total").alias("total"), "count", target.alias("target"),
-        *[c.alias(name) for name, c in changed.items()], average.alias("average"),
+        "id", "parent", "root", "depth", "total", "count",
+        F.when(longer, F.col("_target")).otherwise(F.col("target")).alias("target"),
+        *[F.when(longer, new[name]).otherwise(F.col(name)).alias(name) for name in ("add", "parts", "value", "step")],
+        F.coalesce("_now", F.when(x.isNotNull(), _applied(x))).alias("average"),
+    )
+
+
+def _gathered(plain: DataFrame, still: DataFrame, fresh: DataFrame, low: int, size: int) -> DataFrame:
+    """Finished children are added; comments without open children are finished, those with one begin a chain."""
+    sums = fresh.groupBy(F.col("parent").alias("id")).agg(F.sum("average").alias("_sum"))
+    open_children = still.groupBy(F.col("parent").alias("id")).agg(F.count("*").alias("_open"), F.min("id").alias("_only"))
+    children = open_children.join(sums, "id", "full")
+    total = F.col("total") + F.coalesce("_sum", F.lit(0))
+    leaf, begins = F.col("_open").isNull(), F.col("_open") == 1
+    start = _settled(total, F.col("count"), low, size)
+    return plain.join(children, "id", "left").select(
+        "id", "parent", "root", "depth", total.alias("total"), "count", F.when(begins, F.col("_only")).alias("target"),
+        *[F.when(begins, start[name]).alias(name) for name in ("add", "parts", "value", "step")],
+        F.when(leaf, _floor_div(total, F.col("count"))).alias("average"),
     )
 
 
@@ -345,23 +353,36 @@ def thread_rows(nodes: DataFrame, comments: DataFrame, columns: Sequence[str] =
     return nodes.select("root", "parent", "depth", "id").join(comments.select("id", *columns), "id")
 
 
-def subtree_sizes(nodes: DataFrame) -> DataFrame:
-    """``id, parent, root, depth, size`` and the other columns of ``nodes``: comments at and below each.
+def subtree_figures(
+    nodes: DataFrame, sums: Sequence[str] = (), least: Sequence[str] = (), most: Sequence[str] = ()
+) -> DataFrame:
+    """``nodes`` with ``size``, the comments at and below each, and ``sum_``, ``min_`` and ``max_`` of the named columns over them.
 
     By pointer doubling: a comment that has counted its next 2^k levels is added to the ancestor
-    2^k levels up, which then has counted twice as many. Counts are summed per ancestor first.
+    2^k levels up, which then has counted twice as many. What is added is written once and summed up at
+    the end; only comments that have an ancestor so far up take part in a round.
     """
-    state = materialise(nodes.select("id", F.col("parent").alias("up"), F.lit(1).cast("bigint").alias("size")), "sizes")
-    while state.where("up is not null").limit(1).count():
-        sums = state.where("up is not null").groupBy(F.col("up").alias("id")).agg(F.sum("size").alias("_more"))
-        above = state.select(F.col("id").alias("up"), F.col("up").alias("_up"))
-        state = materialise(
-            state.join(sums, "id", "left")
-            .join(above, "up", "left")
-            .select("id", F.col("_up").alias("up"), (F.col("size") + F.coalesce("_more", F.lit(0))).alias("size")),
-            "sizes",
-        )
-    return nodes.join(state.select("id", "size"), "id")
+    figures = {"size": F.sum} | {f"sum_{c}": F.sum for c in sums} | {f"min_{c}": F.min for c in least} | {f"max_{c}": F.max for c in most}
+    own = [F.lit(1).cast("bigint").alias("size")]
+    own += [F.col(c).cast("bigint").alias(f"{kind}_{c}") for kind, names in (("sum", sums), ("min", least), ("max", most)) for c in names]
+    start = materialise(nodes.select("id", F.col("parent").alias("up"), *own), "figures")
+    parts, counting = [start.drop("up")], start.where("up is not null")
+    while counting.limit(1).count():
+        added = materialise(counting.groupBy(F.col("up").alias("id")).agg(*[f(c).alias(c) for c, f in figures.items()]), "figures-added")
+        parts.append(added)
+        # those whose ancestor has none so far up have told all they count
+        above = counting.select(F.col("id").alias("up"), F.col("up").alias("_up"))
+        more = added.select("id", *[F.col(c).alias(f"_{c}") for c in figures])
+        both = {c: F.col(c) + F.coalesce(f"_{c}", F.lit(0)) if f is F.sum else (F.least if f is F.min else F.greatest)(c, f"_{c}") for c, f in figures.items()}
+        further = counting.join(above, "up").join(more, "id", "left")
+        counting = materialise(further.select("id", F.col("_up").alias("up"), *[x.alias(c) for c, x in both.items()]), "figures")
+    whole = reduce(DataFrame.unionByName, parts).groupBy("id").agg(*[f(c).alias(c) for c, f in figures.items()])
+    return nodes.join(whole, "id")
+
+
+def subtree_sizes(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with ``size``, the comments at and below each."""
+    return subtree_figures(nodes)
 
 
 def in_order(nodes: DataFrame) -> DataFrame:
@@ -371,6 +392,7 @@ def in_order(nodes: DataFrame) -> DataFrame:
     parent and the subtrees of its earlier siblings. Those distances are added up to the root by
     pointer doubling, so a row holds numbers only, however deep it lies, and the running totals
     over siblings are made of range-partitioned pieces, so a comment with very many replies is spread.
+    Comments that have reached their root are written once and from then on only looked up.
     """
     sized = materialise(
         subtree_sizes(nodes.select("id", "parent", "root", "depth", "created_utc")).withColumn(
@@ -379,18 +401,79 @@ def in_order(nodes: DataFrame) -> DataFrame:
         "sized",
     )
     behind = running_total(sized, ["_under"], ["created_utc", "id"], "size", [True, True], "_running")
-    state = materialise(
-        behind.select("id", F.col("parent").alias("up"), (F.col("_running") - F.col("size") + 1).alias("position")), "places"
-    )
-    while state.where("up is not null").limit(1).count():
-        above = state.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("position").alias("_more"))
-        state = materialise(
-            state.join(above, "up", "left").select(
-                "id", F.col("_up").alias("up"), (F.col("position") + F.coalesce("_more", F.lit(0))).alias("position")
-            ),
-            "places",
+    places = behind.select("id", F.col("parent").alias("up"), (F.col("_running") - F.col("size") + 1).alias("position"))
+
+    def stored(rows: DataFrame) -> DataFrame:
+        return materialise(rows.withColumn("climbing", F.col("up").isNotNull()), "places", ["climbing"])
+
+    rounds = [stored(places)]
+    while rounds[-1].where("climbing").limit(1).count():
+        climbing = rounds[-1].where("climbing").drop("climbing")
+        known = reduce(DataFrame.unionByName, [t.where("not climbing").drop("climbing") for t in rounds] + [climbing])
+        above = known.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("position").alias("_more"))
+        rounds.append(
+            stored(climbing.join(above, "up").select("id", F.col("_up").alias("up"), (F.col("position") + F.col("_more")).alias("position")))
         )
-    return sized.join(state.select("id", "position"), "id").select("root", "id", "depth", "position", "size")
+    placed = reduce(DataFrame.unionByName, [t.where("not climbing").select("id", "position") for t in rounds])
+    return sized.join(placed, "id").select("root", "id", "depth", "position", "size")
+
+
+def subtree_rollup(nodes: DataFrame) -> DataFrame:
+    """As ``rollup``, for the part of a thread that begins at each comment; needs ``score, body_length``."""
+    found = subtree_figures(nodes.select("id", "parent", "root", "depth", "score", "body_length"), ["body_length"], ["score"], ["score", "depth"])
+    return found.select(
+        "id", "root", F.col("size").alias("comments"), (F.col("max_depth") - F.col("depth")).cast("int").alias("levels"),
+        F.col("sum_body_length").alias("size"), F.col("min_score").cast("int").alias("min_score"), F.col("max_score").cast("int").alias("max_score"),
+    )
+
+
+def subtree_contains(placed: DataFrame, pairs: DataFrame) -> DataFrame:
+    """For pairs ``(top, id)`` whether the comment lies at or below ``top``; unknown ids lie nowhere.
+
+    ``placed`` is from ``in_order``: what lies below a comment are the positions that follow its own.
+    """
+    top = placed.select(F.col("id").alias("top"), F.col("root").alias("_root"), F.col("position").alias("_first"), F.col("size").alias("_size"))
+    below = placed.select("id", F.col("root").alias("_own_root"), F.col("position").alias("_position"))
+    inside = (F.col("_root") == F.col("_own_root")) & F.col("_position").between(F.col("_first"), F.col("_first") + F.col("_size") - 1)
+    return pairs.select("top", "id").join(top, "top", "left").join(below, "id", "left").select(
+        "top", "id", F.coalesce(inside, F.lit(False)).alias("contained")
+    )
+
+
+def nested_pieces(placed: DataFrame, nodes: DataFrame, comments: DataFrame, slim: bool = False) -> DataFrame:
+    """``root, position, id, text``: threads as nested JSON, one piece per comment.
+
+    Joined in order of ``position`` the pieces of a thread are one object: the comment, its parent's id and
+    its children. A piece is the opening of a comment and, if it is the last of some subtrees, their endings, so no
+    row holds a thread. The ``slim`` form has author, body and score, and leaves out missing parents and children.
+    """
+    last = (F.col("position") + F.col("size") - 1).alias("position")
+    # what ends at a place: the comment there, and those above it whose subtree it is the last of
+    bare, listed = F.count_if(F.col("size") == 1), F.count_if(F.col("size") > 1)
+    ends = placed.groupBy("root", last).agg(bare.alias("_bare"), listed.alias("_listed"))
+    total = placed.where("depth = 0").select("root", F.col("size").alias("_total"))
+    columns = ["author", "body", "score"] if slim else [c for c in comments.columns if c != "dt_date"]
+    shown = [
+        (F.unix_micros(c) / F.lit(1000000)).cast("decimal(20,6)").alias(c) if kind == "timestamp" else F.col(c)
+        for c, kind in comments.select(*columns).dtypes
+    ]
+    texts = comments.select("id", F.to_json(F.struct(*shown), {"ignoreNullFields": "false"}).alias("_comment"))
+    rows = (
+        placed.join(nodes.select("id", "parent"), "id").join(ends, ["root", "position"], "left").join(total, "root").join(texts, "id")
+    )
+    quoted = F.to_json(F.array("parent"))
+    parent = F.substr(quoted, F.lit(2), F.char_length(quoted) - 2)
+    if slim:
+        above = F.when(F.col("parent").isNotNull(), F.concat(F.lit(', "parent": '), parent)).otherwise(F.lit(""))
+        opening = F.concat(above, F.when(F.col("size") > 1, F.lit(', "children": [')).otherwise(F.lit("")))
+        ending = F.concat(F.repeat(F.lit("}"), F.coalesce("_bare", F.lit(0)).cast("int")), F.repeat(F.lit("]}"), F.coalesce("_listed", F.lit(0)).cast("int")))
+    else:
+        opening = F.concat(F.lit(', "parent": '), parent, F.lit(', "children": ['))
+        ending = F.repeat(F.lit("]}"), F.coalesce(F.col("_bare") + F.col("_listed"), F.lit(0)).cast("int"))
+    comma = F.when((ending != "") & (F.col("position") < F.col("_total")), F.lit(", ")).otherwise(F.lit(""))
+    return rows.select(
+        "root", "position", "id", F.concat(F.lit('{"comment": '), "_comment", opening, ending, comma).alias("text")
+    )
 
 
 def reading_order(nodes: DataFrame) -> DataFrame:

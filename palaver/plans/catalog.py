@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver.functions import text, times
-from palaver.operators import boards, clean, hourly, keywords, threads, users
+from palaver.operators import boards, clean, hourly, keywords, threads, touched, users
 from palaver.plans import daily, loading
 from palaver.session import fresh_path, stream_session, use_utc
 from palaver.sources import derived, tables
@@ -423,7 +423,8 @@ def user_threads(spark, sf_dir):
 def latest_day_threads(spark, sf_dir):
     """All comments of the threads that the newest day touches."""
     comments = raw(spark, sf_dir)
-    return threads.threads_touching(_nodes(comments), tables.of_days(comments)).select("root", "id", "depth")
+    nodes = touched.touched_nodes(comments, derived.stored_links(spark, sf_dir), tables.of_days(comments))
+    return nodes.select("root", "id", "depth")
 
 
 @query
@@ -444,7 +445,49 @@ def thread_order(spark, sf_dir):
 @query
 def one_thread(spark, sf_dir):
     """All comments of the thread that holds one comment."""
-    return threads.thread_of(_nodes(raw(spark, sf_dir)), "c21")
+    return touched.thread_of(raw(spark, sf_dir), derived.stored_links(spark, sf_dir), "c21")
+
+
+@query
+def request_threads(spark, sf_dir):
+    """The best threads that fit into the token limit together, for every request for user statistics."""
+    comments = raw(spark, sf_dir)
+    asked = derived.requests(comments)
+    return touched.request_threads(comments, derived.stored_links(spark, sf_dir), asked, tables.latest_day(comments))
+
+
+@query
+def subtree_rollup(spark, sf_dir):
+    """Comments, levels, characters and score range of the part of a thread that begins at each comment."""
+    sized = raw(spark, sf_dir).withColumn("body_length", body_length())
+    return threads.subtree_rollup(_nodes(sized, "score", "body_length"))
+
+
+@query
+def subtree_contains(spark, sf_dir):
+    """Whether each comment lies at or below the two comments posted before it, itself, and one nobody has posted."""
+    placed = threads.in_order(_nodes(raw(spark, sf_dir), "created_utc"))
+    n = derived.number(F.col("id"))
+    tops = F.explode(F.array(*[F.concat(F.lit("c"), (n - back).cast("string")) for back in (0, 1, 2)], F.lit("nobody")))
+    return threads.subtree_contains(placed, placed.select("id", tops.alias("top")))
+
+
+def _nested(spark: SparkSession, sf_dir: str, slim: bool) -> DataFrame:
+    comments = raw(spark, sf_dir)
+    nodes = _nodes(comments, "created_utc")
+    return threads.nested_pieces(threads.in_order(nodes), nodes, comments, slim)
+
+
+@query
+def thread_json(spark, sf_dir):
+    """Threads as nested JSON, in ordered pieces."""
+    return _nested(spark, sf_dir, False)
+
+
+@query
+def thread_json_slim(spark, sf_dir):
+    """The same with author, body and score only."""
+    return _nested(spark, sf_dir, True)
 
 
 @query

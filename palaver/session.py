@@ -74,13 +74,23 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/palaver/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> str:
+    """Write ``df`` as Parquet in the shared folder; returns its path."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return path
+
+
 def materialise(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage, survives the loss of executors, and gives later joins a real size
     to choose their strategy by.
     """
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(stored(df, label, partition_by))
+
+
+def file_system(spark: SparkSession, path: str):
+    """Spark's handle of the store that ``path`` lies in, and the path as that store names it."""
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(spark._jsc.hadoopConfiguration()), named

@@ -6,15 +6,19 @@ added by event number so that every feature of a forum occurs.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver.functions.text import candidate_phrases, clean_text, word_count
 from palaver.functions.times import thread_day
 from palaver.operators.clean import explode_once
-from palaver.session import materialise
+from palaver.operators.touched import day_links
+from palaver.session import file_system, stored
 
-_stored: dict[tuple[str, str], DataFrame] = {}
+#: Where derived tables have been stored, by application, folder and state of its files.
+_stored: dict[tuple, str] = {}
 
 
 def comment_columns(text: Column) -> list[Column]:
@@ -87,18 +91,31 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.join(docs, F.col("doc_key") == F.col("doc_id")).select(*comment_columns(F.col("text")))
 
 
-def stored_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The comments as the day-partitioned table every statistic starts from, written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Tells whether the tables that comments are derived from have changed."""
+    state: list[int] = []
+    for name in ("events", "documents"):
+        fs, path = file_system(spark, f"{sf_dir}/{name}.parquet")
+        state += [fs.getFileStatus(path).getModificationTime(), fs.getContentSummary(path).getLength()]
+    return tuple(state)
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame], partition_by: Sequence[str] = ()) -> DataFrame:
+    """A derived table, written once per application and state of the tables below it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name, _state(spark, sf_dir))
     if key not in _stored:
-        _stored[key] = materialise(comments(spark, sf_dir).hint("rebalance", "dt_date"), "comments", ["dt_date"])
-    table = _stored[key]
-    # another session of the same application reads the same files under its own settings
-    return table if table.sparkSession is spark else spark.read.schema(table.schema).parquet(_folder(table))
+        _stored[key] = stored(make(), name, partition_by)
+    return spark.read.parquet(_stored[key])
+
+
+def stored_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comments as the day-partitioned table every statistic starts from."""
+    return _once(spark, sf_dir, "comments", lambda: comments(spark, sf_dir).hint("rebalance", "dt_date"), ["dt_date"])
 
 
-def _folder(table: DataFrame) -> str:
-    return table.inputFiles()[0].split("/dt_date=")[0]
+def stored_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days that the replies of each day answer."""
+    return _once(spark, sf_dir, "day-links", lambda: day_links(stored_comments(spark, sf_dir)))
 
 
 def number(ident: Column) -> Column:
