@@ -418,6 +418,11 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
               SELECT label, count(*), CAST(row_number() OVER (ORDER BY count(*) DESC, label) AS INT)
               FROM (SELECT DISTINCT author, author_flair_text, {label} AS label FROM week) WHERE label <> '' GROUP BY label
               QUALIFY row_number() OVER (ORDER BY count(*) DESC, label) <= 3""",
+        "rolling_census": base
+        + """, ends AS (SELECT min(dt_date) AS a, max(dt_date) AS b FROM clean),
+             calendar AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day FROM ends)
+             SELECT day AS dt_date, count(DISTINCT author) AS accounts, count(DISTINCT {'a': author, 'f': author_flair_text}) AS users
+             FROM calendar LEFT JOIN clean ON dt_date BETWEEN day - 6 AND day GROUP BY day""",
         "upvoted_comments": base
         + """SELECT dt_date, row_number() OVER (PARTITION BY dt_date ORDER BY score DESC, id) AS position, id, author, score, permalink,
                regexp_replace(body, '(?i)!ping', '*ping', 'g') AS body FROM clean""",

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from palaver.fixed import DELETED_BODY, REMOVED_BODY
 from palaver.functions.emoji import has_pointing_emoji
@@ -152,6 +153,34 @@ def weekly_census(comments: DataFrame) -> DataFrame:
     )
 
 
+def rolling_census(comments: DataFrame, days: int = 7) -> DataFrame:
+    """``dt_date, accounts, users``: authors, and pairs of author and flair, of the ``days`` days that end at each day.
+
+    For all end days at once, from the first day with comments to the last. Someone counts from each of their days on
+    for ``days`` days, or until their next one, where they count anew. Such a stretch adds one where it begins and takes
+    one where it ends; the running sum of those changes, a row a day, is the census.
+    """
+    people = comments.select("dt_date", "author", "author_flair_text").distinct()
+    changes = _stretches(people.select("dt_date", "author").distinct(), ["author"], days, "accounts").unionByName(
+        _stretches(people, ["author", "author_flair_text"], days, "users"), allowMissingColumns=True
+    )
+    per_day = changes.groupBy("day").agg(*[F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in ("accounts", "users")])
+    ends = comments.agg(F.min("dt_date").alias("_first"), F.max("dt_date").alias("_last")).where("_first is not null")
+    calendar = ends.select(F.explode(F.sequence("_first", "_last")).alias("dt_date"))
+    so_far = Window.orderBy("dt_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # one row per calendar day
+    joined = calendar.join(per_day, F.col("dt_date") == F.col("day"), "left")
+    return joined.select("dt_date", *[F.sum(F.coalesce(c, F.lit(0))).over(so_far).alias(c) for c in ("accounts", "users")])
+
+
+def _stretches(people: DataFrame, who: Sequence[str], days: int, name: str) -> DataFrame:
+    """``day`` and by how much the number of people changes there."""
+    following = F.lead("dt_date").over(Window.partitionBy(*who).orderBy("dt_date"))
+    until = people.withColumn("_until", F.least(F.date_add("dt_date", days), following))
+    both = F.array(F.struct(F.col("dt_date").alias("day"), F.lit(1).alias(name)), F.struct(F.col("_until").alias("day"), F.lit(-1).alias(name)))
+    return until.select(F.inline(both)).groupBy("day").agg(F.sum(name).alias(name))
+
+
 def upvoted_comments(comments: DataFrame, by: Sequence[str] = DAY, k: int | None = None) -> DataFrame:
     """Comments by score with pings muted and their ``position``; with ``k`` only the first of each group.
 

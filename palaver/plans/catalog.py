@@ -40,6 +40,11 @@ def queries() -> dict[str, Query]:
 raw = derived.stored_comments
 
 
+def newest(spark: SparkSession, sf_dir: str) -> Column:
+    """The newest day, from the list of days."""
+    return tables.latest_day(derived.stored_days(spark, sf_dir))
+
+
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean(raw(spark, sf_dir))
 
@@ -107,6 +112,12 @@ def weekly_census(spark, sf_dir):
     return boards.weekly_census(tables.last_days(cleaned(spark, sf_dir), 7))
 
 
+@query
+def rolling_census(spark, sf_dir):
+    """Accounts and users of the seven days up to each day."""
+    return boards.rolling_census(cleaned(spark, sf_dir), 7)
+
+
 @query
 def upvoted_comments(spark, sf_dir):
     return boards.upvoted_comments(cleaned(spark, sf_dir)).select(
@@ -195,7 +206,7 @@ def top_comment(spark, sf_dir):
 @query
 def user_summary(spark, sf_dir):
     comments = raw(spark, sf_dir)
-    latest = tables.latest_day(comments)
+    latest = newest(spark, sf_dir)
     return users.user_results(comments, derived.requests(comments), latest, latest)
 
 
@@ -203,14 +214,14 @@ def user_summary(spark, sf_dir):
 def user_result(spark, sf_dir):
     """The figures of each request with those over all users of the same days beside them."""
     comments = raw(spark, sf_dir)
-    latest = tables.latest_day(comments)
+    latest = newest(spark, sf_dir)
     return users.results_with_overall(comments, derived.requests(comments), latest, latest).drop("top_body", "all_top_body")
 
 
 @query
 def overall_stats(spark, sf_dir):
     comments = raw(spark, sf_dir)
-    return users.overall_stats(comments, derived.requests(comments), tables.latest_day(comments))
+    return users.overall_stats(comments, derived.requests(comments), newest(spark, sf_dir))
 
 
 @query
@@ -231,20 +242,20 @@ def stale_requests(spark, sf_dir):
 @query
 def last_week(spark, sf_dir):
     """Ids of the seven days that end at the latest."""
-    return tables.last_days(raw(spark, sf_dir), 7).select("dt_date", "id")
+    return tables.last_days(raw(spark, sf_dir), 7, newest(spark, sf_dir)).select("dt_date", "id")
 
 
 @query
 def latest_day(spark, sf_dir):
     """Rows of the newest day, the default of every read."""
-    return tables.of_days(raw(spark, sf_dir)).select("dt_date", "id", "author", "score")
+    return tables.of_days(raw(spark, sf_dir), latest=newest(spark, sf_dir)).select("dt_date", "id", "author", "score")
 
 
 @query
 def user_days(spark, sf_dir):
     """One author's comments of the newest day, days and author in one read."""
     comments = raw(spark, sf_dir)
-    return clean.by_author(tables.of_days(comments), "user_3").select("dt_date", "id", "score")
+    return clean.by_author(tables.of_days(comments, latest=newest(spark, sf_dir)), "user_3").select("dt_date", "id", "score")
 
 
 @query
@@ -276,12 +287,11 @@ def json_array_days(spark, sf_dir):
 @query
 def loaded_days(spark, sf_dir):
     """The comments loaded from JSON arrays into a table that holds those with negative scores; stored ids win."""
-    path = fresh_path(spark, "loaded")
     marked = raw(spark, sf_dir).where("score < 0").withColumn("score", F.lit(-100))
-    tables.write_days(marked, path)
-    loading.load_arrays(spark, f"{_json_arrays(spark, sf_dir)}/part=*", path)
-    stored = spark.read.schema(marked.schema).parquet(path)
-    return stored.select("dt_date", "id", "author", "score", body_length())
+    table = tables.comment_table(spark, fresh_path(spark, "loaded"), marked.schema)
+    tables.insert(marked, table, 0, ["created_utc"])
+    loading.load_into(spark, f"{_json_arrays(spark, sf_dir)}/part=*", table, 1)
+    return table[0].read().select("dt_date", "id", "author", "score", body_length())
 
 
 @query
@@ -293,8 +303,10 @@ def latest_by_id(spark, sf_dir):
 @query
 def insert_new(spark, sf_dir):
     """Rows an insert adds to a table that holds the comments with negative scores."""
-    comments = raw(spark, sf_dir)
-    new = tables.rows_to_insert(derived.versions(comments), comments.where("score < 0"), ["ingest_ts"])
+    comments = raw(spark, sf_dir).select("id", "author", "author_flair_text", "score", "created_utc", "dt_date")
+    table = tables.comment_table(spark, fresh_path(spark, "insert-new"), comments.schema)
+    tables.insert(comments.where("score < 0"), table, 0, ["created_utc"])
+    new = tables.unknown_rows(derived.versions(comments), table[1], ["ingest_ts"])
     return tables.falsy_to_null(new.select("id", "author", "author_flair_text", "score", "dt_date"))
 
 
@@ -338,7 +350,7 @@ def normalised_blank(spark, sf_dir):
 def ids_of_author_and_day(spark, sf_dir):
     """Ids that are both in the newest day and by an author with a flair."""
     comments = raw(spark, sf_dir)
-    return clean.common_ids(comments.where(F.col("author_flair_text") != ""), tables.of_days(comments))
+    return clean.common_ids(comments.where(F.col("author_flair_text") != ""), tables.of_days(comments, latest=newest(spark, sf_dir)))
 
 
 @query
@@ -423,7 +435,7 @@ def user_threads(spark, sf_dir):
 def latest_day_threads(spark, sf_dir):
     """All comments of the threads that the newest day touches."""
     comments = raw(spark, sf_dir)
-    nodes = touched.touched_nodes(comments, derived.stored_links(spark, sf_dir), tables.of_days(comments))
+    nodes = touched.touched_nodes(comments, derived.stored_links(spark, sf_dir), tables.of_days(comments, latest=newest(spark, sf_dir)))
     return nodes.select("root", "id", "depth")
 
 
@@ -453,7 +465,7 @@ def request_threads(spark, sf_dir):
     """The best threads that fit into the token limit together, for every request for user statistics."""
     comments = raw(spark, sf_dir)
     asked = derived.requests(comments)
-    return touched.request_threads(comments, derived.stored_links(spark, sf_dir), asked, tables.latest_day(comments))
+    return touched.request_threads(comments, derived.stored_links(spark, sf_dir), asked, newest(spark, sf_dir))
 
 
 @query
@@ -621,8 +633,7 @@ def stream_harvested(spark, sf_dir):
     late = F.date_sub("dt_date", (derived.number(F.col("id")) % 5 == 0).cast("int"))
     snapshots = derived.versions(comment_stream(stream_session(spark), sf_dir)).withColumn("dt_date", late)
     jobs.finish(jobs.ingest_snapshots(snapshots, f"{path}/table", f"{path}/checkpoint", day=F.col("dt_date")))
-    jobs.compact(spark, f"{path}/table", f"{path}/days")
-    stored = spark.read.schema(snapshots.drop("ingest_ts").schema).parquet(f"{path}/days")
+    stored = jobs.read_latest(jobs.snapshot_table(spark, f"{path}/table", snapshots.schema))
     return stored.select("dt_date", "id", "author", "author_flair_text", "score", body_length())
 
 
@@ -632,7 +643,7 @@ def stream_latest(spark, sf_dir):
     path = fresh_path(spark, "stream-latest")
     snapshots = derived.versions(comment_stream(stream_session(spark), sf_dir))
     jobs.finish(jobs.ingest_snapshots(snapshots, f"{path}/table", f"{path}/checkpoint"))
-    return jobs.read_latest(spark, f"{path}/table").select("id", "score", body_length())
+    return jobs.read_latest(jobs.snapshot_table(spark, f"{path}/table", snapshots.schema)).select("id", "score", body_length())
 
 
 @query
@@ -641,7 +652,7 @@ def stream_requests(spark, sf_dir):
     streams = stream_session(spark)
     comments = raw(streams, sf_dir)
     path = fresh_path(spark, "stream-requests")
-    latest = tables.latest_day(comments)
+    latest = newest(spark, sf_dir)
     asked = (
         _event_stream(streams, sf_dir)
         .where("event_type = 'signup'")

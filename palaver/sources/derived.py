@@ -6,7 +6,7 @@ added by event number so that every feature of a forum occurs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,8 @@ from palaver.functions.text import candidate_phrases, clean_text, word_count
 from palaver.functions.times import thread_day
 from palaver.operators.clean import explode_once
 from palaver.operators.touched import day_links
-from palaver.session import file_system, stored
+from palaver.session import file_system, fresh_path, stored
+from palaver.sources.parts import Parts
 
 #: Where derived tables have been stored, by application, folder and state of its files.
 _stored: dict[tuple, str] = {}
@@ -100,17 +101,34 @@ def _state(spark: SparkSession, sf_dir: str) -> tuple:
     return tuple(state)
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame], partition_by: Sequence[str] = ()) -> DataFrame:
+def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
     """A derived table, written once per application and state of the tables below it."""
     key = (spark.sparkContext.applicationId, sf_dir, name, _state(spark, sf_dir))
     if key not in _stored:
-        _stored[key] = stored(make(), name, partition_by)
+        _stored[key] = stored(make(), name)
     return spark.read.parquet(_stored[key])
 
 
+def comment_store(spark: SparkSession, sf_dir: str) -> Parts:
+    """The comments by day, the table that every statistic starts from, with the list of its days."""
+    key = (spark.sparkContext.applicationId, sf_dir, "comments", _state(spark, sf_dir))
+    made = comments(spark, sf_dir)
+    store = Parts(spark, _stored.get(key) or fresh_path(spark, "comments"), made.schema, "dt_date", "created_utc")
+    if key not in _stored:
+        store.append(made, 0)
+        _stored[key] = store.path
+    return store
+
+
 def stored_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The comments as the day-partitioned table every statistic starts from."""
-    return _once(spark, sf_dir, "comments", lambda: comments(spark, sf_dir).hint("rebalance", "dt_date"), ["dt_date"])
+    """All comments of ``comment_store``."""
+    store = comment_store(spark, sf_dir)
+    return spark.read.schema(store.schema).parquet(f"{store.path}/data/version=0")
+
+
+def stored_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days of ``comment_store``, a row each."""
+    return comment_store(spark, sf_dir).parts(0)
 
 
 def stored_links(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from palaver.operators.clean import first_by_id
 from palaver.functions.times import first_day, thread_day
 from palaver.schema import COMMENT, COMMENT_JSON
+from palaver.session import materialise
+from palaver.sources.parts import Parts, id_ledger, parts_of, slot
 
 
 def _with_day_field(schema: T.StructType) -> T.StructType:
@@ -77,20 +79,20 @@ def from_json_column(rows: DataFrame, column: str) -> DataFrame:
 
 
 def latest_day(comments: DataFrame) -> Column:
-    """The newest day as a scalar subquery."""
+    """The newest day as a scalar subquery; ``Parts.parts`` tells it from a few rows, comments by a scan of all days."""
     return comments.select(F.max("dt_date")).scalar()
 
 
-def last_days(comments: DataFrame, days: int, latest: dt.date | None = None) -> DataFrame:
+def last_days(comments: DataFrame, days: int, latest: dt.date | Column | None = None) -> DataFrame:
     """The ``days`` days that end at the latest (or the given) day."""
-    end = F.lit(latest) if latest else latest_day(comments)
+    end = latest_day(comments) if latest is None else latest if isinstance(latest, Column) else F.lit(latest)
     return comments.where(F.col("dt_date").between(first_day(end, F.lit(days)), end))
 
 
-def of_days(comments: DataFrame, days: dt.date | Sequence[dt.date] | None = None) -> DataFrame:
+def of_days(comments: DataFrame, days: dt.date | Sequence[dt.date] | None = None, latest: Column | None = None) -> DataFrame:
     """One day, several, or by default the latest; days without rows give none."""
     if not days:
-        return comments.where(F.col("dt_date") == latest_day(comments))
+        return comments.where(F.col("dt_date") == (latest_day(comments) if latest is None else latest))
     wanted = [days] if isinstance(days, dt.date) else list(days)
     return comments.where(F.col("dt_date").isin(wanted))
 
@@ -123,6 +125,39 @@ def insert_new(rows: DataFrame, path: str, order: Sequence[str], falsy_as_null:
     new.hint("rebalance", "dt_date").write.mode("append").partitionBy("dt_date").parquet(path)
 
 
+def comment_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> tuple[Parts, Parts]:
+    """A table of comments by day, and the ledger of its ids, both in parts."""
+    days = Parts(spark, f"{path}/comments", schema or _with_day_field(COMMENT), "dt_date", "created_utc")
+    return days, id_ledger(spark, f"{path}/ids")
+
+
+def _slotted(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("slot", slot(F.col("dt_date"), F.col("id")))
+
+
+def unknown_rows(rows: DataFrame, ledger: Parts, order: Sequence[str]) -> DataFrame:
+    """Rows whose id the ledger does not have; of rows with one id the first by ``order``.
+
+    Reads the parts of the ledger that the rows lie in. A comment's day, that of its making, never changes.
+    """
+    first = materialise(_slotted(first_by_id(rows, order)), "to-insert")
+    return first.join(ledger.read(parts_of(first, "slot")), ["id", "slot"], "left_anti").drop("slot")
+
+
+def insert(rows: DataFrame, table: tuple[Parts, Parts], number: int, order: Sequence[str], falsy_as_null: bool = False) -> None:
+    """Append the rows with new ids to a ``comment_table``; stored rows win.
+
+    Rows are committed before their ids: an insert that is run again after the first of the two finds the same ids
+    new, but its rows stored.
+    """
+    days, ledger = table
+    if ledger.made(number):
+        return
+    new = materialise(unknown_rows(rows, ledger, order), "inserted")
+    days.append(falsy_to_null(new) if falsy_as_null else new, number)
+    ledger.merge(_slotted(new).select("id", "slot"), number, lambda both: both)
+
+
 def read_query(spark: SparkSession, url: str, query: str, properties: dict[str, str] | None = None) -> DataFrame:
     """Result of a query that a database runs. Needs that database's JDBC driver."""
     return spark.read.format("jdbc").options(url=url, query=query, **(properties or {})).load()
