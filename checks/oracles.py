@@ -513,6 +513,9 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
         "day_offset": _with(NARROW)
         + "SELECT dt_date, id FROM comments WHERE dt_date = (SELECT CAST(max(created_utc) AS DATE) FROM comments) - 2",
         "json_array_days": _with(COMMENTS)
+        + """SELECT dt_date, id, author, author_flair_text, score, epoch_us(created_utc) AS created_micros, length(body) AS body_length
+             FROM comments""",
+        "json_array_splits": _with(COMMENTS)
         + """SELECT dt_date, id, author, author_flair_text, score, epoch_us(created_utc) AS created_micros, length(body) AS body_length
              FROM comments""",
         "loaded_days": _with(COMMENTS)

@@ -284,6 +284,16 @@ def json_array_days(spark, sf_dir):
     return back.select("dt_date", "id", "author", "author_flair_text", "score", micros, body_length())
 
 
+@query
+def json_array_splits(spark, sf_dir):
+    """The same with every file cut into blocks of 64 KB, each read by a task of its own."""
+    cut = use_utc(spark.newSession())
+    cut.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    back = tables.with_day(tables.read_split_arrays(cut, f"{_json_arrays(spark, sf_dir)}/part=*"))
+    micros = F.unix_micros("created_utc").alias("created_micros")
+    return back.select("dt_date", "id", "author", "author_flair_text", "score", micros, body_length())
+
+
 @query
 def loaded_days(spark, sf_dir):
     """The comments loaded from JSON arrays into a table that holds those with negative scores; stored ids win."""

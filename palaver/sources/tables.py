@@ -13,6 +13,7 @@ from palaver.operators.clean import first_by_id
 from palaver.functions.times import first_day, thread_day
 from palaver.schema import COMMENT, COMMENT_JSON
 from palaver.session import materialise
+from palaver.sources.arrays import read_arrays
 from palaver.sources.parts import Parts, id_ledger, parts_of, slot
 
 
@@ -62,6 +63,11 @@ def read_json_arrays(spark: SparkSession, path: str | Sequence[str]) -> DataFram
     return decode(spark.read.schema(COMMENT_JSON).option("multiLine", True).json(path))
 
 
+def read_split_arrays(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """As ``read_json_arrays``, for days so large that one file is work for many tasks."""
+    return decode(read_arrays(spark, path, COMMENT_JSON))
+
+
 def read_json_days(spark: SparkSession, path: str) -> DataFrame:
     """Days stored as JSON lines below ``dt_date=`` folders."""
     return decode(spark.read.schema(_with_day_field(COMMENT_JSON)).json(path))
