@@ -17,7 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 def main() -> None:
     from palaver.plans import catalog
-    from palaver.session import build_session
+    from palaver.session import build_session, release
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -57,6 +57,7 @@ def main() -> None:
             }
         )
     )
+    release(spark)
     spark.stop()
 
 

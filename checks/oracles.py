@@ -270,6 +270,24 @@ activity AS (
 )"""
 
 
+def _full_report() -> str:
+    """Every list of the short report, whole, and what only the full one has."""
+    long = re.sub(r"position <= \d+", "true", _short_report())
+    label = LABEL.format("author_flair_text")
+    start, _, lists = long.partition("\n\n  SELECT dt_date, 'wordiest_overall'")
+    rows = f"SELECT dt_date, 'wordiest_overall'{lists}"
+    return f"""{start}
+, listed AS ({rows}),
+users AS (SELECT DISTINCT dt_date, author, author_flair_text, {label} AS label FROM clean)
+SELECT dt_date, metric, name, CASE WHEN metric <> 'best_redditors' THEN detail END AS detail, value FROM listed
+WHERE metric <> 'upvoted_comments' AND metric <> 'flair_population'
+UNION ALL SELECT dt_date, m, id, regexp_replace(body, '(?i)!ping', '*ping', 'g'), CAST(v AS DOUBLE) FROM (
+  SELECT *, unnest(['upvoted_comments', 'upvoted_position']) AS m, unnest([score, place]) AS v FROM (
+    SELECT *, row_number() OVER (PARTITION BY dt_date ORDER BY score DESC, id) AS place FROM clean))
+UNION ALL SELECT dt_date, 'flair_population', label, NULL, CAST(count(*) AS DOUBLE) FROM users GROUP BY dt_date, label
+UNION ALL SELECT dt_date, 'flair_kinds', NULL, NULL, CAST(count(DISTINCT label) FILTER (label <> '') AS DOUBLE) FROM users GROUP BY dt_date"""
+
+
 def _short_report() -> str:
     day_hour = "(hour - CAST(epoch(dt_date) AS BIGINT) - 25200) // 3600 + 1"
     hour_day = "CAST(make_timestamp((hour - 25200) * 1000000) AS DATE)"
@@ -433,6 +451,7 @@ SELECT author, max(n) AS max_comments, avg(n) AS mean_comments, {peak} FROM coun
                replace(CASE WHEN length(b) > 140 THEN substring(b, 1, 140) || '...' ELSE b END, chr(10), chr(10) || chr(10) || '> ') AS quote
              FROM muted""",
         "short_stats": _short_report(),
+        "full_stats": _full_report(),
         "emoji_bands": emoji
         + """, uses AS (SELECT dt_date, emoji, count(*) AS uses FROM emoji GROUP BY ALL),
              shown AS (SELECT *, CAST(row_number() OVER (PARTITION BY dt_date ORDER BY uses DESC, emoji) AS INT) AS position FROM uses

@@ -25,6 +25,19 @@ MAX_TOKENS = 128000
 PREFIX_SHARE = 0.8
 SAMPLE_SHARE = 0.85
 
+# --- fixed values: text after the last ":code: " of a flair; only a line feed ends the line
+FLAIR_PATTERN = "(?dU)^.*(:[-\\w]+:)\\s(.*)"
+
+# --- fixed values: what stands before a thread as text and after each comment's last descendant
+THREAD_HEADER = ("--- ", "yyyy-MM-dd'T'HH:mm", " UTC ---\n")
+END_MARKER = "\n--- thread ends ---\n"
+
+# --- fixed values: a comment as it is quoted in a prompt (time, author, flair, body), and as it is handed to an
+# embedding model (author, flair, body); NO_FLAIR stands for a missing flair
+PROMPT_FORM = "At %s, %s (%s) wrote:\n%s"
+EMBEDDING_FORM = "@%s (%s)\n%s"
+NO_FLAIR = "None"
+
 # --- fixed values: list lengths of the short report
 SHORT_LIST = 3
 SHORT_EMOJI = 150

@@ -36,9 +36,5 @@ def emoji_list(body: Column) -> Column:
     return F.when(F.octet_length(body) > F.char_length(body), found).otherwise(F.array().cast("array<string>"))
 
 
-def emoji_count(body: Column) -> Column:
-    return F.size(emoji_list(body)).cast("bigint")
-
-
 def has_pointing_emoji(body: Column) -> Column:
     return body.rlike("|".join(POINTING_EMOJI))

@@ -8,15 +8,14 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from palaver.fixed import BOT_TRIGGERS, CHUNK_TYPES, COMMON_WORDS, STOPWORDS
+from palaver.fixed import (
+    BOT_TRIGGERS, CHUNK_TYPES, COMMON_WORDS, EMBEDDING_FORM, FLAIR_PATTERN, NO_FLAIR, PROMPT_FORM, STOPWORDS,
+)
 
 # Line breaks as text editors and terminals know them, and those of them that are not "\\n".
 LINE_BREAK = "(?:\\r\\n|[\\n\\r\\x0B\\f\\x1C\\x1D\\x1E\\x{85}\\x{2028}\\x{2029}])"
 ODD_BREAK = "[\\r\\x0B\\f\\x1C\\x1D\\x1E\\x{85}\\x{2028}\\x{2029}]"
 
-# Text after the last ":code: "; only a line feed ends the line.
-FLAIR_PATTERN = "(?dU)^.*(:[-\\w]+:)\\s(.*)"
-
 # Markdown and URLs, in the order they are removed. The link text is kept. Each rule is a text
 # that must occur for it to apply (none: always), a pattern and its replacement.
 MARKUP = [
@@ -146,15 +145,12 @@ def body_lines(body: Column) -> Column:
 
 def prompt_string(created: Column, author: Column, flair: Column, body: Column) -> Column:
     """One comment as it is quoted in a prompt."""
-    return F.concat(
-        F.lit("At "), iso_time(created), F.lit(", "), author, F.lit(" ("), F.coalesce(flair, F.lit("None")),
-        F.lit(") wrote:\n"), body,
-    )
+    return F.format_string(PROMPT_FORM, iso_time(created), author, F.coalesce(flair, F.lit(NO_FLAIR)), body)
 
 
 def embedding_string(author: Column, flair: Column, body: Column) -> Column:
     """One comment as it is handed to an embedding model."""
-    return F.concat(F.lit("@"), author, F.lit(" ("), F.coalesce(flair, F.lit("None")), F.lit(")\n"), body)
+    return F.format_string(EMBEDDING_FORM, author, F.coalesce(flair, F.lit(NO_FLAIR)), body)
 
 
 def iso_time(created: Column) -> Column:

@@ -13,13 +13,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palaver.fixed import MAX_TOKENS, PREFIX_SHARE, SAMPLE_SHARE
+from palaver.fixed import END_MARKER, MAX_TOKENS, PREFIX_SHARE, SAMPLE_SHARE, THREAD_HEADER
 from palaver.functions.text import body_lines, token_estimate
 from palaver.operators.ranking import running_total
 from palaver.session import fresh_path, materialise
 
-END_MARKER = "\n--- thread ends ---\n"
-
 SETTLED, OPEN, ORPHAN = "settled", "open", "orphan"
 UNKNOWN = "unknown parent"
 
@@ -302,13 +300,12 @@ def node_text(depth: Column, created: Column, author: Column, score: Column, bod
     indent = F.repeat(F.lit(" "), depth)
     lines = F.concat(indent, F.replace(body_lines(body), F.lit("\n"), F.concat(F.lit("\n"), indent)))
     text = F.when(body == "", F.lit("")).otherwise(lines)
-    header = F.when(
-        depth == 0, F.concat(F.lit("--- "), F.date_format(created, "yyyy-MM-dd'T'HH:mm"), F.lit(" UTC ---\n"))
-    ).otherwise(F.lit(""))
+    before, minutes, after = THREAD_HEADER
+    header = F.when(depth == 0, F.concat(F.lit(before), F.date_format(created, minutes), F.lit(after))).otherwise(F.lit(""))
     return F.concat(header, indent, author, F.lit(" ("), score.cast("string"), F.lit("):"), text, F.lit("\n"))
 
 
-_HEADER_LENGTH = len("--- 2000-01-01T00:00 UTC ---\n")
+_HEADER_LENGTH = len(THREAD_HEADER[0]) + len("2000-01-01T00:00") + len(THREAD_HEADER[2])
 
 
 def with_text_length(comments: DataFrame) -> DataFrame:

@@ -137,6 +137,14 @@ def short_stats(spark, sf_dir):
     return daily.short_report(raw(spark, sf_dir))
 
 
+@query
+def full_stats(spark, sf_dir):
+    """The whole report of every day, written and read again."""
+    path = fresh_path(spark, "report")
+    daily.write_report(daily.full_report(raw(spark, sf_dir)), path)
+    return daily.read_report(spark, path)
+
+
 @query
 def emoji_bands(spark, sf_dir):
     return keywords.emoji_bands(boards.emoji_uses(cleaned(spark, sf_dir)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -159,13 +159,47 @@ def full_report(comments: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+#: Metrics without an order of their own.
+_UNSORTED = ("bad_counts", "hourly_wordiest", "hourly_spammiest", "user_totals", "upvoted_comments")
+
+#: What a stored metric says in long form: the name and detail of an entry, and its values by metric.
+_LONG = {
+    "bad_counts": (None, None, {c: c for c in ("deleted", "removed", "other_blank")}),
+    "spammiest": ("author", "author_flair_text", {"spammiest": "comment_count"}),
+    "wordiest_overall": ("author", None, {"wordiest_overall": "word_count"}),
+    "wordiest": ("author", "author_flair_text", {"wordiest": "avg_words"}),
+    "upvoted_comments": ("id", "body", {"upvoted_comments": "score", "upvoted_position": "position"}),
+    "upvoted_redditors": ("author", None, {"upvoted_redditors": "score"}),
+    "best_redditors": ("author", None, {"best_redditors": "avg_score"}),
+    "activity": ("hour", None, {"activity": "norm_count"}),
+    "hourly_wordiest": ("hour", "author", {"hourly_wordiest": "word_count"}),
+    "hourly_spammiest": ("hour", "author", {"hourly_spammiest": "comment_count"}),
+    "emoji_spammers": ("author", None, {"emoji_spammers": "emoji_count"}),
+    "top_emoji": ("emoji", None, {"top_emoji": "uses"}),
+    "user_totals": (None, None, {c: c for c in ("unique_users", "unflaired", "flair_kinds")}),
+    "flair_population": ("flair", None, {"flair_population": "redditors"}),
+}
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """All metrics that ``write_report`` has stored as Parquet, in long form."""
+    column = lambda c: F.lit(None) if c is None else F.col(c)
+    frames = [
+        _rows(spark.read.parquet(f"{path}/{name}"), {m: F.col(c) for m, c in values.items()}, column(entry), column(detail))
+        for name, (entry, detail, values) in _LONG.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def write_report(report: dict[str, DataFrame], path: str, fmt: str = "parquet") -> None:
     """One table per metric below ``path``, replacing the days the report covers.
 
-    In JSON, times are epoch seconds.
+    In JSON, times are epoch seconds. Frames sorted by day keep their order and lie in few files a day as they
+    are; the others are spread by day first.
     """
     for name, frame in report.items():
         frame = encode(frame) if fmt == "json" and "created_utc" in frame.columns else frame
+        frame = frame.hint("rebalance", "dt_date") if name in _UNSORTED else frame
         frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt_date").format(
             fmt
         ).save(f"{path}/{name}")

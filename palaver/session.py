@@ -74,6 +74,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/palaver/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> None:
+    """Delete all tables that this application has written below the shared folder, when nothing reads them any more."""
+    fs, folder = file_system(spark, f"{shared_dir(spark)}/palaver/{spark.sparkContext.applicationId}")
+    fs.delete(folder, True)
+
+
 def stored(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> str:
     """Write ``df`` as Parquet in the shared folder; returns its path."""
     path = fresh_path(df.sparkSession, label)

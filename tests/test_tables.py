@@ -131,3 +131,13 @@ def test_reports_are_written_per_metric(make, spark, tmp_path):
     assert rows(best, "id", "created_utc") == [("a", 1709294400.123456), ("b", 1709362799.0), ("d", 1709553600.0)]
     assert spark.read.json(str(tmp_path / "hourly_spammiest")).count() == 3
     assert set(report) == {p.name for p in tmp_path.iterdir()}
+
+
+def test_release_deletes_what_the_application_has_written(spark, tmp_path, monkeypatch):
+    from palaver import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    session.materialise(spark.range(3), "gone").count()
+    assert list(tmp_path.glob("palaver/*/gone-*"))
+    session.release(spark)
+    assert not list(tmp_path.glob("palaver/*"))
