@@ -62,9 +62,13 @@ class Codec:
         self.bytes_of: list[bytes] = [b""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.bytes_of[i] = special[i].encode() if i in special else bytes(byte_of[c] for c in token)
+        #: The bytes of all tokens, to be gathered by id.
+        self.table = pa.array(self.bytes_of, pa.binary())
         self.special = re.compile("|".join(map(re.escape, special.values()))) if special else None
         self.longest_special = max(map(len, special.values()), default=0)
+        #: Ids of pieces as they stand, and of words behind a space.
         self.known: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
 
     def library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -108,44 +112,69 @@ class Codec:
                 return np.concatenate((left[:a], again, right[b:]))
             width *= 2
 
+    def _learn(self, known: dict[str, bytes], pieces: set[str], before: str) -> dict[str, bytes]:
+        """``known`` with the ids of all ``pieces``, each of which has ``before`` in front."""
+        short = [p for p in pieces if len(p) < LEAF_CHARS]
+        for i in range(0, len(short), AT_ONCE):
+            part = short[i : i + AT_ONCE]
+            for p, ids in zip(part, self.library([before + p for p in part] if before else part), strict=True):
+                known[p] = ids.astype("<u4").tobytes()
+        for p in pieces:
+            if len(p) >= LEAF_CHARS:
+                known[p] = self.tree(before + p).astype("<u4").tobytes()
+        return known
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut, missing = [], {}
+        plain: set[str] = set()
+        words: set[str] = set()
+        cut: list[tuple[bool, list[str]]] = []
         for text in texts:
-            pieces = _pieces(text)
-            cut.append(pieces)
-            missing.update(dict.fromkeys(p for p in pieces if p not in self.known))
-        if len(self.known) + len(missing) > REMEMBERED:
-            self.known = {}
-            missing = dict.fromkeys(p for pieces in cut for p in pieces)
-        short = [p for p in missing if len(p) <= LEAF_CHARS]
-        for i in range(0, len(short), AT_ONCE):
-            part = short[i : i + AT_ONCE]
-            for p, ids in zip(part, self.library(part), strict=True):
-                self.known[p] = ids.astype("<u4").tobytes()
-        long = {p: self.tree(p).astype("<u4").tobytes() for p in missing if len(p) > LEAF_CHARS}
-        found = [b"".join([self.known[p] if p in self.known else long[p] for p in pieces]) for pieces in cut]
+            if not text or text[0] == " " or _SPACE_PAIR.search(text):
+                pieces = _CUT.split(text) if text else []
+                cut.append((False, pieces))
+                plain.update(pieces)
+            else:  # every space ends a piece: the words behind it need not be put together with it
+                pieces = text.split(" ")
+                cut.append((True, pieces))
+                plain.add(pieces[0])
+                words.update(pieces[1:])
+        plain, words = plain - self.known.keys(), words - self.spaced.keys()
+        if len(self.known) + len(self.spaced) + len(plain) + len(words) > REMEMBERED:
+            self.known, self.spaced = {}, {}
+            plain = {p for spaced, pieces in cut for p in (pieces[:1] if spaced else pieces)}
+            words = {p for spaced, pieces in cut if spaced for p in pieces[1:]}
+        known, behind = self._learn(self.known, plain, ""), self._learn(self.spaced, words, " ")
+        found = [
+            known[pieces[0]] + b"".join(map(behind.__getitem__, pieces[1:])) if spaced else b"".join(map(known.__getitem__, pieces))
+            for spaced, pieces in cut
+        ]
+        for p in [p for p in (*plain, *words) if len(p) >= LEAF_CHARS]:
+            known.pop(p, None)
+            behind.pop(p, None)
         return found
 
+    def decode_all(self, ids: list[bytes]) -> pa.Array:
+        """The texts of many lists of ids: one gather over the table of bytes, cut where the texts end."""
+        ends = np.cumsum([0] + [len(x) // 4 for x in ids])
+        gathered = self.table.take(pa.array(np.frombuffer(b"".join(ids), "<u4")))
+        _, offsets, data = gathered.buffers()
+        at = np.frombuffer(offsets, np.int32)[: len(gathered) + 1][ends] if len(gathered) else np.zeros(len(ends), np.int32)
+        whole = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(at.astype(np.int32).tobytes()), data or pa.py_buffer(b"")])
+        try:
+            return whole.cast(pa.string())
+        except pa.ArrowInvalid:  # tokens that break a character
+            return pa.array([x.decode("utf-8", "replace") for x in whole.to_pylist()], pa.string())
+
     def decode(self, ids: bytes) -> str:
         """The text of ids, special tokens included."""
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        return self.decode_all([ids])[0].as_py()
 
 
 _SPACE_PAIR = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
-def _pieces(text: str) -> list[str]:
-    """Parts whose encodings concatenate: cut before a space that follows no white space."""
-    if not text:
-        return []
-    if text[0] == " " or _SPACE_PAIR.search(text):
-        return _CUT.split(text)
-    first, *others = text.split(" ")
-    return [first, *[" " + x for x in others]]
-
-
 @lru_cache(2)
 def codec(path: str) -> Codec:
     return Codec(path)
@@ -226,8 +255,8 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "ids", IN_HAND):
-            texts = [codec(path).decode(x) for x in column_bytes(batch, "ids")]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("ids"), pa.array(texts, pa.string())], ["key", "ids", "text"])
+            texts = codec(path).decode_all(column_bytes(batch, "ids"))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("ids"), texts], ["key", "ids", "text"])
 
     slim = encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
     kind = slim.schema["key"].dataType.simpleString()

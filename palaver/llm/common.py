@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -12,7 +15,27 @@ from pyspark.sql import DataFrame, SparkSession
 SLICE_BYTES = 8 << 20
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in batches of ``SLICE_BYTES``; Spark's own bound would keep eight times as much in hand."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES))
+
+
+@lru_cache(1)
+def _trim():
+    """The C library's way to give freed memory back to the system, where it has one."""
+    name = ctypes.util.find_library("c")
+    return getattr(ctypes.CDLL(name), "malloc_trim", None) if name else None
+
+
+def give_back() -> None:
+    """Return the memory that a task has freed: a worker serves many tasks, and stays as large as its largest."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -41,3 +64,4 @@ def slices(batches: Iterator[pa.RecordBatch], name: str, limit: int = SLICE_BYTE
             total += size
         if first < len(sizes):
             yield batch.slice(first)
+    give_back()
