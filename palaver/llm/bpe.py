@@ -1,8 +1,8 @@
 """Byte-level BPE of whole texts with a public tokenizer's vocabulary, and back.
 
-A text is cut where no token can lie across: before a space that follows something other than white
-space. The pieces are encoded by the tokenizers library, each once per task while it is remembered.
-A piece without such a place, however long, is encoded by tree concatenation: its halves are
+A text can be cut where no token can lie across: before a space that follows something other than white
+space. Runs of short pieces go through the tokenizers library as they stand. A long piece, without such a
+place, which takes the library ever longer, is encoded by tree concatenation: its halves are
 encoded apart, and a growing window around the join is encoded again until its first and last
 tokens are those that the halves have there. In byte-level BPE a sequence is the encoding of its
 text exactly if that holds for every two neighbours; all pairs outside the window come from the
@@ -22,6 +22,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ from palaver.session import materialise
 LEAF_CHARS = 8192
 #: Texts of more characters are spread over tasks.
 SPLIT_CHARS = 65536
-#: Pieces whose ids a task remembers, and that go through the library at once; bytes of text in hand at once.
-REMEMBERED, AT_ONCE, IN_HAND = 150_000, 4096, 2 << 20
+#: Texts that go through the library at once, and bytes of text in hand at once.
+AT_ONCE, IN_HAND = 256, 2 << 20
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -66,9 +67,6 @@ class Codec:
         self.table = pa.array(self.bytes_of, pa.binary())
         self.special = re.compile("|".join(map(re.escape, special.values()))) if special else None
         self.longest_special = max(map(len, special.values()), default=0)
-        #: Ids of pieces as they stand, and of words behind a space.
-        self.known: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
 
     def library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -112,47 +110,21 @@ class Codec:
                 return np.concatenate((left[:a], again, right[b:]))
             width *= 2
 
-    def _learn(self, known: dict[str, bytes], pieces: set[str], before: str) -> dict[str, bytes]:
-        """``known`` with the ids of all ``pieces``, each of which has ``before`` in front."""
-        short = [p for p in pieces if len(p) < LEAF_CHARS]
-        for i in range(0, len(short), AT_ONCE):
-            part = short[i : i + AT_ONCE]
-            for p, ids in zip(part, self.library([before + p for p in part] if before else part), strict=True):
-                known[p] = ids.astype("<u4").tobytes()
-        for p in pieces:
-            if len(p) >= LEAF_CHARS:
-                known[p] = self.tree(before + p).astype("<u4").tobytes()
-        return known
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        plain: set[str] = set()
-        words: set[str] = set()
-        cut: list[tuple[bool, list[str]]] = []
-        for text in texts:
-            if not text or text[0] == " " or _SPACE_PAIR.search(text):
-                pieces = _CUT.split(text) if text else []
-                cut.append((False, pieces))
-                plain.update(pieces)
-            else:  # every space ends a piece: the words behind it need not be put together with it
-                pieces = text.split(" ")
-                cut.append((True, pieces))
-                plain.add(pieces[0])
-                words.update(pieces[1:])
-        plain, words = plain - self.known.keys(), words - self.spaced.keys()
-        if len(self.known) + len(self.spaced) + len(plain) + len(words) > REMEMBERED:
-            self.known, self.spaced = {}, {}
-            plain = {p for spaced, pieces in cut for p in (pieces[:1] if spaced else pieces)}
-            words = {p for spaced, pieces in cut if spaced for p in pieces[1:]}
-        known, behind = self._learn(self.known, plain, ""), self._learn(self.spaced, words, " ")
-        found = [
-            known[pieces[0]] + b"".join(map(behind.__getitem__, pieces[1:])) if spaced else b"".join(map(known.__getitem__, pieces))
-            for spaced, pieces in cut
-        ]
-        for p in [p for p in (*plain, *words) if len(p) >= LEAF_CHARS]:
-            known.pop(p, None)
-            behind.pop(p, None)
-        return found
+        plain = [i for i, text in enumerate(texts) if len(text) <= LEAF_CHARS or max(map(len, _pieces(text))) <= LEAF_CHARS]
+        found: dict[int, np.ndarray] = {}
+        for at in range(0, len(plain), AT_ONCE):
+            part = plain[at : at + AT_ONCE]
+            found.update(zip(part, self.library([texts[i] for i in part]), strict=True))
+        return [(found[i] if i in found else self.mixed(text)).astype("<u4").tobytes() for i, text in enumerate(texts)]
+
+    def mixed(self, text: str) -> np.ndarray:
+        """Ids of a text some of whose pieces are long: those as trees, the runs of others between them as they stand."""
+        ids = [np.empty(0, np.uint32)]
+        for long, run in groupby(_pieces(text), lambda p: len(p) > LEAF_CHARS):
+            ids += [self.tree(p) for p in run] if long else self.library(["".join(run)])
+        return np.concatenate(ids)
 
     def decode_all(self, ids: list[bytes]) -> pa.Array:
         """The texts of many lists of ids: one gather over the table of bytes, cut where the texts end."""
@@ -175,6 +147,14 @@ _SPACE_PAIR = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
+def _pieces(text: str) -> list[str]:
+    """Parts whose encodings concatenate: cut before a space that follows no white space."""
+    if text[:1] == " " or _SPACE_PAIR.search(text):
+        return _CUT.split(text)
+    first, *others = text.split(" ")
+    return [first, *[" " + x for x in others]]
+
+
 @lru_cache(2)
 def codec(path: str) -> Codec:
     return Codec(path)

@@ -182,7 +182,9 @@ def fit(
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where("key is not null")
     if learn_from is not None:
         known = known.where(learn_from)
-    known = known.dropDuplicates(["key"])
+    # an id with both labels says nothing
+    known = known.where("label in (0, 1)").groupBy("key").agg(F.min("label").alias("label"), F.max("label").alias("_most"))
+    known = known.where("label = _most").drop("_most")
     picked = None
     for value in (0, 1):
         part = known.where(F.col("label") == value).orderBy(F.xxhash64("key"), "key").limit(per_class)

@@ -13,8 +13,8 @@ Payloads of equal content (by SHA-1) are stored once; the others are revisit rec
 
 A null payload is an empty one; a null URL is left out of the header. Line breaks in URLs are
 percent-encoded. Rows with a null id have an empty record id; they are revisits only of payloads
-that a row with an id has. Rows that repeat the smallest id of a payload are all responses. An
-empty table gives archives without records. A file that does not begin with a record has none, and
+that a row with an id has. Rows that repeat the smallest id of a payload are all responses; rows that repeat an id with
+other payloads are records of their own. Further columns play no part. An empty table gives archives without records. A file that does not begin with a record has none, and
 a record whose bytes are cut off by the end of its file is not returned.
 """
 
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from palaver.llm.common import column_bytes, slices, table
+from palaver.operators.ranking import running_total
 from palaver.session import fresh_path, materialise
 
 #: Fixed values of the format.
@@ -212,16 +213,24 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
         placed.join(chain.withColumn("genuine", F.lit(True)), ["file", "start"], "left").withColumn("genuine", F.col("genuine").isNotNull()),
         "warc-genuine",
     )
-    # a file's candidates in order, without their bytes: each piece lies in the last genuine record before it
-    order = Window.partitionBy("file").orderBy("start")
-    owner = F.last(F.when(F.col("genuine"), F.col("start")), ignorenulls=True).over(order)
-    broken = pieces_of.where("genuine and not whole").select("file", F.col("start").alias("owner"))
-    parts = pieces_of.select("file", "start", "block_start", "at", owner.alias("owner")).join(broken, ["file", "owner"], "left_semi")
-    wanted = materialise(parts, "warc-parts")
+    header = ["file", "start", "type", "ident", "refers_to", "digest", "uri"]
+    columns = [*header, "payload_bytes", "payload_digest", *(["payload"] if with_payload else [])]
+    entire = pieces_of.where("genuine and whole")
+    if with_payload:
+        whole = _pieces(spark, path, True).select("file", "block_start", "at", "payload")
+        entire = _met(entire, whole, "payload")
+    broken = pieces_of.where("genuine and not whole")
+    if not broken.limit(1).count():
+        return entire.select(*columns)
+    # each piece lies in the last genuine record before it: those of one number
+    counted = pieces_of.select("file", "start", "block_start", "at", "whole", F.col("genuine").cast("long").alias("_one"))
+    numbered = running_total(counted, ["file"], ["start"], "_one", [True], "number")
+    owners = numbered.where("_one = 1 and not whole").select("file", "number", F.col("start").alias("owner"))
+    wanted = materialise(numbered.select("file", "start", "block_start", "at", "number").join(owners, ["file", "number"]), "warc-parts")
     pieces = _pieces(spark, path, True).select("file", "block_start", "at", "bytes")
     # the pieces of one record, as long as the record itself
     whole_again = (
-        pieces.join(wanted, ["file", "block_start", "at"])
+        _met(wanted, pieces, "bytes")
         .groupBy("file", F.col("owner").alias("start"))
         .agg(F.array_sort(F.collect_list(F.struct(F.col("start").alias("o"), "bytes"))).alias("parts"))
     )
@@ -242,26 +251,25 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
                     )
 
     again = whole_again.mapInArrow(rejoin, "file string, start long, payload_bytes long, payload_digest string, payload binary")
-    header = ["file", "start", "type", "ident", "refers_to", "digest", "uri"]
-    mended = pieces_of.where("genuine and not whole").select(*header).join(again, ["file", "start"])
-    entire = pieces_of.where("genuine and whole")
-    if with_payload:
-        whole = _pieces(spark, path, True).select("file", "block_start", "at", "payload")
-        entire = entire.join(whole, ["file", "block_start", "at"])
-    else:
-        mended = mended.drop("payload")
-    columns = [*header, "payload_bytes", "payload_digest", *(["payload"] if with_payload else [])]
-    return entire.select(*columns).union(mended.select(*columns))
+    return entire.select(*columns).union(broken.select(*header).join(again, ["file", "start"]).select(*columns))
+
+
+def _met(wanted: DataFrame, pieces: DataFrame, column: str) -> DataFrame:
+    """``wanted`` with ``column`` of the piece it names. A second scan may cut files elsewhere than the first: that is an error, not a loss."""
+    place = ["file", "block_start", "at"]
+    told = F.when(F.col(column).isNull(), F.raise_error(F.lit("the archives were read in other blocks than before; read them again")))
+    return wanted.join(pieces, place, "left").withColumn(column, F.coalesce(F.col(column), told.cast("binary")))
 
 
 def resolved(records: DataFrame) -> DataFrame:
-    """Records with the payload size and digest that a revisit refers to."""
-    first = records.where("type = 'response'").groupBy(F.col("ident").alias("refers_to")).agg(
-        F.min("payload_bytes").alias("n"), F.min("payload_digest").alias("d")
+    """Records with the payload size and digest that a revisit refers to: those of the response with the id and the digest it names."""
+    first = records.where("type = 'response'").groupBy(F.col("ident").alias("refers_to"), F.col("payload_digest").alias("digest")).agg(
+        F.min("payload_bytes").alias("n")
     )
     # only revisits refer to anything: the others, whose reference is null, are not joined
-    revisits = records.where("type = 'revisit'").join(first, "refers_to", "left")
-    revisits = revisits.withColumns({"payload_bytes": F.col("n"), "payload_digest": F.col("d")}).select(records.columns)
+    revisits = records.where("type = 'revisit'").join(first, ["refers_to", "digest"], "left")
+    found = F.when(F.col("n").isNotNull(), F.col("digest"))
+    revisits = revisits.withColumns({"payload_bytes": F.col("n"), "payload_digest": found}).select(records.columns)
     return records.where("type is distinct from 'revisit'").unionByName(revisits)
 
 

@@ -74,6 +74,18 @@ def test_empty_table(spark):
     assert through(spark, []) == []
 
 
+def test_ids_that_repeat_with_other_payloads(spark):
+    rows = [(1, "u", "AAAA"), (1, "u", "BB"), (2, "u", "AAAA"), (3, "u", "BB")]
+    path = fresh_path(spark, "warc-test")
+    pages = spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, sha1 string, first string")
+    warc.write_archives(pages, path)
+    found = warc.resolved(warc.read_archives(spark, path, with_payload=False)).collect()
+    sha = lambda h: base64.b32encode(hashlib.sha1(h.encode()).digest()).decode()
+    got = sorted((r["ident"], r["payload_bytes"], r["payload_digest"], r["type"], r["refers_to"]) for r in found)
+    assert got == sorted([("1", 4, sha("AAAA"), "response", None), ("1", 2, sha("BB"), "response", None),
+                          ("2", 4, sha("AAAA"), "revisit", "1"), ("3", 2, sha("BB"), "revisit", "1")])
+
+
 def test_small_payloads_are_not_revisits(spark):
     path = fresh_path(spark, "warc-test")
     rows = [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")]
