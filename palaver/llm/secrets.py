@@ -1,6 +1,7 @@
 """Secret scans: a random forest that removes false positives, in DataFrame operations only.
 
-Generators propose every long mixed token and every value behind a credential word. A candidate is
+Generators propose every token of 16 characters that has a digit or a capital behind a small letter, however late, and every
+value of 4 behind a name that a credential word begins (within the 32 characters before the sign). A candidate is
 described by its length, the changes between kinds of characters, the share of it that dictionary
 words cover, the path it was found under and the words beside it. The dictionary is the most
 frequent words of the whole corpus. A forest trained from labelled findings scores candidates;
@@ -13,7 +14,8 @@ beside words such as "example". At most ``sample`` findings are learned from.
 
 A null text is an empty one; a null path is an empty one. Rows are known by a number of their own:
 repeated ids, null ids and columns of any name make no difference. An empty table gives an empty
-result. With labels of one kind only, no forest is fitted and the settled candidates decide.
+result. With labels of one kind only, no forest is fitted and the settled candidates decide. Very long texts and
+tokens are read whole. Words as frequent as the last of the dictionary go by name.
 """
 
 from __future__ import annotations
@@ -36,8 +38,8 @@ LEAST = 0.5
 _NAME = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|bearer)"
 #: Lookbehinds and possessive repetition let long unbroken texts take linear time.
 PATTERNS = {
-    "token": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,64}[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}",
-    "value": r"[=:]\x20{0,3}[\"']?[A-Za-z0-9+/_.!@#$%^&*-]{8,}+",
+    "token": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|[A-Z+/_-]*+[a-z][a-z+/_-]*+[A-Z])[A-Za-z0-9+/_-]{16,}+={0,2}",
+    "value": r"[=:]\x20{0,3}[\"']?[A-Za-z0-9+/_.!@#$%^&*-]{4,}+",
 }
 FEATURES = (
     "length", "changes", "distinct_share", "digit_share", "upper_share", "hex_only", "digits_only", "word_share", "named", "assigned",
@@ -60,10 +62,10 @@ def known_form(match: Column) -> Column:
 def values_only(found: DataFrame) -> DataFrame:
     """Assigned values without the sign before them, where a credential word precedes it; other candidates as they are.
 
-    A value that is a token of its own too is one candidate.
+    A value that is a token of its own too is one candidate, the value.
     """
     sign = F.when(F.col("generator") == "value", F.regexp_extract("match", r"\A[=:] {0,3}[\"']?", 0)).otherwise("")
-    named = F.lower("before").rlike(_NAME + r"[\"']? {0,3}\z")
+    named = F.lower("before").rlike(_NAME + r"[a-z0-9_-]*[\"']? {0,3}\z")
     kept = found.where((F.col("generator") == "token") | named)
     cut = kept.withColumn("sign", sign).withColumns(
         {
@@ -72,12 +74,15 @@ def values_only(found: DataFrame) -> DataFrame:
             "start": F.col("start") + F.char_length("sign"),
         }
     )
-    return cut.drop("sign").dropDuplicates(["row", "start", "end"])
+    place = ["row", "start", "end"]
+    # "value" is the larger name of the two generators
+    rest = F.struct("generator", *[c for c in found.columns if c not in (*place, "generator")])
+    return cut.groupBy(*place).agg(F.max(rest).alias("_c")).select(*place, "_c.*").select(*found.columns)
 
 
 def described(found: DataFrame, words: DataFrame) -> DataFrame:
     """Candidates with their features; ``words`` is a dictionary of bounded size."""
-    head = F.left("match", F.lit(128))
+    head = F.col("match")
     size = F.greatest(F.char_length(head), F.lit(1))
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(head, "[0-9]", "0"), "[a-z]", "a"), "[A-Z]", "A"), "[^0aA]", ".")
     runs = F.regexp_replace(kinds, r"(.)\1+", "$1")
@@ -93,7 +98,7 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
     both = rows.join(covered, "_id", "left").join(F.broadcast(seen), "_last", "left")
     return both.select(
         *found.columns,
-        F.least(F.char_length("match"), F.lit(128)).cast("double").alias("length"),
+        F.char_length("match").cast("double").alias("length"),
         ((F.char_length(runs) - 1) / size).alias("changes"),
         (F.size(F.array_distinct(F.split(head, ""))) / size).alias("distinct_share"),
         share("[^0-9]").alias("digit_share"),
@@ -101,7 +106,7 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
         flag(head.rlike(r"\A(?:[0-9a-f]+|[0-9A-F]+)\z")).alias("hex_only"),
         flag(head.rlike(r"\A[0-9_./+-]+\z")).alias("digits_only"),
         (F.coalesce("_covered", F.lit(0)) / size).alias("word_share"),
-        flag(before.rlike(_NAME + r"\W{0,8}\z")).alias("named"),
+        flag(before.rlike(_NAME + r"[a-z0-9_-]*\W{0,8}\z")).alias("named"),
         flag(before.rlike(r"[=:]\s*[\"']?\z")).alias("assigned"),
         flag(before.rlike(r"[\"'`]\z") & F.col("after").rlike(r"\A[\"'`]")).alias("quoted"),
         flag(F.lower(F.concat_ws(" ", "before", head, "after")).rlike(r"(?<![@.])\b(?:example|sample|dummy|placeholder|changeme)\b(?!\.[a-z])|xxxx|your[_-]")).alias("dummy_near"),
@@ -178,10 +183,12 @@ def scan(
 def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text", sign: str = "[SECRET]") -> DataFrame:
     """``docs`` with secrets replaced. ``found`` is as from ``scan``; of rows that repeat an id, each loses its own secrets only.
 
-    Rows are matched by id and text digest, so that repeated and null ids meet their own findings.
+    Rows are matched by id and text digest, so that repeated and null ids meet their own findings. Equal rows whose paths
+    led to different findings lose the larger list.
     """
     names = [spare_name(docs, n) for n in ("found_key", "found_digest", "found_secrets")]
-    spans = found.where(F.size("secrets") > 0).select(F.col(key), "digest", "secrets").toDF(*names).dropDuplicates(names[:2])
+    listed = found.where(F.size("secrets") > 0).select(F.col(key), "digest", "secrets").toDF(*names)
+    spans = listed.groupBy(*names[:2]).agg(F.max(names[2]).alias(names[2]))
     spans = materialise(spans, "secret-spans")
     on = docs[key].eqNullSafe(spans[names[0]]) & (F.xxhash64(docs[text]) == spans[names[1]])
     both = docs.join(spans, on, "left")

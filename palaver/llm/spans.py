@@ -42,7 +42,7 @@ def located(docs: DataFrame, patterns: Mapping[str, str], key: str, text: str, c
                 i.alias("i"),
                 F.char_length(F.get(gaps, i)).alias("gap"),
                 m.alias("match"),
-                F.right(F.get(gaps, i), F.lit(CONTEXT)).alias("before"),
+                F.right(F.concat(F.coalesce(F.get(F.col(f"found_{g}"), i - 1), F.lit("")), F.get(gaps, i)), F.lit(CONTEXT)).alias("before"),
                 F.left(F.get(gaps, i + 1), F.lit(CONTEXT)).alias("after"),
             ),
         )

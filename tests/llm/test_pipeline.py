@@ -38,3 +38,18 @@ def test_odd_rows_pass_every_stage(spark):
             assert after.columns == docs.columns, name
             assert after.count() <= frame.count()
         assert p.STAGES[-1][1](spark, frame, SF).count() == frame.count()
+
+
+def test_rows_that_share_an_id_are_judged_each_by_its_text(spark):
+    words = lambda seed: " ".join(f"{seed}{n}" for n in range(60))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 100").first()["text"]
+    made = [(5, words("a")), (5, words("b")), (9, words("b").upper()), (None, words("c")), (None, words("c")), (7, words("a")), (8, item), (8, words("d")), (None, item)]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(made)], "doc_id long, text string, n int").repartition(3)
+    once = p.near_duplicates(spark, docs, SF)
+    assert once.columns == docs.columns
+    classes = {}
+    for r in once.collect():
+        classes.setdefault(r["text"].split(" ")[0].lower(), []).append(r["doc_id"])
+    assert classes["a0"] == [5] and classes["b0"] == [5] and classes["c0"] == [None] and len(classes[item.split(" ")[0].lower()]) == 1
+    clean = p.benchmark_decontamination(spark, docs, SF)
+    assert sorted(r["n"] for r in clean.collect()) == [0, 1, 2, 3, 4, 5, 7]

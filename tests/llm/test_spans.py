@@ -121,6 +121,58 @@ def test_odd_rows_of_secrets(spark):
     assert secrets.scan(docs.where("false")).count() == 0
 
 
+NAME = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|bearer)"
+RUN = "[A-Za-z0-9+/_-]"
+
+
+def slow_candidates(text):
+    """``start: (end, match, before, after)``, values over tokens."""
+    out = {}
+    for m in re.finditer(rf"(?<!{RUN}){RUN}{{16,}}={{0,2}}", text):
+        run = m[0].rstrip("=")
+        if re.search("[0-9]", run) or re.search("[a-z].*[A-Z]", run):
+            out[m.start(), m.end()] = m[0]
+    at = 0
+    while m := re.compile(r"""[=:]\x20{0,3}["']?[A-Za-z0-9+/_.!@#$%^&*-]{4,}""").search(text, at):
+        at = m.end()
+        sign = re.match(r"""[=:] {0,3}["']?""", m[0])[0]
+        if re.search(NAME + r"""[a-z0-9_-]*["']? {0,3}\Z""", text[max(0, m.start() - 32) : m.start()].lower()):
+            out[m.start() + len(sign), m.end()] = m[0][len(sign) :]
+    return out
+
+
+def test_candidates_are_those_of_plain_loops(spark):
+    rng = random.Random(8)
+    parts = ["token", "DB_PASSWORD_PROD", "api-key", "=", ": ", ' = "', "'", "a" * 70 + "9", "abcdefghABCDEFGH", "Abcdefghijklmnopqrst", "x7", "-", "/", " ",
+             "\n", "é", "ghp_" + "a1" * 18, "1234567890123456", "hunter2", "==", "Bearer", "word", "q" * 200 + "Z" * 3]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(250)] + [None, "", "b" * 90_000 + "1", "=" * 9000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secrets.located(docs, secrets.PATTERNS, "doc_id", "text", {"path": secrets.F.lit("")})
+    kept = secrets.values_only(secrets.candidates(found, "path")).join(found.select("row", "key"), "row")
+    got = sorted((r["key"], r["start"], r["end"], r["match"]) for r in kept.collect())
+    want = sorted((i, s, e, m) for i, t in enumerate(texts) for (s, e), m in slow_candidates(t or "").items())
+    assert got == want and len(want) > 200
+    counts = {r["doc_id"]: r["n_candidates"] for r in secrets.scan(docs).collect()}
+    assert counts == {i: len(slow_candidates(t or "")) for i, t in enumerate(texts)}
+
+
+def test_query_of_secrets(spark):
+    table = {r["doc_id"]: r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    got = secrets.op8_secrets(spark, "/root/testdata/sf0.01").collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(table)
+    planted = re.compile(r"\b[0-9a-f]{40}\b")
+    right = wrong = missed = 0
+    for r in got:
+        text = table[r["doc_id"]]["text"] or ""
+        held = slow_candidates(text)
+        assert r["n_candidates"] == len(held)
+        spans = [tuple(map(int, s.split(":")[1:])) for s in r["spans"].split(",") if s]
+        assert len(spans) == r["n_secrets"] and spans == sorted(spans)
+        keys = {(m.start(), m.end()) for m in planted.finditer(text)}
+        right, wrong, missed = right + len(keys & set(spans)), wrong + len(set(spans) - keys), missed + len(keys - set(spans))
+    assert right > 0 and missed == 0 and wrong <= right // 10, (right, wrong, missed)
+
+
 @pytest.mark.parametrize("name", ["pii", "secrets"])
 def test_no_python_in_the_plan(spark, name):
     query = {"pii": pii.op7_pii, "secrets": secrets.op8_secrets}[name]
