@@ -4,51 +4,61 @@ The quality classifier rejects documents, near duplicates leave one document of
 contaminated documents go, secrets are replaced, and what is left is encoded and decoded.
 
 Stages take and return the columns of the documents they are given, whatever further columns those
-have; the last returns token counts and digests. Decisions that name documents name them by id:
-rows that repeat an id share its fate, and a row with a null id stays, except that rows with equal
-ids, text and all, leave one. Null and empty texts are documents without words. Empty tables give
-empty results.
+have; the last returns token counts and digests. Decisions name rows, not ids: a stage knows a row by the file
+and place it is read from, so rows that repeat an id, or have none, are judged each by its own text. Of
+a class of near duplicates the row of the smallest id stays (null is the smallest), of several the first in the files' order.
+Null and empty texts are documents without words. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver.llm import bpe, decontamination, quality, secrets, simhash
-from palaver.llm.common import spare_name, table
+from palaver.llm.common import small_batches, spare_name, table
 from palaver.session import fresh_path, materialise
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject (score 0.3 or more)."""
+    small_batches(spark)
     return quality.keep_good(docs, quality.fitted(spark, sf_dir, docs))
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the ids in ``gone`` (``doc_id``, distinct)."""
-    name = spare_name(docs, "gone")
-    listed = materialise(gone.select(F.col("doc_id").alias(name)), "gone")
-    return docs.join(listed, docs["doc_id"] == listed[name], "left_anti")
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column that names each row by its file and its place there, the same at every reading."""
+    name = spare_name(docs, "row")
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    try:
+        return docs.withColumn(name, place), name
+    except AnalysisException:  # not read from files
+        return materialise(docs, "pipeline-docs").withColumn(name, place), name
+
+
+def _without(rows: DataFrame, gone: DataFrame, name: str) -> DataFrame:
+    """``rows`` without those that ``gone`` names (``row``, distinct)."""
+    listed = materialise(gone.select(F.col("row").alias(name)), "gone")
+    return rows.join(listed, name, "left_anti").drop(name)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of fingerprints within four bits (shingles of four words): the one of the smallest id."""
-    found = materialise(simhash.near_duplicates(docs, shingle=4, max_bits=4), "pipeline-classes")
-    kept = _without(docs, found.where("doc_id <> component_id").select("doc_id").distinct())
-    repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null")
-    if not repeated.limit(1).count():
-        return kept
-    # rows that repeat an id: any one of them stays
-    again = materialise(repeated.select(F.col("doc_id").alias("again")), "pipeline-repeated")
-    once = kept.join(again, kept["doc_id"] == again["again"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, kept["doc_id"] == again["again"], "left_anti").unionByName(once)
+    small_batches(spark)
+    rows, name = _numbered(docs)
+    named = rows.select(F.struct(F.col("doc_id").alias("id"), F.col(name).alias("row")).alias("key"), "text")
+    found = materialise(simhash.near_duplicates(named, key="key", shingle=4, max_bits=4), "pipeline-classes")
+    return _without(rows, found.where("key.row <> component_id.row").select("key.row"), name)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of whose words fewer than one in twenty lie in a phrase of the benchmark."""
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated").select("doc_id").distinct())
+    small_batches(spark)
+    rows, name = _numbered(docs)
+    named = rows.select(F.col(name).alias("row"), "text")
+    found = decontamination.contamination(named, table(spark, sf_dir, "benchmark"), key="row")
+    return _without(rows, found.where("contaminated").select("row"), name)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,6 +74,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts, and digests of the ids and of the text decoded from them."""
+    small_batches(spark)
     return bpe.digests(docs, bpe.vocabulary())
 
 
