@@ -13,7 +13,8 @@ rarest word. Windows are looked up in blocks of bounded size, so the benchmark m
 
 Null and empty texts have no words; items without words ask for nothing. Repeated rows are
 documents of their own. Items that repeat an id count as one item; a null item id is left out of
-the list of items. Empty tables give empty results, or documents without hits.
+the list of items. A very long text is a segment of its own. Further columns play no part. Empty tables give empty results,
+or documents without hits.
 """
 
 from __future__ import annotations
@@ -27,12 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from palaver.llm.common import column_bytes, slices, table
+from palaver.llm.common import column_bytes, give_back, slices, table
 from palaver.session import materialise
 
 WINDOW = 13
 #: Words in a segment, unless one document has more.
-SEGMENT_WORDS = 400_000
+SEGMENT_WORDS = 200_000
+#: Positions that are followed at once; a common word of many windows has far more.
+ANCHORS = 1 << 17
 #: Windows that tasks look up at once; more are looked up in further passes.
 BLOCK_WINDOWS = 100_000
 
@@ -158,6 +161,7 @@ def _frequencies(index: DataFrame, windows: list[str]) -> dict[str, int]:
         seen = np.nonzero(total)[0]
         names = [lookup.words[i].decode() for i in seen]
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(total[seen])], ["word", "n"])
+        give_back()
 
     counted = index.select("words", "ends").mapInArrow(run, "word string, n long")
     return dict(tuple(r) for r in counted.groupBy("word").agg(F.sum("n")).collect())
@@ -181,6 +185,7 @@ def search(index: DataFrame, windows: list[str], slop: int = 2 * WINDOW) -> Data
                 )
                 if near:
                     yield _matches(batch.column("segment")[row].as_py(), near, phrases, asked)
+        give_back()
 
     schema = "segment long, place int, spans array<struct<first:int,last:int>>, phrases array<string>, near array<string>"
     return index.select("segment", "starts", "counts", "words", "ends", "positions").mapInArrow(run, schema)
@@ -210,34 +215,38 @@ def _intersect(
     taken = np.repeat(begin - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
     far = np.int64(1) << 32
     lists = np.repeat(numbers, lengths) * far + positions[taken]
-    # every position of every window's rarest word
+    # every position of every window's rarest word, a bounded number at a time
     anchor = lookup.matrix[alive, order[alive, 0]]
     n = last[anchor] - first[anchor]
-    window = np.repeat(alive, n)
-    at = lists[np.repeat(first[anchor] - (np.cumsum(n) - n), n) + np.arange(n.sum())] % far
-    begin = at - order[window, 0]
-    doc = np.searchsorted(starts, at, "right") - 1
-    low, high = np.maximum(at - slop, starts[doc]), np.minimum(at + slop, starts[doc] + sizes[doc] - 1)
-    exact = np.ones(len(at), bool)
-    for r in range(1, order.shape[1]):
-        o = order[window, r]
-        word = lookup.matrix[window, o]
-        more = o >= 0
-        hit = np.searchsorted(lists, word * far + low)
-        close = ~more | ((hit < len(lists)) & (lists[np.minimum(hit, len(lists) - 1)] <= word * far + high))
-        window, begin, doc, low, high, exact, word, o, more = (
-            x[close] for x in (window, begin, doc, low, high, exact, word, o, more)
-        )
-        wanted = word * far + begin + o
-        hit = np.searchsorted(lists, wanted)
-        exact &= ~more | ((hit < len(lists)) & (lists[np.minimum(hit, len(lists) - 1)] == wanted))
+    until = np.cumsum(n)
     near: dict[int, set[int]] = {}
     phrases: dict[int, list[tuple[int, int, int]]] = {}
-    offset = begin - starts[doc]
-    for d, w, p, e in zip(doc.tolist(), window.tolist(), offset.tolist(), exact.tolist(), strict=True):
-        near.setdefault(d, set()).add(w)
-        if e:
-            phrases.setdefault(d, []).append((p, p + int(lookup.widths[w]), w))
+    for start in range(0, int(until[-1]), ANCHORS):
+        number = np.arange(start, min(start + ANCHORS, int(until[-1])))
+        asked = np.searchsorted(until, number, "right")
+        window = alive[asked]
+        at = lists[first[anchor[asked]] + number - (until - n)[asked]] % far
+        begin = at - order[window, 0]
+        doc = np.searchsorted(starts, at, "right") - 1
+        low, high = np.maximum(at - slop, starts[doc]), np.minimum(at + slop, starts[doc] + sizes[doc] - 1)
+        exact = np.ones(len(at), bool)
+        for r in range(1, order.shape[1]):
+            o = order[window, r]
+            word = lookup.matrix[window, o]
+            more = o >= 0
+            hit = np.searchsorted(lists, word * far + low)
+            close = ~more | ((hit < len(lists)) & (lists[np.minimum(hit, len(lists) - 1)] <= word * far + high))
+            window, begin, doc, low, high, exact, word, o, more = (
+                x[close] for x in (window, begin, doc, low, high, exact, word, o, more)
+            )
+            wanted = word * far + begin + o
+            hit = np.searchsorted(lists, wanted)
+            exact &= ~more | ((hit < len(lists)) & (lists[np.minimum(hit, len(lists) - 1)] == wanted))
+        offset = begin - starts[doc]
+        for d, w, p, e in zip(doc.tolist(), window.tolist(), offset.tolist(), exact.tolist(), strict=True):
+            near.setdefault(d, set()).add(w)
+            if e:
+                phrases.setdefault(d, []).append((p, p + int(lookup.widths[w]), w))
     return near, phrases
 
 

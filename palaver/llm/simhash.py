@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palaver.llm.common import column_bytes, slices, table
+from palaver.llm.common import column_bytes, give_back, slices, table
 from palaver.session import materialise
 
 SHINGLE = 4
@@ -152,6 +152,7 @@ def buckets(nodes: DataFrame, probe: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys), batch.column("fp").take(rows), batch.column("class").take(rows)], ["key", "fp", "class"]
                 )
+        give_back()
 
     return nodes.select("fp", "class").mapInArrow(run, "key long, fp long, class long")
 

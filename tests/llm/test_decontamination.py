@@ -3,7 +3,9 @@
 import random
 import re
 
+from palaver.llm import decontamination
 from palaver.llm import decontamination as d
+from tests.conftest import rows
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -79,3 +81,21 @@ def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     empty = spark.createDataFrame([], "item_id long, text string")
     assert [(r["n_hit"], r["contaminated"]) for r in d.contamination(docs, empty).collect()] == [(0, False)]
+
+
+def test_positions_followed_in_small_parts(spark, monkeypatch):
+    common = "the of and to a in is it you that he was for on are " * 40
+    docs = spark.createDataFrame([(1, common), (2, "x " + common), (3, "y z")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, common[:300]), (2, "y")], "item_id long, text string")
+    columns = ("doc_id", "n_words", "n_hit", "items", "near_items", "contaminated")
+    whole = rows(decontamination.contamination(docs, items), *columns)
+    lookup = decontamination.Lookup([" ".join(common.split()[i : i + 13]) for i in range(15)])
+    segment = decontamination._segment([docs.select("doc_id").limit(1).toArrow().column(0).combine_chunks()], [common.encode().split()], 0)
+    part = lambda c: segment.column(c)[0].values
+    order = lookup.rarest_first({})
+    args = (lookup, order, 26, part("words"), *(part(c).to_numpy() for c in ("ends", "positions", "starts", "counts")))
+    near, phrases = decontamination._intersect(*args)
+    monkeypatch.setattr(decontamination, "ANCHORS", 7)
+    again = decontamination._intersect(*args)
+    assert again[0] == near and {d: sorted(p) for d, p in again[1].items()} == {d: sorted(p) for d, p in phrases.items()}
+    assert len(phrases[0]) > 500 and whole[0][2] == 600
