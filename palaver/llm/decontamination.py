@@ -29,13 +29,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from palaver.llm.common import column_bytes, give_back, slices, table
-from palaver.session import materialise
+from palaver.session import fresh_path, materialise
 
 WINDOW = 13
 #: Words in a segment, unless one document has more.
 SEGMENT_WORDS = 200_000
 #: Positions that are followed at once; a common word of many windows has far more.
 ANCHORS = 1 << 17
+#: Bytes of segments that are stored together.
+ROW_GROUP_BYTES = 8 << 20
 #: Windows that tasks look up at once; more are looked up in further passes.
 BLOCK_WINDOWS = 100_000
 
@@ -97,7 +99,11 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", segmen
         f"segment long, keys array<{kind}>, starts array<int>, counts array<int>, "
         "words array<binary>, ends array<int>, positions array<int>"
     )
-    return materialise(slim.mapInArrow(run, schema), "postings")
+    # a segment is a large row: small row groups keep few of them in hand, in writing and in reading
+    path = fresh_path(docs.sparkSession, "postings")
+    found = slim.mapInArrow(run, schema)
+    found.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
+    return docs.sparkSession.read.schema(found.schema).parquet(path)
 
 
 def windows_of(items: DataFrame, key: str = "item_id", text: str = "text", width: int = WINDOW) -> DataFrame:
