@@ -8,13 +8,17 @@ word has begun); the weights follow the coding error of every bit as the text go
 first byte to its last. The sum of the logarithms of all probabilities is the score; divided by the
 bytes it gives bits per byte.
 
-What is counted covers all training texts, and nothing is hashed together: contexts are numbers of
-up to 40 bits. Texts are cut into segments; a segment's distinct pairs of context and next symbol go
-to buckets by a hash of the context, where they are counted over all segments, and the odds along
-their paths come back to the segments that asked. No task and no broadcast holds the table of the
-corpus. A context that no training text has gives even odds. The binary code comes from the counts
-of all bytes and ends; the weights that every text starts from are means of the final weights of
-all training texts, by the bits each gate coded there.
+What is counted covers all training texts. Contexts go by a hash to buckets, which keep the whole context as
+check bits, so an unseen context never takes another's odds. Texts are cut into segments; a segment's distinct
+pairs of longest context and next symbol go to buckets by a hash of the last three bytes, so that the counts of
+both longer orders follow there from the same pairs. They are counted over all segments, and the odds of the bits
+taken along their paths come back to the segments that asked. There are as many buckets as the pairs asked for
+need. Of the shortest order there are at most 256 * 257 pairs, whatever the corpus; its counts are broadcast. A
+context that no training text has gives even odds. The binary code comes from the counts of all bytes and ends.
+
+The weights that every text starts from are fitted in the buckets to all training occurrences, each against the
+counts without itself (a context seen once says nothing about its own next byte): some Newton steps a bucket, the
+buckets' results joined by their curvatures.
 
 Word counts are exact: tasks number the words of a segment of texts, the distinct words of all
 segments are counted together, and the counts go back to their segments.
@@ -51,8 +55,11 @@ RATE = 0.02
 #: Log odds are kept as whole numbers of 1/16.
 SCALE = 16.0
 #: Bytes of text whose contexts are looked up together.
-SEGMENT_BYTES = 8 << 20
-BUCKETS = 1024
+SEGMENT_BYTES = 16 << 20
+#: Pairs that are asked of one bucket, about, over all segments.
+BUCKET_PAIRS = 1 << 20
+#: Newton steps for the first weights, and how firmly they are held to those of :func:`first_weights`.
+FITTING, HELD = 6, 4.0
 SEGMENT_TOKENS = 1_000_000
 
 
@@ -90,6 +97,7 @@ class Code:
         self.start = (np.cumsum(self.length) - self.length).astype(np.int32)
         self.node = np.array([n for p in paths for n, _ in p], np.uint32)
         self.bit = np.array([b for p in paths for _, b in p], np.uint8)
+        self.sign = (self.bit * 2).astype(np.int8) - np.int8(1)
         self.depth = np.concatenate([np.arange(len(p)) for p in paths]).astype(np.int32)
 
 
@@ -155,12 +163,6 @@ def shorter(pairs: np.ndarray, order: int) -> np.ndarray:
     return np.uint64(order << 49) | (pairs >> np.uint64(9) & mask) << np.uint64(9) | pairs & np.uint64(511)
 
 
-def all_orders(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marked pairs of all orders, sorted, and their counts."""
-    found = [summed(shorter(pairs, o), counts) for o in range(len(ORDERS))]
-    return np.concatenate([k for k, _ in found]), np.concatenate([c for _, c in found])
-
-
 def spans(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     """``start``, ``start + 1``, ... of ``n`` places each, one after another."""
     return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
@@ -175,12 +177,13 @@ def path_steps(code: Code, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return n, slot, code.bit[place]
 
 
-def bucket_order(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order of marked pairs by bucket, and where each bucket begins and ends in it."""
-    h = (pairs >> np.uint64(9)) * np.uint64(0x9E3779B97F4A7C15)
-    bucket = ((h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)).astype(np.int64) % BUCKETS
+def bucket_order(pairs: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of pairs by bucket, the buckets in it, and where each begins and, behind the last, ends."""
+    h = (pairs >> np.uint64(9) & np.uint64(0xFFFFFF)) * np.uint64(0x9E3779B97F4A7C15)
+    bucket = ((h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(24)).astype(np.int64) % buckets
     order = np.argsort(bucket, kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
+    found, first = np.unique(bucket[order], return_index=True)
+    return order, found, np.append(first, len(pairs))
 
 
 class Odds:
@@ -198,23 +201,19 @@ class Odds:
 
 
 class Paths:
-    """The steps of all pairs of a segment: log odds of each order and the bit, moved as one element."""
-
-    def __init__(self, code: Code, marked: np.ndarray, odds: np.ndarray):
-        """``odds``: those of the steps of the ``marked`` pairs, one pair after another."""
-        length = code.length[(marked & np.uint64(511)).astype(np.int64)].astype(np.int64)
-        start = np.cumsum(length) - length
-        longest = len(ORDERS) - 1
-        low = int(np.searchsorted(marked, np.uint64(longest << 49)))
-        self.pairs = marked[low:] & np.uint64((1 << 49) - 1)
-        symbol = (self.pairs & np.uint64(511)).astype(np.int64)
-        self.n = length[low:]
+    """The steps of all pairs of a segment: log odds of the bit taken by each order and a constant, moved as one element."""
+
+    def __init__(self, code: Code, first: np.ndarray, pairs: np.ndarray, odds: np.ndarray):
+        """``first``: :func:`first_order`; ``odds``: those of the longer orders at the steps of the sorted ``pairs``."""
+        self.pairs = pairs
+        symbol = (pairs & np.uint64(511)).astype(np.int64)
+        self.n = code.length[symbol].astype(np.int64)
         self.start = np.cumsum(self.n) - self.n
-        rows = np.empty((int(self.n.sum()), len(ORDERS) + 1), np.int8)
-        for o in range(len(ORDERS)):
-            rows[:, o] = odds[spans(start[np.searchsorted(marked, shorter(self.pairs, o))], self.n)]
         place = spans(code.start[symbol].astype(np.int64), self.n)
-        rows[:, -1] = code.bit[place]
+        rows = np.empty((len(place), len(ORDERS) + 1), np.int8)
+        rows[:, 0] = first[np.repeat((pairs >> np.uint64(9) & np.uint64(255)).astype(np.int64), self.n), place]
+        rows[:, 1:-1] = odds.reshape(-1, len(ORDERS) - 1)
+        rows[:, -1] = code.sign[place] * np.int8(SCALE)
         self.rows = rows.view(np.uint32).ravel()
         self.depth = code.depth[place].astype(np.int32)
         self.shift = np.uint64(64 - max(1, int(4 * len(self.pairs)).bit_length()))
@@ -235,32 +234,22 @@ class Paths:
 def coded(paths: Paths, weights: np.ndarray, texts: list[bytes]) -> np.ndarray:
     """Log10 probability of each text."""
     score = np.zeros(len(texts))
-    for some, found in _in_groups(paths, weights, texts, False):
-        score[some] = found
-    return score
-
-
-def gained(paths: Paths, weights: np.ndarray, texts: list[bytes]) -> np.ndarray:
-    """By gate, the bits coded over all texts, and the sums of their final weights times those."""
-    return sum((found for _, found in _in_groups(paths, weights, texts, True)), np.zeros((GATES, len(ORDERS) + 2)))
-
-
-def _in_groups(paths: Paths, weights: np.ndarray, texts: list[bytes], learn: bool) -> Iterator[tuple[list[int], np.ndarray]]:
     longest = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     for i in range(0, len(longest), LANES):
         some = longest[i : i + LANES]
-        yield some, _in_step(paths, weights, [texts[j] for j in some], learn)
+        score[some] = _in_step(paths, weights, [texts[j] for j in some])
+    return score
 
 
-def _in_step(paths: Paths, start: np.ndarray, texts: list[bytes], learn: bool) -> np.ndarray:
-    """:func:`gained` or :func:`coded` for texts in falling order of length: all first symbols, all second symbols, ..."""
+def _in_step(paths: Paths, start: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """:func:`coded` for texts in falling order of length: all first symbols, all second symbols, ..."""
     symbols, first = laid_out(texts)
     size = np.array([len(t) + 1 for t in texts], np.int64)
     weights = np.tile(start, (len(texts), 1))
     # the four weights of a gate are moved as one 16-byte element, which is several times faster
     whole = weights.view(np.complex128).ravel()
-    visits, score = np.zeros(len(whole)), np.zeros(len(texts))
-    half, rate = np.float32(0.5), np.float32(RATE / 2)
+    score = np.zeros(len(texts))
+    rate = np.float32(RATE)
     t, end = 0, int(size[0])
     while t < end:
         # the texts still going on are the longest ones
@@ -271,37 +260,31 @@ def _in_step(paths: Paths, start: np.ndarray, texts: list[bytes], learn: bool) -
         pair = paths.find(last_pairs(symbols, at))
         n = paths.n[pair]
         row = spans(paths.start[pair], n)
-        gate = paths.depth[row] + np.repeat((symbols[at - 1] > 32) * np.int32(GATES // 2), n)
-        unit = np.repeat(lane.astype(np.int32) * np.int32(GATES), n) + gate
+        gates = lane.astype(np.int32) * np.int32(GATES) + (symbols[at - 1] > 32) * np.int32(GATES // 2)
+        unit = np.repeat(gates, n) + paths.depth[row]
         ends = np.cumsum(n)
-        steps = paths.rows[row].view(np.int8).reshape(-1, len(ORDERS) + 1)
-        x = np.ones(steps.shape, np.float32)
-        np.multiply(steps[:, :-1], np.float32(1 / SCALE), out=x[:, :-1])
-        sign = steps[:, -1] * np.float32(2) - np.float32(1)
-        odds = np.empty(len(row), np.float32)
+        x = np.multiply(paths.rows[row].view(np.int8).reshape(-1, len(ORDERS) + 1), np.float32(1 / SCALE), dtype=np.float32)
+        unlikely = np.empty(len(row), np.float32)
         last = 0
         for stop in ends[np.cumsum(going) - 1].tolist():
-            u, r, z = unit[last:stop], x[last:stop], odds[last:stop]
+            u, r, z = unit[last:stop], x[last:stop], unlikely[last:stop]
             held = whole.take(u)
             w = held.view(np.float32).reshape(-1, len(ORDERS) + 1)
+            # odds against the bit taken, and the probability that was missing from it
             np.vecdot(r, w, out=z)
-            # the error of the probability of a one is half of the sign of the bit less tanh(z / 2)
-            error = np.tanh(z * half)
-            np.subtract(sign[last:stop], error, out=error)
+            np.negative(z, out=z)
+            np.minimum(z, np.float32(20), out=z)
+            np.exp(z, out=z)
+            error = z / (z + np.float32(1))
             error *= rate
             w += r * error[:, None]
             whole[u] = held
             last = stop
-        if learn:
-            visits += np.bincount(unit, minlength=len(visits))
-        else:
-            cost = np.logaddexp(np.float32(0), np.clip(-sign * odds, -20, 20)).astype(np.float64)
-            score -= np.bincount(np.repeat(lane, n), cost, minlength=len(texts)) / np.log(10)
+        # a byte has at most GATES / 2 steps, so their product stays in range
+        product = np.multiply.reduceat(unlikely + 1.0, ends - n, dtype=np.float64)
+        score -= np.bincount(lane, np.log10(product), minlength=len(texts))
         t += span
-    if not learn:
-        return score
-    visits = visits.reshape(len(texts), GATES)
-    return np.column_stack([visits.sum(axis=0), np.einsum("tg,tgi->gi", visits, weights.reshape(len(texts), GATES, -1).astype(np.float64))])
+    return score
 
 
 @dataclass
@@ -314,10 +297,19 @@ class Model:
     weights: np.ndarray
 
     def costs(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Log10 probability of each text, and what :func:`gained` finds."""
-        marked, _ = all_orders(*pairs_of(texts))
-        paths = Paths(self.code, marked, self.odds[path_steps(self.code, marked)[1]])
-        return coded(paths, self.weights, texts), gained(paths, self.weights, texts)
+        """Log10 probability of each text, and bits per byte."""
+        pairs, _ = pairs_of(texts)
+        sign, odds = None, []
+        for o in range(len(ORDERS)):
+            n, slot, bit = path_steps(self.code, shorter(pairs, o))
+            sign = bit.astype(np.int8) * np.int8(2) - np.int8(1)
+            odds.append(self.odds[slot] * sign)
+        first = np.zeros((256, len(self.code.node)), np.int8)
+        symbol = (pairs & np.uint64(511)).astype(np.int64)
+        place = spans(self.code.start[symbol].astype(np.int64), n)
+        first[np.repeat((pairs >> np.uint64(9) & np.uint64(255)).astype(np.int64), n), place] = odds[0]
+        score = coded(Paths(self.code, first, pairs, np.column_stack(odds[1:])), self.weights, texts)
+        return score, -score * np.log2(10) / np.maximum([len(t) for t in texts], 1)
 
 
 def packed(keys: np.ndarray) -> bytes:
@@ -348,23 +340,23 @@ def _listed(batch: pa.RecordBatch, name: str, i: int) -> pa.Array:
 
 
 def read(docs: DataFrame) -> DataFrame:
-    """``key``, ``learned`` and ``text`` in segments: one row with the texts, the marked pairs in them, their counts in training texts, and the counts of symbols there."""
+    """``key``, ``learned`` and ``text`` in segments: one row with the texts, the pairs in them, their counts in training texts, and those of pairs of the shortest order."""
 
     def row(segment: int, keys: list, learned: list, texts: list, pairs: list) -> pa.RecordBatch:
-        marked, counts = all_orders(*summed(*(np.concatenate(x) for x in zip(*pairs, strict=True))))
-        once = marked < np.uint64(1 << 49)
-        symbols = np.bincount((marked[once] & np.uint64(511)).astype(np.int64), counts[once], minlength=END + 1)
-        lists = [pa.concat_arrays(keys), pa.array(learned, pa.bool_()), pa.array(np.cumsum([len(t) for t in texts], dtype=np.int64)), pa.array(symbols.astype(np.int64))]
+        found, counts = summed(*(np.concatenate(x) for x in zip(*pairs, strict=True)))
+        first = (found & np.uint64((1 << 17) - 1)).astype(np.int64)  # one byte and the symbol behind it
+        first, times = summed(first[counts > 0], counts[counts > 0])
+        lists = [pa.concat_arrays(keys), pa.array(learned, pa.bool_()), pa.array(np.cumsum([len(t) for t in texts], dtype=np.int64)), pa.array(first), pa.array(times)]
         lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
         return pa.RecordBatch.from_arrays(
-            [pa.array([segment]), *lists, *(pa.array([squeezed(x)], pa.binary()) for x in (b"".join(texts), packed(marked), counts.astype(np.uint32).tobytes()))],
-            ["segment", "keys", "learned", "ends", "symbols", "texts", "pairs", "counts"],
+            [pa.array([segment]), pa.array([len(found)]), *lists, *(pa.array([squeezed(x)], pa.binary()) for x in (b"".join(texts), packed(found), counts.astype(np.uint32).tobytes()))],
+            ["segment", "n", "keys", "learned", "ends", "first", "times", "texts", "pairs", "counts"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment, size = TaskContext.get().partitionId() << 32, 0
         keys, learned, texts, pairs = [], [], [], []
-        for batch in slices(batches, "text", SEGMENT_BYTES // 8):
+        for batch in slices(batches, "text", SEGMENT_BYTES // 16):
             data, taught = column_bytes(batch, "text"), batch.column("learned").to_pylist()
             keys.append(batch.column("key"))
             learned += taught
@@ -381,69 +373,153 @@ def read(docs: DataFrame) -> DataFrame:
             yield row(segment, keys, learned, texts, pairs)
 
     kind = docs.schema["key"].dataType.simpleString()
-    schema = f"segment long, keys array<{kind}>, learned array<boolean>, ends array<long>, symbols array<long>, texts binary, pairs binary, counts binary"
+    schema = f"segment long, n long, keys array<{kind}>, learned array<boolean>, ends array<long>, first array<long>, times array<long>, texts binary, pairs binary, counts binary"
     return materialise(docs.select("key", "learned", "text").mapInArrow(run, schema), "lm-texts")
 
 
-def code_of(segments: DataFrame) -> Code:
+def first_counts(segments: DataFrame) -> np.ndarray:
+    """How often each symbol follows each byte in training texts."""
+    counts = np.zeros((256, 512), np.int64)
+    each = segments.select(F.explode(F.arrays_zip("first", "times")).alias("f"))
+    for r in each.groupBy(F.col("f.first").alias("pair")).agg(F.sum("f.times").alias("n")).collect():
+        counts[r["pair"] >> 9, r["pair"] & 511] = r["n"]
+    return counts[:, : END + 1]
+
+
+def code_of(first: np.ndarray) -> Code:
     """The binary code by the counts of all bytes and ends of training texts."""
-    counts = np.zeros(END + 1, np.int64)
-    for r in segments.select(F.posexplode("symbols").alias("s", "n")).groupBy("s").agg(F.sum("n").alias("n")).collect():
-        counts[r["s"]] = r["n"]
-    return Code(counts)
+    return Code(first.sum(axis=0))
 
 
-def odds_of(keys: np.ndarray, counts: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slots and their odds by the counts of marked pairs, and the odds of all steps of the pairs."""
+def log_odds(taken: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """In units of 1 / SCALE, by the counts of a bit and of the other bit."""
+    return np.clip(np.rint(np.log((taken + 0.4) / (other + 0.4)) * SCALE), -127, 127).astype(np.int8)
+
+
+def step_counts(keys: np.ndarray, counts: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
+    """By the counts of distinct marked pairs: at every step of each, how often its bit was taken there, and how often the other."""
     n, slot, bit = path_steps(code, keys)
     slot, which = np.unique(slot, return_inverse=True)
     times = np.repeat(counts, n).astype(np.float64)
     one = np.bincount(which, times * bit, minlength=len(slot))
-    zero = np.bincount(which, times, minlength=len(slot)) - one
-    odds = np.clip(np.rint(np.log((one + 0.4) / (zero + 0.4)) * SCALE), -127, 127).astype(np.int8)
-    return slot, odds, odds[which]
+    zero = (np.bincount(which, times, minlength=len(slot)) - one)[which]
+    one = one[which]
+    return np.where(bit, one, zero), np.where(bit, zero, one)
+
 
+def first_steps(first: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`step_counts` of the shortest order, by byte and place of the code."""
+    symbol = np.repeat(np.arange(END + 1), code.length)
+    nodes = int(code.node.max()) + 1
+    total, one = (np.zeros((len(first), nodes)) for _ in range(2))
+    for j, (s, node, bit) in enumerate(zip(symbol.tolist(), code.node.tolist(), code.bit.tolist(), strict=True)):
+        total[:, node] += first[:, s]
+        if bit:
+            one[:, node] += first[:, s]
+    one, total = one[:, code.node], total[:, code.node]
+    return np.where(code.bit, one, total - one), np.where(code.bit, total - one, one)
 
-def gather(segments: DataFrame, code: Code, whole: bool = False) -> DataFrame:
-    """The odds along the paths of the pairs of each ``segment`` and ``bucket``, by the counts over all segments.
 
-    With ``whole``, all slots and their odds instead.
+def first_order(first: np.ndarray, code: Code) -> np.ndarray:
+    """Log odds of the shortest order for the bits taken, by byte and place of the code."""
+    return log_odds(*first_steps(first, code))
+
+
+def first_weights() -> np.ndarray:
+    start = np.full((GATES, len(ORDERS) + 1), 0.35, np.float32)
+    start[:, -1] = 0
+    return start
+
+
+def curvature(gate: np.ndarray, x: np.ndarray, times: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By gate, the slope and the curvature of the cost of bits with inputs ``x`` that came so many ``times``."""
+    wrong = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", x, weights[gate]), -30, 30)))
+    width = x.shape[1]
+    slope, bend = np.empty((GATES, width)), np.empty((GATES, width, width))
+    sharp = times * wrong * (1 - wrong)
+    for i in range(width):
+        slope[:, i] = np.bincount(gate, times * wrong * x[:, i], minlength=GATES)
+        for j in range(i + 1):
+            bend[:, i, j] = bend[:, j, i] = np.bincount(gate, sharp * x[:, i] * x[:, j], minlength=GATES)
+    return slope, bend
+
+
+def fitted(gate: np.ndarray, x: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """By gate, the curvature at the best weights, flat, and its product with them."""
+    weights, begin = first_weights().astype(np.float64), first_weights().astype(np.float64)
+    hold = HELD * np.eye(x.shape[1])
+    for _ in range(FITTING):
+        slope, bend = curvature(gate, x, times, weights)
+        step = np.linalg.solve(bend + hold, (slope - HELD * (weights - begin))[:, :, None])[:, :, 0]
+        weights = weights + np.clip(step, -0.5, 0.5)
+    _, bend = curvature(gate, x, times, weights)
+    return np.concatenate([bend.reshape(GATES, -1), np.einsum("gij,gj->gi", bend, weights)], axis=1)
+
+
+def bucket_number(segments: DataFrame) -> int:
+    """As many as the pairs asked for need; small corpora are spread over some tasks."""
+    return max(32, -(-(segments.agg(F.sum("n")).first()[0] or 0) // BUCKET_PAIRS))
+
+
+def gather(segments: DataFrame, first: np.ndarray, code: Code, buckets: int, whole: bool = False) -> DataFrame:
+    """The odds of the longer orders along the paths of the pairs of each ``segment`` and ``bucket``, by the counts over all segments.
+
+    Each bucket adds a row without segment, of what :func:`fitted` finds there. With ``whole``, it has also all
+    slots and their odds.
     """
-    shared = segments.sparkSession.sparkContext.broadcast(code)
+    shared = segments.sparkSession.sparkContext.broadcast((code, *first_steps(first, code)))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 pairs, counts = unpacked(opened(batch.column("pairs")[i].as_py())), np.frombuffer(opened(batch.column("counts")[i].as_py()), np.uint32)
-                order, cuts = bucket_order(pairs)
+                order, full, cuts = bucket_order(pairs, buckets)
                 pairs, counts = pairs[order], counts[order]
-                full = np.flatnonzero(np.diff(cuts)).tolist()
+                parts = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([batch.column("segment")[i].as_py()] * len(full), pa.int64()), pa.array(full, pa.int64()),
-                        pa.array([packed(pairs[cuts[b] : cuts[b + 1]]) for b in full], pa.binary()),
-                        pa.array([counts[cuts[b] : cuts[b + 1]].tobytes() for b in full], pa.binary()),
+                        pa.array([squeezed(packed(pairs[a:b])) for a, b in parts], pa.binary()),
+                        pa.array([squeezed(counts[a:b].tobytes()) for a, b in parts], pa.binary()),
                     ],
                     ["segment", "bucket", "pairs", "counts"],
                 )
 
     def answer(bucket: int, rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
-        code = shared.value
-        asked = [unpacked(p) for _, p, _ in rows]
-        counts = np.concatenate([np.frombuffer(c, np.uint32) for _, _, c in rows]).astype(np.int64)
+        code, taken, other = shared.value
+        asked = [unpacked(opened(p)) for _, p, _ in rows]
+        counts = np.concatenate([np.frombuffer(opened(c), np.uint32) for _, _, c in rows]).astype(np.int64)
         keys, counts = summed(np.concatenate(asked), counts)
-        slot, odds, along = odds_of(keys, counts, code)
-        if whole:
-            found = [(0, slot.tobytes(), odds.tobytes())]
-        else:
-            n = code.length[(keys & np.uint64(511)).astype(np.int64)].astype(np.int64)
-            start = np.cumsum(n) - n
-            at = [np.searchsorted(keys, x) for x in asked]
-            found = [(s, b"", along[spans(start[x], n[x])].tobytes()) for (s, _, _), x in zip(rows, at, strict=True)]
+        symbol = (keys & np.uint64(511)).astype(np.int64)
+        n = code.length[symbol].astype(np.int64)
+        start, place = np.cumsum(n) - n, spans(code.start[symbol].astype(np.int64), n)
+        byte = np.repeat((keys >> np.uint64(9) & np.uint64(255)).astype(np.int64), n)
+        steps = [(taken[byte, place], other[byte, place])]
+        slots_, odds_ = [], []
+        for o in range(1, len(ORDERS)):
+            marked, times = summed(shorter(keys, o), counts)
+            found = step_counts(marked, times, code)
+            length = code.length[(marked & np.uint64(511)).astype(np.int64)].astype(np.int64)
+            along = spans((np.cumsum(length) - length)[np.searchsorted(marked, shorter(keys, o))], n)
+            steps.append(tuple(x[along] for x in found))
+            if whole:
+                _, slot, bit = path_steps(code, marked)
+                slot, once = np.unique(slot, return_index=True)
+                slots_.append(slot)
+                odds_.append((log_odds(*found) * (bit.astype(np.int8) * np.int8(2) - np.int8(1)))[once])
+        seen = np.flatnonzero(np.repeat(counts, n))
+        times = np.repeat(counts, n)[seen].astype(np.float64)
+        x = np.column_stack([*(log_odds(a[seen] - 1, b[seen]) / SCALE for a, b in steps), code.sign[place[seen]]])
+        gate = code.depth[place[seen]] + (byte[seen] > 32) * (GATES // 2)
+        odds = np.column_stack([log_odds(*s) for s in steps[1:]])
+        at = [np.searchsorted(keys, q) for q in asked]
+        answers = [squeezed(odds[spans(start[q], n[q])].tobytes()) for q in at]
         return pa.RecordBatch.from_arrays(
-            [pa.array([s for s, _, _ in found], pa.int64()), pa.array([bucket] * len(found), pa.int64()),
-             pa.array([k for _, k, _ in found], pa.binary()), pa.array([o for _, _, o in found], pa.binary())],
-            ["segment", "bucket", "slots", "odds"],
+            [pa.array([*(s for s, _, _ in rows), None], pa.int64()), pa.array([bucket] * (len(rows) + 1), pa.int64()),
+             pa.array([None] * len(rows) + [b"".join(q.tobytes() for q in slots_)], pa.binary()),
+             pa.array([*answers, b"".join(q.tobytes() for q in odds_)], pa.binary()),
+             pa.array([None] * len(rows) + [fitted(gate, x, times).ravel().tolist()], pa.list_(pa.float64()))],
+            ["segment", "bucket", "slots", "odds", "fitted"],
         )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -459,65 +535,59 @@ def gather(segments: DataFrame, code: Code, whole: bool = False) -> DataFrame:
             yield answer(now, rows)
 
     asked = segments.select("segment", "pairs", "counts").mapInArrow(ask, "segment long, bucket long, pairs binary, counts binary")
-    return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, "segment long, bucket long, slots binary, odds binary")
+    schema = "segment long, bucket long, slots binary, odds binary, fitted array<double>"
+    return materialise(asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, schema), "lm-odds")
 
 
-def looked_up(segments: DataFrame, code: Code) -> DataFrame:
+def looked_up(segments: DataFrame, found: DataFrame) -> DataFrame:
     """The segments with the odds of their steps."""
-    found = gather(segments, code).groupBy("segment").agg(F.collect_list(F.struct("bucket", "odds")).alias("found"))
-    return materialise(segments.select("segment", "keys", "learned", "ends", "texts", "pairs").join(found, "segment"), "lm-odds")
+    found = found.where("segment is not null").groupBy("segment").agg(F.collect_list(F.struct("bucket", "odds")).alias("found"))
+    return segments.select("segment", "keys", "learned", "ends", "texts", "pairs").join(found, "segment")
 
 
-def segment_paths(batch: pa.RecordBatch, i: int, code: Code) -> Paths:
-    marked = unpacked(opened(batch.column("pairs")[i].as_py()))
-    order, _ = bucket_order(marked)
+def segment_paths(batch: pa.RecordBatch, i: int, code: Code, first: np.ndarray, buckets: int) -> Paths:
+    pairs = unpacked(opened(batch.column("pairs")[i].as_py()))
     found = _listed(batch, "found", i)
     by_bucket = sorted(zip(found.field("bucket").to_pylist(), found.field("odds").to_pylist(), strict=True))
-    n = code.length[(marked & np.uint64(511)).astype(np.int64)].astype(np.int64)
-    odds = np.empty(int(n.sum()), np.int8)
-    odds[spans((np.cumsum(n) - n)[order], n[order])] = np.frombuffer(b"".join(o for _, o in by_bucket), np.int8)
-    return Paths(code, marked, odds)
-
-
-def first_weights() -> np.ndarray:
-    start = np.full((GATES, len(ORDERS) + 1), 0.35, np.float32)
-    start[:, -1] = 0
-    return start
-
-
-def weights_of(ready: DataFrame, code: Code) -> np.ndarray:
-    """The weights to start from: means over all training texts of ``ready``, by the bits each gate coded there."""
-    shared = ready.sparkSession.sparkContext.broadcast(code)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((GATES, len(ORDERS) + 2))
-        for batch in batches:
-            for i in range(batch.num_rows):
-                texts = [t for t, l in zip(segment_texts(batch, i), _listed(batch, "learned", i).to_pylist(), strict=True) if l]
-                if texts:
-                    total += gained(segment_paths(batch, i, shared.value), first_weights(), texts)
-        yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], ["gained"])
-
-    each = ready.select("learned", "ends", "texts", "pairs", "found").mapInArrow(run, "gained array<double>")
-    total = np.zeros(GATES * (len(ORDERS) + 2))
-    for r in each.select(F.posexplode("gained").alias("place", "x")).groupBy("place").agg(F.sum("x").alias("x")).collect():
+    order, _, _ = bucket_order(pairs, buckets)
+    n = code.length[(pairs & np.uint64(511)).astype(np.int64)].astype(np.int64)
+    odds = np.empty((int(n.sum()), len(ORDERS) - 1), np.int8)
+    odds[spans((np.cumsum(n) - n)[order], n[order])] = np.frombuffer(b"".join(opened(o) for _, o in by_bucket), np.int8).reshape(-1, len(ORDERS) - 1)
+    return Paths(code, first, pairs, odds)
+
+
+def weights_of(found: DataFrame) -> np.ndarray:
+    """The weights to start from: the buckets' best ones, joined by their curvatures."""
+    width = len(ORDERS) + 1
+    total = np.zeros(GATES * width * (width + 1))
+    each = found.where("fitted is not null").select(F.posexplode("fitted").alias("place", "x"))
+    for r in each.groupBy("place").agg(F.sum("x").alias("x")).collect():
         total[r["place"]] = r["x"]
     total = total.reshape(GATES, -1)
-    return np.where(total[:, :1] > 0, total[:, 1:] / np.maximum(total[:, :1], 1), first_weights()).astype(np.float32)
+    bend, pull = total[:, : width * width].reshape(GATES, width, width), total[:, width * width :]
+    begin = first_weights().astype(np.float64)
+    return np.linalg.solve(bend + HELD * np.eye(width), (pull + HELD * begin)[:, :, None])[:, :, 0].astype(np.float32)
 
 
 def fit(docs: DataFrame) -> Model:
     """A model of the texts of ``docs`` (``text``), gathered into this process."""
     segments = read(docs.select(F.lit(0).alias("key"), F.lit(True).alias("learned"), F.coalesce("text", F.lit("")).alias("text")))
-    code = code_of(segments)
-    parts = gather(segments, code, whole=True).collect()
-    keys, odds = (b"".join(r[c] for r in parts) for c in ("slots", "odds"))
-    return Model(code, Odds(np.frombuffer(keys, np.uint64), np.frombuffer(odds, np.int8)), weights_of(looked_up(segments, code), code))
-
-
-def _segments(ready: DataFrame, code: Code, weights: np.ndarray) -> DataFrame:
+    first = first_counts(segments)
+    code = code_of(first)
+    found = gather(segments, first, code, bucket_number(segments), whole=True)
+    parts = found.where("segment is null").select("slots", "odds").collect()
+    keys, odds = (np.frombuffer(b"".join(r[c] for r in parts), kind) for c, kind in (("slots", np.uint64), ("odds", np.int8)))
+    byte, symbol = np.nonzero(first)
+    _, slot, bit = path_steps(code, (byte << 9 | symbol).astype(np.uint64))
+    place = spans(code.start[symbol].astype(np.int64), code.length[symbol].astype(np.int64))
+    along = first_order(first, code)[np.repeat(byte, code.length[symbol]), place] * code.sign[place]
+    slot, once = np.unique(slot, return_index=True)
+    return Model(code, Odds(np.concatenate([slot, keys]), np.concatenate([along[once], odds])), weights_of(found))
+
+
+def _segments(ready: DataFrame, code: Code, first: np.ndarray, weights: np.ndarray, buckets: int) -> DataFrame:
     """Scored texts in segments: one row with its words, their counts in training texts, and the texts as word numbers."""
-    shared = ready.sparkSession.sparkContext.broadcast((code, weights))
+    shared = ready.sparkSession.sparkContext.broadcast((code, first_order(first, code), weights))
 
     def row(segment: int, keys: list, learned: list, texts: list[np.ndarray], bits: list, words: dict[bytes, int]) -> pa.RecordBatch:
         ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
@@ -536,11 +606,11 @@ def _segments(ready: DataFrame, code: Code, weights: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment, size = TaskContext.get().partitionId() << 32, 0
         keys, learned, texts, bits, words = [], [], [], [], {}
-        code, weights = shared.value
+        code, first, weights = shared.value
         for batch in batches:
             for r in range(batch.num_rows):
                 data, taught, given = segment_texts(batch, r), _listed(batch, "learned", r).to_pylist(), _listed(batch, "keys", r)
-                scores = coded(segment_paths(batch, r, code), weights, data).tolist()
+                scores = coded(segment_paths(batch, r, code, first, buckets), weights, data).tolist()
                 for i, text in enumerate(data):
                     split = text.lower().split()
                     if texts and size + len(split) > SEGMENT_TOKENS:
@@ -570,9 +640,11 @@ def scores(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str =
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(learn_from, F.lit(False)).alias("learned"), F.coalesce(text, F.lit("")).alias("text"))
     texts = read(rows)
-    code = code_of(texts)
-    ready = looked_up(texts, code)
-    segments = _segments(ready, code, weights_of(ready, code))
+    first = first_counts(texts)
+    code = code_of(first)
+    buckets = bucket_number(texts)
+    found = gather(texts, first, code, buckets)
+    segments = _segments(looked_up(texts, found), code, first, weights_of(found), buckets)
     each = segments.select("segment", F.posexplode(F.arrays_zip("words", "taught")).alias("place", "w"))
     each = each.select("segment", "place", F.col("w.words").alias("word"), F.col("w.taught").alias("n"))
     counted = materialise(each.groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
