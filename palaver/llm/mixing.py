@@ -20,8 +20,8 @@ The weights that every text starts from are fitted in the buckets to all trainin
 counts without itself (a context seen once says nothing about its own next byte): some Newton steps a bucket, the
 buckets' results joined by their curvatures.
 
-Word counts are exact: tasks number the words of a segment of texts, the distinct words of all
-segments are counted together, and the counts go back to their segments.
+Word counts are exact: tasks number the words of a segment in order of appearance, the distinct words of all
+segments are counted together, and the counts go back to their segments, where the words are numbered again.
 
 A null text is an empty one: an end and nothing else. Rows are never joined by id, so repeated ids
 are scored each; a null id counts as empty text in the split, so its row is learned from. Without
@@ -37,10 +37,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palaver.llm.common import column_bytes, slices, table
+from palaver.llm.common import column_bytes, give_back, slices, table
 from palaver.llm.quality import remainder
 from palaver.session import materialise
 
@@ -54,13 +54,13 @@ TOGETHER, LANES = 1 << 17, 1 << 12
 RATE = 0.02
 #: Log odds are kept as whole numbers of 1/16.
 SCALE = 16.0
-#: Bytes of text whose contexts are looked up together.
+#: Bytes of text, and words, whose contexts and words are looked up together.
 SEGMENT_BYTES = 16 << 20
 #: Pairs that are asked of one bucket, about, over all segments.
 BUCKET_PAIRS = 1 << 20
 #: Newton steps for the first weights, and how firmly they are held to those of :func:`first_weights`.
 FITTING, HELD = 6, 4.0
-SEGMENT_TOKENS = 1_000_000
+SEGMENT_TOKENS = 4_000_000
 
 
 def huffman(counts: np.ndarray) -> list[list[tuple[int, int]]]:
@@ -245,11 +245,13 @@ def _in_step(paths: Paths, start: np.ndarray, texts: list[bytes]) -> np.ndarray:
     """:func:`coded` for texts in falling order of length: all first symbols, all second symbols, ..."""
     symbols, first = laid_out(texts)
     size = np.array([len(t) + 1 for t in texts], np.int64)
-    weights = np.tile(start, (len(texts), 1))
+    # inputs are scaled by the root of the rate and weights by its inverse, so that updates need no factor
+    scale = np.float32(RATE**0.5)
+    weights = np.tile(start / scale, (len(texts), 1))
     # the four weights of a gate are moved as one 16-byte element, which is several times faster
     whole = weights.view(np.complex128).ravel()
     score = np.zeros(len(texts))
-    rate = np.float32(RATE)
+    one = np.float32(1)
     t, end = 0, int(size[0])
     while t < end:
         # the texts still going on are the longest ones
@@ -263,25 +265,22 @@ def _in_step(paths: Paths, start: np.ndarray, texts: list[bytes]) -> np.ndarray:
         gates = lane.astype(np.int32) * np.int32(GATES) + (symbols[at - 1] > 32) * np.int32(GATES // 2)
         unit = np.repeat(gates, n) + paths.depth[row]
         ends = np.cumsum(n)
-        x = np.multiply(paths.rows[row].view(np.int8).reshape(-1, len(ORDERS) + 1), np.float32(1 / SCALE), dtype=np.float32)
-        unlikely = np.empty(len(row), np.float32)
+        x = np.multiply(paths.rows[row].view(np.int8).reshape(-1, len(ORDERS) + 1), scale / np.float32(SCALE), dtype=np.float32)
+        odds = np.empty(len(row), np.float32)
         last = 0
         for stop in ends[np.cumsum(going) - 1].tolist():
-            u, r, z = unit[last:stop], x[last:stop], unlikely[last:stop]
+            u, r, z = unit[last:stop], x[last:stop], odds[last:stop]
             held = whole.take(u)
             w = held.view(np.float32).reshape(-1, len(ORDERS) + 1)
-            # odds against the bit taken, and the probability that was missing from it
+            # the odds of the bit taken; 1 / (1 + odds) was missing from its probability
             np.vecdot(r, w, out=z)
-            np.negative(z, out=z)
-            np.minimum(z, np.float32(20), out=z)
             np.exp(z, out=z)
-            error = z / (z + np.float32(1))
-            error *= rate
-            w += r * error[:, None]
+            w += r / (z + one)[:, None]
             whole[u] = held
             last = stop
         # a byte has at most GATES / 2 steps, so their product stays in range
-        product = np.multiply.reduceat(unlikely + 1.0, ends - n, dtype=np.float64)
+        unlikely = 1 + 1 / np.maximum(odds, np.exp(np.float32(-20)))
+        product = np.multiply.reduceat(unlikely, ends - n, dtype=np.float64)
         score -= np.bincount(lane, np.log10(product), minlength=len(texts))
         t += span
     return score
@@ -335,27 +334,34 @@ def segment_texts(batch: pa.RecordBatch, i: int) -> list[bytes]:
     return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
+def words_of(text: bytes) -> list[bytes]:
+    return text.lower().split()
+
+
 def _listed(batch: pa.RecordBatch, name: str, i: int) -> pa.Array:
     return batch.column(name)[i].values
 
 
 def read(docs: DataFrame) -> DataFrame:
-    """``key``, ``learned`` and ``text`` in segments: one row with the texts, the pairs in them, their counts in training texts, and those of pairs of the shortest order."""
+    """``key``, ``learned`` and ``text`` in segments: one row with the texts, the pairs in them, their counts in training texts, those of pairs of the shortest order, and the words in order of appearance with theirs."""
+    most_words = SEGMENT_TOKENS
 
-    def row(segment: int, keys: list, learned: list, texts: list, pairs: list) -> pa.RecordBatch:
+    def row(segment: int, keys: list, learned: list, texts: list, pairs: list, words: dict[bytes, int], taught: list) -> pa.RecordBatch:
         found, counts = summed(*(np.concatenate(x) for x in zip(*pairs, strict=True)))
         first = (found & np.uint64((1 << 17) - 1)).astype(np.int64)  # one byte and the symbol behind it
         first, times = summed(first[counts > 0], counts[counts > 0])
         lists = [pa.concat_arrays(keys), pa.array(learned, pa.bool_()), pa.array(np.cumsum([len(t) for t in texts], dtype=np.int64)), pa.array(first), pa.array(times)]
+        numbers = np.concatenate([*taught, np.zeros(0, np.int32)])
+        lists += [pa.array(list(words), pa.binary()), pa.array(np.bincount(numbers, minlength=len(words)).astype(np.int64))]
         lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
         return pa.RecordBatch.from_arrays(
             [pa.array([segment]), pa.array([len(found)]), *lists, *(pa.array([squeezed(x)], pa.binary()) for x in (b"".join(texts), packed(found), counts.astype(np.uint32).tobytes()))],
-            ["segment", "n", "keys", "learned", "ends", "first", "times", "texts", "pairs", "counts"],
+            ["segment", "n", "keys", "learned", "ends", "first", "times", "words", "taught", "texts", "pairs", "counts"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment, size = TaskContext.get().partitionId() << 32, 0
-        keys, learned, texts, pairs = [], [], [], []
+        segment, size, tokens = TaskContext.get().partitionId() << 32, 0, 0
+        keys, learned, texts, pairs, words, counted = [], [], [], [], {}, []
         for batch in slices(batches, "text", SEGMENT_BYTES // 16):
             data, taught = column_bytes(batch, "text"), batch.column("learned").to_pylist()
             keys.append(batch.column("key"))
@@ -364,16 +370,22 @@ def read(docs: DataFrame) -> DataFrame:
             for l in (True, False):
                 k, c = pairs_of([x for x, y in zip(data, taught, strict=True) if y == l])
                 pairs.append((k, c if l else np.zeros_like(c)))
+            for x, l in zip(data, taught, strict=True):
+                split = words_of(x)
+                tokens += len(split)
+                numbers = np.fromiter((words.setdefault(w, len(words)) for w in split), np.int32, len(split))
+                if l:
+                    counted.append(numbers)
             size += sum(len(x) + 64 for x in data)
-            if size >= SEGMENT_BYTES:
-                yield row(segment, keys, learned, texts, pairs)
-                segment, size = segment + 1, 0
-                keys, learned, texts, pairs = [], [], [], []
+            if size >= SEGMENT_BYTES or tokens >= most_words:
+                yield row(segment, keys, learned, texts, pairs, words, counted)
+                segment, size, tokens = segment + 1, 0, 0
+                keys, learned, texts, pairs, words, counted = [], [], [], [], {}, []
         if texts:
-            yield row(segment, keys, learned, texts, pairs)
+            yield row(segment, keys, learned, texts, pairs, words, counted)
 
     kind = docs.schema["key"].dataType.simpleString()
-    schema = f"segment long, n long, keys array<{kind}>, learned array<boolean>, ends array<long>, first array<long>, times array<long>, texts binary, pairs binary, counts binary"
+    schema = f"segment long, n long, keys array<{kind}>, learned array<boolean>, ends array<long>, first array<long>, times array<long>, words array<binary>, taught array<long>, texts binary, pairs binary, counts binary"
     return materialise(docs.select("key", "learned", "text").mapInArrow(run, schema), "lm-texts")
 
 
@@ -533,6 +545,7 @@ def gather(segments: DataFrame, first: np.ndarray, code: Code, buckets: int, who
                 rows.append((s, p, c))
         if rows:
             yield answer(now, rows)
+        give_back()
 
     asked = segments.select("segment", "pairs", "counts").mapInArrow(ask, "segment long, bucket long, pairs binary, counts binary")
     schema = "segment long, bucket long, slots binary, odds binary, fitted array<double>"
@@ -542,7 +555,7 @@ def gather(segments: DataFrame, first: np.ndarray, code: Code, buckets: int, who
 def looked_up(segments: DataFrame, found: DataFrame) -> DataFrame:
     """The segments with the odds of their steps."""
     found = found.where("segment is not null").groupBy("segment").agg(F.collect_list(F.struct("bucket", "odds")).alias("found"))
-    return segments.select("segment", "keys", "learned", "ends", "texts", "pairs").join(found, "segment")
+    return segments.select("segment", "keys", "ends", "texts", "pairs").join(found, "segment")
 
 
 def segment_paths(batch: pa.RecordBatch, i: int, code: Code, first: np.ndarray, buckets: int) -> Paths:
@@ -585,52 +598,22 @@ def fit(docs: DataFrame) -> Model:
     return Model(code, Odds(np.concatenate([slot, keys]), np.concatenate([along[once], odds])), weights_of(found))
 
 
-def _segments(ready: DataFrame, code: Code, first: np.ndarray, weights: np.ndarray, buckets: int) -> DataFrame:
-    """Scored texts in segments: one row with its words, their counts in training texts, and the texts as word numbers."""
-    shared = ready.sparkSession.sparkContext.broadcast((code, first_order(first, code), weights))
-
-    def row(segment: int, keys: list, learned: list, texts: list[np.ndarray], bits: list, words: dict[bytes, int]) -> pa.RecordBatch:
-        ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
-        tokens = np.concatenate(texts) if texts else np.zeros(0, np.int32)
-        taught = np.concatenate([t for t, l in zip(texts, learned, strict=True) if l] or [np.zeros(0, np.int32)])
-        lists = [
-            pa.concat_arrays(keys), pa.array(learned, pa.bool_()), pa.array(ends.astype(np.int32)), pa.array(tokens.astype(np.int32)),
-            pa.array(list(words), pa.binary()), pa.array(np.bincount(taught, minlength=len(words)).astype(np.int32)),
-            pa.array([x for x, _ in bits], pa.float64()), pa.array([n for _, n in bits], pa.int64()),
-        ]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([segment]), *[pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]],
-            ["segment", "keys", "learned", "ends", "tokens", "words", "taught", "scores", "sizes"],
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment, size = TaskContext.get().partitionId() << 32, 0
-        keys, learned, texts, bits, words = [], [], [], [], {}
-        code, first, weights = shared.value
-        for batch in batches:
-            for r in range(batch.num_rows):
-                data, taught, given = segment_texts(batch, r), _listed(batch, "learned", r).to_pylist(), _listed(batch, "keys", r)
-                scores = coded(segment_paths(batch, r, code, first, buckets), weights, data).tolist()
-                for i, text in enumerate(data):
-                    split = text.lower().split()
-                    if texts and size + len(split) > SEGMENT_TOKENS:
-                        yield row(segment, keys, learned, texts, bits, words)
-                        segment, size = segment + 1, 0
-                        keys, learned, texts, bits, words = [], [], [], [], {}
-                    size += len(split)
-                    keys.append(given.slice(i, 1))
-                    learned.append(taught[i])
-                    texts.append(np.fromiter((words.setdefault(w, len(words)) for w in split), np.int32, len(split)))
-                    bits.append((scores[i], len(text)))
-        if texts:
-            yield row(segment, keys, learned, texts, bits, words)
+def word_counts(segments: DataFrame) -> DataFrame:
+    """For every word of every segment (``segment``, ``place``) its count in training texts, and one row of each word marked.
 
-    kind = ready.schema["keys"].dataType.elementType.simpleString()
-    schema = (
-        f"segment long, keys array<{kind}>, learned array<boolean>, ends array<int>, tokens array<int>, words array<binary>, "
-        "taught array<int>, scores array<double>, sizes array<long>"
+    Rows are summed by segment before, so a word has as many as there are segments with it.
+    """
+    each = segments.select("segment", F.posexplode(F.arrays_zip("words", "taught")).alias("place", "w"))
+    of_word = Window.partitionBy("word")
+    return materialise(
+        each.select("segment", "place", F.col("w.words").alias("word"), F.col("w.taught").alias("n")).select(
+            "segment",
+            "place",
+            F.sum("n").over(of_word).alias("c"),
+            (F.row_number().over(of_word.orderBy("segment")) == 1).alias("once"),
+        ),
+        "lm-words",
     )
-    return materialise(ready.mapInArrow(run, schema), "lm-segments")
 
 
 def scores(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -639,54 +622,49 @@ def scores(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str =
     Rows where ``learn_from`` is true are learned from; all are scored.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(learn_from, F.lit(False)).alias("learned"), F.coalesce(text, F.lit("")).alias("text"))
-    texts = read(rows)
-    first = first_counts(texts)
+    segments = read(rows)
+    first = first_counts(segments)
     code = code_of(first)
-    buckets = bucket_number(texts)
-    found = gather(texts, first, code, buckets)
-    segments = _segments(looked_up(texts, found), code, first, weights_of(found), buckets)
-    each = segments.select("segment", F.posexplode(F.arrays_zip("words", "taught")).alias("place", "w"))
-    each = each.select("segment", "place", F.col("w.words").alias("word"), F.col("w.taught").alias("n"))
-    counted = materialise(each.groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
+    buckets = bucket_number(segments)
+    found = gather(segments, first, code, buckets)
     ends = segments.select(F.explode("learned").alias("learned")).where("learned").count()
-    total, kinds = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
+    counted = word_counts(segments)
+    total, kinds = counted.where("once").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     n, v = total + ends, kinds + (1 if ends else 0)
     # a segment's words come back to it: as many rows as it has distinct words
-    back = (
-        each.select("segment", "place", "word")
-        .join(counted, "word")
-        .groupBy("segment")
-        .agg(F.collect_list(F.struct("place", "c")).alias("counts"))
-    )
-    whole = segments.select("segment", "keys", "ends", "tokens", "scores", "sizes").join(back, "segment", "left")
+    back = counted.groupBy("segment").agg(F.collect_list(F.struct("place", "c")).alias("counts"))
+    whole = looked_up(segments, found).join(back, "segment", "left")
     floor = n + (v + 1)
+    shared = docs.sparkSession.sparkContext.broadcast((code, first_order(first, code), weights_of(found)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, first, weights = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
-                part = lambda c: batch.column(c)[i].values  # noqa: B023
-                stops = part("ends").to_numpy()
-                tokens = part("tokens").to_numpy()
-                pairs = part("counts")
+                texts, pairs = segment_texts(batch, i), _listed(batch, "counts", i)
                 c = np.zeros(len(pairs) if pairs is not None else 0, np.int64)
                 if len(c):
                     c[pairs.field("place").to_numpy()] = pairs.field("c").to_numpy()
                 log = np.log10((c + 1) / floor)
-                sizes = np.diff(stops, prepend=0)
-                which = np.repeat(np.arange(len(stops)), sizes)
-                base = np.bincount(which, log[tokens], minlength=len(stops)) + np.log10((ends + 1) / floor)
-                known = np.bincount(which, c[tokens] > 0, minlength=len(stops)).astype(np.int64) + (ends > 0)
-                score = part("scores").to_numpy()
-                bits = -score * np.log2(10) / np.maximum(part("sizes").to_numpy(), 1)
+                numbers: dict[bytes, int] = {}
+                sizes, base, known = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+                for j, x in enumerate(texts):
+                    split = words_of(x)
+                    tokens = np.fromiter((numbers.setdefault(w, len(numbers)) for w in split), np.int64, len(split))
+                    sizes[j], base[j], known[j] = len(split), log[tokens].sum(), (c[tokens] > 0).sum()
+                del numbers
+                score = coded(segment_paths(batch, i, code, first, buckets), weights, texts)
+                bits = -score * np.log2(10) / np.maximum([len(x) for x in texts], 1)
                 yield pa.RecordBatch.from_arrays(
-                    [part("keys"), pa.array(sizes.astype(np.int64) + 1), pa.array(known), pa.array(np.full(len(stops), n)),
-                     pa.array(base), pa.array(score), pa.array(bits)],
+                    [_listed(batch, "keys", i), pa.array(sizes + 1), pa.array(known + (ends > 0)), pa.array(np.full(len(texts), n)),
+                     pa.array(base + np.log10((ends + 1) / floor)), pa.array(score), pa.array(bits)],
                     ["key", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"],
                 )
+            give_back()
 
     kind = rows.schema["key"].dataType.simpleString()
     schema = f"key {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
-    return whole.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return materialise(whole.mapInArrow(run, schema), "lm-scores").withColumnRenamed("key", key)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
