@@ -31,13 +31,14 @@ training texts every step has even odds and no word is known. An empty table giv
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver.llm.common import column_bytes, give_back, slices, table
@@ -55,9 +56,10 @@ RATE = 0.02
 #: Log odds are kept as whole numbers of 1/16.
 SCALE = 16.0
 #: Bytes of text, and words, whose contexts and words are looked up together.
-SEGMENT_BYTES = 16 << 20
-#: Pairs that are asked of one bucket, about, over all segments.
+SEGMENT_BYTES = 12 << 20
+#: Pairs and words that are asked of one bucket, about, over all segments.
 BUCKET_PAIRS = 1 << 20
+BUCKET_WORDS = 1 << 19
 #: Newton steps for the first weights, and how firmly they are held to those of :func:`first_weights`.
 FITTING, HELD = 6, 4.0
 SEGMENT_TOKENS = 4_000_000
@@ -130,7 +132,7 @@ def slots(order: int, context: np.ndarray, node: np.ndarray) -> np.ndarray:
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sum of the counts of each."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys, kind="stable")  # runs that are sorted already merge quickly
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(counts[order], first) if len(keys) else counts
@@ -352,11 +354,10 @@ def read(docs: DataFrame) -> DataFrame:
         first, times = summed(first[counts > 0], counts[counts > 0])
         lists = [pa.concat_arrays(keys), pa.array(learned, pa.bool_()), pa.array(np.cumsum([len(t) for t in texts], dtype=np.int64)), pa.array(first), pa.array(times)]
         numbers = np.concatenate([*taught, np.zeros(0, np.int32)])
-        lists += [pa.array(list(words), pa.binary()), pa.array(np.bincount(numbers, minlength=len(words)).astype(np.int64))]
         lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
         return pa.RecordBatch.from_arrays(
-            [pa.array([segment]), pa.array([len(found)]), *lists, *(pa.array([squeezed(x)], pa.binary()) for x in (b"".join(texts), packed(found), counts.astype(np.uint32).tobytes()))],
-            ["segment", "n", "keys", "learned", "ends", "first", "times", "words", "taught", "texts", "pairs", "counts"],
+            [pa.array([segment]), pa.array([len(found)]), pa.array([len(words)]), *lists, *(pa.array([squeezed(x)], pa.binary()) for x in (b"".join(texts), packed(found), counts.astype(np.uint32).tobytes(), b" ".join(words), np.bincount(numbers, minlength=len(words)).astype(np.uint32).tobytes()))],
+            ["segment", "n", "n_words", "keys", "learned", "ends", "first", "times", "texts", "pairs", "counts", "words", "taught"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,7 +386,7 @@ def read(docs: DataFrame) -> DataFrame:
             yield row(segment, keys, learned, texts, pairs, words, counted)
 
     kind = docs.schema["key"].dataType.simpleString()
-    schema = f"segment long, n long, keys array<{kind}>, learned array<boolean>, ends array<long>, first array<long>, times array<long>, words array<binary>, taught array<long>, texts binary, pairs binary, counts binary"
+    schema = f"segment long, n long, n_words long, keys array<{kind}>, learned array<boolean>, ends array<long>, first array<long>, times array<long>, texts binary, pairs binary, counts binary, words binary, taught binary"
     return materialise(docs.select("key", "learned", "text").mapInArrow(run, schema), "lm-texts")
 
 
@@ -468,9 +469,28 @@ def fitted(gate: np.ndarray, x: np.ndarray, times: np.ndarray) -> np.ndarray:
     return np.concatenate([bend.reshape(GATES, -1), np.einsum("gij,gj->gi", bend, weights)], axis=1)
 
 
-def bucket_number(segments: DataFrame) -> int:
-    """As many as the pairs asked for need; small corpora are spread over some tasks."""
-    return max(32, -(-(segments.agg(F.sum("n")).first()[0] or 0) // BUCKET_PAIRS))
+def bucket_number(segments: DataFrame, column: str, each: int) -> int:
+    """As many as what is asked for needs; small corpora are spread over some tasks."""
+    return max(32, -(-(segments.agg(F.sum(column)).first()[0] or 0) // each))
+
+
+def by_bucket(answer: Callable, columns: list[str]) -> Callable:
+    """``answer`` to the rows of each bucket, which come one bucket after another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows = -1, []
+        for batch in batches:
+            for b, *row in zip(*(batch.column(x).to_pylist() for x in ("bucket", "segment", *columns)), strict=True):
+                if b != now and rows:
+                    yield answer(now, rows)
+                    rows = []
+                now = b
+                rows.append(tuple(row))
+        if rows:
+            yield answer(now, rows)
+        give_back()
+
+    return run
 
 
 def gather(segments: DataFrame, first: np.ndarray, code: Code, buckets: int, whole: bool = False) -> DataFrame:
@@ -534,22 +554,9 @@ def gather(segments: DataFrame, first: np.ndarray, code: Code, buckets: int, who
             ["segment", "bucket", "slots", "odds", "fitted"],
         )
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows = -1, []
-        for batch in batches:
-            for s, b, p, c in zip(*(batch.column(x).to_pylist() for x in ("segment", "bucket", "pairs", "counts")), strict=True):
-                if b != now and rows:
-                    yield answer(now, rows)
-                    rows = []
-                now = b
-                rows.append((s, p, c))
-        if rows:
-            yield answer(now, rows)
-        give_back()
-
     asked = segments.select("segment", "pairs", "counts").mapInArrow(ask, "segment long, bucket long, pairs binary, counts binary")
     schema = "segment long, bucket long, slots binary, odds binary, fitted array<double>"
-    return materialise(asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, schema), "lm-odds")
+    return materialise(asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(by_bucket(answer, ["pairs", "counts"]), schema), "lm-odds")
 
 
 def looked_up(segments: DataFrame, found: DataFrame) -> DataFrame:
@@ -587,7 +594,7 @@ def fit(docs: DataFrame) -> Model:
     segments = read(docs.select(F.lit(0).alias("key"), F.lit(True).alias("learned"), F.coalesce("text", F.lit("")).alias("text")))
     first = first_counts(segments)
     code = code_of(first)
-    found = gather(segments, first, code, bucket_number(segments), whole=True)
+    found = gather(segments, first, code, bucket_number(segments, "n", BUCKET_PAIRS), whole=True)
     parts = found.where("segment is null").select("slots", "odds").collect()
     keys, odds = (np.frombuffer(b"".join(r[c] for r in parts), kind) for c, kind in (("slots", np.uint64), ("odds", np.int8)))
     byte, symbol = np.nonzero(first)
@@ -598,22 +605,55 @@ def fit(docs: DataFrame) -> Model:
     return Model(code, Odds(np.concatenate([slot, keys]), np.concatenate([along[once], odds])), weights_of(found))
 
 
-def word_counts(segments: DataFrame) -> DataFrame:
-    """For every word of every segment (``segment``, ``place``) its count in training texts, and one row of each word marked.
+def word_order(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of words by bucket, the buckets in it, and where each begins and, behind the last, ends."""
+    bucket = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % buckets
+    order = np.argsort(bucket, kind="stable")
+    found, first = np.unique(bucket[order], return_index=True)
+    return order, found, np.append(first, len(words))
+
+
+def word_counts(segments: DataFrame, buckets: int) -> DataFrame:
+    """The counts in training texts of the words of each ``segment`` and ``bucket``, and per bucket, in a row without segment, their sum and how many are known.
 
-    Rows are summed by segment before, so a word has as many as there are segments with it.
+    A segment asks for each of its words once, so a word comes at most once a segment.
     """
-    each = segments.select("segment", F.posexplode(F.arrays_zip("words", "taught")).alias("place", "w"))
-    of_word = Window.partitionBy("word")
-    return materialise(
-        each.select("segment", "place", F.col("w.words").alias("word"), F.col("w.taught").alias("n")).select(
-            "segment",
-            "place",
-            F.sum("n").over(of_word).alias("c"),
-            (F.row_number().over(of_word.orderBy("segment")) == 1).alias("once"),
-        ),
-        "lm-words",
-    )
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words, taught = opened(batch.column("words")[i].as_py()).split(), np.frombuffer(opened(batch.column("taught")[i].as_py()), np.uint32)
+                order, full, cuts = word_order(words, buckets)
+                parts = [order[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([batch.column("segment")[i].as_py()] * len(full), pa.int64()), pa.array(full, pa.int64()),
+                        pa.array([squeezed(b" ".join([words[k] for k in part.tolist()])) for part in parts], pa.binary()),
+                        pa.array([squeezed(taught[part].tobytes()) for part in parts], pa.binary()),
+                    ],
+                    ["segment", "bucket", "words", "taught"],
+                )
+
+    def answer(bucket: int, rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
+        numbers: dict[bytes, int] = {}
+        asked = []
+        for _, words, _ in rows:
+            split = opened(words).split()
+            asked.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in split), np.int64, len(split)))
+        counts = np.zeros(len(numbers), np.int64)
+        for which, (_, _, taught) in zip(asked, rows, strict=True):
+            counts[which] += np.frombuffer(opened(taught), np.uint32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([*(x for x, _, _ in rows), None], pa.int64()), pa.array([bucket] * (len(rows) + 1), pa.int64()),
+             pa.array([*(squeezed(counts[which].tobytes()) for which in asked), None], pa.binary()),
+             pa.array([None] * len(rows) + [int(counts.sum())], pa.int64()), pa.array([None] * len(rows) + [int((counts > 0).sum())], pa.int64())],
+            ["segment", "bucket", "counts", "total", "known"],
+        )
+
+    asked = segments.select("segment", "words", "taught").mapInArrow(ask, "segment long, bucket long, words binary, taught binary")
+    schema = "segment long, bucket long, counts binary, total long, known long"
+    answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(by_bucket(answer, ["words", "taught"]), schema)
+    return materialise(answers, "lm-words")
 
 
 def scores(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -625,14 +665,15 @@ def scores(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str =
     segments = read(rows)
     first = first_counts(segments)
     code = code_of(first)
-    buckets = bucket_number(segments)
+    buckets = bucket_number(segments, "n", BUCKET_PAIRS)
     found = gather(segments, first, code, buckets)
     ends = segments.select(F.explode("learned").alias("learned")).where("learned").count()
-    counted = word_counts(segments)
-    total, kinds = counted.where("once").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
+    word_buckets = bucket_number(segments, "n_words", BUCKET_WORDS)
+    counted = word_counts(segments, word_buckets)
+    total, kinds = counted.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
     n, v = total + ends, kinds + (1 if ends else 0)
-    # a segment's words come back to it: as many rows as it has distinct words
-    back = counted.groupBy("segment").agg(F.collect_list(F.struct("place", "c")).alias("counts"))
+    # a segment's words come back to it, in one piece a bucket
+    back = counted.where("segment is not null").groupBy("segment").agg(F.collect_list(F.struct("bucket", "counts")).alias("counts"))
     whole = looked_up(segments, found).join(back, "segment", "left")
     floor = n + (v + 1)
     shared = docs.sparkSession.sparkContext.broadcast((code, first_order(first, code), weights_of(found)))
@@ -641,18 +682,20 @@ def scores(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str =
         code, first, weights = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
-                texts, pairs = segment_texts(batch, i), _listed(batch, "counts", i)
-                c = np.zeros(len(pairs) if pairs is not None else 0, np.int64)
-                if len(c):
-                    c[pairs.field("place").to_numpy()] = pairs.field("c").to_numpy()
-                log = np.log10((c + 1) / floor)
+                texts, given = segment_texts(batch, i), _listed(batch, "counts", i)
                 numbers: dict[bytes, int] = {}
-                sizes, base, known = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-                for j, x in enumerate(texts):
+                tokens = []
+                for x in texts:
                     split = words_of(x)
-                    tokens = np.fromiter((numbers.setdefault(w, len(numbers)) for w in split), np.int64, len(split))
-                    sizes[j], base[j], known[j] = len(split), log[tokens].sum(), (c[tokens] > 0).sum()
-                del numbers
+                    tokens.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in split), np.int32, len(split)))
+                c = np.zeros(len(numbers), np.int64)
+                if len(c):
+                    pieces = sorted(zip(given.field("bucket").to_pylist(), given.field("counts").to_pylist(), strict=True))
+                    c[word_order(list(numbers), word_buckets)[0]] = np.frombuffer(b"".join(opened(x) for _, x in pieces), np.int64)
+                log, some = np.log10((c + 1) / floor), c > 0
+                sizes = np.array([len(x) for x in tokens], np.int64)
+                base, known = np.array([log[x].sum() for x in tokens]), np.array([some[x].sum() for x in tokens], np.int64)
+                del numbers, tokens
                 score = coded(segment_paths(batch, i, code, first, buckets), weights, texts)
                 bits = -score * np.log2(10) / np.maximum([len(x) for x in texts], 1)
                 yield pa.RecordBatch.from_arrays(
