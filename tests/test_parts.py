@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from palaver.operators import boards
 from palaver.operators.clean import latest_by_id
+from palaver.session import file_system, fresh_path, shared_dir
 from palaver.sources import tables
 from palaver.sources.parts import Parts
 from tests.conftest import at, rows
@@ -104,3 +105,38 @@ def test_rolling_census(make):
         want.append((dt.date(2024, 3, end), len({a for a, _ in near}), len(set(near))))
     assert got == sorted(want, key=repr)
     assert boards.rolling_census(make(made).where(F.lit(False))).collect() == []
+
+
+def test_known_parts_are_written_once_and_combined_only_with_old_rows(spark, tmp_path):
+    table, combined = Parts(spark, str(tmp_path), SCHEMA), []
+
+    def newest(both):
+        combined.append(1)
+        return latest_by_id(both, ["n"])
+
+    days = [dt.date(2024, 3, 1), dt.date(2024, 3, 2)]
+    copies = _copies(spark, "batch")
+    assert table.merge(frame(spark, [("a", 1, 1), ("b", 1, 2)]), 0, newest, days) and combined == []
+    assert table.merge(frame(spark, [("c", 1, 3)]), 1, newest, [dt.date(2024, 3, 3)]) and combined == []
+    assert table.merge(frame(spark, [("a", 2, 1), ("d", 1, 4)]), 2, newest, [days[0], dt.date(2024, 3, 4)]) and combined == [1]
+    assert rows(table.read(), "id", "n") == [("a", 2), ("b", 1), ("c", 1), ("d", 1)]
+    assert _copies(spark, "batch") == copies
+
+
+def test_an_insert_stores_no_copy_of_its_bodies(spark, make):
+    given = make([{"id": "a", "created_utc": at("2024-03-01 12:00:00")}, {"id": "b", "created_utc": at("2024-03-02 12:00:00")}])
+    more = make([{"id": "a", "body": "late"}, {"id": "c", "body": "new"}, {"id": "c", "body": "later", "created_utc": at("2024-03-01 13:00:00")}])
+    table = tables.comment_table(spark, fresh_path(spark, "insert-test"), given.schema)
+    before = _copies(spark, "inserted") | _copies(spark, "to-insert")
+    tables.insert(given, table, 0, ["created_utc"])
+    tables.insert(more, table, 1, ["created_utc"])
+    assert rows(table[0].read(), "id", "body") == [("a", "some words"), ("b", "some words"), ("c", "new")]
+    assert rows(table[1].read(), "id") == [("a",), ("b",), ("c",)]
+    made = (_copies(spark, "inserted") | _copies(spark, "to-insert")) - before
+    assert all(set(spark.read.parquet(path).columns) == {"id", "slot"} for path in made)
+
+
+def _copies(spark, label):
+    """Tables of that label below the shared folder."""
+    fs, pattern = file_system(spark, f"{shared_dir(spark)}/palaver/{spark.sparkContext.applicationId}/{label}-*")
+    return {s.getPath().toString() for s in fs.globStatus(pattern) or ()}
