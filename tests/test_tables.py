@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from palaver import session
 from palaver.plans import daily, loading
 from palaver.sources import tables
+from palaver.streaming import jobs
 from tests.conftest import at, rows
 
 
@@ -141,3 +142,16 @@ def test_release_deletes_what_the_application_has_written(spark, tmp_path, monke
     assert list(tmp_path.glob("palaver/*/gone-*"))
     session.release(spark)
     assert not list(tmp_path.glob("palaver/*"))
+
+
+def test_stored_days_are_compressed(make, spark, tmp_path):
+    comments = three_days(make)
+    tables.write_json_days(comments, str(tmp_path / "json"))
+    tables.write_days(comments, str(tmp_path / "days"))
+    tables.comment_table(spark, str(tmp_path / "parts"), comments.schema)[0].append(comments, 0)
+    jobs.snapshot_table(spark, str(tmp_path / "snapshots"), comments.schema).append(comments.withColumn("batch", F.lit(0).cast("long")), 0)
+    ends = {"json": ".json.gz", "days": ".zstd.parquet", "parts/comments/data": ".zstd.parquet", "snapshots/data": ".zstd.parquet"}
+    for folder, end in ends.items():
+        names = [p.name for p in (tmp_path / folder).rglob("part-*")]
+        assert len(names) >= 3 and all(name.endswith(end) for name in names)
+    assert rows(tables.read_json_days(spark, str(tmp_path / "json")), "id") == [("a",), ("b",), ("c",), ("d",)]
