@@ -1,7 +1,8 @@
 """Byte-level BPE of whole texts with a public tokenizer's vocabulary, and back.
 
 A text can be cut where no token can lie across: before a space that follows something other than white
-space. Runs of short pieces go through the tokenizers library as they stand. A long piece, without such a
+space. Each distinct piece goes through the tokenizers library as it stands; the ids of short ones, most of which come
+again and again, are kept for the next texts, up to a number of pieces. A long piece, without such a
 place, which takes the library ever longer, is encoded by tree concatenation: its halves are
 encoded apart, and a growing window around the join is encoded again until its first and last
 tokens are those that the halves have there. In byte-level BPE a sequence is the encoding of its
@@ -22,7 +23,6 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,9 @@ from palaver.session import materialise
 LEAF_CHARS = 8192
 #: Texts of more characters are spread over tasks.
 SPLIT_CHARS = 65536
-#: Texts that go through the library at once, and bytes of text in hand at once.
+#: Pieces whose ids a worker keeps, beside those of the texts in hand, and the most characters of one.
+KEPT, KEPT_CHARS = 1 << 18, 48
+#: Pieces that go through the library at once, and bytes of text in hand at once.
 AT_ONCE, IN_HAND = 256, 2 << 20
 
 
@@ -67,6 +69,12 @@ class Codec:
         self.table = pa.array(self.bytes_of, pa.binary())
         self.special = re.compile("|".join(map(re.escape, special.values()))) if special else None
         self.longest_special = max(map(len, special.values()), default=0)
+        # a special token with white space may lie across pieces
+        self.cuts = not any(re.search(r"\s", x) for x in special.values()) and not any(
+            t.lstrip or t.rstrip or t.single_word for t in self.tokenizer.get_added_tokens_decoder().values()
+        )
+        #: Ids of short pieces that have been met, as bytes.
+        self.kept: dict[str, bytes] = {}
 
     def library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -110,21 +118,28 @@ class Codec:
                 return np.concatenate((left[:a], again, right[b:]))
             width *= 2
 
+    def _bytes(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        plain = [i for i, text in enumerate(texts) if len(text) <= LEAF_CHARS or max(map(len, _pieces(text))) <= LEAF_CHARS]
-        found: dict[int, np.ndarray] = {}
-        for at in range(0, len(plain), AT_ONCE):
-            part = plain[at : at + AT_ONCE]
-            found.update(zip(part, self.library([texts[i] for i in part]), strict=True))
-        return [(found[i] if i in found else self.mixed(text)).astype("<u4").tobytes() for i, text in enumerate(texts)]
-
-    def mixed(self, text: str) -> np.ndarray:
-        """Ids of a text some of whose pieces are long: those as trees, the runs of others between them as they stand."""
-        ids = [np.empty(0, np.uint32)]
-        for long, run in groupby(_pieces(text), lambda p: len(p) > LEAF_CHARS):
-            ids += [self.tree(p) for p in run] if long else self.library(["".join(run)])
-        return np.concatenate(ids)
+        """Ids of each text as little-endian unsigned 32-bit integers, put together from those of its pieces."""
+        if not self.cuts:
+            return self._bytes(texts)
+        kept = self.kept
+        if len(kept) > KEPT:
+            kept.clear()
+        pieces = [_pieces(text) for text in texts]
+        new = list(set().union(*pieces) - kept.keys())
+        short = [p for p in new if len(p) <= LEAF_CHARS]
+        for at in range(0, len(short), AT_ONCE):
+            part = short[at : at + AT_ONCE]
+            kept.update(zip(part, self._bytes(part), strict=True))
+        kept.update((p, self.tree(p).astype("<u4").tobytes()) for p in new if len(p) > LEAF_CHARS)
+        whole = [b"".join(map(kept.__getitem__, x)) for x in pieces]
+        for p in new:
+            if len(p) > KEPT_CHARS:
+                del kept[p]
+        return whole
 
     def decode_all(self, ids: list[bytes]) -> pa.Array:
         """The texts of many lists of ids: one gather over the table of bytes, cut where the texts end."""

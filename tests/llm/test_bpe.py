@@ -40,6 +40,20 @@ def test_pieces_are_the_encoding_of_the_whole(codec):
         assert codec.decode(ids) == text
 
 
+def test_pieces_that_come_again_are_looked_up(codec, monkeypatch):
+    sample = texts(3, 300, 60) + ["", " ", "x" * 9000 + " y" * 50, "the cat " * 400, "the cat " * 400]
+    want = [whole(codec, text) for text in sample]
+    codec.kept.clear()
+    got = [codec.encode([text])[0] for text in sample]
+    assert codec.kept and max(map(len, codec.kept)) <= bpe.KEPT_CHARS
+    asked, library = [], codec._bytes
+    monkeypatch.setattr(codec, "_bytes", lambda pieces: asked.extend(pieces) or library(pieces))
+    assert codec.encode(sample) == got == [np.array(ids, "<u4").tobytes() for ids in want]
+    assert all(len(p) > bpe.KEPT_CHARS for p in asked)
+    monkeypatch.setattr(bpe, "KEPT", 50)
+    assert [codec.encode([text])[0] for text in sample] == got
+
+
 def test_join_grows_over_a_long_run(codec):
     for unit in ("a", "ab", " ", "\n", "=", "0", "é", "日"):
         for n in (100, 1001, 3000):
