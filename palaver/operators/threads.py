@@ -6,7 +6,7 @@ the place of a comment in its thread's reading order is a number.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -321,14 +321,21 @@ def with_text_length(comments: DataFrame) -> DataFrame:
     )
 
 
-def thread_pieces(placed: DataFrame, texts: DataFrame) -> DataFrame:
+#: Adds bodies to rows of comments; see ``thread_pieces``.
+Complete = Callable[[DataFrame], DataFrame]
+
+
+def thread_pieces(placed: DataFrame, texts: DataFrame, complete: Complete | None = None) -> DataFrame:
     """Two rows per comment: its text, and the end marker that follows its last descendant.
 
     Sorted by ``root, piece`` and joined without separators they are the threads as text.
-    ``placed`` is from ``in_order``, ``texts`` has the columns ``id, author, score, body, created_utc``.
+    ``placed`` is from ``in_order``, ``texts`` has the columns ``id, author, score, body, created_utc``. Where bodies
+    are stored apart, ``texts`` has the comments without them, and ``complete`` adds them to the placed rows, so that no
+    body is moved.
     """
-    bodies = texts.select("id", "author", "score", "body", "created_utc")
-    joined = bodies.join(placed.select("id", "root", "depth", "position", "size"), "id")
+    slim = texts if complete else texts.select("id", "author", "score", "body", "created_utc")
+    joined = slim.join(placed.select("id", "root", "depth", "position", "size"), "id")
+    joined = complete(joined) if complete else joined
     written = node_text(F.col("depth"), F.col("created_utc"), F.col("author"), F.col("score"), F.col("body"))
     # before a comment come all earlier ones, and the ends of those that are not above it
     own = 2 * F.col("position") - 1 - F.col("depth")
@@ -437,27 +444,33 @@ def subtree_contains(placed: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def nested_pieces(placed: DataFrame, nodes: DataFrame, comments: DataFrame, slim: bool = False) -> DataFrame:
+def nested_pieces(
+    placed: DataFrame, nodes: DataFrame, comments: DataFrame, slim: bool = False, complete: Complete | None = None
+) -> DataFrame:
     """``root, position, id, text``: threads as nested JSON, one piece per comment.
 
     Joined in order of ``position`` the pieces of a thread are one object: the comment, its parent's id and
     its children. A piece is the opening of a comment and, if it is the last of some subtrees, their endings, so no
     row holds a thread. The ``slim`` form has author, body and score, and leaves out missing parents and children.
+    ``complete`` is that of ``thread_pieces``.
     """
     last = (F.col("position") + F.col("size") - 1).alias("position")
     # what ends at a place: the comment there, and those above it whose subtree it is the last of
     bare, listed = F.count_if(F.col("size") == 1), F.count_if(F.col("size") > 1)
     ends = placed.groupBy("root", last).agg(bare.alias("_bare"), listed.alias("_listed"))
     total = placed.where("depth = 0").select("root", F.col("size").alias("_total"))
-    columns = ["author", "body", "score"] if slim else [c for c in comments.columns if c != "dt_date"]
+    whole = complete(comments) if complete else comments
+    columns = ["author", "body", "score"] if slim else [c for c in whole.columns if c != "dt_date"]
     shown = [
         (F.unix_micros(c) / F.lit(1000000)).cast("decimal(20,6)").alias(c) if kind == "timestamp" else F.col(c)
-        for c, kind in comments.select(*columns).dtypes
+        for c, kind in whole.select(*columns).dtypes
     ]
-    texts = comments.select("id", F.to_json(F.struct(*shown), {"ignoreNullFields": "false"}).alias("_comment"))
-    rows = (
-        placed.join(nodes.select("id", "parent"), "id").join(ends, ["root", "position"], "left").join(total, "root").join(texts, "id")
-    )
+    comment = F.to_json(F.struct(*shown), {"ignoreNullFields": "false"}).alias("_comment")
+    found = placed.join(nodes.select("id", "parent"), "id").join(ends, ["root", "position"], "left").join(total, "root")
+    if complete:
+        rows = complete(comments.join(found, "id")).select("*", comment)
+    else:
+        rows = found.join(comments.select("id", comment), "id")
     quoted = F.to_json(F.array("parent"))
     parent = F.substr(quoted, F.lit(2), F.char_length(quoted) - 2)
     if slim:
@@ -508,14 +521,14 @@ def sampled_threads(threads: DataFrame, seed: int, limit: int = MAX_TOKENS, shar
     return running_total(drawn, [], ["draw", "root"], "_one", [True, True], "position").drop("_one")
 
 
-def thread_texts(nodes: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Whole text of the chosen threads, one row each.
+def thread_texts(nodes: DataFrame, texts: DataFrame, chosen: DataFrame, complete: Complete | None = None) -> DataFrame:
+    """Whole text of the chosen threads, one row each; ``complete`` is that of ``thread_pieces``.
 
     Only for threads that passed a token budget, which bounds the text gathered in a row.
     """
     kept = nodes.join(chosen.select("root").distinct(), "root", "left_semi")
     parts = F.array_sort(F.collect_list(F.struct("piece", "text")))
-    gathered = thread_pieces(in_order(kept), texts).groupBy("root").agg(parts.alias("_parts"))
+    gathered = thread_pieces(in_order(kept), texts, complete).groupBy("root").agg(parts.alias("_parts"))
     return gathered.select("root", F.array_join(F.transform("_parts", lambda p: p["text"]), "").alias("text"))
 
 
