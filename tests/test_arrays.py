@@ -69,3 +69,20 @@ def test_only_split_elements_are_gathered(cut, tmp_path):
     finally:
         arrays.running_total = whole
     assert held == [3]  # the two pieces of one element, and the end of the array
+
+
+def test_text_of_whole_elements_is_neither_stored_nor_moved(cut, tmp_path, monkeypatch):
+    flat = [{"id": f"c{n}", "body": "plain " * 20} for n in range(200)]
+    (tmp_path / "a.json").write_text(json.dumps([*flat, {"id": "odd", "body": "a } b"}]))
+    stored = {}
+    keep = arrays.materialise
+
+    def noted(df, label, *rest):
+        stored[label] = keep(df, label, *rest)
+        return stored[label]
+
+    monkeypatch.setattr(arrays, "materialise", noted)
+    found = arrays.elements(cut, str(tmp_path))
+    assert sorted(json.loads(r["element"])["id"] for r in found.collect()) == sorted([f"c{n}" for n in range(200)] + ["odd"])
+    with_text = {label: df.count() for label, df in stored.items() if "piece" in df.columns}
+    assert with_text == {"array-pieces": 3}  # the two pieces of one element, and the end of the array
