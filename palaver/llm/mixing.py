@@ -31,12 +31,16 @@ training texts every step has even odds and no word is known. An empty table giv
 from __future__ import annotations
 
 import heapq
+import itertools
+import math
 import zlib
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +56,10 @@ GATES = 64
 STRETCH = 1 << 62
 #: Bytes that are coded together, in step, and texts.
 TOGETHER, LANES = 1 << 17, 1 << 12
+#: Symbols whose pairs are sorted together.
+COUNTED = 1 << 20
+#: Texts that are not worth a call of numpy a step: those left go on one by one.
+FEW = 4
 RATE = 0.02
 #: Log odds are kept as whole numbers of 1/16.
 SCALE = 16.0
@@ -125,38 +133,48 @@ def contexts(symbols: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     return found
 
 
+def last_pairs(symbols: np.ndarray, begin: int, end: int) -> np.ndarray:
+    """The longest context and the symbol at each place from ``begin`` to ``end``, as one number; nothing but zeros precedes the first."""
+    pairs = symbols[begin:end].astype(np.uint64)
+    for back in range(1, max(ORDERS) + 1):
+        skip = max(0, back - begin)
+        pairs[skip:] |= symbols[begin + skip - back : end - back].astype(np.uint64) << np.uint64(8 * back + 1)
+    return pairs
+
+
 def slots(order: int, context: np.ndarray, node: np.ndarray) -> np.ndarray:
     """The numbers under which the odds of steps are kept; different steps have different ones."""
     return np.uint64(order << 48) | context << np.uint64(8) | node.astype(np.uint64)
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and the sum of the counts of each."""
-    order = np.argsort(keys, kind="stable")  # runs that are sorted already merge quickly
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(counts[order], first) if len(keys) else counts
-
-
-def last_pairs(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The longest context and the symbol at each place, as one number."""
-    return contexts(symbols, at)[-1] << np.uint64(9) | symbols[at].astype(np.uint64)
+    """Distinct keys, of at most 51 bits, in order, and the sum of the counts of each."""
+    if not len(keys):
+        return keys, counts
+    # counts lie below the keys they belong to, which sorts several times faster than an order of the keys; large ones are added behind
+    room, width = np.uint64((1 << 13) - 1), np.uint64(13)
+    large = np.flatnonzero(counts > int(room))
+    both = keys.astype(np.uint64) << width | np.where(counts > int(room), 0, counts).astype(np.uint64)
+    both.sort()
+    found = both >> width
+    first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+    found, total = found[first], np.add.reduceat((both & room).astype(np.int64), first)
+    np.add.at(total, np.searchsorted(found, keys[large].astype(np.uint64)), counts[large])
+    return found.astype(keys.dtype), total
 
 
 def pairs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs of longest context and symbol, and how often each comes."""
     symbols, begin = laid_out(texts)
-    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    text = np.ones(len(symbols), bool)
+    text[begin[:, None] - np.arange(1, max(ORDERS) + 1)] = False
     keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    total = int(sizes.sum())
-    shift = begin - (np.cumsum(sizes) - sizes)
-    ends = np.cumsum(sizes)
-    for i in range(0, total, TOGETHER):
-        at = np.arange(i, min(total, i + TOGETHER))
-        k, c = np.unique(last_pairs(symbols, at + shift[np.searchsorted(ends, at, "right")]), return_counts=True)
+    for i in range(0, len(symbols), COUNTED):
+        pairs = last_pairs(symbols, i, min(len(symbols), i + COUNTED))
+        k, c = np.unique(pairs[text[i : i + COUNTED]], return_counts=True)
         keys.append(k)
         counts.append(c)
-    return summed(np.concatenate(keys), np.concatenate(counts))
+    return (keys[1], counts[1]) if len(keys) == 2 else summed(np.concatenate(keys), np.concatenate(counts))
 
 
 def shorter(pairs: np.ndarray, order: int) -> np.ndarray:
@@ -209,26 +227,28 @@ class Paths:
         """``first``: :func:`first_order`; ``odds``: those of the longer orders at the steps of the sorted ``pairs``."""
         self.pairs = pairs
         symbol = (pairs & np.uint64(511)).astype(np.int64)
-        self.n = code.length[symbol].astype(np.int64)
-        self.start = np.cumsum(self.n) - self.n
-        place = spans(code.start[symbol].astype(np.int64), self.n)
+        n = code.length[symbol].astype(np.int64)
+        self.start = np.cumsum(n) - n
+        self.n = n.astype(np.int8)
+        # the gate of the first step, by whether a word has begun
+        self.gate = ((pairs >> np.uint64(9) & np.uint64(255)) > 32) * np.int8(GATES // 2)
+        place = spans(code.start[symbol].astype(np.int64), n)
         rows = np.empty((len(place), len(ORDERS) + 1), np.int8)
-        rows[:, 0] = first[np.repeat((pairs >> np.uint64(9) & np.uint64(255)).astype(np.int64), self.n), place]
+        rows[:, 0] = first[np.repeat((pairs >> np.uint64(9) & np.uint64(255)).astype(np.int64), n), place]
         rows[:, 1:-1] = odds.reshape(-1, len(ORDERS) - 1)
         rows[:, -1] = code.sign[place] * np.int8(SCALE)
         self.rows = rows.view(np.uint32).ravel()
-        self.depth = code.depth[place].astype(np.int32)
         self.shift = np.uint64(64 - max(1, int(4 * len(self.pairs)).bit_length()))
         self.likely = np.zeros(1 << (64 - int(self.shift)), np.int32)
         self.likely[self._hash(self.pairs)] = np.arange(len(self.pairs))
 
     def _hash(self, pairs: np.ndarray) -> np.ndarray:
-        return pairs * np.uint64(0x9E3779B97F4A7C15) >> self.shift
+        return (pairs * np.uint64(0x9E3779B97F4A7C15) >> self.shift).view(np.int64)
 
     def find(self, pairs: np.ndarray) -> np.ndarray:
         """The places of pairs of the segment."""
-        at = self.likely[self._hash(pairs)]
-        other = np.flatnonzero(self.pairs[at] != pairs)
+        at = self.likely.take(self._hash(pairs))
+        other = np.flatnonzero(self.pairs.take(at) != pairs)
         at[other] = np.searchsorted(self.pairs, pairs[other])
         return at
 
@@ -246,46 +266,79 @@ def coded(paths: Paths, weights: np.ndarray, texts: list[bytes]) -> np.ndarray:
 def _in_step(paths: Paths, start: np.ndarray, texts: list[bytes]) -> np.ndarray:
     """:func:`coded` for texts in falling order of length: all first symbols, all second symbols, ..."""
     symbols, first = laid_out(texts)
+    # the place among the pairs of every symbol; between texts, of none
+    pairs = np.empty(len(symbols), np.int32)
+    for i in range(0, len(symbols), TOGETHER):
+        pairs[i : i + TOGETHER] = paths.find(last_pairs(symbols, i, min(len(symbols), i + TOGETHER)))
+    del symbols
     size = np.array([len(t) + 1 for t in texts], np.int64)
-    # inputs are scaled by the root of the rate and weights by its inverse, so that updates need no factor
-    scale = np.float32(RATE**0.5)
-    weights = np.tile(start / scale, (len(texts), 1))
+    # inputs are left as whole numbers of 1 / SCALE, and weights are those of whole numbers
+    rate = np.float32(RATE / SCALE**2)
+    weights = np.tile(start / np.float32(SCALE), (len(texts), 1))
     # the four weights of a gate are moved as one 16-byte element, which is several times faster
     whole = weights.view(np.complex128).ravel()
     score = np.zeros(len(texts))
-    one = np.float32(1)
-    t, end = 0, int(size[0])
+    one, least, width = np.float32(1), np.exp(np.float32(-20)), len(ORDERS) + 1
+    # when few are left, each goes on alone from here
+    alone = min(FEW, len(texts))
+    t, end = 0, int(size[alone]) if alone < len(texts) else 0
     while t < end:
         # the texts still going on are the longest ones
         span = max(1, min(end - t, TOGETHER // int(np.searchsorted(-size, -t))))
         going = np.searchsorted(-size, -np.arange(t + 1, t + span + 1), "right")
         lane = np.arange(int(going.sum())) - np.repeat(np.cumsum(going) - going, going)
         at = first[lane] + t + np.repeat(np.arange(span), going)
-        pair = paths.find(last_pairs(symbols, at))
-        n = paths.n[pair]
-        row = spans(paths.start[pair], n)
-        gates = lane.astype(np.int32) * np.int32(GATES) + (symbols[at - 1] > 32) * np.int32(GATES // 2)
-        unit = np.repeat(gates, n) + paths.depth[row]
+        pair = pairs.take(at).astype(np.int64)
+        n = paths.n.take(pair).astype(np.int64)
         ends = np.cumsum(n)
-        x = np.multiply(paths.rows[row].view(np.int8).reshape(-1, len(ORDERS) + 1), scale / np.float32(SCALE), dtype=np.float32)
+        step = np.arange(int(ends[-1]))
+        row = np.repeat(paths.start.take(pair) - (ends - n), n)
+        row += step
+        # the steps of a byte have gates one after another
+        unit = np.repeat(lane * GATES + paths.gate.take(pair) - (ends - n), n)
+        unit += step
+        x = paths.rows.take(row).view(np.int8).astype(np.float32)
         odds = np.empty(len(row), np.float32)
         last = 0
+        # operations run over flat arrays: over rows of four numpy takes a call a row
         for stop in ends[np.cumsum(going) - 1].tolist():
-            u, r, z = unit[last:stop], x[last:stop], odds[last:stop]
+            u, r, z = unit[last:stop], x[last * width : stop * width], odds[last:stop]
             held = whole.take(u)
-            w = held.view(np.float32).reshape(-1, len(ORDERS) + 1)
+            w = held.view(np.float32)
+            terms = (r * w).view(np.complex64)
+            half = (terms[::2] + terms[1::2]).view(np.float32)
             # the odds of the bit taken; 1 / (1 + odds) was missing from its probability
-            np.vecdot(r, w, out=z)
-            np.exp(z, out=z)
-            w += r / (z + one)[:, None]
+            np.exp(np.add(half[::2], half[1::2], out=z), out=z)
+            w += r * (rate / (z + one)).repeat(width)
             whole[u] = held
             last = stop
-        # a byte has at most GATES / 2 steps, so their product stays in range
-        unlikely = 1 + 1 / np.maximum(odds, np.exp(np.float32(-20)))
-        product = np.multiply.reduceat(unlikely, ends - n, dtype=np.float64)
-        score -= np.bincount(lane, np.log10(product), minlength=len(texts))
+        # one over the probability, and the sum of its logarithms up to the end of each byte
+        unlikely = np.divide(one, np.maximum(odds, least, out=odds), out=odds)
+        unlikely += one
+        cost = np.cumsum(np.log(unlikely, out=unlikely), dtype=np.float64).take(ends - 1)
+        score -= np.bincount(lane, np.diff(cost, prepend=0), minlength=len(texts))
         t += span
-    return score
+    for i in range(alone):
+        gates = weights[i * GATES : (i + 1) * GATES].tolist()
+        for a in range(int(first[i]) + end, int(first[i] + size[i]), TOGETHER):
+            score[i] -= _one_by_one(paths, gates, pairs[a : min(a + TOGETHER, int(first[i] + size[i]))])
+    return score / np.log(10)
+
+
+def _one_by_one(paths: Paths, gates: list[list[float]], pair: np.ndarray) -> float:
+    """The logarithm of one over the probability of symbols of one text in turn; moves its weights on."""
+    n = paths.n[pair].astype(np.int64)
+    rows = paths.rows[spans(paths.start[pair], n)].view(np.int8).reshape(-1, len(ORDERS) + 1)
+    unit = spans(paths.gate[pair].astype(np.int64), n)
+    all_odds, exp, rate = [], math.exp, RATE / SCALE**2
+    for a, b, c, d, u in zip(*rows.T.tolist(), unit.tolist(), strict=True):
+        e, f, g, h = gates[u]
+        z = a * e + b * f + c * g + d * h
+        odds = exp(z if z < 700.0 else 700.0)
+        wrong = rate / (1.0 + odds)
+        gates[u] = (e + a * wrong, f + b * wrong, g + c * wrong, h + d * wrong)
+        all_odds.append(odds)
+    return float(np.log(1 + 1 / np.maximum(all_odds, np.exp(-20.0))).sum())
 
 
 @dataclass
@@ -336,8 +389,26 @@ def segment_texts(batch: pa.RecordBatch, i: int) -> list[bytes]:
     return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split()
+def words_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after another, in lower case, and how many each text has."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_binary()).view(pa.large_string())))
+    each, ends = found.flatten(), found.value_lengths().to_numpy(zero_copy_only=False)
+    # white space at an end of a text has an empty word beside it
+    words = pc.not_equal(pc.binary_length(each), 0)
+    before = np.concatenate([[0], np.cumsum(words.to_numpy(zero_copy_only=False))])
+    ends = np.cumsum(ends)
+    return each.filter(words), np.diff(before[ends], prepend=0)
+
+
+def numbered(words: pa.Array) -> tuple[np.ndarray, list[bytes]]:
+    """The number of every word, and the distinct words, both in order of appearance."""
+    found = words.dictionary_encode()
+    return found.indices.to_numpy(zero_copy_only=False), found.dictionary.view(pa.large_binary()).to_pylist()
+
+
+def numbering() -> dict[bytes, int]:
+    """Numbers words that are looked up in it, in order of appearance."""
+    return defaultdict(itertools.count().__next__)
 
 
 def _listed(batch: pa.RecordBatch, name: str, i: int) -> pa.Array:
@@ -348,12 +419,13 @@ def read(docs: DataFrame) -> DataFrame:
     """``key``, ``learned`` and ``text`` in segments: one row with the texts, the pairs in them, their counts in training texts, those of pairs of the shortest order, and the words in order of appearance with theirs."""
     most_words = SEGMENT_TOKENS
 
-    def row(segment: int, keys: list, learned: list, texts: list, pairs: list, words: dict[bytes, int], taught: list) -> pa.RecordBatch:
+    def row(segment: int, keys: list, learned: list, texts: list, pairs: list, words: list, lengths: list) -> pa.RecordBatch:
         found, counts = summed(*(np.concatenate(x) for x in zip(*pairs, strict=True)))
         first = (found & np.uint64((1 << 17) - 1)).astype(np.int64)  # one byte and the symbol behind it
         first, times = summed(first[counts > 0], counts[counts > 0])
         lists = [pa.concat_arrays(keys), pa.array(learned, pa.bool_()), pa.array(np.cumsum([len(t) for t in texts], dtype=np.int64)), pa.array(first), pa.array(times)]
-        numbers = np.concatenate([*taught, np.zeros(0, np.int32)])
+        numbers, words = numbered(pa.concat_arrays(words))
+        numbers = numbers[np.repeat(np.array(learned, bool), np.concatenate(lengths))]
         lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
         return pa.RecordBatch.from_arrays(
             [pa.array([segment]), pa.array([len(found)]), pa.array([len(words)]), *lists, *(pa.array([squeezed(x)], pa.binary()) for x in (b"".join(texts), packed(found), counts.astype(np.uint32).tobytes(), b" ".join(words), np.bincount(numbers, minlength=len(words)).astype(np.uint32).tobytes()))],
@@ -362,7 +434,7 @@ def read(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment, size, tokens = TaskContext.get().partitionId() << 32, 0, 0
-        keys, learned, texts, pairs, words, counted = [], [], [], [], {}, []
+        keys, learned, texts, pairs, words, lengths = [], [], [], [], [], []
         for batch in slices(batches, "text", SEGMENT_BYTES // 16):
             data, taught = column_bytes(batch, "text"), batch.column("learned").to_pylist()
             keys.append(batch.column("key"))
@@ -371,19 +443,17 @@ def read(docs: DataFrame) -> DataFrame:
             for l in (True, False):
                 k, c = pairs_of([x for x, y in zip(data, taught, strict=True) if y == l])
                 pairs.append((k, c if l else np.zeros_like(c)))
-            for x, l in zip(data, taught, strict=True):
-                split = words_of(x)
-                tokens += len(split)
-                numbers = np.fromiter((words.setdefault(w, len(words)) for w in split), np.int32, len(split))
-                if l:
-                    counted.append(numbers)
+            split, n = words_of(data)
+            words.append(split)
+            lengths.append(n)
+            tokens += len(split)
             size += sum(len(x) + 64 for x in data)
             if size >= SEGMENT_BYTES or tokens >= most_words:
-                yield row(segment, keys, learned, texts, pairs, words, counted)
+                yield row(segment, keys, learned, texts, pairs, words, lengths)
                 segment, size, tokens = segment + 1, 0, 0
-                keys, learned, texts, pairs, words, counted = [], [], [], [], {}, []
+                keys, learned, texts, pairs, words, lengths = [], [], [], [], [], []
         if texts:
-            yield row(segment, keys, learned, texts, pairs, words, counted)
+            yield row(segment, keys, learned, texts, pairs, words, lengths)
 
     kind = docs.schema["key"].dataType.simpleString()
     schema = f"segment long, n long, n_words long, keys array<{kind}>, learned array<boolean>, ends array<long>, first array<long>, times array<long>, texts binary, pairs binary, counts binary, words binary, taught binary"
@@ -635,11 +705,11 @@ def word_counts(segments: DataFrame, buckets: int) -> DataFrame:
                 )
 
     def answer(bucket: int, rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
-        numbers: dict[bytes, int] = {}
+        numbers = numbering()
         asked = []
         for _, words, _ in rows:
             split = opened(words).split()
-            asked.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in split), np.int64, len(split)))
+            asked.append(np.fromiter(map(numbers.__getitem__, split), np.int64, len(split)))
         counts = np.zeros(len(numbers), np.int64)
         for which, (_, _, taught) in zip(asked, rows, strict=True):
             counts[which] += np.frombuffer(opened(taught), np.uint32)
@@ -683,19 +753,17 @@ def scores(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str =
         for batch in batches:
             for i in range(batch.num_rows):
                 texts, given = segment_texts(batch, i), _listed(batch, "counts", i)
-                numbers: dict[bytes, int] = {}
-                tokens = []
-                for x in texts:
-                    split = words_of(x)
-                    tokens.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in split), np.int32, len(split)))
-                c = np.zeros(len(numbers), np.int64)
+                split, sizes = words_of(texts)
+                numbers, words = numbered(split)
+                c = np.zeros(len(words), np.int64)
                 if len(c):
                     pieces = sorted(zip(given.field("bucket").to_pylist(), given.field("counts").to_pylist(), strict=True))
-                    c[word_order(list(numbers), word_buckets)[0]] = np.frombuffer(b"".join(opened(x) for _, x in pieces), np.int64)
+                    c[word_order(words, word_buckets)[0]] = np.frombuffer(b"".join(opened(x) for _, x in pieces), np.int64)
                 log, some = np.log10((c + 1) / floor), c > 0
-                sizes = np.array([len(x) for x in tokens], np.int64)
-                base, known = np.array([log[x].sum() for x in tokens]), np.array([some[x].sum() for x in tokens], np.int64)
-                del numbers, tokens
+                text = np.repeat(np.arange(len(texts)), sizes)
+                base, known = np.bincount(text, log[numbers], len(texts)), np.bincount(text, some[numbers], len(texts)).astype(np.int64)
+                del split, numbers, words, text
+                give_back()
                 score = coded(segment_paths(batch, i, code, first, buckets), weights, texts)
                 bits = -score * np.log2(10) / np.maximum([len(x) for x in texts], 1)
                 yield pa.RecordBatch.from_arrays(

@@ -172,3 +172,34 @@ def test_weights_run_through_the_whole_text(spark, monkeypatch):
     monkeypatch.setattr(mixing, "TOGETHER", 64)
     monkeypatch.setattr(mixing, "LANES", 3)
     assert np.allclose(found, model.costs(samples)[0], rtol=1e-6)
+
+
+def test_words_and_sums_of_a_segment_are_those_of_plain_python():
+    rng = random.Random(8)
+    texts = [b"", b" \n", b" A  b\x0bB\x1cd\x85 \x00e\x0c", "É日 ÀB x".encode()]
+    texts += [bytes(rng.choice(b" \t\n\x0b\x0c\r\x1c\x1f aAbZz\xc3\xa9") for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    split = [t.lower().split() for t in texts]
+    words, sizes = mixing.words_of(texts)
+    numbers, distinct = mixing.numbered(words)
+    flat = [w for x in split for w in x]
+    assert sizes.tolist() == [len(x) for x in split] and distinct == list(dict.fromkeys(flat))
+    assert [distinct[i] for i in numbers] == flat
+    keys = [rng.choice([0, 7, (1 << 51) - 1, rng.randrange(1 << 51)]) for _ in range(500)]
+    counts = [rng.choice([0, 1, 8191, 8192, 1 << 31]) for _ in keys]
+    plain = Counter()
+    for k, c in zip(keys, counts):
+        plain[k] += c
+    found, total = mixing.summed(np.array(keys, np.uint64), np.array(counts, np.int64))
+    assert list(zip(found.tolist(), total.tolist())) == sorted(plain.items())
+
+
+def test_texts_left_over_are_scored_as_in_step(spark, monkeypatch):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice(["the ", "and ", "ing ", "\n"]) for _ in range(n)) for n in (10, 400)]
+    model = mixing.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    samples = [bytes(rng.choice(b"qzxv and") for _ in range(n)) for n in (3000, 900, 900, 0, 17, 300)]
+    found = []
+    for few in (0, 1, 4, 9):
+        monkeypatch.setattr(mixing, "FEW", few)
+        found.append(model.costs(samples)[0])
+    assert np.allclose(found, found[0], rtol=1e-5)
