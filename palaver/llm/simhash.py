@@ -17,6 +17,9 @@ Equal fingerprints are one node from the start, so exact copies cost one row eac
 of many near copies, every member is first compared with one member of its bucket only; pairs are
 formed afterwards, and only in buckets that still hold more than one class.
 
+Keys are many times the fingerprints they are made of, which Spark's estimate of their size does not see. So joins of keys, and
+of tables with a row per fingerprint, are told to shuffle both sides; nothing that grows with the rows is broadcast.
+
 Texts that are null, empty or without words have the fingerprint zero, which is linked like any
 other. Ids are never joined: rows with a null id get the class of their fingerprint like others
 (null only where no member has an id), and repeated rows get a row each. An empty table gives an
@@ -207,7 +210,7 @@ def fingerprint_classes(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     # near every bucket's first and last member: one comparison a row, however large the bucket
     stored = buckets(nodes, False).where(F.col("key") < 3 << 24)
     ends = stored.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
-    stars = stored.join(ends.where("low <> high"), "key").select(
+    stars = stored.join(ends.where("low <> high").hint("merge"), "key").select(
         "fp", F.explode(F.array("low", "high")).alias("end")
     )
     first = classes(stars.where(linked("fp", "end", max_bits)).select(F.col("fp").alias("a"), F.col("end").alias("b")))
@@ -220,8 +223,9 @@ def fingerprint_classes(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     in_bucket = members.groupBy("key", "other").agg(F.bit_and("other_fp").alias("all"), F.bit_or("other_fp").alias("any"))
     fp = F.col("fp")
     least = F.bit_count((F.col("all").bitwiseAND(F.bitwise_not(fp))).bitwiseOR(fp.bitwiseAND(F.bitwise_not("any"))))
-    meets = probes.join(in_bucket, "key").where((F.col("class") != F.col("other")) & (least <= max_bits))
-    pairs = meets.select("key", "fp", "class", "other").join(members, ["key", "other"]).where(linked("fp", "other_fp", max_bits))
+    meets = probes.join(in_bucket.hint("merge"), "key").where((F.col("class") != F.col("other")) & (least <= max_bits))
+    found = meets.select("key", "fp", "class", "other").join(members.hint("merge"), ["key", "other"])
+    pairs = found.where(linked("fp", "other_fp", max_bits))
     second = classes(pairs.select(F.col("class").alias("a"), F.col("other").alias("b")))
     return relabel(nodes, second)
 
@@ -234,10 +238,10 @@ def near_duplicates(
         fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "key", "text", shingle), "simhash"
     )
     fps = materialise(rows.groupBy("fp").agg(F.min("key").alias("least")), "simhash-fps")
-    found = fingerprint_classes(fps.select("fp"), max_bits).join(fps, "fp")
+    found = fingerprint_classes(fps.select("fp"), max_bits).join(fps.hint("merge"), "fp")
     least = found.groupBy("class").agg(F.min("least").alias("component_id"))
     by_fp = materialise(found.select("fp", "class").join(least, "class").select("fp", "component_id"), "simhash-classes")
-    return rows.join(by_fp, "fp").select(
+    return rows.join(by_fp.hint("merge"), "fp").select(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
