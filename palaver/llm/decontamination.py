@@ -36,8 +36,9 @@ WINDOW = 13
 SEGMENT_WORDS = 200_000
 #: Positions that are followed at once; a common word of many windows has far more.
 ANCHORS = 1 << 17
-#: Bytes of segments that are stored together.
-ROW_GROUP_BYTES = 8 << 20
+#: A segment is a large row. Row groups and pages are closed by their bytes after any row, where Parquet would look at every
+#: hundredth only and keep that many segments in hand, in writing and in reading.
+INDEX_OPTIONS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1"}
 #: Windows that tasks look up at once; more are looked up in further passes.
 BLOCK_WINDOWS = 100_000
 
@@ -99,10 +100,9 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", segmen
         f"segment long, keys array<{kind}>, starts array<int>, counts array<int>, "
         "words array<binary>, ends array<int>, positions array<int>"
     )
-    # a segment is a large row: small row groups keep few of them in hand, in writing and in reading
     path = fresh_path(docs.sparkSession, "postings")
     found = slim.mapInArrow(run, schema)
-    found.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
+    found.write.options(**INDEX_OPTIONS).parquet(path)
     return docs.sparkSession.read.schema(found.schema).parquet(path)
 
 
@@ -305,7 +305,8 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     asked = found.select(*row, F.explode("phrases").alias("window"), F.lit(True).alias("exact")).union(
         found.select(*row, F.explode("near").alias("window"), F.lit(False).alias("exact"))
     )
-    by_item = asked.join(windows, "window").groupBy(*row, "item").agg(F.max("exact").alias("exact"))
+    # every window asked for is listed; a left join can only broadcast the list, not the exploded matches, which Spark sizes too low
+    by_item = asked.join(windows, "window", "left").groupBy(*row, "item").agg(F.max("exact").alias("exact"))
     listed = by_item.groupBy(*row).agg(
         F.sort_array(F.collect_list(F.when(F.col("exact"), F.col("item")))).alias("items"),
         F.sort_array(F.collect_list(F.when(~F.col("exact"), F.col("item")))).alias("near_items"),

@@ -3,6 +3,9 @@
 import random
 import re
 
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
 from palaver.llm import decontamination
 from palaver.llm import decontamination as d
 from tests.conftest import rows
@@ -99,3 +102,28 @@ def test_positions_followed_in_small_parts(spark, monkeypatch):
     again = decontamination._intersect(*args)
     assert again[0] == near and {d: sorted(p) for d, p in again[1].items()} == {d: sorted(p) for d, p in phrases.items()}
     assert len(phrases[0]) > 500 and whole[0][2] == 600
+
+
+def test_few_segments_share_a_row_group(spark):
+    """Ninety segments of 30,000 words were one row group, held whole in writing and in reading."""
+    words = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(29_999)), lambda w: w * 7919 + F.col("id")))
+    docs = spark.range(0, 90, 1, 1).select(F.col("id").alias("doc_id"), words.alias("text"))
+    index = decontamination.build_index(docs, segment_words=30_000)
+    groups = []
+    for path in index.inputFiles():
+        meta = pq.ParquetFile(path.removeprefix("file://")).metadata
+        groups += [meta.row_group(g) for g in range(meta.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 90
+    assert len(groups) > 2 and max(g.total_byte_size for g in groups) < 12 << 20
+    assert index.select(F.explode(F.arrays_zip("keys", "counts")).alias("d")).select("d.*").distinct().count() == 90
+
+
+def test_matches_are_never_broadcast(spark):
+    """What is exploded from matches is larger than Spark takes it for; the list of windows may be broadcast, they may not."""
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "x a b c"), (3, "c b a")], "doc_id long, text string")
+    items = spark.createDataFrame([("i", "a b c"), ("j", "b c d"), (None, "a b c")], "item_id string, text string")
+    found = decontamination.contamination(docs, items)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" not in plan
+    got = {r["doc_id"]: (r["n_hit"], r["items"], r["near_items"]) for r in found.collect()}
+    assert got == {1: (4, ["i", "j"], []), 2: (3, ["i"], []), 3: (0, [], ["i"])}
