@@ -12,13 +12,12 @@ Null and empty texts are documents without words. Empty tables give empty result
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver.llm import bpe, decontamination, quality, secrets, simhash
-from palaver.llm.common import small_batches, spare_name, table
-from palaver.session import fresh_path, materialise
+from palaver.llm.common import numbered, small_batches, table
+from palaver.session import PLAIN, fresh_path, materialise
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,26 +26,17 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality.keep_good(docs, quality.fitted(spark, sf_dir, docs))
 
 
-def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a column that names each row by its file and its place there, the same at every reading."""
-    name = spare_name(docs, "row")
-    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
-    try:
-        return docs.withColumn(name, place), name
-    except AnalysisException:  # not read from files
-        return materialise(docs, "pipeline-docs").withColumn(name, place), name
-
-
 def _without(rows: DataFrame, gone: DataFrame, name: str) -> DataFrame:
     """``rows`` without those that ``gone`` names (``row``, distinct)."""
-    listed = materialise(gone.select(F.col("row").alias(name)), "gone")
+    # names compress to a byte or two, and would be broadcast by the million
+    listed = materialise(gone.select(F.col("row").alias(name)), "gone", options=PLAIN)
     return rows.join(listed, name, "left_anti").drop(name)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of fingerprints within four bits (shingles of four words): the one of the smallest id."""
     small_batches(spark)
-    rows, name = _numbered(docs)
+    rows, name = numbered(docs, "pipeline-docs")
     named = rows.select(F.struct(F.col("doc_id").alias("id"), F.col(name).alias("row")).alias("key"), "text")
     found = materialise(simhash.near_duplicates(named, key="key", shingle=4, max_bits=4), "pipeline-classes")
     return _without(rows, found.where("key.row <> component_id.row").select("key.row"), name)
@@ -55,7 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of whose words fewer than one in twenty lie in a phrase of the benchmark."""
     small_batches(spark)
-    rows, name = _numbered(docs)
+    rows, name = numbered(docs, "pipeline-docs")
     named = rows.select(F.col(name).alias("row"), "text")
     found = decontamination.contamination(named, table(spark, sf_dir, "benchmark"), key="row")
     return _without(rows, found.where("contaminated").select("row"), name)

@@ -1,5 +1,7 @@
 """The pipeline's stages take effect, and each works on what the stage before it kept."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as p
 from palaver.llm import quality, simhash
 
@@ -53,3 +55,15 @@ def test_rows_that_share_an_id_are_judged_each_by_its_text(spark):
     assert classes["a0"] == [5] and classes["b0"] == [5] and classes["c0"] == [None] and len(classes[item.split(" ")[0].lower()]) == 1
     clean = p.benchmark_decontamination(spark, docs, SF)
     assert sorted(r["n"] for r in clean.collect()) == [0, 1, 2, 3, 4, 5, 7]
+
+
+def test_rows_to_leave_out_are_sized_by_their_values(spark):
+    """Stored names of 100,000 rows took a third of their bytes, so millions passed for a small table."""
+    gone = spark.range(100_000).select(F.struct(F.lit(7).cast("long").alias("file"), F.col("id").alias("at")).alias("row"))
+    rows = gone.union(spark.createDataFrame([((8, 1),)], gone.schema)).withColumnRenamed("row", "name")
+    left = p._without(rows.withColumn("text", F.lit("t")), gone, "name")
+    assert [tuple(r) for r in left.collect()] == [("t",)]
+    plan = left._jdf.queryExecution().optimizedPlan()
+    while plan.children().size() == 1:
+        plan = plan.children().apply(0)
+    assert int(plan.children().apply(1).stats().sizeInBytes()) >= 16 * 100_000
