@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,7 @@ from palaver.operators import boards, hourly
 from palaver.operators.clean import clean, drop_blank, drop_excluded, narrow
 from palaver.operators.ranking import top_k
 from palaver.session import materialise
-from palaver.sources.tables import encode
+from palaver.sources.tables import COMPRESSION, encode
 
 
 def enriched(comments: DataFrame) -> DataFrame:
@@ -137,8 +138,10 @@ def _with_day(hours: DataFrame) -> DataFrame:
     return hours.withColumn("dt_date", thread_day(F.timestamp_seconds("hour")))
 
 
-def full_report(comments: DataFrame) -> dict[str, DataFrame]:
-    """Every metric of every day, whole and sorted, by name."""
+def full_report(
+    comments: DataFrame, bare: DataFrame | None = None, complete: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> dict[str, DataFrame]:
+    """Every metric of every day, whole and sorted, by name. ``bare`` and ``complete`` as in ``boards.upvoted_comments``."""
     table = enriched(comments)
     people = drop_blank(table)
     return {
@@ -146,7 +149,7 @@ def full_report(comments: DataFrame) -> dict[str, DataFrame]:
         "spammiest": boards.spammiest(people),
         "wordiest_overall": boards.wordiest_overall(people),
         "wordiest": boards.wordiest_average(people),
-        "upvoted_comments": boards.upvoted_comments(clean(comments)),
+        "upvoted_comments": boards.upvoted_comments(clean(comments), bare=None if bare is None else clean(bare), complete=complete),
         "upvoted_redditors": boards.most_upvoted(people),
         "best_redditors": boards.best_average(people),
         "activity": hourly.activity(people),
@@ -200,6 +203,5 @@ def write_report(report: dict[str, DataFrame], path: str, fmt: str = "parquet")
     for name, frame in report.items():
         frame = encode(frame) if fmt == "json" and "created_utc" in frame.columns else frame
         frame = frame.hint("rebalance", "dt_date") if name in _UNSORTED else frame
-        frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt_date").format(
-            fmt
-        ).save(f"{path}/{name}")
+        kept = {"partitionOverwriteMode": "dynamic", **COMPRESSION.get(fmt, {})}
+        frame.write.mode("overwrite").options(**kept).partitionBy("dt_date").format(fmt).save(f"{path}/{name}")

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,3 +156,23 @@ def test_stored_days_are_compressed(make, spark, tmp_path):
         names = [p.name for p in (tmp_path / folder).rglob("part-*")]
         assert len(names) >= 3 and all(name.endswith(end) for name in names)
     assert rows(tables.read_json_days(spark, str(tmp_path / "json")), "id") == [("a",), ("b",), ("c",), ("d",)]
+
+
+def test_report_bodies_move_once_and_are_stored_densely(spark, make, tmp_path):
+    """The list of all comments was joined with bodies in hand, dealt by day after that, and stored with Snappy."""
+    comments = three_days(make)
+    bodies = comments.select(F.col("id").alias("body_id"), "body")
+    asked = []
+
+    def complete(rows):
+        asked.append(rows.columns)
+        return rows.join(bodies, F.col("id") == F.col("body_id")).drop("body_id")
+
+    report = daily.full_report(comments, comments.drop("body"), complete)
+    assert len(asked) == 1 and "body" not in asked[0]
+    plain = daily.full_report(comments)
+    for name, frame in plain.items():
+        assert sorted(map(str, report[name].select(frame.columns).collect())) == sorted(map(str, frame.collect())), name
+    daily.write_report(report, str(tmp_path / "r"))
+    files = list((tmp_path / "r" / "upvoted_comments").rglob("*.parquet"))
+    assert files and all(pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD" for f in files)
