@@ -85,3 +85,26 @@ def test_query(spark):
     got = resharding.op10_resharding(spark, "/root/testdata/sf0.001").collect()
     by = [sorted(r["slot"] for r in got if r["shard"] == s) for s in range(16)]
     assert len(got) == 200 and all(x == list(range(len(x))) for x in by) and max(map(len, by)) - min(map(len, by)) <= 1
+
+
+def test_query_writes_the_shards_that_change(spark, monkeypatch):
+    """The query only said where rows are to lie; now they lie there, with all their columns, and it says what it finds."""
+    paths = []
+    monkeypatch.setattr(resharding, "fresh_path", lambda s, label: paths.append(fresh_path(s, label)) or paths[-1])
+    got = resharding.op10_resharding(spark, "/root/testdata/sf0.001").collect()
+    docs = {r["doc_id"]: r for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    stored = spark.read.parquet(paths[0]).collect()
+    changed = {s for r in got if r["shard"] != r["old_shard"] for s in (r["shard"], r["old_shard"])}
+    want = {(r["shard"], r["slot"]): docs[r["doc_id"]] for r in got if r["shard"] in changed}
+    assert {(r["shard"], r["slot"]): r["carried"] for r in stored} == want and len(stored) == len(want)
+    assert all(r["size"] == len((docs[r["doc_id"]]["text"] or "").encode()) + 1 for r in got)
+    assert all(r["text_crc32"] == zlib.crc32((docs[r["doc_id"]]["text"] or "").encode()) for r in got)
+
+
+def test_several_rows_of_one_that_is_read_are_rewritten(spark):
+    read = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(20)
+    docs = read.select("doc_id", "text", F.explode(F.array(F.lit(0), F.lit(0), F.lit(1))).alias("old"))
+    path = fresh_path(spark, "reshard-test")
+    assert resharding.rewrite(docs, F.col("old"), 3, path) == [0, 2]
+    back = [(r["shard"], r["slot"]) for r in spark.read.parquet(path).collect()]
+    assert sorted(back) == [(s, i) for s in (0, 2) for i in range(20)]
